@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate
+from . import bpe, decontaminate, topk, url_rules, warc
 from .shared import table
 
 
@@ -16,7 +16,19 @@ def op5_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op3_decontaminate": op3_decontaminate, "op5_byte_bpe": op5_byte_bpe}
+def op1_url_filters(spark, sf_dir):
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op2_warc(spark, sf_dir):
+    return warc.read(warc.write(table(spark, sf_dir, "pages")))
+
+
+def op9_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op9_top_k": op9_top_k, "op3_decontaminate": op3_decontaminate, "op5_byte_bpe": op5_byte_bpe}
 #: SQL for A-Z lower-cased only.
 FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -35,4 +47,23 @@ SELECT d.doc_id, coalesce(len(d.w), 0)::BIGINT AS n_words, coalesce(h.n_hit, 0):
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op3_decontaminate": OP3_SQL}
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, sha256(h) AS g FROM p),
+f AS (SELECT g, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY g)
+SELECT page_id, n::BIGINT AS payload_bytes, d.g AS payload_digest,
+       CASE WHEN f.first IS NULL OR page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> f.first THEN f.first END AS refers_to
+FROM d LEFT JOIN f ON d.g = f.g
+"""
+
+OP9_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op2_warc": OP2_SQL, "op9_top_k": OP9_SQL, "op3_decontaminate": OP3_SQL}
