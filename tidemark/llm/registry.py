@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate, topk, url_rules, warc
+from . import bpe, decontaminate, minhash, topk, url_rules, warc
 from .shared import table
 
 
@@ -24,11 +24,15 @@ def op2_warc(spark, sf_dir):
     return warc.read(warc.write(table(spark, sf_dir, "pages")))
 
 
+def op6_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op9_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
-QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op9_top_k": op9_top_k, "op3_decontaminate": op3_decontaminate, "op5_byte_bpe": op5_byte_bpe}
+QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op9_top_k": op9_top_k, "op3_decontaminate": op3_decontaminate, "op5_byte_bpe": op5_byte_bpe}
 #: SQL for A-Z lower-cased only.
 FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -57,6 +61,18 @@ SELECT page_id, n::BIGINT AS payload_bytes, d.g AS payload_digest,
 FROM d LEFT JOIN f ON d.g = f.g
 """
 
+OP6_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({FOLDED}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+e AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM e),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT x.a, x.b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q ON p.g = q.g AND p.doc_id <> q.doc_id GROUP BY 1, 2) x
+      JOIN n na ON na.doc_id = x.a JOIN n nb ON nb.doc_id = x.b WHERE 100 * x.c >= 85 * (na.n + nb.n - x.c)),
+r AS (SELECT doc_id AS v, doc_id AS u FROM documents UNION SELECT r.v, l.b FROM r JOIN l ON l.a = r.u)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.u AS component_id, d.doc_id = c.u AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT v, min(u) AS u FROM r GROUP BY v) c ON c.v = d.doc_id
+"""
+
 OP9_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -66,4 +82,4 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op2_warc": OP2_SQL, "op9_top_k": OP9_SQL, "op3_decontaminate": OP3_SQL}
+ORACLE: dict[str, str] = {"op2_warc": OP2_SQL, "op6_minhash": OP6_SQL, "op9_top_k": OP9_SQL, "op3_decontaminate": OP3_SQL}
