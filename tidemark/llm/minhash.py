@@ -152,7 +152,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "hashes": pa.array([shingle_set(t.as_py(), width).tobytes() for t in batch.column(1)], pa.binary())})
 
-    return _texts(docs).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(run, "doc_id long, hashes binary")
+    return _texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, hashes binary")
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, percent: int, salts: int = 16) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate, minhash, topk, url_rules, warc
+from . import bpe, decontaminate, lines, minhash, topk, url_rules, warc
 from .shared import table
 
 
@@ -28,11 +28,15 @@ def op6_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op7_line_dedup(spark, sf_dir):
+    return lines.summary(table(spark, sf_dir, "documents"))
+
+
 def op9_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
-QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op9_top_k": op9_top_k, "op3_decontaminate": op3_decontaminate, "op5_byte_bpe": op5_byte_bpe}
+QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op7_line_dedup": op7_line_dedup, "op9_top_k": op9_top_k, "op3_decontaminate": op3_decontaminate, "op5_byte_bpe": op5_byte_bpe}
 #: SQL for A-Z lower-cased only.
 FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
