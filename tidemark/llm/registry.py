@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, lines, minhash, topk, url_rules, warc
+from . import bpe, decontaminate, langid, lines, minhash, topk, url_rules, warc
 from .shared import table
 
 
@@ -12,6 +13,11 @@ def op3_decontaminate(spark, sf_dir):
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))).drop("spans")
 
 
+def op4_language_id(spark, sf_dir):
+    judged = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select(F.col("doc_id").cast("long").alias("doc_id"), langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -36,7 +42,7 @@ def op9_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
-QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op7_line_dedup": op7_line_dedup, "op9_top_k": op9_top_k, "op3_decontaminate": op3_decontaminate, "op5_byte_bpe": op5_byte_bpe}
+QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op7_line_dedup": op7_line_dedup, "op9_top_k": op9_top_k, "op3_decontaminate": op3_decontaminate, "op4_language_id": op4_language_id, "op5_byte_bpe": op5_byte_bpe}
 #: SQL for A-Z lower-cased only.
 FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
