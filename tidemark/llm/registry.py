@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, minhash, topk, toxicity, url_rules, warc
+from . import bpe, decontaminate, langid, lines, minhash, pii, topk, toxicity, url_rules, warc
 from .shared import table
 
 
@@ -46,7 +46,11 @@ def op9_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
-QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity, "op9_top_k": op9_top_k, "op3_decontaminate": op3_decontaminate, "op4_language_id": op4_language_id, "op5_byte_bpe": op5_byte_bpe}
+def op10_pii(spark, sf_dir):
+    return pii.digest(pii.sanitise(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity, "op9_top_k": op9_top_k, "op10_pii": op10_pii, "op3_decontaminate": op3_decontaminate, "op4_language_id": op4_language_id, "op5_byte_bpe": op5_byte_bpe}
 #: SQL for A-Z lower-cased only.
 FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
