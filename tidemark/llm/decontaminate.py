@@ -131,6 +131,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(judge, SCHEMA)
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+    """The documents of which no word is hit, in one pass."""
+    spark = docs.sparkSession
+    short_batches(spark)
+    shared = spark.sparkContext.broadcast(_blocks(benchmark, width))
+    made: list = []
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not made:
+            made.append([a for b in shared.value if (a := automaton(b, width)) is not None])
+        for batch in batches:
+            yield batch.filter(pa.array([not scan(t.as_py(), made[0])[1] for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 ARROW = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.int64())),
     ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),

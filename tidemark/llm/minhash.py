@@ -3,11 +3,11 @@
 A document's set holds 64-bit hashes of its distinct word shingles.  One permutation of it
 gives SLOTS bins by the hashes' top bits, each with its least hash; an empty bin takes the
 value of the first filled bin in a fixed random order of its own (optimal densification).
-BANDS bands of ROWS bins give the buckets.
+Bands of rows_for(threshold) bins give the buckets: 32 bands of 8 at 0.85, 42 of 6 at 0.8.
 
 1. Documents with equal sets share one representative, the smallest doc_id.
 2. Each bucket of two or more representatives is a star around one of them (another one in
-   each band), so the number of candidate edges is at most BANDS a document.  The edges'
+   each band), so the number of candidate edges is at most one a band and document.  The edges'
    connected components are the clusters.
 3. Each representative is confirmed on full sets against the centre it met most often.
    The links' components settle a cluster of which all members come together: the usual
@@ -17,7 +17,8 @@ BANDS bands of ROWS bins give the buckets.
    one cluster).  A block pair returns only a spanning forest of the links it found.  So no
    link between two documents of a cluster is lost, nor are pairs ever rows.
 
-At a similarity of 0.85 a pair misses all buckets with probability (1 - 0.85^8)^32 < 5e-5.
+A pair at the threshold misses all buckets with a probability below MISS; in a cluster that
+stars alone don't settle it is compared even then.
 
 Edge cases: texts that are null, empty or white space have n_shingles 0 and link with
 nothing; a text of fewer words than a shingle has one, its whole sequence; repeated rows of
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import join_on_hot_key, short_batches, written
 
-SLOTS, BANDS, ROWS = 256, 32, 8
+SLOTS, MOST_ROWS, MISS = 256, 8, 1e-4
 BLOCK_ROWS, BLOCK_HASHES = 192, 400_000
 #: Ids that may be broadcast, 8 bytes each.
 BROADCAST_IDS = 1_000_000
@@ -49,7 +50,7 @@ _rng = np.random.default_rng(20_260_810)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_MIX = _rng.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
+_MIX = _rng.integers(1, 2**63, SLOTS, dtype=np.uint64) | np.uint64(1)
 #: For each bin, the order in which it looks for a filled bin.
 _ORDER = np.argsort(_rng.random((SLOTS, SLOTS)), axis=1).argsort(axis=1).astype(np.int16)
 FOLD = np.arange(256, dtype=np.uint8)
@@ -107,8 +108,13 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(h)
 
 
-def bands_of(hashes: np.ndarray) -> np.ndarray:
-    """BANDS bucket numbers of a sorted set that isn't empty."""
+def rows_for(percent: int) -> int:
+    """Bins in a band: as many as leave a pair at the threshold a chance below MISS of meeting nowhere."""
+    return next((r for r in range(MOST_ROWS, 0, -1) if (1 - (percent / 100) ** r) ** (SLOTS // r) < MISS), 1)
+
+
+def bands_of(hashes: np.ndarray, rows: int) -> np.ndarray:
+    """Bucket numbers, one a band, of a sorted set that isn't empty."""
     bins = (hashes >> np.uint64(56)).astype(np.intp)
     filled, first = np.unique(bins, return_index=True)
     slots = np.empty(SLOTS, dtype=np.uint64)
@@ -116,7 +122,8 @@ def bands_of(hashes: np.ndarray) -> np.ndarray:
     if len(filled) < SLOTS:
         empty = np.setdiff1d(np.arange(SLOTS), filled, assume_unique=True)
         slots[empty] = slots[filled[_ORDER[np.ix_(empty, filled)].argmin(axis=1)]]
-    return mixed((mixed(slots).reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64)).view(np.int64)
+    used = SLOTS // rows * rows
+    return mixed((mixed(slots) * _MIX)[:used].reshape(-1, rows).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -128,7 +135,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
+def sketches(docs: DataFrame, width: int, rows: int) -> DataFrame:
     """doc_id, n_shingles, fingerprint of the set (null if empty), bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +144,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 s = shingle_set(text.as_py(), width)
                 n.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                bands.append(bands_of(s) if len(s) else np.empty(0, np.int64))
+                bands.append(bands_of(s, rows) if len(s) else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "print", "bands"])
 
     return _texts(docs).mapInArrow(run, "doc_id long, n_shingles long, print binary, bands array<long>")
@@ -238,11 +245,19 @@ def _rest(clusters: DataFrame, links: DataFrame, sizes: DataFrame, sets: DataFra
     return written(pairs.mapInArrow(run, "a long, b long"), "rest_links")
 
 
+def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without those that repeat another of their group.  Only the ids that go are joined."""
+    gone = written(near_duplicates(docs, width, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct(), "repeated_documents")
+    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept.  Links: 100 * intersection >= percent * union."""
     spark = docs.sparkSession
     short_batches(spark)
-    drawn = written(sketches(docs, width), "sketches")
+    drawn = written(sketches(docs, width, rows_for(percent)), "sketches")
     by_set = written(drawn.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets")
     reps = drawn.where("print is not null").join(by_set.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
     entries = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "bucket"))
