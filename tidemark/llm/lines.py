@@ -262,10 +262,10 @@ def summary(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) ->
 
 def without_repeats(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with repeated lines taken out of their texts; a document of which no line is left goes."""
-    gone = summary(docs, edits, min_chars).where(F.size("dropped") > 0).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_gone"), F.col("all_go").alias("_all"))
-    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("_id"), "left")
-    # a document of which every line is a repeat goes, whatever its copies hold
-    stays = joined.where(~F.coalesce("_all", F.lit(False)))
-    lines = F.split(F.col("text").cast("string"), "\n")
-    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(F.concat_ws("\n", F.filter(lines, lambda x, i: ~F.array_contains("_gone", i.cast("long")))))
-    return stays.withColumn("text", text).select(docs.columns)
+    gone = summary(docs, edits, min_chars).where(F.size("dropped") > 0).dropDuplicates(["doc_id"]).select("doc_id", F.col("dropped").alias("gone"), F.col("all_go"))
+    # own columns of the documents may have any name, so they travel as one
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("own"), F.col("doc_id").cast("long").alias("doc_id"))
+    joined = held.join(gone, "doc_id", "left").where(~F.coalesce("all_go", F.lit(False)))
+    lines = F.split(F.col("own.text").cast("string"), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("own.text")).otherwise(F.concat_ws("\n", F.filter(lines, lambda x, i: ~F.array_contains("gone", i.cast("long")))))
+    return joined.select(*[text.alias(c) if c == "text" else F.col("own")[c].alias(c) for c in docs.columns])

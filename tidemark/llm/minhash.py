@@ -247,10 +247,10 @@ def _rest(clusters: DataFrame, links: DataFrame, sizes: DataFrame, sets: DataFra
 
 def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that repeat another of their group.  Only the ids that go are joined."""
-    gone = written(near_duplicates(docs, width, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct(), "repeated_documents")
+    gone = written(near_duplicates(docs, width, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_repeated_id")).distinct(), "repeated_documents")
     if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_repeated_id"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
