@@ -281,7 +281,7 @@ def test_ledger_and_telemetry(spark, tmp_path):
     rows = {r["task"]: r for r in store.read(TABLES["bronze.ingestion_runs"]).collect()}
     assert rows["build_prices"]["rows_written"] == 7 and rows["build_news"]["status"] == "failed" and "ZeroDivision" in rows["build_news"]["error"]
     log = tasks.Telemetry(store)
-    log.record(task="answer", model="m", latency_ms=3)
+    log.record(task="answer", model="m", latency_ms=3.0)
     assert log.flush() == 1 and log.flush() == 0
     with tasks.single_run(f"{tmp_path}/lock"), pytest.raises(FileExistsError), tasks.single_run(f"{tmp_path}/lock"):
         pass

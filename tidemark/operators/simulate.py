@@ -79,7 +79,7 @@ def forecast(arm: str, percent: np.ndarray, news: np.ndarray, price: float, cfg:
         try:
             if model == "gbm":
                 mu, sigma = gbm(percent, min(cfg.min_obs, len(percent)) if arm == "gbm" else cfg.min_obs)
-                out = of_gbm(mu, sigma, price, cfg) | {"converged": None, "prob_low_vol": None, "prob_high_vol": None, "sigma_low": None, "sigma_high": None}
+                out = of_gbm(mu, sigma, price, cfg) | {"converged": None, "prob_low_vol": None, "prob_high_vol": None, "sigma_low": None, "sigma_high": None, "mu_low": None, "mu_high": None}
             else:
                 exog = None
                 if model == "news_markov":  # yesterday's news governs today's step; the first day has none
@@ -88,7 +88,7 @@ def forecast(arm: str, percent: np.ndarray, news: np.ndarray, price: float, cfg:
                     own = percent
                 f = regime.fit(own, exog, cfg.min_obs, cfg.starts)
                 out = of_regimes(f, price, float(news[-1]) if exog is not None else 0.0, cfg)
-                out |= {"converged": f.converged, "prob_low_vol": float(f.current[0]), "prob_high_vol": float(f.current[1]), "sigma_low": float(f.sigma[0] / 100), "sigma_high": float(f.sigma[1] / 100)}
+                out |= {"converged": f.converged, "prob_low_vol": float(f.current[0]), "prob_high_vol": float(f.current[1]), "sigma_low": float(f.sigma[0] / 100), "sigma_high": float(f.sigma[1] / 100), "mu_low": float(f.mu[0] / 100), "mu_high": float(f.mu[1] / 100)}
             return out | {"model": arm, "model_used": model, "fallback_reason": "; ".join(reasons) or None, "n_obs": len(percent)}
         except regime.FitError as e:
             reasons.append(f"{model}: {e}")

@@ -11,7 +11,7 @@ from tidemark.operators import simulate
 from tidemark.operators.features import indexed, weekly_origins
 
 _OUT = ("model string, model_used string, fallback_reason string, n_obs long, p10 double, p50 double, p90 double, prob_positive double, prob_drop_5pct double, "
-        "prob_low_vol double, prob_high_vol double, sigma_low double, sigma_high double, converged boolean")
+        "prob_low_vol double, prob_high_vol double, sigma_low double, sigma_high double, mu_low double, mu_high double, converged boolean")
 FORECAST = f"ticker string, as_of_date date, current_price double, {_OUT}"
 SCORED = f"ticker string, origin_date date, realized_return double, {_OUT}"
 _COLUMNS = [x.split()[0] for x in _OUT.split(", ")]

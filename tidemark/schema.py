@@ -35,19 +35,20 @@ class Table:
 
 
 _BAR = "open double, high double, low double, close double"
+#: Tables with their columns in order and their merge keys (fixed values: the tables' contract).
 TABLES = {t.name: t for t in (
-    Table("bronze.prices_raw", f"ticker string, source_timestamp timestamp, {_BAR}, volume double, vwap double, transactions bigint, adjusted boolean, request_id string, run_id string, ingested_at timestamp", ("ticker", "source_timestamp")),
-    Table("bronze.news_raw", "article_id string, ticker string, published_utc string, published_at timestamp, title string, description string, author string, publisher string, article_url string, image_url string, article_tickers array<string>, keywords array<string>, sentiment string, sentiment_reasoning string, request_id string, run_id string, ingested_at timestamp", ("article_id", "ticker")),
-    Table("bronze.ingestion_runs", "run_id string, task string, started_at timestamp, ended_at timestamp, status string, rows_written bigint, error string", ("run_id",)),
+    Table("bronze.prices_raw", f"ticker string, source_timestamp timestamp, t_epoch_ms bigint, {_BAR}, vwap double, volume double, transactions bigint, source string, ingested_at timestamp, request_id string", ("ticker", "source_timestamp")),
+    Table("bronze.news_raw", "article_id string, ticker string, source_timestamp timestamp, published_utc string, title string, description string, author string, article_url string, image_url string, publisher_name string, publisher_homepage_url string, publisher_logo_url string, publisher_favicon_url string, sentiment string, sentiment_reasoning string, article_tickers array<string>, keywords array<string>, source string, ingested_at timestamp, request_id string", ("article_id", "ticker")),
+    Table("bronze.ingestion_runs", "run_id string, task string, started_at timestamp, finished_at timestamp, status string, rows_written bigint, error string", ("run_id",)),
     Table("silver.daily_prices", f"ticker string, trade_date date, {_BAR}, volume bigint, vwap double", ("ticker", "trade_date")),
-    Table("silver.news_articles", "article_id string, ticker string, published_at timestamp, title string, description string, publisher string, article_url string, sentiment string, sentiment_score int, sentiment_reasoning string, embedding_text string, doc_id string", ("article_id", "ticker"), True),
-    Table("silver.news_recent", "article_id string, ticker string, published_at timestamp, title string, publisher string, article_url string, sentiment string, sentiment_score int, embedding_text string, doc_id string", ("article_id", "ticker"), True),
-    Table("silver.daily_features", "ticker string, trade_date date, close double, volume bigint, log_return double, return_5d double, momentum_5d double, realized_vol_20d double, volume_zscore_20d double, news_count bigint, news_sentiment double, news_sentiment_3d double", ("ticker", "trade_date")),
-    Table("gold.regime_states", "ticker string, as_of_date date, model_used string, prob_low_vol double, prob_high_vol double, mu_low double, mu_high double, sigma_low double, sigma_high double, converged boolean, generated_at timestamp", ("ticker", "as_of_date")),
-    Table("gold.forecast_runs", "forecast_id string, ticker string, as_of_date date, model_requested string, model_used string, fallback_reason string, horizon_days int, n_paths int, seed bigint, current_price double, p10 double, p50 double, p90 double, prob_positive double, prob_drop_5pct double, prob_low_vol double, prob_high_vol double, converged boolean, n_obs bigint, generated_at timestamp", ("ticker", "as_of_date", "model_used")),
-    Table("gold.backtest_metrics", "origin_date date, ticker string, model string, model_used string, brier double, abs_error double, covered_80 boolean, realized_return double, converged boolean, fallback_reason string, n_train bigint, computed_at timestamp", ("origin_date", "ticker", "model")),
-    Table("gold.backtest_summary", "model string, n bigint, tickers bigint, brier double, mae double, coverage double, fallback_rate double, computed_at timestamp", ("model",)),
-    Table("gold.model_calls", "call_id string, task string, model string, started_at timestamp, latency_ms bigint, input_tokens bigint, output_tokens bigint, error string", ("call_id",)),
+    Table("silver.news_articles", "article_id string, ticker string, published_at timestamp, title string, description string, publisher string, sentiment_label string, sentiment_score int, sentiment_reasoning string, embedding_text string, article_url string, doc_id string", ("article_id", "ticker"), True),
+    Table("silver.news_recent", "article_id string, ticker string, published_at timestamp, title string, publisher string, sentiment_label string, sentiment_score int, article_url string, embedding_text string, doc_id string", ("article_id", "ticker"), True),
+    Table("silver.daily_features", "ticker string, trade_date date, close double, volume bigint, log_return double, return_5d double, momentum_5d double, realized_vol_20d double, volume_zscore_20d double, s_t double, news_sentiment_3d double, news_count bigint", ("ticker", "trade_date")),
+    Table("gold.regime_states", "ticker string, as_of_date date, prob_low_vol double, prob_high_vol double, low_vol_mean double, low_vol_sigma double, high_vol_mean double, high_vol_sigma double, current_news_signal double, model_used string, model_version string", ("ticker", "as_of_date")),
+    Table("gold.forecast_runs", "forecast_id string, ticker string, generated_at timestamp, as_of_date date, horizon_days int, model_used string, current_price double, price_p10 double, price_p50 double, price_p90 double, return_p10 double, return_p50 double, return_p90 double, prob_positive double, prob_loss_gt_5pct double, prob_low_vol double, prob_high_vol double, n_paths int, seed bigint, model_version string", ("ticker", "as_of_date", "model_used")),
+    Table("gold.backtest_metrics", "origin_date date, ticker string, model string, brier double, mae double, covered_80 boolean, model_used string, converged boolean, failure_reason string, realized_return double, return_p50 double, prob_positive double", ("origin_date", "ticker", "model")),
+    Table("gold.backtest_summary", "model string, n bigint, n_tickers int, brier double, mae double, coverage_80 double, fallback_rate double, computed_at timestamp", ("model",)),
+    Table("gold.model_calls", "call_id string, ts timestamp, task string, model string, latency_ms double, ok boolean, in_tokens bigint, out_tokens bigint", ("call_id",)),
     Table("gold.lb_watchlist_tickers_history", "watchlist_id string, ticker string, added_at timestamp, added_by string, captured_at timestamp", ("watchlist_id", "ticker")),
     Table("gold.lb_research_reports_history", "report_id string, user_id string, ticker string, question string, report_md string, forecast_id string, created_at timestamp, captured_at timestamp", ("report_id",)),
     Table("app.users", "user_id string, display_name string, created_at timestamp", ("user_id",)),
