@@ -6,7 +6,6 @@ from datetime import date, datetime
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.functions import exchange
 from tidemark.operators.simulate import Settings
