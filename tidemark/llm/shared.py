@@ -60,5 +60,5 @@ def join_on_hot_key(big: DataFrame, small: DataFrame, key: str, how: str = "left
     if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), key, how)
     salt = F.pmod(F.xxhash64(salt_by if salt_by is not None else F.monotonically_increasing_id()), F.lit(salts))
-    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return big.withColumn("_salt", salt).join(spread, [key, "_salt"], how).drop("_salt")
