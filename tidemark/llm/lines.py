@@ -241,8 +241,8 @@ def judged_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     each = sides.select(F.col("a").alias("id"), (F.col("at_b") < F.col("at_a")).alias("repeats")).unionByName(sides.select(F.col("b").alias("id"), (F.col("at_a") < F.col("at_b")).alias("repeats")))
     per_line = each.groupBy("id").agg(F.max("repeats").alias("repeats"), F.count("*").alias("n_links"))
     # lines met once that link to nothing need no join: they are what they are
-    special = lines.join(per_line, "id", "left").where("places > 1 or n_links is not null").select(F.struct(*KEY).alias("key"), F.struct("doc_id", "line_no").alias("at"), F.coalesce("repeats", F.lit(False)).alias("repeats"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    marked = join_on_hot_key(places_of(docs).select(F.struct(*KEY).alias("key"), "doc_id", "line_no"), written(special, "special_lines"), "key", salt_by=F.struct("doc_id", "line_no"))
+    special = lines.join(per_line, "id", "left").where("places > 1 or n_links is not null").select(F.struct(*KEY).alias("key"), F.struct("doc_id", "line_no").alias("at"), F.coalesce("repeats", F.lit(False)).alias("repeats"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "places")
+    marked = join_on_hot_key(places_of(docs).select(F.struct(*KEY).alias("key"), "doc_id", "line_no"), written(special, "special_lines"), "key", "places", F.struct("doc_id", "line_no"))
     places = marked.select("doc_id", "line_no", (F.col("at").isNull() | (F.struct("doc_id", "line_no") == F.col("at"))).alias("first"), F.coalesce("repeats", F.lit(False)).alias("repeats"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return places, linked
 

@@ -278,7 +278,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         joined = joined.join(names.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
     second = components(joined)
     final = clusters.select("node").join(names, "node", "left").select("node", F.coalesce("label", "node").alias("half")).join(second.select(F.col("node").alias("half"), F.col("label").alias("top")), "half", "left").select(F.col("node").alias("rep"), F.coalesce("top", "half").alias("label")).where("rep <> label")
-    to = written(by_set.join(final, "rep", "left").where("copies > 1 or label is not null").select("print", F.coalesce("label", "rep").alias("component")), "component_of_set")
-    out = join_on_hot_key(drawn.select("doc_id", "n_shingles", "print"), to, "print", salt_by=F.col("doc_id"))
+    to = written(by_set.join(final, "rep", "left").where("copies > 1 or label is not null").select("print", F.coalesce("label", "rep").alias("component"), "copies"), "component_of_set")
+    out = join_on_hot_key(drawn.select("doc_id", "n_shingles", "print"), to, "print", "copies", F.col("doc_id"))
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -50,15 +50,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def join_on_hot_key(big: DataFrame, small: DataFrame, key: str, how: str = "left",
-                    salt_by: Column | None = None, salts: int = 32) -> DataFrame:
-    """Join ``big`` to ``small`` (unique by ``key``) where one key may hold a third of ``big``.
+def join_on_hot_key(big: DataFrame, small: DataFrame, key: str, weight: str, salt_by: Column) -> DataFrame:
+    """Left join of ``big`` to ``small`` (unique by ``key``) where one key may hold a third of ``big``.
 
-    A small side of at most BROADCAST_ROWS counted rows is broadcast.  A longer one is
-    repeated once a salt, and the rows of a hot key spread over all the salts.
+    ``weight`` is a column of ``small``: how many rows of ``big`` have the key; it isn't returned.
+    A small side of at most BROADCAST_ROWS counted rows is broadcast.  Of a longer one, the keys
+    heavier than the total weight over BROADCAST_ROWS are broadcast (there can't be more than
+    BROADCAST_ROWS of them); their rows are spread by ``salt_by``, all others meet by key.
     """
+    rest = [c for c in small.columns if c not in (key, weight)]
     if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small), key, how)
-    salt = F.pmod(F.xxhash64(salt_by if salt_by is not None else F.monotonically_increasing_id()), F.lit(salts))
-    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return big.withColumn("_salt", salt).join(spread, [key, "_salt"], how).drop("_salt")
+        return big.join(F.broadcast(small.drop(weight)), key, "left")
+    total = small.agg(F.sum(weight)).first()[0]
+    hot = F.col(weight) > total // max(1, BROADCAST_ROWS)
+    heavy = small.where(hot).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in rest])
+    light = small.where(~hot).select(key, F.lit(0).cast("long").alias("_salt"), *rest)
+    marked = big.join(F.broadcast(heavy), key, "left").withColumn("_salt", F.when(F.col("_hot"), 1 + F.pmod(F.xxhash64(salt_by), F.lit(1000))).otherwise(F.lit(0)).cast("long"))
+    joined = marked.join(light, [key, "_salt"], "left")
+    return joined.select(*big.columns, *[F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in rest])

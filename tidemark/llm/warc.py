@@ -173,8 +173,8 @@ def write(pages: DataFrame, least: int = 100) -> DataFrame:
     root = fresh_path(spark, "packages")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = pages.withColumn("digest", F.sha2(F.col("html"), 256))
-    shared = keyed.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n")
-    marked = join_on_hot_key(keyed, written(shared, "equal_payloads"), "digest", salt_by=F.col("page_id"))
+    shared = keyed.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
+    marked = join_on_hot_key(keyed, written(shared, "equal_payloads"), "digest", "n", F.col("page_id"))
     marked = marked.select("page_id", "url", "html", "digest", F.when(F.col("page_id").eqNullSafe(F.col("first")), None).otherwise(F.col("first")).alias("refers_to"))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
