@@ -117,7 +117,7 @@ def base_spans(text: Column) -> dict[str, Column]:
 def found(docs: DataFrame) -> DataFrame:
     """_row, doc_id, print (of the text), and a column of spans for each kind; the text only in ``docs``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("doc_id", F.sha2("text", 256).alias("print"), *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
+    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("doc_id", text_print(F.col("text")).alias("print"), *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
     return spans
 
 
@@ -136,31 +136,41 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= MIN_CHARS) & ~w.rlike("^[0-9]+$")))
 
 
+def text_print(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def disclosing(docs: DataFrame, spans: DataFrame, disclosure: float, min_docs: int) -> DataFrame:
-    """entity, term, whole (the term gives all that the entity carries)."""
+    """entity, term, whole (the term gives all that the entity carries).
+
+    A row counts 1 / (copies of its text), so that a text counts once, however many rows hold it,
+    and terms are summed up where they are read: no pair of text and term is ever shuffled."""
+    none = docs.sparkSession.createDataFrame([], "entity string, term string, whole boolean")
     entities = written(spans.where(F.size(values_of()) > 0).select("print", F.explode(values_of()).alias("entity")).distinct(), "entities")
     counts = entities.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_docs)
-    often = written(entities.join(counts, "entity"), "repeated_entities")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    prints = often.select("print").distinct()
-    n_prints = prints.limit(BROADCAST_ROWS + 1).count()
+    often = written(entities.join(counts, "entity").groupBy("print").agg(F.collect_list(F.struct("entity", "n_e")).alias("entities")), "repeated_entities")
+    n_prints = often.limit(BROADCAST_ROWS + 1).count()
     if n_prints == 0:
-        return docs.sparkSession.createDataFrame([], "entity string, term string, whole boolean")
-    keyed = docs.select(F.sha2(text, 256).alias("print"), text.alias("text"))
-    own = keyed.join(F.broadcast(prints) if n_prints <= BROADCAST_ROWS else prints, "print", "left_semi").select("print", F.explode(terms_of(F.col("text"))).alias("term")).distinct()
-    # entities' own parts are taken out: they aren't context
-    together = own.join(often, "print").groupBy("entity", "term", "n_e").agg(F.count("*").alias("n_te")).where((F.col("n_te") >= min_docs) & ~F.contains("entity", "term"))
+        return none
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    copies = written(spans.groupBy("print").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+    keyed = docs.select(text_print(text).alias("print"), text.alias("text"))
+    keyed = join_on_hot_key(keyed.withColumn("at", F.monotonically_increasing_id()), copies.withColumn("rows", F.col("copies")), "print", "rows", F.col("at")).select("print", "text", (1.0 / F.coalesce("copies", F.lit(1))).alias("share"))
+    # an entity's own parts are no context of it
+    own = keyed.join(F.broadcast(often) if n_prints <= BROADCAST_ROWS else often, "print").select("share", "entities", F.explode(terms_of(F.col("text"))).alias("term")).select("share", "term", F.explode("entities").alias("e")).select("share", "term", "e.*")
+    together = own.where(~F.contains("entity", "term")).groupBy("entity", "term", "n_e").agg(F.round(F.sum("share")).cast("long").alias("n_te")).where(F.col("n_te") >= min_docs)
     together = written(together, "terms_with_entities")
     terms = together.select("term").distinct()
     n_terms = terms.limit(BROADCAST_ROWS + 1).count()
     if n_terms == 0:
-        return docs.sparkSession.createDataFrame([], "entity string, term string, whole boolean")
-    # statistics over all distinct texts; a text is read by the rows that hold it, its copies fall together
-    all_terms = keyed.select("print", F.explode(terms_of(F.col("text"))).alias("term")).join(F.broadcast(terms) if n_terms <= BROADCAST_ROWS else terms, "term", "left_semi").distinct()
-    n_t = all_terms.groupBy("term").agg(F.count("*").alias("n_t"))
-    total = spans.select("print").distinct().count()
-    carried = F.log2(F.lit(float(total)) / F.col("n_e"))
-    given = F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
+        return none
+    said = keyed.select("share", F.explode(terms_of(F.col("text"))).alias("term"))
+    if n_terms <= BROADCAST_ROWS:
+        said = said.join(F.broadcast(terms), "term", "left_semi")
+    n_t = said.groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t"))
+    total = F.lit(float(spans.select("print").distinct().count()))
+    carried = F.log2(total / F.col("n_e"))
+    given = F.log2(total * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     return together.join(n_t, "term").where((carried > 0) & (given >= disclosure * carried)).select("entity", "term", (given >= 0.99 * carried).alias("whole"))
 
 
@@ -170,9 +180,10 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MI
     rules = disclosing(docs, spans, disclosure, min_docs)
     rules = written(rules, "disclosing_terms")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("print", F.sha2("text", 256))
-    per_text = spans.where(F.size(values_of()) > 0).select("print", F.explode(values_of()).alias("entity")).distinct().join(rules, "entity").groupBy("print", "term").agg(F.max("whole").alias("whole")).groupBy("print").agg(F.array_sort(F.collect_list(F.struct("term", "whole"))).alias("terms"))
-    marked = join_on_hot_key(rows, written(per_text, "terms_of_texts"), "print", salt_by=F.col("doc_id"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("print", text_print(F.col("text")))
+    holding = spans.where(F.size(values_of()) > 0)
+    per_text = holding.select("print", F.explode(values_of()).alias("entity")).distinct().join(rules, "entity").groupBy("print", "term").agg(F.max("whole").alias("whole")).groupBy("print").agg(F.array_sort(F.collect_list(F.struct("term", "whole"))).alias("terms")).join(holding.groupBy("print").agg(F.count("*").alias("rows")), "print")
+    marked = join_on_hot_key(rows, written(per_text, "terms_of_texts"), "print", "rows", F.col("doc_id"))
     names = F.array_join(F.transform("terms", lambda t: t["term"]), "|")
     pattern = F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}])(?:"), names, F.lit(r")(?![\p{L}\p{N}])"))
     base = base_spans(F.col("text"))
