@@ -138,9 +138,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
     if dims == 0:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     blocks = written(_packed(usable, BLOCK_ROWS, dims), "vector_blocks")
-    asked = _packed(usable.where(is_query(F.col("vec_id"))).distinct().coalesce(8), QUERY_ROWS, dims)
+    asked = written(usable.where(is_query(F.col("vec_id"))).distinct(), "queries")
     asked_at = fresh_path(spark, "query_blocks")
-    asked.write.parquet(asked_at)
+    _packed(asked.repartition(1 + asked.count() // QUERY_ROWS), QUERY_ROWS, dims).write.parquet(asked_at)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(asked_at)
@@ -162,5 +162,6 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
         return pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in out]))
 
     found = blocks.select("ids", "vecs").repartition(max(1, min(20_000, blocks.count()))).mapInArrow(search, "query_id long, vec_id long, score long")
+    short_batches(spark, 4)  # an index block is a row of some MB
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
