@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import components, lines, minhash, pii, shared, topk, url_rules, warc
 
@@ -20,7 +21,7 @@ def docs(spark, texts):
     return spark.createDataFrame([(i, t, "x", 1, 7, 3) for i, t in enumerate(texts)], DOCS)
 
 
-@pytest.fixture(params=[100_000, 0], ids=["broadcast", "salted"])
+@pytest.fixture(params=[100_000, 2], ids=["broadcast", "by_key"])
 def join_way(request, monkeypatch):
     """Both ways of joining to a small side."""
     for module in (shared, pii, url_rules):
@@ -29,6 +30,18 @@ def join_way(request, monkeypatch):
     monkeypatch.setattr(lines, "BROADCAST_LINES", request.param)
 
 
+@pytest.mark.parametrize("bound", [100, 3, 0])
+def test_join_on_hot_key(spark, monkeypatch, bound):
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", bound)
+    keys = ["hot"] * 500 + ["b"] * 3 + ["c", "absent", None]
+    big = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i long")
+    small = spark.createDataFrame([("hot", 500, 1, None), ("b", 3, 2, "x"), ("c", 1, 3, "y"), ("d", 0, 4, "z"), ("e", 0, 5, "z")], "k string, n long, v int, w string")
+    out = shared.join_on_hot_key(big, small, "k", "n", F.col("i"))
+    assert out.columns == ["k", "i", "v", "w"]
+    want = {"hot": (1, None), "b": (2, "x"), "c": (3, "y")}
+    assert sorted(map(str, out.collect())) == sorted(f"Row(k={k!r}, i={i}, v={want.get(k, (None, None))[0]}, w={want.get(k, (None, None))[1]!r})" for i, k in enumerate(keys))
+
+
 # -- url rules --------------------------------------------------------------------------
 def brute_parts(url):
     if url is None or "://" not in url:
