@@ -181,6 +181,15 @@ def test_regimes_are_recovered():
     assert (again.mu == regime.fit(y).mu).all() and again.loglik == regime.fit(y).loglik
 
 
+def test_one_start_equals_the_batch():
+    _, y, x = chain(300)
+    z, rng = np.column_stack([np.ones(300), x]), np.random.default_rng(1)
+    mu, sigma, beta = rng.normal(size=(1, 2)), np.array([[1.0, 2.5]]), rng.normal(size=(1, 2, 2))
+    one = regime._expect(y, z, mu, sigma, beta)
+    two = regime._expect(y, z, *(np.concatenate([v, v]) for v in (mu, sigma, beta)))
+    assert all(np.allclose(a[0], b[1]) for a, b in zip(one, two, strict=True))
+
+
 @pytest.mark.parametrize("bad", [np.ones(300), np.random.default_rng(1).normal(size=100), np.array([np.nan] * 300), np.zeros((300, 2))])
 def test_refused_series(bad):
     with pytest.raises(regime.FitError):

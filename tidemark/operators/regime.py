@@ -10,6 +10,7 @@ numpy and runs inside grouped tasks, one series a task.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
 import numpy as np
 
@@ -69,6 +70,9 @@ def _expect(y, z, mu, sigma, beta):
     p0 = _p0(beta, z)
     stay = p0[:, 0]
     first = stay[:, 1] / np.maximum(1 - stay[:, 0] + stay[:, 1], 1e-12)
+    if s == 1:
+        kept, smooth, joint, loglik = _expect_one(p0[0], dens[0], float(first[0]))
+        return kept[None], smooth[None], joint[None], np.array([loglik]), p0
     ahead, kept = np.empty((s, n, 2)), np.empty((s, n, 2))
     loglik, f = np.zeros(s), np.stack([first, 1 - first], axis=1)
     for t in range(n):
@@ -89,6 +93,30 @@ def _expect(y, z, mu, sigma, beta):
     return kept, smooth, joint, loglik, p0
 
 
+def _expect_one(p0: np.ndarray, dens: np.ndarray, first: float):
+    """The same recursions for one start, on plain floats: for two states they beat arrays tenfold."""
+    q0, q1, d0, d1 = *p0.T.tolist(), *dens.T.tolist()
+    n, loglik, ahead0, kept0 = len(q0), 0.0, [first], []
+    f0 = 0.0
+    for t in range(n):
+        if t:
+            ahead0.append(q0[t] * f0 + q1[t] * (1 - f0))
+        a, b = ahead0[t] * d0[t], (1 - ahead0[t]) * d1[t]
+        f0 = a / (a + b)
+        kept0.append(f0)
+        loglik += log(a + b)
+    g, smooth0, joint = kept0[-1], [0.0] * n, [(0.0,) * 4] * n
+    for t in range(n - 1, 0, -1):
+        smooth0[t] = g
+        k, u, v = kept0[t - 1], g / max(ahead0[t], 1e-300), (1 - g) / max(1 - ahead0[t], 1e-300)
+        row = (q0[t] * k * u, q1[t] * (1 - k) * u, (1 - q0[t]) * k * v, (1 - q1[t]) * (1 - k) * v)
+        joint[t] = row
+        g = row[0] + row[2]
+    smooth0[0] = g
+    both = lambda x: np.column_stack([x, 1 - np.asarray(x)])
+    return both(kept0), both(smooth0), np.asarray(joint).reshape(n, 2, 2), loglik
+
+
 def _maximise(y, z, smooth, joint, beta, floor):
     w = smooth.sum(axis=1) + 1e-12
     mu = (smooth * y[None, :, None]).sum(axis=1) / w
