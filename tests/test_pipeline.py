@@ -40,10 +40,12 @@ def store(spark, tmp_path_factory):
         bars += [(ticker, 1e6, c, c, c, c, c, int(pd.Timestamp(d, tz="America/New_York").timestamp() * 1000), 5, "r") for d, c in zip(days, close.tolist(), strict=True)]
     raw = spark.createDataFrame(bars, f"ticker string, {medallion.BAR}, request_id string")
     s.upsert(TABLES["bronze.prices_raw"], medallion.raw_prices(raw, AT))
+    for build in (medallion.build_prices, medallion.build_news, medallion.build_features):
+        build(s)
     return s
 
 
-def test_silver_and_features(spark, store):
+def test_silver_and_features(spark, store):  # built once more: the same rows
     assert medallion.build_prices(store) == store.read(TABLES["bronze.prices_raw"]).count()
     assert medallion.build_news(store) == 4
     news = {r["doc_id"]: r for r in store.read(TABLES["silver.news_articles"]).collect()}
@@ -69,6 +71,7 @@ def test_windows_and_recent(spark, store):
 
 
 def test_forecasts_tools_and_history(spark, store):
+    medallion.refresh_recent(store, date(2026, 8, 11), 90)
     cfg = Settings(min_obs=200, paths=300, starts=4)
     assert medallion.fit_models(store, cfg, AT) >= 2
     assert medallion.fit_models(store, cfg, AT) >= 2  # again: the same keys
