@@ -304,3 +304,25 @@ def test_search(spark):
     assert [r["doc_id"] for r in search.bm25(docs, ["chip"]).orderBy(F.desc("score")).collect()] == [2, 1]
     assert [r["doc_id"] for r in search.nearest(vectors, [1.0, 0.1], 10).collect()] == [1, 3, 2]
     assert search.hybrid(docs, vectors, "chip", [1.0, 0.0], k=2).count() == 2 and search.clamp_k(99) == 20
+
+
+# -- registered settings ----------------------------------------------------------------
+def test_backtest_and_fits_are_registered_whole(spark, monkeypatch):
+    from tidemark.plans import catalog
+
+    seen = {}
+    monkeypatch.setattr(catalog, "damped", lambda spark, sf: None)
+    monkeypatch.setattr(catalog.fc, "backtest", lambda f, arms=("news_markov", "markov", "gbm"), n_weeks=26, cfg=None: seen.setdefault("backtest", []).append((arms, n_weeks, cfg.paths, cfg.starts)))
+    monkeypatch.setattr(catalog.fc, "production", lambda f, arms=("news_markov",), cfg=None: seen.setdefault("production", []).append((arms, cfg.paths, cfg.starts)))
+    for q in (catalog.m14, catalog.m11, catalog.m15):
+        q(spark, "")
+    every = ("news_markov", "markov", "gbm")
+    assert seen == {"backtest": [(every, 26, 5_000, 20)], "production": [(every, 5_000, 20), (("news_markov",), 5_000, 20)]}
+
+
+def test_backtest_windows_are_tasks_of_their_own(spark):
+    days = exchange.sessions(date(2025, 1, 2), date(2025, 12, 31))[:60]
+    rows = [(t, d, 100.0 + i % 7, 0.01 * (i % 5 - 2) if i else None, 0.0) for t in "AB" for i, d in enumerate(days)]
+    f = spark.createDataFrame(rows, "ticker string, trade_date date, close double, log_return double, news_sentiment_3d double")
+    out = forecasts.backtest(f, ("gbm",), 5, simulate.Settings(min_obs=20, paths=50))
+    assert out.count() == 10 and out.select(F.spark_partition_id()).distinct().count() > 4

@@ -550,19 +550,19 @@ def m18(spark, sf):
 @query("m11_simulate")
 def m11(spark, sf):
     from tidemark.operators.simulate import Settings
-    return fc.production(damped(spark, sf), ("gbm",), Settings(min_obs=100))
+    return fc.production(damped(spark, sf), ("news_markov", "markov", "gbm"), Settings(min_obs=100))
 
 
 @query("m15_production_fit")
 def m15(spark, sf):
     from tidemark.operators.simulate import Settings
-    return fc.production(damped(spark, sf), ("news_markov",), Settings(min_obs=100, starts=8))
+    return fc.production(damped(spark, sf), ("news_markov",), Settings(min_obs=100))
 
 
 @query("m14_backtest")
 def m14(spark, sf):
     from tidemark.operators.simulate import Settings
-    return fc.backtest(damped(spark, sf), ("markov", "gbm"), 2, Settings(min_obs=100, paths=500, starts=4))
+    return fc.backtest(damped(spark, sf), cfg=Settings(min_obs=100))
 
 
 # -- retrieval and serving --------------------------------------------------------------

@@ -10,6 +10,8 @@ from tidemark.functions import numeric as num
 from tidemark.operators import simulate
 from tidemark.operators.features import indexed, weekly_origins
 
+#: Partitions over which the windows of a backtest are spread.
+TASKS = 200
 _OUT = ("model string, model_used string, fallback_reason string, n_obs long, p10 double, p50 double, p90 double, prob_positive double, prob_drop_5pct double, "
         "prob_low_vol double, prob_high_vol double, sigma_low double, sigma_high double, mu_low double, mu_high double, converged boolean")
 FORECAST = f"ticker string, as_of_date date, current_price double, {_OUT}"
@@ -55,6 +57,8 @@ def backtest(features: DataFrame, arms: tuple[str, ...] = ("news_markov", "marko
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return _frame([r | {"ticker": key[0], "origin_date": key[1], "realized_return": key[2]} for r in _rows(pdf, arms, cfg)], SCORED)
 
+    # by a given number, or the few bytes of all windows would be put into one task
+    windows = windows.repartition(TASKS, "ticker", "origin_date")
     made = windows.groupBy("ticker", "origin_date", "realized_return").applyInPandas(run, SCORED)
     return scored(made)
 
