@@ -365,5 +365,25 @@ def test_disclosing_terms_against_counts(spark, join_way):
     assert "[EMAIL]" in clean[80] and "orblatt" not in clean[80] and clean[0] == texts[0]
 
 
+def test_terms_that_are_parts_of_an_entity(spark):
+    """A name beside an address that holds it gives the address away; within the address it is no term."""
+    texts = [f"n{k % 7}ord n{k % 11}oun filler {k}" for k in range(80)] + [f"Schmidt Ann n{k}ord ann.schmidt@x.org and mail {k}" for k in range(4)]
+    judged = pii.sanitise(docs(spark, texts))
+    out = {r["doc_id"]: r for r in pii.digest(judged).collect()}
+    spans = [s.split(":") for s in out[80]["spans"].split(",") if s.startswith("term")]
+    assert [texts[80][int(a):int(e)] for _, a, e in spans] == ["Schmidt", "Ann", "and", "mail"]
+    clean = {r["doc_id"]: r["text"] for r in pii.clean_text(judged).collect()}
+    assert "chmidt" not in clean[80] and "[EMAIL]" in clean[80]
+
+
+def test_outside_keeps_the_places(spark):
+    text = "é a@b.cd +1 555 123 4567 😀 x 4111 1111 1111 1111 tail"
+    span = lambda a, e: (a, e, text[a:e])
+    frame = spark.createDataFrame([(text, [span(30, 49), span(2, 8), span(4, 8), span(9, 24)])], "text string, s array<struct<start:bigint,end:bigint,value:string>>")
+    got = frame.select(pii.outside(F.col("text"), F.col("s"))).first()[0]
+    gone = {*range(30, 49), *range(2, 8), *range(9, 24)}
+    assert got == "".join(" " if i in gone else c for i, c in enumerate(text))
+
+
 def test_personal_data_empty(spark):
     assert pii.digest(pii.sanitise(docs(spark, ["a"]).limit(0))).count() == 0

@@ -6,7 +6,7 @@ DataFrame functions alone: a text split by a pattern and the pattern's matches g
 places as running sums.
 
 Each distinct value found is a protected entity.  Over all distinct texts, a term t (a word
-of at least MIN_CHARS letters or digits, lower-cased) has n_t documents, an entity e has n_e
+outside the base spans of at least MIN_CHARS letters or digits, lower-cased) has n_t documents, an entity e has n_e
 and both together n_te.  Their pointwise mutual information log2(N n_te / (n_t n_e)) is
 compared with what the entity itself carries, log2(N / n_e): a term discloses an entity if it
 gives at least ``disclosure`` of that, and at least MIN_DOCS distinct texts hold both.  In
@@ -131,11 +131,31 @@ def values_of(kinds: tuple[str, ...] = KINDS) -> Column:
 
 
 def terms_of(text: Column) -> Column:
-    """Distinct lower-cased terms of a text, without the characters of e-mail addresses and numbers."""
+    """Distinct lower-cased terms of a text that aren't numbers."""
     words = F.split(F.translate(text, UPPER, LOWER), r"[^\p{L}\p{N}]+")
     return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= MIN_CHARS) & ~w.rlike("^[0-9]+$")))
 
 
+def outside(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans (start, end, value); all other places stay the same."""
+    def step(acc: Column, m: Column) -> Column:
+        gap = F.greatest(m["start"] - acc["at"], F.lit(0))
+        blank = F.greatest(m["end"] - F.greatest(acc["at"], m["start"]), F.lit(0))
+        kept = F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), gap.cast("int")), F.repeat(F.lit(" "), blank.cast("int")))
+        return F.struct(F.greatest(acc["at"], m["end"]).alias("at"), kept.alias("out"))
+
+    def blanked(ordered: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+        return F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.length(text))))
+
+    return let(F.array_sort(spans), lambda ordered: F.when(F.size(ordered) > 0, blanked(ordered)).otherwise(text))
+
+
+def context(text: Column) -> Column:
+    """The text without its base spans: an entity's own parts are no context of it."""
+    return outside(text, F.concat(*base_spans(text).values()))
+
+
 def text_print(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
@@ -156,15 +176,14 @@ def disclosing(docs: DataFrame, spans: DataFrame, disclosure: float, min_docs: i
     copies = written(spans.groupBy("print").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
     keyed = docs.select(text_print(text).alias("print"), text.alias("text"))
     keyed = join_on_hot_key(keyed.withColumn("at", F.monotonically_increasing_id()), copies.withColumn("rows", F.col("copies")), "print", "rows", F.col("at")).select("print", "text", (1.0 / F.coalesce("copies", F.lit(1))).alias("share"))
-    # an entity's own parts are no context of it
-    own = keyed.join(F.broadcast(often) if n_prints <= BROADCAST_ROWS else often, "print").select("share", "entities", F.explode(terms_of(F.col("text"))).alias("term")).select("share", "term", F.explode("entities").alias("e")).select("share", "term", "e.*")
-    together = own.where(~F.contains("entity", "term")).groupBy("entity", "term", "n_e").agg(F.round(F.sum("share")).cast("long").alias("n_te")).where(F.col("n_te") >= min_docs)
+    own = keyed.join(F.broadcast(often) if n_prints <= BROADCAST_ROWS else often, "print").select("share", "entities", F.explode(terms_of(context(F.col("text")))).alias("term")).select("share", "term", F.explode("entities").alias("e")).select("share", "term", "e.*")
+    together = own.groupBy("entity", "term", "n_e").agg(F.round(F.sum("share")).cast("long").alias("n_te")).where(F.col("n_te") >= min_docs)
     together = written(together, "terms_with_entities")
     terms = together.select("term").distinct()
     n_terms = terms.limit(BROADCAST_ROWS + 1).count()
     if n_terms == 0:
         return none
-    said = keyed.select("share", F.explode(terms_of(F.col("text"))).alias("term"))
+    said = keyed.select("share", F.explode(terms_of(context(F.col("text")))).alias("term"))
     if n_terms <= BROADCAST_ROWS:
         said = said.join(F.broadcast(terms), "term", "left_semi")
     n_t = said.groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t"))
@@ -187,7 +206,7 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MI
     names = F.array_join(F.transform("terms", lambda t: t["term"]), "|")
     pattern = F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}])(?:"), names, F.lit(r")(?![\p{L}\p{N}])"))
     base = base_spans(F.col("text"))
-    terms = F.when(F.col("terms").isNotNull(), places(F.col("text"), F.coalesce(pattern, F.lit("(?!)")))).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
+    terms = F.when(F.col("terms").isNotNull(), places(context(F.col("text")), F.coalesce(pattern, F.lit("(?!)")))).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
     return marked.select("doc_id", "text", *[c.alias(k) for k, c in base.items()], terms.alias(TERM), "terms")
 
 
