@@ -376,6 +376,15 @@ def test_terms_that_are_parts_of_an_entity(spark):
     assert "chmidt" not in clean[80] and "[EMAIL]" in clean[80]
 
 
+def test_entities_of_one_text_have_terms(spark):
+    texts = [f"n{k % 7}ord n{k % 11}oun filler {k}" for k in range(600)] + ["n1ord filler zorblatt one@x.org", "n2ord filler quuxling two@x.org"]
+    frame = docs(spark, texts)
+    out = {r["doc_id"]: r for r in pii.digest(pii.sanitise(frame)).collect()}
+    told = [[texts[i][int(a):int(e)] for k, a, e in (s.split(":") for s in out[i]["spans"].split(",")) if k == "term"] for i in (600, 601)]
+    assert told == [["zorblatt"], ["quuxling"]] and out[0]["spans"] == ""
+    assert [tuple(r) for r in pii.coverage(frame).collect()] == [("email", 2, 2)]
+
+
 def test_outside_keeps_the_places(spark):
     text = "é a@b.cd +1 555 123 4567 😀 x 4111 1111 1111 1111 tail"
     span = lambda a, e: (a, e, text[a:e])

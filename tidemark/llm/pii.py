@@ -9,8 +9,11 @@ Each distinct value found is a protected entity.  Over all distinct texts, a ter
 outside the base spans of at least MIN_CHARS letters or digits, lower-cased) has n_t documents, an entity e has n_e
 and both together n_te.  Their pointwise mutual information log2(N n_te / (n_t n_e)) is
 compared with what the entity itself carries, log2(N / n_e): a term discloses an entity if it
-gives at least ``disclosure`` of that, and at least MIN_DOCS distinct texts hold both.  In
-the documents of that entity such a term is removed if it gives all (within 1 %), else generalised.
+gives at least ``disclosure`` of that.  If fewer than MIN_DOCS distinct texts hold both, n_te is
+replaced by its lower bound (the mean of which so many are met in a share TRUST of all cases), so
+that an entity of one text has terms too: the rarest ones of a corpus large enough (280 texts) to
+tell chance from context.  In the documents of that entity such a term is removed if it gives
+all (within 1 %), else generalised; a bound never gives all.
 Copies of one text count as one document, since they say nothing new.
 
 Patterns are written so that the engine neither recurses nor starts inside a run it has
@@ -23,6 +26,8 @@ are judged each; other columns are ignored; empty tables give empty results.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +42,8 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 #: A term is a run of letters and digits of at least so many characters.
 MIN_CHARS, MIN_DOCS, DISCLOSURE = 3, 3, 0.6
+#: Fewer texts than MIN_DOCS count as the mean of which so many are met in this share of cases.
+TRUST = 0.1
 #: Elements that one step of a running sum copies.
 CHUNK = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -115,10 +122,11 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def found(docs: DataFrame) -> DataFrame:
-    """_row, doc_id, print (of the text), and a column of spans for each kind; the text only in ``docs``."""
+    """doc_id, print (of the text), a column of spans for each kind, terms of texts that have some; the text only in ``docs``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("doc_id", text_print(F.col("text")).alias("print"), *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    return spans
+    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("doc_id", "text", text_print(F.col("text")).alias("print"), *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
+    every = F.concat(*KINDS)
+    return spans.select("doc_id", "print", *KINDS, F.when(F.size(every) > 0, terms_of(outside(F.col("text"), every))).alias("terms"))
 
 
 def values_of(kinds: tuple[str, ...] = KINDS) -> Column:
@@ -160,48 +168,87 @@ def text_print(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def disclosing(docs: DataFrame, spans: DataFrame, disclosure: float, min_docs: int) -> DataFrame:
-    """entity, term, whole (the term gives all that the entity carries).
+def least_mean(n: int) -> float:
+    """The mean of a Poisson count below which n or more are met in less than one of ten cases."""
+    low, high = 0.0, float(n)
+    for _ in range(60):
+        mean = (low + high) / 2
+        less = math.exp(-mean) * sum(mean ** k / math.factorial(k) for k in range(n))
+        low, high = (low, mean) if 1 - less >= TRUST else (mean, high)
+    return low
+
+
+def sure(n_te: Column, min_docs: int) -> Column:
+    """The count of texts that PMI is taken from: from ``min_docs`` on the count, below it its lower bound."""
+    return F.element_at(F.array(*[F.lit(least_mean(n)) for n in range(1, max(min_docs, 2))]), F.least(n_te, F.lit(max(min_docs - 1, 1))).cast("int")) if min_docs > 1 else n_te.cast("double")
+
+
+def disclosing(docs: DataFrame, spans: DataFrame, disclosure: float, min_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(alone, shared): print, term, whole for the entities that one distinct text holds (each of its
+    terms meets each of them once, so one row serves all); entity, term, whole for the others.
 
     A row counts 1 / (copies of its text), so that a text counts once, however many rows hold it,
-    and terms are summed up where they are read: no pair of text and term is ever shuffled."""
-    none = docs.sparkSession.createDataFrame([], "entity string, term string, whole boolean")
-    entities = written(spans.where(F.size(values_of()) > 0).select("print", F.explode(values_of()).alias("entity")).distinct(), "entities")
-    counts = entities.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_docs)
-    often = written(entities.join(counts, "entity").groupBy("print").agg(F.collect_list(F.struct("entity", "n_e")).alias("entities")), "repeated_entities")
-    n_prints = often.limit(BROADCAST_ROWS + 1).count()
-    if n_prints == 0:
+    and terms of all texts are summed up where they are read.  Only terms rare enough to disclose
+    anything are paired with entities."""
+    spark = docs.sparkSession
+    none = spark.createDataFrame([], "print binary, term string, whole boolean"), spark.createDataFrame([], "entity string, term string, whole boolean")
+    holding = spans.where(F.size(values_of()) > 0)
+    entities = written(holding.select("print", F.explode(values_of()).alias("entity")).distinct(), "entities")
+    counts = written(entities.groupBy("entity").agg(F.count("*").alias("n_e")).withColumn("rows", F.col("n_e")), "entity_counts")
+    most = counts.agg(F.max("n_e")).first()[0]
+    if most is None:
         return none
+    counted = join_on_hot_key(entities, counts, "entity", "rows", F.xxhash64("print"))
+    of_text = written(counted.groupBy("print").agg(F.max(F.col("n_e") == 1).alias("alone"), F.collect_list(F.when(F.col("n_e") > 1, F.struct("entity", "n_e"))).alias("entities")), "entities_of_texts")
+    total = float(spans.select("print").distinct().count())
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     copies = written(spans.groupBy("print").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
     keyed = docs.select(text_print(text).alias("print"), text.alias("text"))
     keyed = join_on_hot_key(keyed.withColumn("at", F.monotonically_increasing_id()), copies.withColumn("rows", F.col("copies")), "print", "rows", F.col("at")).select("print", "text", (1.0 / F.coalesce("copies", F.lit(1))).alias("share"))
-    own = keyed.join(F.broadcast(often) if n_prints <= BROADCAST_ROWS else often, "print").select("share", "entities", F.explode(terms_of(context(F.col("text")))).alias("term")).select("share", "term", F.explode("entities").alias("e")).select("share", "term", "e.*")
-    together = own.groupBy("entity", "term", "n_e").agg(F.round(F.sum("share")).cast("long").alias("n_te")).where(F.col("n_te") >= min_docs)
-    together = written(together, "terms_with_entities")
-    terms = together.select("term").distinct()
-    n_terms = terms.limit(BROADCAST_ROWS + 1).count()
-    if n_terms == 0:
-        return none
+    own = written(holding.select("print", "terms").dropDuplicates(["print"]).select("print", F.explode("terms").alias("term")), "terms_of_holding")
+    terms = own.select("term").distinct()
     said = keyed.select("share", F.explode(terms_of(context(F.col("text")))).alias("term"))
-    if n_terms <= BROADCAST_ROWS:
+    if terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         said = said.join(F.broadcast(terms), "term", "left_semi")
-    n_t = said.groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t"))
-    total = F.lit(float(spans.select("print").distinct().count()))
-    carried = F.log2(total / F.col("n_e"))
-    given = F.log2(total * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    return together.join(n_t, "term").where((carried > 0) & (given >= disclosure * carried)).select("entity", "term", (given >= 0.99 * carried).alias("whole"))
+    n_t = written(said.groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t")).withColumn("rows", F.col("n_t")), "term_counts")
+
+    def may(n_e: Column) -> Column:
+        """No term of more texts can give ``disclosure`` of an entity of n_e texts, since both are together in n_e at most."""
+        return F.col("n_t") <= (total ** (1 - disclosure)) * F.pow(n_e.cast("double"), F.lit(disclosure)) * (1 + 1e-9)
+
+    def judged(pairs: DataFrame, key: str) -> DataFrame:
+        carried = F.log2(F.lit(total) / F.col("n_e"))
+        n_te = F.when(F.col("n_te") >= min_docs, F.col("n_te").cast("double")).otherwise(sure(F.col("n_te"), min_docs))
+        given = F.log2(F.lit(total) * n_te / (F.col("n_t") * F.col("n_e")))
+        return pairs.where((carried > 0) & (given >= disclosure * carried)).select(key, "term", (given >= 0.99 * carried).alias("whole"))
+
+    rare = join_on_hot_key(own, n_t, "term", "rows", F.xxhash64("print")).where(may(F.lit(most)))
+    marked = rare.join(of_text, "print")
+    alone = marked.where("alone").select("print", "term", "n_t", F.lit(1).alias("n_e"), F.lit(1).alias("n_te"))
+    shared = marked.select("term", "n_t", F.explode("entities").alias("e")).select("term", "n_t", "e.*").where(may(F.col("n_e"))).groupBy("entity", "term", "n_e", "n_t").agg(F.count("*").alias("n_te"))
+    return judged(alone, "print"), judged(shared, "entity")
+
+
+def coverage(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
+    """kind, n_entities, n_with_terms (entities that a term discloses)."""
+    spans = written(found(docs), "spans")
+    alone, shared = disclosing(docs, spans, disclosure, min_docs)
+    held = spans.select("print", F.explode(values_of()).alias("entity")).distinct()
+    once = held.groupBy("entity").agg(F.count("*").alias("n_e"), F.first("print").alias("print")).join(alone.select("print", F.lit(True).alias("told")).distinct(), "print", "left")
+    every = once.join(shared.select("entity", F.lit(True).alias("told_shared")).distinct(), "entity", "left")
+    told = ((F.col("n_e") == 1) & F.coalesce("told", F.lit(False))) | F.coalesce("told_shared", F.lit(False))
+    return every.groupBy(F.substring_index("entity", ":", 1).alias("kind")).agg(F.count("*").alias("n_entities"), F.sum(told.cast("long")).alias("n_with_terms"))
 
 
 def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, the kinds' spans, the spans of disclosing terms (with whole), and the text without them."""
     spans = written(found(docs), "spans")
-    rules = disclosing(docs, spans, disclosure, min_docs)
-    rules = written(rules, "disclosing_terms")
+    alone, shared = disclosing(docs, spans, disclosure, min_docs)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("print", text_print(F.col("text")))
     holding = spans.where(F.size(values_of()) > 0)
-    per_text = holding.select("print", F.explode(values_of()).alias("entity")).distinct().join(rules, "entity").groupBy("print", "term").agg(F.max("whole").alias("whole")).groupBy("print").agg(F.array_sort(F.collect_list(F.struct("term", "whole"))).alias("terms")).join(holding.groupBy("print").agg(F.count("*").alias("rows")), "print")
+    told = holding.select("print", F.explode(values_of()).alias("entity")).distinct().join(written(shared, "disclosing_terms"), "entity").select("print", "term", "whole").unionByName(alone)
+    per_text = told.groupBy("print", "term").agg(F.max("whole").alias("whole")).groupBy("print").agg(F.array_sort(F.collect_list(F.struct("term", "whole"))).alias("terms")).join(holding.groupBy("print").agg(F.count("*").alias("rows")), "print")
     marked = join_on_hot_key(rows, written(per_text, "terms_of_texts"), "print", "rows", F.col("doc_id"))
     names = F.array_join(F.transform("terms", lambda t: t["term"]), "|")
     pattern = F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}])(?:"), names, F.lit(r")(?![\p{L}\p{N}])"))
