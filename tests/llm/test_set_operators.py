@@ -24,7 +24,7 @@ def docs(spark, texts):
 @pytest.fixture(params=[100_000, 2], ids=["broadcast", "by_key"])
 def join_way(request, monkeypatch):
     """Both ways of joining to a small side."""
-    for module in (shared, pii, url_rules):
+    for module in (shared, url_rules):
         monkeypatch.setattr(module, "BROADCAST_ROWS", request.param)
     monkeypatch.setattr(minhash, "BROADCAST_IDS", request.param)
     monkeypatch.setattr(lines, "BROADCAST_LINES", request.param)

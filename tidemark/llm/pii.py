@@ -6,32 +6,41 @@ DataFrame functions alone: a text split by a pattern and the pattern's matches g
 places as running sums.
 
 Each distinct value found is a protected entity.  Over all distinct texts, a term t (a word
-outside the base spans of at least MIN_CHARS letters or digits, lower-cased) has n_t documents, an entity e has n_e
-and both together n_te.  Their pointwise mutual information log2(N n_te / (n_t n_e)) is
-compared with what the entity itself carries, log2(N / n_e): a term discloses an entity if it
-gives at least ``disclosure`` of that.  If fewer than MIN_DOCS distinct texts hold both, n_te is
-replaced by its lower bound (the mean of which so many are met in a share TRUST of all cases), so
-that an entity of one text has terms too: the rarest ones of a corpus large enough (280 texts) to
-tell chance from context.  In the documents of that entity such a term is removed if it gives
-all (within 1 %), else generalised; a bound never gives all.
-Copies of one text count as one document, since they say nothing new.
+outside the base spans of at least MIN_CHARS letters, marks or digits, lower-cased, not a number) has
+n_t documents, an entity e has n_e and both together n_te.  Their pointwise mutual information
+log2(N n_te / (n_t n_e)) is compared with what the entity itself carries, log2(N / n_e): a term
+discloses an entity if it gives at least ``disclosure`` of that.  If fewer than MIN_DOCS distinct
+texts hold both, n_te is replaced by its lower bound (the mean of which so many are met in a share
+TRUST of all cases), so that an entity of one text has terms too: the rarest ones of a corpus large
+enough (280 texts) to tell chance from context.  Copies of one text count as one document, since
+they say nothing new.  Entities met in the same texts have the same counts, so they are one class,
+and pairs are (class, term): a text's own entities are one class however many they are.
+
+A disclosing term is removed from the documents of its entity if it gives all (within 1 %; a lower
+bound never gives all).  Otherwise it is generalised: the terms that begin with a prefix are a
+concept wider than each of them, met in at least as many documents as the most frequent of them.
+The term becomes its longest prefix (PREFIX to LONGEST characters) so frequent that it can't disclose any
+entity of the text, however the two go together; a term without such a prefix is removed.
 
 Patterns are written so that the engine neither recurses nor starts inside a run it has
 tried (possessive groups; a match starts where the last one ended or off such a run), which
 changes no match.
 
-Edge cases: a null text is the empty text; rows without doc_id are judged too; repeated rows
-are judged each; other columns are ignored; empty tables give empty results.
+Edge cases: a null text is the empty text; very long texts are handled in time linear in their
+length (spans by running sums in two levels, replacements cut from UTF-32 bytes); rows without
+doc_id are judged too; repeated rows are judged each; a term with several entities takes the
+strictest treatment; other columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, join_on_hot_key, written
+from .shared import fits, join_on_hot_key, written
 
 #: Patterns of the base kinds, in the order in which kinds are listed.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -44,8 +53,11 @@ TERM = "term"
 MIN_CHARS, MIN_DOCS, DISCLOSURE = 3, 3, 0.6
 #: Fewer texts than MIN_DOCS count as the mean of which so many are met in this share of cases.
 TRUST = 0.1
+#: Characters of the prefixes that stand for wider concepts.
+PREFIX, LONGEST = 3, 24
 #: Elements that one step of a running sum copies.
 CHUNK = 256
+SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,20 +66,23 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def running(sizes: Column) -> Column:
-    """Sums before each element, in two levels, so that long arrays aren't copied for each element."""
-    def sums(xs: Column) -> Column:
-        return F.aggregate(xs, F.array(F.lit(0).cast("long")), lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
+def running(values: Column, combine) -> Column:
+    """What ``combine`` (associative, 0 its neutral element) makes of the values before each element,
+    in two levels, so that long arrays aren't copied for each element."""
+    zero = F.lit(0).cast("long")
+
+    def prefixes(xs: Column) -> Column:
+        return F.aggregate(xs, F.array(zero), lambda acc, x: F.array_append(acc, combine(F.element_at(acc, -1), x)))
 
     def chunked(xs: Column) -> Column:
         steps = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / CHUNK).cast("int"))
         return F.when(F.size(xs) > 0, F.transform(steps, lambda k: F.slice(xs, k * CHUNK + 1, F.lit(CHUNK)))).otherwise(F.array().cast("array<array<bigint>>"))
 
     def shifted(chunks: Column) -> Column:
-        whole = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x))
-        return let(sums(whole), lambda bases: F.flatten(F.transform(chunks, lambda c, k: F.transform(F.slice(sums(c), F.lit(1), F.size(c)), lambda x: x + F.get(bases, k)))))
+        whole = F.transform(chunks, lambda c: F.aggregate(c, zero, combine))
+        return let(prefixes(whole), lambda bases: F.flatten(F.transform(chunks, lambda c, k: F.transform(F.slice(prefixes(c), F.lit(1), F.size(c)), lambda x: combine(x, F.get(bases, k))))))
 
-    return let(sizes, lambda xs: let(chunked(xs), shifted))
+    return let(values, lambda xs: let(chunked(xs), shifted))
 
 
 def places(text: Column, pattern: Column | str) -> Column:
@@ -80,7 +95,7 @@ def places(text: Column, pattern: Column | str) -> Column:
         return F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("value"), F.length(g).cast("long").alias("gap"), (F.length(g) + F.length(m)).cast("long").alias("step")))
 
     def placed(steps: Column) -> Column:
-        before = running(F.transform(steps, lambda x: x["step"]))
+        before = running(F.transform(steps, lambda x: x["step"]), lambda a, x: a + x)
         return F.zip_with(steps, before, lambda x, b: F.struct((b + x["gap"]).alias("start"), (b + x["step"]).alias("end"), x["value"].alias("value")))
 
     return let(F.regexp_extract_all(text, regex, F.lit(0)), lambda found: let(measured(found), placed))
@@ -113,7 +128,7 @@ def valid(kind: str, x: Column) -> Column:
 def base_spans(text: Column) -> dict[str, Column]:
     """kind -> array of (start, end, value), checked."""
     may = {"email": F.contains(text, F.lit("@")), "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(r"[0-9][\x20-]?[0-9]"), "phone": text.rlike(r"\+[0-9]")}
-    none = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
+    none = F.array().cast(SPANS)
 
     def checked(kind: str, pattern: str) -> Column:
         return F.when(may[kind], F.filter(places(text, pattern), lambda m: valid(kind, m["value"]))).otherwise(none)
@@ -121,12 +136,21 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {k: checked(k, p) for k, p in zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True)}
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """doc_id, print (of the text), a column of spans for each kind, terms of texts that have some; the text only in ``docs``."""
+def spans_of(docs: DataFrame) -> DataFrame:
+    """doc_id, text, print (of the text), a column of spans for each kind."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("doc_id", "text", text_print(F.col("text")).alias("print"), *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    every = F.concat(*KINDS)
-    return spans.select("doc_id", "print", *KINDS, F.when(F.size(every) > 0, terms_of(outside(F.col("text"), every))).alias("terms"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    return rows.select("doc_id", "text", text_print(F.col("text")).alias("print"), *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
+
+
+def only(spans: DataFrame, holding: bool) -> DataFrame:
+    """The rows that hold a base span, or the others.  (A generator, unlike a filter, isn't pushed
+    below the spans, which would then be found twice.)"""
+    def asked(row: Column) -> Column:
+        n = sum((F.size(row[k]) for k in KINDS), F.lit(0))
+        return n > 0 if holding else n == 0
+
+    return spans.select(F.inline(F.filter(F.array(F.struct(*spans.columns)), asked)))
 
 
 def values_of(kinds: tuple[str, ...] = KINDS) -> Column:
@@ -138,30 +162,43 @@ def values_of(kinds: tuple[str, ...] = KINDS) -> Column:
     return F.array_distinct(F.concat(*[one(k) for k in kinds]))
 
 
-def terms_of(text: Column) -> Column:
-    """Distinct lower-cased terms of a text that aren't numbers."""
-    words = F.split(F.translate(text, UPPER, LOWER), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= MIN_CHARS) & ~w.rlike("^[0-9]+$")))
+def is_term(word: Column) -> Column:
+    """Long enough and not a number.  (Only words up to ":" can begin with a digit.)"""
+    return (F.length(word) >= MIN_CHARS) & ((word >= ":") | ~word.rlike("^[0-9]+$"))
 
 
-def outside(text: Column, spans: Column) -> Column:
-    """The text with blanks in place of the spans (start, end, value); all other places stay the same."""
-    def step(acc: Column, m: Column) -> Column:
-        gap = F.greatest(m["start"] - acc["at"], F.lit(0))
-        blank = F.greatest(m["end"] - F.greatest(acc["at"], m["start"]), F.lit(0))
-        kept = F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), gap.cast("int")), F.repeat(F.lit(" "), blank.cast("int")))
-        return F.struct(F.greatest(acc["at"], m["end"]).alias("at"), kept.alias("out"))
+def words_of(text: Column) -> Column:
+    """Distinct lower-cased words of a text, of which ``is_term`` keeps the terms."""
+    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"))
 
-    def blanked(ordered: Column) -> Column:
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-        return F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.length(text))))
 
-    return let(F.array_sort(spans), lambda ordered: F.when(F.size(ordered) > 0, blanked(ordered)).otherwise(text))
+def rebuilt(text: Column, cuts: Column, put) -> Column:
+    """The text with ``put(cut, covered)`` in place of what each cut (start, end, ...) takes away, where
+    ``covered`` is the largest end of the cuts before it.  Pieces are cut from UTF-32 bytes, whose
+    places need no counting."""
+    def piece(raw: Column, start: Column, size: Column) -> Column:
+        return F.decode(F.substr(raw, (start * 4 + 1).cast("int"), (size * 4).cast("int")), "UTF-32")
 
+    def built(raw: Column, ordered: Column, covered: Column) -> Column:
+        parts = F.zip_with(ordered, covered, lambda m, b: F.concat(F.when(m["start"] > b, piece(raw, b, m["start"] - b)).otherwise(F.lit("")), put(m, b)))
+        last = F.array_max(F.transform(ordered, lambda m: m["end"]))
+        return F.concat(F.array_join(parts, ""), piece(raw, last, F.greatest(F.length(text).cast("long") - last, F.lit(0))))
+
+    def whole(ordered: Column) -> Column:
+        covered = running(F.transform(ordered, lambda m: m["end"]), lambda a, x: F.greatest(a, x))
+        return F.when(F.size(ordered) > 0, let(F.encode(text, "UTF-32"), lambda raw: let(covered, lambda c: built(raw, ordered, c)))).otherwise(text)
+
+    return let(F.array_sort(cuts), whole)
+
+
+def outside(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans (start, end, value); all other places stay the same."""
+    return rebuilt(text, spans, lambda m, b: F.repeat(F.lit(" "), F.greatest(m["end"] - F.greatest(b, m["start"]), F.lit(0)).cast("int")))
 
-def context(text: Column) -> Column:
-    """The text without its base spans: an entity's own parts are no context of it."""
-    return outside(text, F.concat(*base_spans(text).values()))
+
+def terms_at(text: Column) -> Column:
+    """Array of (start, end, value) of a text's terms, as they stand."""
+    return F.filter(places(text, r"[\p{L}\p{M}\p{N}]+"), lambda m: is_term(m["value"]))
 
 
 def text_print(text: Column) -> Column:
@@ -183,78 +220,106 @@ def sure(n_te: Column, min_docs: int) -> Column:
     return F.element_at(F.array(*[F.lit(least_mean(n)) for n in range(1, max(min_docs, 2))]), F.least(n_te, F.lit(max(min_docs - 1, 1))).cast("int")) if min_docs > 1 else n_te.cast("double")
 
 
-def disclosing(docs: DataFrame, spans: DataFrame, disclosure: float, min_docs: int) -> tuple[DataFrame, DataFrame]:
-    """(alone, shared): print, term, whole for the entities that one distinct text holds (each of its
-    terms meets each of them once, so one row serves all); entity, term, whole for the others.
-
-    A row counts 1 / (copies of its text), so that a text counts once, however many rows hold it,
-    and terms of all texts are summed up where they are read.  Only terms rare enough to disclose
-    anything are paired with entities."""
-    spark = docs.sparkSession
-    none = spark.createDataFrame([], "print binary, term string, whole boolean"), spark.createDataFrame([], "entity string, term string, whole boolean")
-    holding = spans.where(F.size(values_of()) > 0)
-    entities = written(holding.select("print", F.explode(values_of()).alias("entity")).distinct(), "entities")
-    counts = written(entities.groupBy("entity").agg(F.count("*").alias("n_e")).withColumn("rows", F.col("n_e")), "entity_counts")
-    most = counts.agg(F.max("n_e")).first()[0]
-    if most is None:
-        return none
-    counted = join_on_hot_key(entities, counts, "entity", "rows", F.xxhash64("print"))
-    of_text = written(counted.groupBy("print").agg(F.max(F.col("n_e") == 1).alias("alone"), F.collect_list(F.when(F.col("n_e") > 1, F.struct("entity", "n_e"))).alias("entities")), "entities_of_texts")
-    total = float(spans.select("print").distinct().count())
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    copies = written(spans.groupBy("print").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
-    keyed = docs.select(text_print(text).alias("print"), text.alias("text"))
-    keyed = join_on_hot_key(keyed.withColumn("at", F.monotonically_increasing_id()), copies.withColumn("rows", F.col("copies")), "print", "rows", F.col("at")).select("print", "text", (1.0 / F.coalesce("copies", F.lit(1))).alias("share"))
-    own = written(holding.select("print", "terms").dropDuplicates(["print"]).select("print", F.explode("terms").alias("term")), "terms_of_holding")
-    terms = own.select("term").distinct()
-    said = keyed.select("share", F.explode(terms_of(context(F.col("text")))).alias("term"))
-    if terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        said = said.join(F.broadcast(terms), "term", "left_semi")
-    n_t = written(said.groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t")).withColumn("rows", F.col("n_t")), "term_counts")
-
-    def may(n_e: Column) -> Column:
+@dataclass(frozen=True)
+class Disclosure:
+    """holders: print, text, kinds, tokens (places of the terms outside base spans) of every distinct text
+    that holds an entity.  classes: entity, class (n_e and a print of the set of its texts).  told: print,
+    class, term, whole, most (the largest n_e among the text's entities).  counts: term, n_t.  total: distinct texts."""
+
+    holders: DataFrame
+    copies: DataFrame
+    classes: DataFrame
+    told: DataFrame
+    counts: DataFrame
+    total: int
+    disclosure: float
+
+    def may(self, n_t: Column, n_e: Column) -> Column:
         """No term of more texts can give ``disclosure`` of an entity of n_e texts, since both are together in n_e at most."""
-        return F.col("n_t") <= (total ** (1 - disclosure)) * F.pow(n_e.cast("double"), F.lit(disclosure)) * (1 + 1e-9)
+        return n_t <= (float(self.total) ** (1 - self.disclosure)) * F.pow(n_e.cast("double"), F.lit(self.disclosure)) * (1 + 1e-9)
+
 
-    def judged(pairs: DataFrame, key: str) -> DataFrame:
-        carried = F.log2(F.lit(total) / F.col("n_e"))
-        n_te = F.when(F.col("n_te") >= min_docs, F.col("n_te").cast("double")).otherwise(sure(F.col("n_te"), min_docs))
-        given = F.log2(F.lit(total) * n_te / (F.col("n_t") * F.col("n_e")))
-        return pairs.where((carried > 0) & (given >= disclosure * carried)).select(key, "term", (given >= 0.99 * carried).alias("whole"))
+def disclosing(docs: DataFrame, spans: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> Disclosure:
+    """Which terms disclose which entities of which texts.
 
-    rare = join_on_hot_key(own, n_t, "term", "rows", F.xxhash64("print")).where(may(F.lit(most)))
-    marked = rare.join(of_text, "print")
-    alone = marked.where("alone").select("print", "term", "n_t", F.lit(1).alias("n_e"), F.lit(1).alias("n_te"))
-    shared = marked.select("term", "n_t", F.explode("entities").alias("e")).select("term", "n_t", "e.*").where(may(F.col("n_e"))).groupBy("entity", "term", "n_e", "n_t").agg(F.count("*").alias("n_te"))
-    return judged(alone, "print"), judged(shared, "entity")
+    A row counts 1 / (copies of its text), so that a text counts once, however many rows hold it, and
+    terms of all texts are summed up where they are read.  Only terms rare enough to disclose anything
+    are paired with classes."""
+    lower = lambda m: F.lower(m["value"])
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    prints = written(docs.groupBy(text_print(text).alias("print")).agg(F.count("*").alias("copies")), "texts")
+    total = prints.count()
+    copies = prints.where("copies > 1").withColumn("rows", F.col("copies"))
+    held = only(spans, True).drop("doc_id").dropDuplicates(["print"])
+    holders = written(held.withColumn("tokens", F.explode(F.array(outside(F.col("text"), F.concat(*KINDS))))).withColumn("tokens", terms_at(F.col("tokens"))), "holders")
+
+    entities = holders.select("print", F.explode(values_of()).alias("entity"))
+    same = [F.bit_xor(F.xxhash64("print", F.lit(k))).alias(f"texts{k}") for k in (1, 2)]
+    classes = written(entities.groupBy("entity").agg(F.count("*").alias("n_e"), *same).select("entity", F.struct("n_e", "texts1", "texts2").alias("class")), "entity_classes")
+    most = classes.agg(F.max("class.n_e")).first()[0] or 0
+    of_text = join_on_hot_key(entities, classes.withColumn("rows", F.col("class.n_e")), "entity", "rows", F.col("print"))
+    of_text = written(of_text.groupBy("print").agg(F.collect_set("class").alias("classes")), "classes_of_texts")
+
+    # a holder's terms inside its base spans alone don't count
+    inside = holders.select(F.explode(F.array_except(words_of(F.col("text")), F.transform("tokens", lower))).alias("term"), F.lit(-1.0).alias("share"))
+    bags = join_on_hot_key(docs.select(text_print(text).alias("print"), words_of(text).alias("terms")), copies, "print", "rows", F.monotonically_increasing_id())
+    said = bags.select(F.explode("terms").alias("term"), (1.0 / F.coalesce("copies", F.lit(1))).alias("share"))
+    counts = written(said.unionByName(inside).where(is_term(F.col("term"))).groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t")).where("n_t > 0"), "term_counts")
+    out = Disclosure(holders, copies, classes, None, counts, total, disclosure)
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        n_t, n_e, n_te = F.col("n_t"), F.col("class.n_e"), F.col("n_te")
+        n_te = F.when(n_te >= min_docs, n_te.cast("double")).otherwise(sure(n_te, min_docs))
+        carried, given = F.log2(F.lit(float(total)) / n_e), F.log2(F.lit(float(total)) * n_te / (n_t * n_e))
+        return pairs.withColumn("whole", given >= 0.99 * carried).where((carried > 0) & (given >= disclosure * carried))
+
+    own = holders.select("print", F.explode(F.array_distinct(F.transform("tokens", lower))).alias("term"))
+    rare = join_on_hot_key(own, counts.withColumn("rows", F.col("n_t")), "term", "rows", F.col("print"), "inner").where(out.may(F.col("n_t"), F.lit(most)))
+    largest = F.array_max(F.transform("classes", lambda c: c["n_e"]))
+    pairs = rare.join(of_text, "print").select("print", "term", "n_t", largest.alias("most"), F.explode("classes").alias("class"))
+    pairs = written(pairs.where(out.may(F.col("n_t"), F.col("class.n_e"))), "class_terms")
+    alone = judged(pairs.where("class.n_e = 1").withColumn("n_te", F.lit(1).cast("long"))).select("print", "class", "term", "whole", "most")
+    several = pairs.where("class.n_e > 1").withColumn("key", F.struct("class", "term"))
+    shared = written(judged(several.groupBy("key", "class", "n_t").agg(F.count("*").alias("n_te"))).select("key", "whole", "n_te"), "shared_terms")
+    met = join_on_hot_key(several, shared, "key", "n_te", F.col("print"), "inner").select("print", "class", "term", "whole", "most")
+    return replace(out, told=written(alone.unionByName(met), "told_terms"))
+
+
+def treated(found: Disclosure) -> DataFrame:
+    """print, term, to: what becomes of each disclosing term of a text, a prefix and * or nothing."""
+    told = found.told.groupBy("print", "term").agg(F.max("whole").alias("whole"), F.max("most").alias("most"))
+    starts = lambda longest: F.explode(F.transform(F.sequence(F.lit(PREFIX), longest), lambda n: F.substr("term", F.lit(1), n)))
+    longest = lambda less: F.least(F.length("term") - less, F.lit(LONGEST))
+    common = found.counts.where(~found.may(F.col("n_t"), F.lit(1))).where(F.length("term") >= PREFIX)
+    wide = common.select("n_t", starts(longest(0)).alias("start")).groupBy("start").agg(F.max("n_t").alias("n_p"))
+    asked = told.where(~F.col("whole") & (F.length("term") > PREFIX)).select("term", "most").distinct()
+    fit = asked.select("term", "most", starts(longest(1)).alias("start")).join(wide, "start").where(~found.may(F.col("n_p"), F.col("most")))
+    wider = fit.groupBy("term", "most").agg(F.max_by("start", F.length("start")).alias("start"))
+    return told.join(wider, ["term", "most"], "left").select("print", "term", F.when(F.col("whole") | F.col("start").isNull(), "").otherwise(F.concat("start", F.lit("*"))).alias("to"))
 
 
 def coverage(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
     """kind, n_entities, n_with_terms (entities that a term discloses)."""
-    spans = written(found(docs), "spans")
-    alone, shared = disclosing(docs, spans, disclosure, min_docs)
-    held = spans.select("print", F.explode(values_of()).alias("entity")).distinct()
-    once = held.groupBy("entity").agg(F.count("*").alias("n_e"), F.first("print").alias("print")).join(alone.select("print", F.lit(True).alias("told")).distinct(), "print", "left")
-    every = once.join(shared.select("entity", F.lit(True).alias("told_shared")).distinct(), "entity", "left")
-    told = ((F.col("n_e") == 1) & F.coalesce("told", F.lit(False))) | F.coalesce("told_shared", F.lit(False))
-    return every.groupBy(F.substring_index("entity", ":", 1).alias("kind")).agg(F.count("*").alias("n_entities"), F.sum(told.cast("long")).alias("n_with_terms"))
+    found = disclosing(docs, spans_of(docs), disclosure, min_docs)
+    told = found.told.select("class").distinct().withColumn("told", F.lit(1).cast("long"))
+    each = found.classes.join(told, "class", "left").select(F.substring_index("entity", ":", 1).alias("kind"), F.coalesce("told", F.lit(0).cast("long")).alias("told"))
+    return each.groupBy("kind").agg(F.count("*").alias("n_entities"), F.sum("told").alias("n_with_terms"))
 
 
 def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, the kinds' spans, the spans of disclosing terms (with whole), and the text without them."""
-    spans = written(found(docs), "spans")
-    alone, shared = disclosing(docs, spans, disclosure, min_docs)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("print", text_print(F.col("text")))
-    holding = spans.where(F.size(values_of()) > 0)
-    told = holding.select("print", F.explode(values_of()).alias("entity")).distinct().join(written(shared, "disclosing_terms"), "entity").select("print", "term", "whole").unionByName(alone)
-    per_text = told.groupBy("print", "term").agg(F.max("whole").alias("whole")).groupBy("print").agg(F.array_sort(F.collect_list(F.struct("term", "whole"))).alias("terms")).join(holding.groupBy("print").agg(F.count("*").alias("rows")), "print")
-    marked = join_on_hot_key(rows, written(per_text, "terms_of_texts"), "print", "rows", F.col("doc_id"))
-    names = F.array_join(F.transform("terms", lambda t: t["term"]), "|")
-    pattern = F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}])(?:"), names, F.lit(r")(?![\p{L}\p{N}])"))
-    base = base_spans(F.col("text"))
-    terms = F.when(F.col("terms").isNotNull(), places(context(F.col("text")), F.coalesce(pattern, F.lit("(?!)")))).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,value:string>>"))
-    return marked.select("doc_id", "text", *[c.alias(k) for k, c in base.items()], terms.alias(TERM), "terms")
+    """doc_id, text, the kinds' spans, and the spans of disclosing terms with what becomes of them (to)."""
+    spans = spans_of(docs)
+    found = disclosing(docs, spans, disclosure, min_docs)
+    at = found.holders.select("print", F.explode("tokens").alias("m")).withColumn("term", F.lower("m.value"))
+    per_text = at.join(treated(found), ["print", "term"]).groupBy("print").agg(F.array_sort(F.collect_list(F.struct("m.start", "m.end", "m.value", "to"))).alias(TERM))
+    weighed = written(per_text.join(found.copies.select("print", "rows"), "print", "left").withColumn("rows", F.coalesce("rows", F.lit(1))), "terms_of_texts")
+    none = F.array().cast("array<struct<start:bigint,end:bigint,value:string,to:string>>")
+    if fits(weighed):
+        every = spans.join(F.broadcast(weighed), "print", "left")
+    else:  # texts without entities needn't move
+        marked = join_on_hot_key(only(spans, True), weighed, "print", "rows", F.monotonically_increasing_id())
+        every = marked.unionByName(only(spans, False).withColumn(TERM, none))
+    return every.select("doc_id", "text", *KINDS, F.coalesce(TERM, none).alias(TERM))
 
 
 def joined(kinds: tuple[str, ...]) -> Column:
@@ -265,22 +330,18 @@ def joined(kinds: tuple[str, ...]) -> Column:
     return F.array_join(F.concat(*[named(k) for k in kinds]), ",")
 
 
-def digest(judged: DataFrame) -> DataFrame:
-    """The columns of the query."""
-    return judged.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS], F.sha2(joined(KINDS), 256).alias("base_sha256"), joined((*KINDS, TERM)).alias("spans"))
+def cleaned() -> Column:
+    """The text with base values replaced by their kind's name, disclosing terms removed or generalised."""
+    to = lambda kind: F.transform(kind, lambda m: F.struct(m["start"], m["end"], F.lit(f"[{kind.upper()}]").alias("to")))
+    cuts = F.concat(*map(to, KINDS), F.transform(TERM, lambda m: F.struct(m["start"], m["end"], m["to"])))
+    return rebuilt(F.col("text"), cuts, lambda m, b: F.when(m["start"] >= b, m["to"]).otherwise(F.lit("")))
 
 
 def clean_text(judged: DataFrame) -> DataFrame:
-    """doc_id, text with base values replaced by their kind's name, disclosing terms removed or generalised."""
-    def masked(text: Column, kind: str) -> Column:
-        return F.aggregate(F.col(kind), text, lambda t, m: F.replace(t, m["value"], F.lit(f"[{kind.upper()}]")))
-
-    text = F.col("text")
-    for kind in KINDS:
-        text = masked(text, kind)
-    removed = F.transform(F.filter("terms", lambda t: t["whole"]), lambda t: t["term"])
-    wider = F.transform(F.filter("terms", lambda t: ~t["whole"]), lambda t: t["term"])
-    for names, to in ((removed, ""), (wider, "[TERM]")):
-        pattern = F.concat(F.lit(r"(?i)(?<![\p{L}\p{N}\[])(?:"), F.array_join(names, "|"), F.lit(r")(?![\p{L}\p{N}\]])"))
-        text = F.when(F.size(names) > 0, F.regexp_replace(text, pattern, F.lit(to))).otherwise(text)
-    return judged.select("doc_id", text.alias("text"))
+    """doc_id, the sanitised text."""
+    return judged.select("doc_id", cleaned().alias("text"))
+
+
+def digest(judged: DataFrame) -> DataFrame:
+    """The columns of the query, and the sanitised text."""
+    return judged.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS], F.sha2(joined(KINDS), 256).alias("base_sha256"), joined((*KINDS, TERM)).alias("spans"), cleaned().alias("sanitised"))

@@ -1,4 +1,4 @@
-"""What the corpus operators share: the shared folder, written tables, salted joins.
+"""What the corpus operators share: the shared folder, written tables, bounded broadcasts, salted joins.
 
 Recovery: intermediate results are written as Parquet to the folder that the
 cluster names in ``spark.checkpoint.dir``, so a lost executor costs its running
@@ -10,61 +10,113 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
-#: Rows of a batch that goes to a Python worker.  Texts may be long, so a batch is short.
+#: Rows that a Python worker works on at once.  Spark bounds the bytes of a batch, this bounds what is made of them.
 BATCH_ROWS = 512
-#: A side of a join is broadcast only when it has been counted and is at most this long.
-BROADCAST_ROWS = 100_000
+#: A side of a join is broadcast only when it has been measured and has at most so many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
+#: Keys of a join that hold more than 1 / HOT_KEYS of all rows are split.
+HOT_KEYS = 10_000
+
+_scopes: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder of ``spark.checkpoint.dir``.  Where that is unset, a temporary one, but only for a
+    local master: executors of a cluster don't share the driver's disk."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", uuid.uuid4().hex)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/tidemark/{uuid.uuid4().hex}/{name}"
+    """A path nobody has used, below the innermost scope or else the application's own folder."""
+    base = _scopes[-1] if _scopes else f"{shared_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    return f"{base}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What is written inside goes at the end; results must have been written elsewhere or collected by then."""
+    folder = fresh_path(spark, "scope")
+    _scopes.append(folder)
+    try:
+        yield
+    finally:
+        _scopes.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_to(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_to(df, fresh_path(df.sparkSession, name))
 
 
-def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of an Arrow batch, and by it the memory of a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, without copying."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def join_on_hot_key(big: DataFrame, small: DataFrame, key: str, weight: str, salt_by: Column) -> DataFrame:
-    """Left join of ``big`` to ``small`` (unique by ``key``) where one key may hold a third of ``big``.
+def _bytes(value: Column, kind: DataType) -> Column:
+    if isinstance(kind, StringType | BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 16
+    if isinstance(kind, StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(16).cast("long"))
+    if isinstance(kind, ArrayType):
+        return F.aggregate(F.coalesce(value, F.array().cast(kind)), F.lit(16).cast("long"), lambda n, x: n + _bytes(x, kind.elementType))
+    return F.lit(8).cast("long")
+
+
+def fits(df: DataFrame) -> bool:
+    """Whether a (written) frame is small enough, in rows and in bytes, to be broadcast."""
+    of = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_bytes(of, df.schema)), F.lit(0))).first()
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def join_on_hot_key(big: DataFrame, small: DataFrame, key: str, weight: str, salt_by: Column, how: str = "left") -> DataFrame:
+    """Join of ``big`` to ``small`` (unique by ``key``) where one key may hold a third of ``big``.
 
     ``weight`` is a column of ``small``: how many rows of ``big`` have the key; it isn't returned.
-    A small side of at most BROADCAST_ROWS counted rows is broadcast.  Of a longer one, the keys
-    heavier than the total weight over BROADCAST_ROWS are broadcast (there can't be more than
-    BROADCAST_ROWS of them); their rows are spread by ``salt_by``, all others meet by key.
+    A small side that fits is broadcast.  Beyond that, a key with more than 1 / HOT_KEYS of the
+    total weight is split into parts of about that size: its row in ``small`` comes once for each,
+    its rows in ``big`` are dealt by ``salt_by``.  Only the hot keys' hashes and numbers of parts
+    are broadcast, at most HOT_KEYS of 16 bytes.
     """
-    rest = [c for c in small.columns if c not in (key, weight)]
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small.drop(weight)), key, "left")
-    total = small.agg(F.sum(weight)).first()[0]
-    hot = F.col(weight) > total // max(1, BROADCAST_ROWS)
-    heavy = small.where(hot).select(key, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in rest])
-    light = small.where(~hot).select(key, F.lit(0).cast("long").alias("_salt"), *rest)
-    marked = big.join(F.broadcast(heavy), key, "left").withColumn("_salt", F.when(F.col("_hot"), 1 + F.pmod(F.xxhash64(salt_by), F.lit(1000))).otherwise(F.lit(0)).cast("long"))
-    joined = marked.join(light, [key, "_salt"], "left")
-    return joined.select(*big.columns, *[F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in rest])
+    if fits(small):
+        return big.join(F.broadcast(small.drop(weight)), key, how)
+    total = small.agg(F.sum(weight)).first()[0] or 0
+    part = max(1, total // HOT_KEYS)
+    hot = small.where(F.col(weight) > part).groupBy(F.xxhash64(key).alias("_hash")).agg(F.max(F.ceil(F.col(weight) / part)).cast("long").alias("_parts"))
+    hot = F.broadcast(hot)
+    dealt = big.withColumn("_hash", F.xxhash64(key)).join(hot, "_hash", "left").withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.coalesce("_parts", F.lit(1).cast("long"))))
+    repeated = small.drop(weight).withColumn("_hash", F.xxhash64(key)).join(hot, "_hash", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1).cast("long")) - 1)))
+    joined = dealt.drop("_hash", "_parts").join(repeated.drop("_hash", "_parts"), [key, "_salt"], how)
+    return joined.drop("_salt").select(*big.columns, *[c for c in small.columns if c not in (key, weight)])
+
+
+def short_batches(spark, rows=512):
+    pass
