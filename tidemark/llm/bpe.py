@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import short_batches
+from .shared import sliced
 
 #: White space as the library's regex engine has it (Unicode White_Space).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -78,13 +78,12 @@ def decode(enc, ids: np.ndarray) -> bytes:
 
 
 def _each(docs: DataFrame, ranks_path: str, pattern: str, build, schema: str) -> DataFrame:
-    short_batches(docs.sparkSession)
     loaded: list = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not loaded:
             loaded.append(load(ranks_path, pattern))
-        for batch in batches:
+        for batch in sliced(batches):
             yield build(loaded[0], batch)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
@@ -119,7 +118,6 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Documents with their text encoded and decoded again; a text that doesn't come back is an error."""
-    short_batches(docs.sparkSession)
     loaded: list = []
     at = docs.columns.index("text")
     schema = docs.schema
@@ -127,7 +125,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not loaded:
             loaded.append(load(ranks_path, pattern))
-        for batch in batches:
+        for batch in sliced(batches):
             texts = []
             for t in batch.column(at):
                 t = t.as_py()

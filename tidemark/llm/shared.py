@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
-#: Rows that a Python worker works on at once.  Spark bounds the bytes of a batch, this bounds what is made of them.
-BATCH_ROWS = 512
+#: Rows and bytes that a Python worker works on at once (or one row).
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 #: A side of a join is broadcast only when it has been measured and has at most so many rows and bytes.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
 #: Keys of a join that hold more than 1 / HOT_KEYS of all rows are split.
@@ -70,10 +70,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most ``rows`` rows, without copying."""
+    """The batches in parts of at most ``rows`` rows and BATCH_BYTES bytes (or one row), without copying."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        left = [batch]
+        while left:
+            part = left.pop()
+            if part.num_rows > rows or part.num_rows > 1 and part.nbytes > BATCH_BYTES:
+                half = part.num_rows // 2
+                left += [part.slice(half), part.slice(0, half)]
+            elif part.num_rows:
+                yield part
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +123,3 @@ def join_on_hot_key(big: DataFrame, small: DataFrame, key: str, weight: str, sal
     joined = dealt.drop("_hash", "_parts").join(repeated.drop("_hash", "_parts"), [key, "_salt"], how)
     return joined.drop("_salt").select(*big.columns, *[c for c in small.columns if c not in (key, weight)])
 
-
-def short_batches(spark, rows=512):
-    pass
