@@ -6,9 +6,10 @@ names of their own.  The manifest lists the packages of the attempts that ended
 a lost or repeated task leaves at most a file that nobody reads.
 
 Reading: the end-of-central-directory record, the ZIP64 locator and record where there are
-any, and the central directory give the stored members; the index gives each record's
-offset and length inside the archive member, and neighbouring records are fetched by one
-range read of at most RANGE_BYTES (or one record).
+any, and the central directory give the stored members, archives and indexes by their endings;
+an index (CDXJ) gives each record's archive, offset and length, and neighbouring records are
+fetched by one range read of at most RANGE_BYTES (or one record).  An archive that no index names
+is read record by record, STEP bytes at a time.
 
 Of records with equal payloads of at least ``least`` bytes, the one with the smallest
 page_id is a response and the others revisit it.
@@ -16,7 +17,8 @@ page_id is a response and the others revisit it.
 Edge cases: a null html is an empty payload; rows that share the smallest page_id of equal
 payloads are all responses; a row without page_id revisits the smallest page_id if there
 is one, else it is a response; smaller payloads are all responses; an empty table gives
-an empty result; other columns are ignored.
+an empty result; very long payloads are a range of their own, and a worker holds one record of them at
+a time; of tied page_ids see above; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,9 +26,11 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
@@ -34,12 +38,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh_path, join_on_hot_key, short_batches, written
+from .shared import fresh_path, join_on_hot_key, sliced, written
 
 #: A package is closed at so many records or payload bytes, so that index and read-out have a bound.
 ROLL_RECORDS, ROLL_BYTES = 4096, 256 << 20
 RANGE_BYTES = 4 << 20
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+#: Endings of the members that are archives and indexes.
+ARCHIVES, INDEXES = (".warc.gz", ".warc"), (".cdxj", ".cdx")
+#: Bytes of a member that are read at once where there is no index.
+STEP = 1 << 20
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 #: Signatures and sizes of the ZIP format (fixed values).
@@ -83,7 +91,7 @@ class Package:
     def add(self, page_id, url, payload: bytes, digest: str, refers_to) -> None:
         raw = gzip.compress(record_bytes(page_id, url, payload, digest, refers_to), 1, mtime=0)
         self.data.write(raw)
-        self.lines.append(json.dumps({"page": page_id, "offset": self.at, "length": len(raw), "digest": digest}))
+        self.lines.append("- 19700101000000 " + json.dumps({"url": url, "filename": ARCHIVE.rpartition("/")[2], "offset": self.at, "length": len(raw), "digest": f"sha256:{digest}", "page": page_id}))
         self.at += len(raw)
         self.payload += len(payload)
 
@@ -95,7 +103,7 @@ class Package:
 
 def directory(f, size: int) -> dict[str, tuple[int, int, int]]:
     """name -> (method, offset of the local header, stored length), from the central directory alone."""
-    tail_at = max(0, size - 65_557)
+    tail_at = max(0, size - 65_557 - 20)  # the longest comment, and the locator before the record
     f.seek(tail_at)
     tail = f.read(size - tail_at)
     at = tail.rfind(EOCD)
@@ -144,24 +152,68 @@ def stored_at(f, member: tuple[int, int, int]) -> tuple[int, int]:
     return local + 30 + n_name + n_extra, length
 
 
+def _entries(text: str) -> Iterator[dict]:
+    """The JSON parts of CDXJ lines; offsets and lengths may be strings."""
+    for line in text.split("\n"):
+        at = line.find("{")
+        if at >= 0:
+            e = json.loads(line[at:])
+            yield e | {"offset": int(e["offset"]), "length": int(e["length"])}
+
+
+def _page(headers: dict[str, str]) -> int | None:
+    """The page a record was written for; null for records of other writers."""
+    named = re.fullmatch(r"<urn:page:(-?\d+)>", headers.get("warc-record-id", ""))
+    return int(named[1]) if named else None
+
+
+def _plain(raw: bytes) -> bytes:
+    return gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+
+
+def _unindexed(f, base: int, size: int) -> Iterator[bytes]:
+    """The uncompressed records of an archive of one gzip member each, in order."""
+    at, step, held = 0, zlib.decompressobj(31), []
+    while at < size:
+        f.seek(base + at)
+        raw = f.read(min(STEP, size - at))
+        at += len(raw)
+        while raw:
+            held.append(step.decompress(raw))
+            raw = step.unused_data
+            if step.eof:
+                yield b"".join(held)
+                step, held = zlib.decompressobj(31), []
+
+
 def read_package(f, size: int) -> Iterator[tuple[dict, dict[str, str], bytes]]:
-    """(index entry, headers, payload) of every record, by range reads."""
+    """(index entry, headers, payload) of every record, by range reads.  Members are found by the directory alone."""
     members = directory(f, size)
-    at, n = stored_at(f, members[INDEX])
-    f.seek(at)
-    entries = [json.loads(x) for x in f.read(n).decode("utf-8").split("\n") if x]
-    base, _ = stored_at(f, members[ARCHIVE])
-    k = 0
-    while k < len(entries):
-        first, end, upto = entries[k]["offset"], entries[k]["offset"] + entries[k]["length"], k + 1
-        while upto < len(entries) and entries[upto]["offset"] == end and end + entries[upto]["length"] - first <= RANGE_BYTES:
-            end += entries[upto]["length"]
-            upto += 1
-        f.seek(base + first)
-        raw = f.read(end - first)
-        for e in entries[k:upto]:
-            yield e, *parse_record(gzip.decompress(raw[e["offset"] - first:e["offset"] - first + e["length"]]))
-        k = upto
+    archives = {name: stored_at(f, m) for name, m in members.items() if name.endswith(ARCHIVES)}
+    by_file = {name.rpartition("/")[2]: name for name in archives}
+    listed: dict[str, list[dict]] = {}
+    for name in (n for n in members if n.endswith(INDEXES)):
+        at, n = stored_at(f, members[name])
+        f.seek(at)
+        for e in _entries(f.read(n).decode("utf-8")):
+            file = e.get("filename", "").rpartition("/")[2]
+            listed.setdefault(by_file.get(file) or next(iter(archives), ""), []).append(e)
+    for name, (base, length) in archives.items():
+        if name not in listed:
+            for raw in _unindexed(f, base, length):
+                yield {}, *parse_record(raw)
+            continue
+        entries, k = sorted(listed[name], key=lambda e: e["offset"]), 0
+        while k < len(entries):
+            first, end, upto = entries[k]["offset"], entries[k]["offset"] + entries[k]["length"], k + 1
+            while upto < len(entries) and entries[upto]["offset"] == end and end + entries[upto]["length"] - first <= RANGE_BYTES:
+                end += entries[upto]["length"]
+                upto += 1
+            f.seek(base + first)
+            raw = f.read(end - first)
+            for e in entries[k:upto]:
+                yield e, *parse_record(_plain(raw[e["offset"] - first:e["offset"] - first + e["length"]]))
+            k = upto
 
 
 def write(pages: DataFrame, least: int = 100) -> DataFrame:
@@ -169,7 +221,6 @@ def write(pages: DataFrame, least: int = 100) -> DataFrame:
     from pyarrow import fs
 
     spark = pages.sparkSession
-    short_batches(spark)
     root = fresh_path(spark, "packages")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = pages.withColumn("digest", F.sha2(F.col("html"), 256))
@@ -180,7 +231,7 @@ def write(pages: DataFrame, least: int = 100) -> DataFrame:
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(root)
         package = name = sink = None
-        for batch in batches:
+        for batch in sliced(batches):
             for row in batch.to_pylist():
                 if package is None:
                     store.create_dir(base, recursive=True)
@@ -212,11 +263,11 @@ def read(manifest: DataFrame) -> DataFrame:
                 store, path = fs.FileSystem.from_uri(row["path"])
                 out: dict[str, list] = {x.split()[0]: [] for x in RECORD.split(", ")}
                 with store.open_input_file(path) as f:
-                    for e, headers, payload in read_package(f, row["bytes"]):
+                    for _, headers, payload in read_package(f, row["bytes"]):
                         digest, to = headers["warc-payload-digest"].partition(":")[2], headers.get("warc-refers-to")
                         if to is None and hashlib.sha256(payload).hexdigest() != digest:
                             raise ValueError(f"{row['path']}: a payload doesn't fit its digest")
-                        out["page_id"].append(e["page"])
+                        out["page_id"].append(_page(headers))
                         out["payload_bytes"].append(len(payload) if to is None else int(headers["x-payload-length"]))
                         out["payload_digest"].append(digest)
                         out["record_type"].append(headers["warc-type"])
