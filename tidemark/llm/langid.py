@@ -11,13 +11,14 @@ labelled documents of all languages, so that the chain sees changes of language
 their places are known.  Prediction runs forward-backward over every whole text; a
 document's language has the largest share of its posterior mass, words weighted by length.
 
-The training sample is bounded: about PER_LANGUAGE documents a language, drawn by hash from
-all labelled documents of at most SAMPLE_CHARS characters.
+The training sample is bounded: about PER_LANGUAGE distinct documents of each of the LANGUAGES most
+frequent values of lang, drawn by hash from all labelled documents; of each, STRETCHES stretches at most, drawn
+from all over its text.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and so is every
 text if there are no labelled documents; rows with a null lang or doc_id train nothing;
 repeated rows are judged each; equal shares go to the first language in order of name;
-other columns are ignored.
+very long texts are scored by pieces of bounded size, as one chain; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import short_batches
+from .shared import sliced
 
-PER_LANGUAGE, SAMPLE_CHARS = 120, 20_000
+PER_LANGUAGE, LANGUAGES, STRETCHES = 120, 256, 64
 BITS, PASSES, RATE, DECAY = 16, 25, 0.5, 1e-6
 STRETCH, SEQUENCE = (4, 60), 80
 UNDECIDED = "und"
@@ -169,12 +170,15 @@ def train(sample: list[tuple[str, str]], seed: int = 20_260_810) -> dict | None:
     stretches = []
     for text, lang in sorted(sample):
         data, start, end = words_of(text)
-        at = 0
+        at, own = 0, []
         while at < len(start):
             n = int(rng.integers(*STRETCH))
             a, b = start[at], end[min(at + n, len(start)) - 1]
-            stretches.append((data[a:b], langs.index(lang), min(n, len(start) - at)))
+            own.append((data[a:b], langs.index(lang), min(n, len(start) - at)))
             at += n
+        if len(own) > STRETCHES:
+            own = [own[i] for i in rng.choice(len(own), STRETCHES, replace=False)]
+        stretches += own
     stretches = [stretches[i] for i in rng.permutation(len(stretches))]
     if not stretches:
         return None
@@ -261,25 +265,23 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict | None:
     """Train on a bounded sample of the documents that aren't held out."""
     from itertools import chain
 
-    usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id"))).where(F.length("text") <= SAMPLE_CHARS)
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("doc_id is not null and lang is not null and text is not null").where(~held_out(F.col("doc_id")))
+    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return None
     share = F.create_map(*chain.from_iterable((F.lit(k), F.lit(min(1.0, per_language / n))) for k, n in counts.items()))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000_007)) / 1_000_000_007.0
-    return train([(r["text"], r["lang"]) for r in usable.where(draw < share[F.col("lang")]).select("text", "lang").collect()])
+    return train([(r["text"], r["lang"]) for r in usable.where(draw < share[F.col("lang")]).dropDuplicates(["doc_id", "text", "lang"]).select("text", "lang").collect()])
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """The documents with lang_pred and score added (columns of these names are replaced)."""
-    spark = docs.sparkSession
-    short_batches(spark)
-    model = spark.sparkContext.broadcast(fit(docs, per_language))
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, per_language))
     plain = docs.drop("lang_pred", "score")
     at = plain.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             named, sure = predict(model.value, batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(named, pa.string()), pa.array(sure, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
