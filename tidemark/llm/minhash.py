@@ -12,7 +12,9 @@ Bands of rows_for(threshold) bins give the buckets: 32 bands of 8 at 0.85, 42 of
 3. Each representative is confirmed on full sets against the centre it met most often.
    The links' components settle a cluster of which all members come together: the usual
    case, linear in the cluster.
-4. In every other cluster the members outside its largest component are compared on full
+4. In every other cluster the members outside its largest component are confirmed against all
+   centres of their buckets.
+5. What still is outside its cluster's largest component is compared on full
    sets with all members, block by block (about BLOCK_ROWS sets a block, several tasks for
    one cluster).  A block pair returns only a spanning forest of the links it found.  So no
    link between two documents of a cluster is lost, nor are pairs ever rows.
@@ -20,6 +22,9 @@ Bands of rows_for(threshold) bins give the buckets: 32 bands of 8 at 0.85, 42 of
 A pair at the threshold misses all buckets with a probability below MISS; in a cluster that
 stars alone don't settle it is compared even then.
 
+Buckets, centres and clusters may hold any share of the rows: joins on them split hot keys, and a
+centre's members are confirmed MEMBERS at a time.
+
 Edge cases: texts that are null, empty or white space have n_shingles 0 and link with
 nothing; a text of fewer words than a shingle has one, its whole sequence; repeated rows of
 one doc_id have equal sets and get equal results; rows without doc_id stay by themselves
@@ -37,12 +42,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import join_on_hot_key, short_batches, written
+from .shared import fits, join_on_hot_key, sliced, written
 
 SLOTS, MOST_ROWS, MISS = 256, 8, 1e-4
 BLOCK_ROWS, BLOCK_HASHES = 192, 400_000
-#: Ids that may be broadcast, 8 bytes each.
-BROADCAST_IDS = 1_000_000
+#: Members of a centre that one task confirms.
+MEMBERS = 512
 #: Bytes of text whose hashes are computed at once.
 PIECE = 1 << 20
 
@@ -138,7 +143,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 def sketches(docs: DataFrame, width: int, rows: int) -> DataFrame:
     """doc_id, n_shingles, fingerprint of the set (null if empty), bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             n, prints, bands = [], [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py(), width)
@@ -152,26 +157,27 @@ def sketches(docs: DataFrame, width: int, rows: int) -> DataFrame:
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """doc_id, hashes (bytes) of the documents named in ``ids`` (doc_id, one row each)."""
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    if fits(ids):
         ids = F.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "hashes": pa.array([shingle_set(t.as_py(), width).tobytes() for t in batch.column(1)], pa.binary())})
 
     return _texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, hashes binary")
 
 
-def _confirmed(edges: DataFrame, sets: DataFrame, percent: int, salts: int = 16) -> DataFrame:
+def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a: centre, b: member) that hold on full sets.  A centre's set comes once for each
-    salt, its members follow; a task has one centre's set in memory at a time."""
-    members = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int"))
+    salt, about MEMBERS of its members follow; a task has one centre's set in memory at a time."""
+    sizes = written(edges.groupBy("a").agg(F.count("*").alias("rows"), F.ceil(F.count("*") / MEMBERS).alias("salts")), "centres")
+    members = join_on_hot_key(edges.select("a", "b"), sizes, "a", "rows", F.col("b")).select("a", "b", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"))
     centres = members.select("a", "salt").distinct()
     rows = centres.join(sets.withColumnRenamed("doc_id", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "hashes").unionByName(members.join(sets.withColumnRenamed("doc_id", "b"), "b").select("a", "salt", "b", "hashes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, centre = None, None
-        for batch in batches:
+        for batch in sliced(batches):
             out: dict[str, list] = {"a": [], "b": []}
             for a, b, h in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 s = np.frombuffer(h, np.uint64)
@@ -218,16 +224,22 @@ def forest(left: list[np.ndarray], right: list[np.ndarray], same: bool, groups:
     return out
 
 
-def _rest(clusters: DataFrame, links: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) inside clusters that the stars didn't bring together.
+def _parts(clusters: DataFrame, links: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, cluster, part, n_shingles) of the nodes, and for each cluster of several parts its largest one
+    (main) and the numbers of blocks of the two sides.
 
     clusters: node, cluster.  links: node, label (components of confirmed links)."""
-    grouped = clusters.join(links, "node", "left").select("node", "cluster", F.coalesce("label", "node").alias("part")).join(sizes, "node")
+    grouped = written(clusters.join(links, "node", "left").select("node", "cluster", F.coalesce("label", "node").alias("part")).join(sizes, "node"), "parts")
     counted = grouped.groupBy("cluster", "part").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("hashes"))
     blocks = lambda rows, hashes: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(hashes / BLOCK_HASHES))
     whole = counted.groupBy("cluster").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "hashes", "part")).alias("m"), F.sum("rows").alias("all_rows"), F.sum("hashes").alias("all_hashes")).where("parts > 1")
-    open_ = written(whole.select("cluster", F.col("m.part").alias("main"), blocks(F.col("m.rows"), F.col("m.hashes")).alias("main_blocks"), blocks(F.col("all_rows") - F.col("m.rows"), F.col("all_hashes") - F.col("m.hashes")).alias("more_blocks")), "open_clusters")
-    placed = grouped.join(open_, "cluster").withColumn("block", F.when(F.col("part") == F.col("main"), F.pmod(F.xxhash64("node"), "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(F.xxhash64("node"), "more_blocks")))
+    open_ = written(whole.select("cluster", F.col("m.part").alias("main"), blocks(F.col("m.rows"), F.col("m.hashes")).alias("main_blocks"), blocks(F.col("all_rows") - F.col("m.rows"), F.col("all_hashes") - F.col("m.hashes")).alias("more_blocks"), F.col("all_rows").alias("rows")), "open_clusters")
+    return grouped, open_
+
+
+def _rest(grouped: DataFrame, open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside clusters that the stars didn't bring together."""
+    placed = join_on_hot_key(grouped, open_, "cluster", "rows", F.col("node"), "inner").withColumn("block", F.when(F.col("part") == F.col("main"), F.pmod(F.xxhash64("node"), "main_blocks")).otherwise(F.col("main_blocks") + F.pmod(F.xxhash64("node"), "more_blocks")))
     held = written(placed.join(sets.withColumnRenamed("doc_id", "node"), "node").groupBy("cluster", "block").agg(F.collect_list(F.struct("node", "part", "hashes")).alias("x")), "set_blocks")
     pairs = open_.select("cluster", F.expr("explode(sequence(main_blocks, main_blocks + more_blocks - 1))").alias("j")).select("cluster", "j", F.expr("explode(sequence(0L, j))").alias("i"))
     pairs = pairs.join(held.select("cluster", F.col("block").alias("i"), F.col("x").alias("xi")), ["cluster", "i"]).join(held.select("cluster", F.col("block").alias("j"), F.col("x").alias("xj")), ["cluster", "j"]).select("i", "j", "xi", "xj")
@@ -240,37 +252,40 @@ def _rest(clusters: DataFrame, links: DataFrame, sizes: DataFrame, sets: DataFra
                 found = forest(*sets_of, batch.column(0)[k].as_py() == batch.column(1)[k].as_py(), ([r["part"] for r in xi], [r["part"] for r in xj]), percent)
                 yield pa.RecordBatch.from_pydict({"a": [xi[i]["node"] for i, _ in found], "b": [xj[j]["node"] for _, j in found]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    spark = clusters.sparkSession
-    short_batches(spark, 4)
     return written(pairs.mapInArrow(run, "a long, b long"), "rest_links")
 
 
 def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that repeat another of their group.  Only the ids that go are joined."""
     gone = written(near_duplicates(docs, width, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_repeated_id")).distinct(), "repeated_documents")
-    if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    if fits(gone):
         gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_repeated_id"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept.  Links: 100 * intersection >= percent * union."""
-    spark = docs.sparkSession
-    short_batches(spark)
     drawn = written(sketches(docs, width, rows_for(percent)), "sketches")
     by_set = written(drawn.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets")
     reps = drawn.where("print is not null").join(by_set.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
     entries = reps.select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "bucket"))
-    by_bucket = entries.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", "band")).alias("centre")).where("n > 1").drop("n")
-    met = written(entries.join(by_bucket, ["band", "bucket"]).where("rep <> centre").groupBy(F.col("centre").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("votes")), "stars")
+    entries = entries.select("rep", F.xxhash64("band", "bucket").alias("bucket"), "band")
+    by_bucket = written(entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", "band")).alias("centre")).where("n > 1"), "buckets")
+    met = written(join_on_hot_key(entries.select("rep", "bucket"), by_bucket, "bucket", "n", F.col("rep"), "inner").where("rep <> centre").groupBy(F.col("centre").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("votes")), "stars")
     clusters = components(met).withColumnRenamed("label", "cluster")
     sets = written(full_sets(docs, clusters.select(F.col("node").alias("doc_id")), width), "full_sets")
     best = met.groupBy("b").agg(F.max(F.struct("votes", "a")).getField("a").alias("a"))
     confirmed = written(_confirmed(best, sets, percent), "star_links")
-    first = components(confirmed)
     sizes = reps.select(F.col("doc_id").alias("node"), "n_shingles")
-    more = _rest(clusters, first, sizes, sets, percent)
-    short_batches(spark)
+    first = components(confirmed)
+    grouped, open_ = _parts(clusters, first, sizes)
+    if not open_.isEmpty():  # members outside of the main part try every centre they met
+        outside = join_on_hot_key(grouped, open_.select("cluster", "main", "rows"), "cluster", "rows", F.col("node"), "inner").where("part <> main").select(F.col("node").alias("b"))
+        again = met.select("a", "b").join(outside, "b").select("a", "b").join(best.select("b", "a"), ["a", "b"], "left_anti")
+        confirmed = confirmed.unionByName(written(_confirmed(written(again, "further_stars"), sets, percent), "further_links"))
+        first = components(confirmed)
+        grouped, open_ = _parts(clusters, first, sizes)
+    more = _rest(grouped, open_, sets, percent)
     # what is joined already is one node, so that the second pass is over few edges
     names = first.select(F.col("node"), F.col("label"))
     joined = more
