@@ -9,11 +9,13 @@ that haven't seen it.  In prediction they come from the models fitted on the who
 
 The labels say of a document whether it is of low quality and whether it is toxic; the
 chain is (low_quality, toxic) by default.  The sample is bounded: about SAMPLE_ROWS
-labelled documents of at most SAMPLE_CHARS characters, drawn by hash from all of them.
+distinct labelled documents, drawn by hash from all of them.
 
 Edge cases: texts that are null or have no tokens get the probabilities of an empty text
 and are never flagged; labels that are null or lack a document train nothing; without any
-labels all probabilities are 0; repeated rows are judged each; other columns are ignored.
+labels all probabilities are 0; repeated rows are judged each; a document whose rows
+tie or differ in their labels is of low quality, or toxic, if one of them says so; very long texts are judged by
+all their tokens; empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BROADCAST_ROWS, short_batches
+from .shared import BROADCAST_ROWS, sliced
 
-SAMPLE_ROWS, SAMPLE_CHARS, LEAST_DOCS, FOLDS = 8_000, 20_000, 8, 3
+SAMPLE_ROWS, LEAST_DOCS, FOLDS = 8_000, 8, 3
 #: Standard deviations by which a token's count in a category must miss what chance would give.
 LEAST_Z = 4.0
 PASSES, RATE, DECAY = 80, 0.5, 2e-5
@@ -141,19 +143,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> dict | N
     drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_007)) / 1_000_000_007.0 < min(1.0, rows / n))
     if rows <= BROADCAST_ROWS:  # about so many were drawn
         drawn = F.broadcast(drawn)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").where(F.length("text") <= SAMPLE_CHARS)
-    held = sorted(tuple(r) for r in texts.join(drawn, "doc_id").select("text", "low", "toxic").collect())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    held = sorted(tuple(r) for r in texts.join(drawn, "doc_id").dropDuplicates(["doc_id", "text"]).select("text", "low", "toxic").collect())
     return train([r[0] for r in held], np.array([r[1:] for r in held], dtype=float).reshape(-1, 2))
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, probability of each category, and whether it reaches the threshold."""
-    spark = docs.sparkSession
-    short_batches(spark)
-    model = spark.sparkContext.broadcast(fit(docs, labels, rows))
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             p = predict(model.value, texts)
             said = np.array([bool(t and TOKEN.search(t)) for t in texts], dtype=bool)
