@@ -16,7 +16,9 @@ shared folder, so that neither a join nor a broadcast of the queries is needed.
 Edge cases: vectors that are null or hold a null, NaN or infinity take no part; shorter
 vectors count as padded with zeros; rows with the query's own vec_id aren't candidates;
 identical repeated query rows are one query; equal scores go to the smaller vec_id; rows
-without vec_id take no part; an empty table gives an empty result.
+without vec_id take no part; an empty table gives an empty result.  A vector with a component whose
+integer doesn't fit 64 bits takes no part.  Where an inner product could leave 62 bits, the same
+index works on integers of any size, and a score beyond 64 bits counts as the nearest one that fits.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import fresh_path, short_batches, written
+from .shared import fresh_path, written
 
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 4_096
@@ -39,21 +41,20 @@ KEEP = 1_024
 
 
 class Index:
-    """Posting segments of one block; x: rows of integers."""
+    """Posting segments of one block; x: rows of integers, of any size if the type is object."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray) -> None:
-        self.ids, self.x = ids, x.astype(np.int64)
+        self.ids, self.x = ids, x
         level = self.x // STEP
         self.dim, self.level, self.rows = [], [], []
         for d in range(x.shape[1]):
             order = np.argsort(level[:, d], kind="stable")
             steps, starts = np.unique(level[order, d], return_index=True)
             self.dim += [d] * len(steps)
-            self.level += steps.tolist()
+            self.level += list(steps)
             self.rows += np.split(order.astype(np.intp), starts[1:])
-        self.dim, self.level = np.asarray(self.dim), np.asarray(self.level, dtype=np.int64)
+        self.dim, self.level = np.asarray(self.dim), np.asarray(self.level, dtype=x.dtype)
         self.first = np.searchsorted(self.dim, np.arange(x.shape[1]))
-        self.small = self.x.astype(np.float32)
 
     def best(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """ids and scores of the k best rows of the block, best first."""
@@ -65,7 +66,7 @@ class Index:
         gain = low - least[self.dim]
         order = np.argsort(-gain, kind="stable")
         slack = int((np.abs(q) * (STEP - 1)).sum())
-        score = np.zeros(len(self.ids), dtype=np.int32 if gain.sum() < 2**31 else np.int64)
+        score = np.zeros(len(self.ids), dtype=np.int32 if gain.sum() < 2**31 else self.x.dtype)
         alive = np.flatnonzero(self.ids != own)
         done, keep = 0, max(KEEP, 4 * k)
         for look in LOOKS:
@@ -77,7 +78,7 @@ class Index:
             done = upto
             if len(alive) > k:
                 # the most that a dimension's unprocessed segments can still add
-                rest = np.zeros(len(least), dtype=np.int64)
+                rest = np.zeros(len(least), dtype=self.x.dtype)
                 np.maximum.at(rest, self.dim[order[done:]], gain[order[done:]])
                 got = score[alive]
                 bar = np.partition(got, len(got) - k)[len(got) - k]
@@ -85,15 +86,16 @@ class Index:
             if len(alive) <= keep:
                 break
         exact = self.x[alive] @ q
-        top = np.lexsort((self.ids[alive], -exact))[:k]
+        top = sorted(range(len(alive)), key=lambda i: (-exact[i], self.ids[alive[i]]))[:k] if exact.dtype == object else np.lexsort((self.ids[alive], -exact))[:k]
         return self.ids[alive][top], exact[top]
 
 
 def integers(df: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame:
     """vec_id, v: usable vectors as arrays of integers."""
     v = F.col(vec_col)
-    usable = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return df.where(F.col(id_col).isNotNull() & F.coalesce(usable, F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("v"))
+    scaled = lambda x: x.cast("double") * scale
+    usable = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(scaled(x)) < 2.0**63))
+    return df.where(F.col(id_col).isNotNull() & F.coalesce(usable, F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(scaled(x)).cast("long")).alias("v"))
 
 
 def _packed(df: DataFrame, rows: int, dims: int) -> DataFrame:
@@ -113,7 +115,7 @@ def _packed(df: DataFrame, rows: int, dims: int) -> DataFrame:
 
     def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         ids = np.concatenate([b.column(0).to_numpy(zero_copy_only=False) for b in held]).astype("<i8")
-        x = np.zeros((len(ids), dims), dtype="<i4")
+        x = np.zeros((len(ids), dims), dtype="<i8")
         at = 0
         for b in held:
             lengths = np.diff(b.column(1).offsets.to_numpy())
@@ -132,7 +134,6 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
     from pyarrow import fs
 
     spark = vectors.sparkSession
-    short_batches(spark, 4096)
     usable = integers(vectors, scale, id_col, vec_col)
     dims = usable.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
     if dims == 0:
@@ -142,15 +143,21 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
     asked_at = fresh_path(spark, "query_blocks")
     _packed(asked.repartition(1 + asked.count() // QUERY_ROWS), QUERY_ROWS, dims).write.parquet(asked_at)
 
+    largest = usable.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("decimal(20,0)")))))).first()[0] or 0
+    kind = np.int64 if dims * (int(largest) + STEP) ** 2 < 2**62 else object
+
+    def integers_of(packed: bytes) -> np.ndarray:
+        return np.frombuffer(packed, "<i8").reshape(-1, dims).astype(kind)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(asked_at)
         asked = ds.dataset(base, filesystem=store, format="parquet")
         for batch in batches:
-            for row in batch.to_pylist():
-                index = Index(np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["vecs"], "<i4").reshape(-1, dims))
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                index = Index(np.frombuffer(row["ids"], "<i8"), integers_of(row["vecs"]))
                 for part in asked.to_batches(batch_size=1):  # one block of queries in memory at a time
                     for held in part.to_pylist():
-                        yield answer(index, np.frombuffer(held["ids"], "<i8"), np.frombuffer(held["vecs"], "<i4").reshape(-1, dims).astype(np.int64))
+                        yield answer(index, np.frombuffer(held["ids"], "<i8"), integers_of(held["vecs"]))
 
     def answer(index: Index, q_ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
@@ -158,10 +165,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
             ids, scores = index.best(q[i], own, k)
             out["query_id"] += [own] * len(ids)
             out["vec_id"] += ids.tolist()
-            out["score"] += scores.tolist()
+            out["score"] += [max(-2**63, min(2**63 - 1, int(x))) for x in scores]
         return pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in out]))
 
     found = blocks.select("ids", "vecs").repartition(max(1, min(20_000, blocks.count()))).mapInArrow(search, "query_id long, vec_id long, score long")
-    short_batches(spark, 4)  # an index block is a row of some MB
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
