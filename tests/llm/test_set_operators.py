@@ -24,15 +24,14 @@ def docs(spark, texts):
 @pytest.fixture(params=[100_000, 2], ids=["broadcast", "by_key"])
 def join_way(request, monkeypatch):
     """Both ways of joining to a small side."""
-    for module in (shared, url_rules):
-        monkeypatch.setattr(module, "BROADCAST_ROWS", request.param)
-    monkeypatch.setattr(minhash, "BROADCAST_IDS", request.param)
-    monkeypatch.setattr(lines, "BROADCAST_LINES", request.param)
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", request.param)
+    monkeypatch.setattr(shared, "HOT_KEYS", min(request.param, 10_000))
 
 
-@pytest.mark.parametrize("bound", [100, 3, 0])
-def test_join_on_hot_key(spark, monkeypatch, bound):
-    monkeypatch.setattr(shared, "BROADCAST_ROWS", bound)
+@pytest.mark.parametrize(("rows", "size", "keys_split"), [(100, 1 << 20, 3), (3, 1 << 20, 3), (100, 50, 100), (0, 0, 1)])
+def test_join_on_hot_key(spark, monkeypatch, rows, size, keys_split):
+    for name, value in (("BROADCAST_ROWS", rows), ("BROADCAST_BYTES", size), ("HOT_KEYS", keys_split)):
+        monkeypatch.setattr(shared, name, value)
     keys = ["hot"] * 500 + ["b"] * 3 + ["c", "absent", None]
     big = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i long")
     small = spark.createDataFrame([("hot", 500, 1, None), ("b", 3, 2, "x"), ("c", 1, 3, "y"), ("d", 0, 4, "z"), ("e", 0, 5, "z")], "k string, n long, v int, w string")
@@ -64,20 +63,72 @@ def test_url_parts_and_given_rules(spark):
         assert (out[i]["host"], out[i]["path"], out[i]["rule"], out[i]["verdict"]) == (host, path, rule, verdict), u
 
 
+def python_tokens(url):
+    """Tokens as the operator's docstring has them."""
+    host, path = brute_parts(url)
+    rest = url.split("://", 1)[1]
+    parts = [p for p in host.split(".") if p]
+    query = re.search(r"\?([^#]*)", rest)
+    names = [x.split("=")[0] for x in query[1].split("&")] if query else []
+    out = [f"h:{p}" for p in parts] + (["d:" + ".".join(parts[-3:])] if len(parts) >= 3 else [])
+    out += ["p:" + ("#" if w.isdigit() else w) for w in re.split(r"[/._-]", path.lower()) if w]
+    return set(out + [f"q:{n}" for n in names if n] + (["f:"] if "#" in rest else []))
+
+
+def brute_rules(labelled, min_rows, confidence, lift, longest=4):
+    """Token sets of all rules, by enumeration over classes of tokens that occur in the same urls."""
+    from itertools import combinations
+    count, bad_count = Counter(u for u, _ in labelled), Counter(u for u, bad in labelled if bad)
+    urls = {u: 2 * bad_count[u] >= count[u] for u in count}
+    bags = {u: python_tokens(u) for u in urls}
+    base = sum(urls.values()) / len(urls)
+    occurs = {}
+    for t in set().union(*bags.values()):
+        occurs.setdefault(frozenset(u for u in urls if t in bags[u]), set()).add(t)
+    out = {}
+    for n in range(1, longest + 1):
+        for sets in combinations(occurs, n):
+            hold = frozenset.intersection(*sets)
+            bad = sum(urls[u] for u in hold)
+            if bad >= min_rows and bad / len(hold) >= confidence and bad / len(hold) >= lift * base:
+                out[frozenset(sets)] = (frozenset().union(*(occurs[s] for s in sets)), bad / len(hold))
+    return [tokens for of, (tokens, c) in out.items() if not any(p < of and out[p][1] >= c for p in out)]
+
+
 def test_mined_rules_against_brute_force(spark, join_way):
     rng = random.Random(1)
     rows = []
     for i in range(600):
-        host = rng.choice(["spam.org", "good.org", "mixed.org"])
-        section = rng.choice(["win", "news"])
-        bad = host == "spam.org" and rng.random() < 0.95 or host == "mixed.org" and section == "win"
-        rows.append((i, f"http://{host}/{section}/{rng.randint(0, 99)}", bad))
-    pages = spark.createDataFrame([r[:2] for r in rows] + [(1000, "http://x.spam.org/else"), (1001, "http://mixed.org/win/7"), (1002, "http://mixed.org/news/7"), (1003, "http://other.org/win/7")], "page_id long, url string")
+        host = rng.choice(["spam.org", "good.org", "mixed.org", "a.shop.net"])
+        section = rng.choice(["win", "news", "win/now"])
+        bad = host == "spam.org" and rng.random() < 0.95 or host == "mixed.org" and "win" in section or host == "a.shop.net" and section == "win/now" and rng.random() < 0.8
+        rows.append((i, f"http://{host}/{section}/{rng.randint(0, 99)}{rng.choice(['', '?id=1', '#top'])}", bad))
+    more = ["http://x.spam.org/else", "http://mixed.org/win/7", "http://mixed.org/news/7", "http://other.org/win/7", "http://b.shop.net/win/now/1"]
+    pages = spark.createDataFrame([r[:2] for r in rows] + [(1000 + i, u) for i, u in enumerate(more)], "page_id long, url string")
     labels = spark.createDataFrame([(i, int(not bad), 0) for i, _, bad in rows], "doc_id long, quality int, toxic int")
-    out = {r["page_id"]: r for r in url_rules.judge(pages, labels, rules=(), min_rows=10, min_confidence=0.9).collect()}
-    assert [out[k]["verdict"] for k in (1000, 1001, 1002, 1003)] == ["block", "block", "allow", "allow"]
-    for i, url, _ in rows:  # the mined condition is met by every blocked page and no other
-        assert (out[i]["verdict"] == "block") == ("spam" in url or "mixed.org/win" in url)
+    out = {r["page_id"]: r for r in url_rules.judge(pages, labels, rules=(), min_rows=10, min_confidence=0.7).collect()}
+    rules = brute_rules([(u, bad) for _, u, bad in rows], 10, 0.7, 1.5)
+    assert len(rules) >= 3 and any(len(r) > 1 for r in rules)
+    for i, url in [r[:2] for r in rows] + [(1000 + i, u) for i, u in enumerate(more)]:
+        held = [r for r in rules if r <= python_tokens(url)]
+        assert (out[i]["verdict"] == "block") == bool(held), url
+        assert out[i]["mined"] is None if not held else set(out[i]["mined"]) in held
+
+
+def test_long_and_repeated_urls_are_bounded(spark):
+    """Copies of a url with forty tokens, and forty urls that each differ in one of them."""
+    words = [f"word{k}" for k in range(40)]
+    urls = ["http://a.b.org/" + "/".join(words)] * 30 + ["http://a.b.org/" + "/".join([*words[:k], f"other{k}", *words[k + 1:]]) for k in range(40)]
+    urls += [f"http://good.org/{k}" for k in range(100)] + [f"http://c.org/{w}/v{k}" for w in words for k in range(40)]
+    rows = [(i, u) for i, u in enumerate(urls)]
+    labels = spark.createDataFrame([(i, int(i >= 70), 0) for i in range(len(urls))], "doc_id long, quality int, toxic int")
+    out = {r["page_id"]: r["verdict"] for r in url_rules.judge(spark.createDataFrame(rows, "page_id long, url string"), labels, rules=(), min_rows=10).collect()}
+    assert all(out[i] == ("block" if i < 70 else "allow") for i in range(len(urls)))
+
+
+def test_url_rules_empty_pages(spark):
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert url_rules.judge(none, spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int")).count() == 0
 
 
 # -- warc -------------------------------------------------------------------------------
@@ -238,9 +289,23 @@ def test_edit_check_and_candidates():
         d = edit_distance(a, b)
         assert lines.within(a, b, 2) == (d <= 2)
         if d <= 2 and a != b and len(b) >= 24:
-            (pa_, pb_), (sa, sb) = lines.features([a, b], 2)
-            assert bin((int(pa_) ^ int(pb_)) & (2**64 - 1)).count("1") <= 8
-            assert set(sa.tolist()) & set(sb[:3].tolist()) or set(sb.tolist()) & set(sa[:3].tolist())
+            assert found_by_slots(a, b)
+
+
+def found_by_slots(a, b):
+    (pa_, pb_), own, probes = lines.features([a, b], 2)
+    (oa, ob), (sa, sb) = map(set, (x.tolist() for x in own)), map(set, (x.tolist() for x in probes))
+    return bin((int(pa_) ^ int(pb_)) & (2**64 - 1)).count("1") <= 8 and bool(oa & ob or oa & sb or ob & sa)
+
+
+def test_short_lines_allow_fewer_edits():
+    rng = random.Random(4)
+    assert [int(lines.allowed(n)) for n in (0, 11, 12, 23, 24, 999)] == [0, 0, 1, 1, 2, 2]
+    for _ in range(2000):
+        a = "".join(rng.choice("abé c") for _ in range(rng.randint(10, 26)))
+        b = changed(rng, a, 2)
+        if a != b and edit_distance(a, b) <= lines.allowed(min(len(a), len(b))):
+            assert found_by_slots(a, b), (a, b)
 
 
 def brute_lines(texts):
@@ -249,8 +314,8 @@ def brute_lines(texts):
         for k, x in enumerate((t or "").split("\n")):
             if x.strip():
                 first.setdefault(x, (d, k))
-    long = [x for x in first if len(x) >= lines.MIN_CHARS]
-    pairs = [(a, b) for i, a in enumerate(long) for b in long[:i] if abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= 2]
+    held = list(first)
+    pairs = [(a, b) for i, a in enumerate(held) for b in held[:i] if abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= min(2, min(len(a), len(b)) // 12)]
     degree = Counter(x for p in pairs for x in p)
     repeats = {max(p, key=first.get) for p in pairs}
     out = {}
@@ -260,21 +325,41 @@ def brute_lines(texts):
         for k, x in enumerate((t or "").split("\n")):
             if x.strip():
                 own = first[x] == (d, k)
-                n, equal, near, links = n + 1, equal + (not own), near + (own and x in repeats), links + (degree[x] if own else 0)
+                n, equal, near, links = n + 1, equal + (not own), near + (own and x in repeats), links + degree[x]
                 gone += [k] if not own or x in repeats else []
         out[d] = (n, equal, near, links, gone)
     return out
 
 
-def test_lines_against_brute_force(spark, join_way):
+def brute_classes(texts):
+    """(document, line number) -> first place of the line's class, for lines that repeat or are linked."""
+    places = {(d, k): x for d, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if x.strip()}
+    held = sorted(set(places.values()))
+    name = {x: min(p for p, y in places.items() if y == x) for x in held}
+    pairs = [(a, b) for i, a in enumerate(held) for b in held[:i] if abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= min(2, min(len(a), len(b)) // 12)]
+    for _ in held:
+        for a, b in pairs:
+            name[a] = name[b] = min(name[a], name[b])
+    linked = {x for p in pairs for x in p}
+    often = Counter(places.values())
+    return {p: name[x] for p, x in places.items() if often[x] > 1 or x in linked}
+
+
+@pytest.mark.parametrize(("hot", "block"), [(1024, 16_384), (3, 4)])
+def test_lines_against_brute_force(spark, join_way, monkeypatch, hot, block):
+    monkeypatch.setattr(lines, "HOT", hot)
+    monkeypatch.setattr(lines, "BLOCK", block)
     rng = random.Random(2)
-    base = ["".join(rng.choice("abcd e") for _ in range(rng.randint(20, 60))) for _ in range(12)]
+    base = ["".join(rng.choice("abcd e") for _ in range(rng.randint(8, 60))) for _ in range(14)]
     texts = [None, "", "\n\n", "short\nshort", *["\n".join(changed(rng, rng.choice(base), 3) for _ in range(rng.randint(1, 5))) for _ in range(60)], "\n".join(base), "x" * 200_000 + "\nlast line is of its own kind"]
     want = brute_lines(texts)
     out = {r["doc_id"]: r for r in lines.summary(docs(spark, texts)).collect()}
     assert len(out) == len(texts)
     for i in range(len(texts)):
         assert tuple(out[i])[1:6] == want[i], i
+    classes = {(i, c["line_no"]): (c["class_doc_id"], c["class_line_no"]) for i, r in out.items() for c in r["classes"]}
+    assert classes == brute_classes(texts)
+    assert all(r["class_docs"] == sorted({c["class_doc_id"] for c in r["classes"]}) for r in out.values())
     left = {r["doc_id"]: r["text"] for r in lines.without_repeats(docs(spark, texts)).collect()}
     for i, t in enumerate(texts):
         n, equal, near, _, gone = want[i]
@@ -289,6 +374,19 @@ def test_lines_edges(spark):
     assert sorted(str(r["doc_id"]) for r in lines.without_repeats(frame).collect()) == ["0", "0", "None"]
     assert lines.without_repeats(frame).columns == frame.columns
     assert lines.summary(frame.limit(0)).count() == 0
+    other = docs(spark, ["one line of its own, nearly", "one line of its own, nearly!\nsecond"]).union(docs(spark, ["\n\nanother text of the same number", "x"]))
+    assert lines.summary(other).count() == 4
+
+
+def test_a_hot_template_of_lines(spark):
+    """Thousands of lines that share their segments: blocks of one slot, no task with all pairs."""
+    texts = ["\n".join(f"Notice number {7919 * (i * 50 + k) % 10**9:09d} of the register, all rights reserved." for k in range(50)) for i in range(80)]
+    out = lines.summary(docs(spark, texts))
+    everything = [x for t in texts for x in t.split("\n")]
+    codes = np.array([[int(c) for c in x[14:23]] for x in everything], dtype=np.int8)
+    near = sum(int(((codes[i] != codes).sum(axis=1) <= 2).sum()) - 1 for i in range(len(codes)))
+    rows = out.collect()
+    assert sum(r["n_lines"] for r in rows) == 4000 and sum(r["n_links"] for r in rows) >= near
 
 
 # -- top-k ------------------------------------------------------------------------------
@@ -311,6 +409,18 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert out == sorted(want)
 
 
+@pytest.mark.parametrize("size", [1e4, 1e7, 2.0**53, 3e18])
+def test_top_k_of_large_components(spark, size):
+    rng = np.random.default_rng(5)
+    x = np.floor(rng.normal(0, size / 4, (40, 3)))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(99, [1e30, 0.0, 0.0])], "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(frame, lambda c: c % 50 == 0, scale=1).collect())
+    whole = [[int(c) for c in v] for v in x]
+    fit = lambda s: max(-2**63, min(2**63 - 1, s))
+    scores = sorted((-fit(sum(a * b for a, b in zip(whole[0], v, strict=True))), i) for i, v in enumerate(whole) if i)[:5]
+    assert got == [(0, k, i, -s) for k, (s, i) in enumerate(scores, 1)]
+
+
 def test_top_k_few_and_empty(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [0.5])], "vec_id long, embedding array<float>")
     assert list(map(tuple, topk.top_k(frame, lambda c: c % 50 == 0).collect())) == [(0, 1, 1, 256 * 128)]
@@ -365,6 +475,28 @@ def test_disclosing_terms_against_counts(spark, join_way):
     assert "[EMAIL]" in clean[80] and "orblatt" not in clean[80] and clean[0] == texts[0]
 
 
+def test_terms_become_their_longest_common_prefix(spark):
+    """A term that doesn't give all becomes a prefix so frequent that it discloses nothing, if there is one."""
+    texts = [f"neurons n{k % 7}ord filler {k}" for k in range(500)] + [f"neurology n{k}ord quux clinic mail ann@x.org" for k in range(4)] + ["quux filler n1ord"]
+    judged = pii.sanitise(docs(spark, texts))
+    clean = {r["doc_id"]: r["text"] for r in pii.clean_text(judged).collect()}
+    spans = {r["value"]: r["to"] for r in judged.where("doc_id = 500").selectExpr("inline(term)").collect()}
+    assert spans == {"neurology": "", "quux": "", "clinic": "", "mail": ""} and clean[500] == " n0ord    [EMAIL]"
+    texts[100] += " neurology"  # now it doesn't give all
+    texts[101] += " neurology"
+    judged = pii.sanitise(docs(spark, texts))
+    spans = {r["value"]: r["to"] for r in judged.where("doc_id = 500").selectExpr("inline(term)").collect()}
+    assert spans == {"neurology": "neuro*", "quux": "", "clinic": "", "mail": ""}
+    assert {r["doc_id"]: r["sanitised"] for r in pii.digest(judged).collect()}[500] == "neuro* n0ord    [EMAIL]"
+
+
+def test_many_spans_and_terms_in_one_text(spark):
+    long = " ".join(f"u{k}x@y{k}.org name{k}" for k in range(3000))
+    judged = pii.sanitise(docs(spark, [long, "short one@x.org", *[f"filler {k} words" for k in range(300)]]))
+    row = pii.digest(judged).where("doc_id = 0").first()
+    assert row["n_email"] == 3000 and row["spans"].count("term") == 3000 and "@" not in row["sanitised"]
+
+
 def test_terms_that_are_parts_of_an_entity(spark):
     """A name beside an address that holds it gives the address away; within the address it is no term."""
     texts = [f"n{k % 7}ord n{k % 11}oun filler {k}" for k in range(80)] + [f"Schmidt Ann n{k}ord ann.schmidt@x.org and mail {k}" for k in range(4)]

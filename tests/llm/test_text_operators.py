@@ -93,6 +93,15 @@ def test_decontaminate_against_brute_force(spark, monkeypatch, block_words):
     assert kept == {i for i, t in enumerate(texts) if not brute_hits(t, items)[1]}
 
 
+def test_chunks_keep_every_window(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "CHUNK", 4)
+    items = [(1, "a b c d e f g h i j k l m"), (2, "a, b"), (3, "...")]
+    rows = decontaminate.chunks(spark.createDataFrame(items, "item_id long, text string"), 3).collect()
+    have = {(r["item_id"], w) for r in rows for w in decontaminate.windows_of(decontaminate.words_of(r["text"]), 3)}
+    assert have == {(i, w) for i, t in items for w in decontaminate.windows_of(decontaminate.words_of(t), 3)}
+    assert max(len(r["text"].split()) for r in rows) <= 6
+
+
 def test_decontaminate_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.decontaminate(docs(spark, ["a b"]), none).first()["n_hit"] == 0
