@@ -8,7 +8,8 @@ recurses on it: all but its last character (all of it at the end of a text) is o
 and the last one begins the rest.
 
 Edge cases: a null text is encoded as the empty text (no ids; the hashes of no bytes);
-repeated rows are encoded each; other columns are ignored.
+very long texts go part by part; repeated rows are encoded each, ties have no meaning here; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,12 +38,15 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def load(ranks_path: str, pattern: str):
-    """An encoder without special tokens; the rank file is read where it lies and never copied."""
+    """An encoder without special tokens; the rank file is read where it lies and never copied.  Its ``whole``
+    is one that splits nothing, for what is one match already."""
     import tiktoken
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    enc, enc_whole = (tiktoken.Encoding("local", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (pattern, r"(?s:.+)"))
+    enc.whole = enc_whole
+    return enc
 
 
 def parts(text: str) -> Iterator[tuple[bool, str]]:
@@ -67,10 +71,7 @@ def _cut(text: str, at: int, end: int) -> Iterator[str]:
 def encode(enc, text: str | None) -> Iterator[np.ndarray]:
     """The ids of a text, part by part."""
     for single, part in parts(text or ""):
-        if single:
-            yield np.asarray(enc._core_bpe.encode_single_piece(part.encode("utf-8")), dtype="<u4")
-        else:
-            yield enc.encode_to_numpy(part, disallowed_special=()).astype("<u4", copy=False)
+        yield (enc.whole if single else enc).encode_to_numpy(part, disallowed_special=()).astype("<u4", copy=False)
 
 
 def decode(enc, ids: np.ndarray) -> bytes:
