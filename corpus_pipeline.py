@@ -3,6 +3,16 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of documents.  SQL can't express the first stage's learned model, so run() is
 tested against the operators' brute-force versions.
+
+Each stage's rows are written to the shared folder and reread as the next one's documents; what a stage
+writes on its way, and its predecessor's rows, go when its own rows are written.
+
+Edge cases: a null or empty text, or one without a letter, has no language and goes in the first stage; very
+long texts pass every stage whole; of tied or repeated lines and documents the smallest (doc_id, line)
+and doc_id stay; rows that share a doc_id stay or go together in near-dedup, by each of their texts, and
+rows without doc_id are never repeats; further columns of documents, whatever their names, pass through all
+stages but the last; empty documents give an empty result, an empty benchmark removes nothing, and documents
+without any known language leave none.
 """
 
 from __future__ import annotations
@@ -12,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, langid, lines, minhash
-from tidemark.llm.shared import table, written
+from tidemark.llm.shared import fresh_path, remove, scope, table, write_to
 
 #: Below this share of its words' mass, a document's language isn't settled and the document goes.
 LEAST_SCORE = 0.4
@@ -25,8 +35,9 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
-    judged = langid.identify(docs)
-    return judged.where((F.col("lang_pred") != langid.UNDECIDED) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    own = F.struct(*[docs[c] for c in docs.columns]).alias("own")  # columns may have any name, so they travel as one
+    judged = langid.identify(docs.select(own, "doc_id", "text", "lang"))
+    return judged.where((F.col("lang_pred") != langid.UNDECIDED) & (F.col("score") >= LEAST_SCORE)).select("own.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +65,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        path = fresh_path(spark, name.replace(" ", "_"))
+        with scope(spark):
+            docs = write_to(stage(spark, docs, sf_dir), path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

@@ -55,8 +55,12 @@ def scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_to(df: DataFrame, path: str) -> DataFrame:
