@@ -67,6 +67,26 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs, SF).dtypes == docs.dtypes
 
 
+def test_pipeline_edges(spark, tmp_path):
+    """Nulls in every column, repeated rows and ids, columns with the stages' own names; empty tables."""
+    good = "The first line is of its own kind and of some length.\nAnd here follows another line that nobody has said before."
+    rows = [(1, good, "en", 7, "a", "k"), (1, good, "en", 7, "a", "k"), (2, good + "\nA third one ends the text with words of its own.", "en", None, None, None), (None, "A row without number keeps its text, whatever others say.", "en", 1, "b", "k"), (3, None, None, None, None, None), (4, "", "en", 0, "c", "k"), (None, None, None, None, None, None)]
+    rows += [(10 + k, f"The words of document {k} are quite its own: w{k}a w{k}b w{k}c and w{k}d are with them.", "en", k, "x", "y") for k in range(40)]
+    names = "doc_id long, text string, lang string, score int, own string, print string"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, names)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "lang", "score", "own", "print"]
+    left = {(r["doc_id"], r["score"], r["own"]) for r in docs.collect()}
+    assert {(1, 7, "a"), (None, 1, "b"), (10, 0, "x")} <= left and not {3, 4} & {d for d, *_ in left}
+    assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == len({d for d, *_ in left})
+    spark.createDataFrame([], names).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def plain(v):
     return round(float(v), 9) if isinstance(v, float) else v
 

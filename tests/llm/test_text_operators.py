@@ -149,6 +149,55 @@ def test_forward_backward_against_enumeration():
         at += n
 
 
+def plain_features(word):
+    """Bytes of what a word's features stand for: the word, its prefixes and suffixes, and its trigrams."""
+    b = word.lower().encode()
+    ends = [b"\0" + b + b"\0"]
+    return b, [b[:k] for k in (2, 3, 4) if len(b) >= k], [b[-k:] for k in (2, 3, 4) if len(b) >= k], [e[i:i + 3] for e in ends for i in range(len(b))]
+
+
+def test_features_stand_for_affixes_grams_and_words():
+    words = ["The", "then", "other", "é", "über", "überall", "a", "the"]
+    data, start, end = langid.words_of(" ".join(words))
+    f = langid.Features(data, start, end)
+    bucket, at = {}, 0
+    for i, w in enumerate(words):
+        whole, pre, suf, grams = plain_features(w)
+        told = [("w", whole)] + [x for k in (0, 1, 2) for x in ((("p", pre[k]), ("s", suf[k])) if len(pre) > k else ((None, None), (None, None)))]
+        for name, got in zip(told, f.single[i].tolist(), strict=True):
+            assert (got == -1) == (name[0] is None)
+            if name[0]:
+                assert bucket.setdefault(name, got) == got
+        for g, got in zip(grams, f.grams[at:at + len(grams)].tolist(), strict=True):
+            assert bucket.setdefault(("g", g), got) == got
+        at += len(grams)
+    assert len(set(bucket.values())) == len(bucket)  # no collisions here
+
+
+def test_gradient_against_differences():
+    """Training climbs the conditional likelihood: posteriors give its gradient in start and transition scores."""
+    from itertools import product
+    rng = np.random.default_rng(4)
+    scores, start, move = rng.normal(size=(5, 2)).astype(np.float32), rng.normal(size=2), rng.normal(size=(2, 2))
+    y = [0, 1, 1, 0, 1]
+
+    def loglik(start, move):
+        s = lambda path: start[path[0]] + sum(scores[t, k] for t, k in enumerate(path)) + sum(move[a, b] for a, b in zip(path, path[1:], strict=False))
+        return s(y) - np.log(sum(np.exp(s(p)) for p in product((0, 1), repeat=5)))
+
+    _, moves, first = langid.posteriors(scores, np.array([5]), start, move)
+    seen = np.zeros((2, 2))
+    for a, b in zip(y, y[1:], strict=False):
+        seen[a, b] += 1
+    for a, b in product((0, 1), repeat=2):
+        d = np.zeros((2, 2))
+        d[a, b] = 1e-4
+        assert abs((loglik(start, move + d) - loglik(start, move - d)) / 2e-4 - (seen - moves)[a, b]) < 1e-3
+    for k in (0, 1):
+        d = np.eye(2)[k] * 1e-4
+        assert abs((loglik(start + d, move) - loglik(start - d, move)) / 2e-4 - ((k == y[0]) - first[k])) < 1e-3
+
+
 def test_language_edge_cases(spark):
     rng = random.Random(4)
     texts = [None, "", "123 !!", "—", *[spoken(rng, "en", 20) for _ in range(20)], spoken(rng, "en", 60_000)]
@@ -183,6 +232,50 @@ def test_toxicity_on_unseen_rows(spark):
         assert np.mean([out[i][name] == bool(truth[i]) for i in range(600, 1200)]) > 0.98
 
 
+def plain_logistic(x, extra, y):
+    """The same model over a dense matrix, row by row."""
+    n, extra = len(y), np.column_stack([extra, np.ones(len(y))])
+    share = y.mean()
+    often = x.sum(axis=0)
+    telling = (often >= toxicity.LEAST_DOCS) & (np.abs(x.T @ (y - share)) / np.sqrt(np.maximum(often * share * (1 - share), 1e-9)) >= toxicity.LEAST_Z)
+    x = x * telling
+    w, v = np.zeros(x.shape[1]), np.zeros(extra.shape[1])
+    sw, sv = np.full_like(w, 1e-4), np.full_like(v, 1e-4)
+    v[-1] = np.log(share / (1 - share))
+    for _ in range(toxicity.PASSES):
+        p = np.array([1 / (1 + np.exp(-(x[i] @ w + extra[i] @ v))) for i in range(n)])
+        gw = sum((y[i] - p[i]) * x[i] for i in range(n)) / n - toxicity.DECAY * w
+        gv = sum((y[i] - p[i]) * extra[i] for i in range(n)) / n
+        sw, sv = sw + gw ** 2, sv + gv ** 2
+        w, v = w + toxicity.RATE * gw / np.sqrt(sw), v + 0.2 * toxicity.RATE * gv / np.sqrt(sv)
+    return w, v
+
+
+def test_chain_against_a_plain_version(spark):
+    """Tokens, folds, out-of-fold log-odds and both models, by dense matrices and loops."""
+    import zlib
+    rng = random.Random(7)
+    texts, low, toxic = labelled(rng, 150)
+    vocabulary = sorted({t for x in texts for t in re.findall(r"[^\W_]+|[^\w\s]+", x.lower())})
+    bag = lambda t: np.array([float(w in set(re.findall(r"[^\W_]+|[^\w\s]+", t.lower()))) for w in vocabulary])
+    x, y = np.array([bag(t) for t in texts]), np.column_stack([low, toxic]).astype(float)
+    fold = np.array([zlib.crc32(t.encode()) % toxicity.FOLDS for t in texts])
+    first, odds = plain_logistic(x, np.zeros((len(texts), 0)), y[:, 0]), np.zeros(len(texts))
+    for k in range(toxicity.FOLDS):
+        w, v = plain_logistic(x[fold != k], np.zeros(((fold != k).sum(), 0)), y[fold != k, 0])
+        odds[fold == k] = x[fold == k] @ w + v[-1]
+    second = plain_logistic(x, odds[:, None], y[:, 1])
+    unseen = [*labelled(rng, 20)[0], texts[0], "", "unknown words only"]
+    own = np.array([bag(t) for t in unseen]) @ first[0] + first[1][-1]
+    also = np.array([bag(t) for t in unseen]) @ second[0] + second[1][0] * own + second[1][-1]
+    frame = docs(spark, texts + unseen)
+    labels = spark.createDataFrame([(i, 1 - low[i], toxic[i]) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r for r in toxicity.judge(frame, labels).collect()}
+    for i in range(len(unseen)):
+        r = out[len(texts) + i]
+        assert np.allclose([r["p_low_quality"], r["p_toxic"]], [1 / (1 + np.exp(-own[i])), 1 / (1 + np.exp(-also[i]))], atol=1e-6), i
+
+
 def test_toxicity_edge_cases(spark):
     frame = docs(spark, [None, "", "hello"])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
