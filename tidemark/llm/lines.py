@@ -48,6 +48,8 @@ from .shared import fits, join_on_hot_key, sliced, written
 EDITS, PER = 2, 12
 #: Entries of a slot that one task compares at once; entries of a block of a larger slot.
 HOT, BLOCK = 1_024, 16_384
+#: Entries of a slot up to which slots are compared side by side, by the distance of their entries.
+FEW = 16
 #: Characters whose features are computed at once (or one line).
 PIECE = 1 << 19
 #: Hash of a line: 128 bits as two longs.
@@ -79,8 +81,19 @@ def features(lines: list[str], edits: int) -> tuple[np.ndarray, list[np.ndarray]
     """For each line, a 63-bit vector of the parities of its character pairs, shifted left by one;
     and its slots, hashes of (length, segment, characters): those of its own segments, and the probes
     at other places or for shorter lines.  (A probe of the own length at a segment's own place
-    would repeat that segment's slot.)  Vectorised over all lines."""
+    would repeat that segment's slot.)  Vectorised over all lines; short ones, which allow different numbers of
+    edits, by themselves."""
     n = np.array([len(x) for x in lines], dtype=np.int64)
+    short = n < (PER + 1) * edits
+    if short.any() and not short.all():
+        parities, out = np.empty(len(n), np.int64), ([None] * len(n), [None] * len(n))
+        for at in (np.flatnonzero(short), np.flatnonzero(~short)):
+            p, *found = features([lines[i] for i in at], edits)
+            parities[at] = p
+            for to, have in zip(out, found, strict=True):
+                for i, x in zip(at, have, strict=True):
+                    to[i] = x
+        return parities, *out
     c = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     first = np.concatenate([[0], np.cumsum(n)])[:-1]
     power = np.cumprod(np.full(len(c) + 1, _BASE, dtype=np.uint64))
@@ -249,10 +262,16 @@ def meetings(batches: Iterator[pa.RecordBatch], edits: int, hot: int) -> Iterato
         _, start, size = np.unique(slot, return_index=True, return_counts=True)
         if (size > hot).any():
             yield pa.RecordBatch.from_arrays([pa.array(slot[start[size > hot]]), pa.nulls(int((size > hot).sum()), pa.int64())], names=["a", "b"])
-        left = np.where(size > hot, 0, size)
+        a, b = [], []
+        for k, n in zip(start[(size > FEW) & (size <= hot)], size[(size > FEW) & (size <= hot)], strict=True):
+            own, theirs = ids[k:k + n], marks[k:k + n]
+            i, j = np.nonzero(np.triu(_agreeing((own[:, None], own[None, :]), (theirs[:, None], theirs[None, :]), edits), 1))
+            a.append(own[i])
+            b.append(own[j])
+        left = np.where(size > FEW, 0, size)
         left = np.repeat(left, size) - (np.arange(len(slot)) - np.repeat(start, size))  # entries from here to the slot's end
-        at, a, b = np.flatnonzero(left > 1), [], []
-        for d in range(1, hot):
+        at = np.flatnonzero(left > 1)
+        for d in range(1, FEW):
             at = at[left[at] > d]
             if not len(at):
                 break
