@@ -131,7 +131,9 @@ def test_language_of_words_and_switches(spark):
     assert said[:35].count("en") > 30 and said[45:].count("fr") > 30
 
 
-def test_forward_backward_against_enumeration():
+@pytest.mark.parametrize("segment", [2_048, 1, 2, 3])
+def test_forward_backward_against_enumeration(monkeypatch, segment):
+    monkeypatch.setattr(langid, "SEGMENT", segment)
     from itertools import product
     rng = np.random.default_rng(2)
     scores, start, move = rng.normal(size=(7, 3)).astype(np.float32), rng.normal(size=3), rng.normal(size=(3, 3))

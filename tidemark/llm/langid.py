@@ -18,7 +18,8 @@ from all over its text.
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and so is every
 text if there are no labelled documents; rows with a null lang or doc_id train nothing;
 repeated rows are judged each; equal shares go to the first language in order of name;
-very long texts are scored by pieces of bounded size, as one chain; other columns are ignored.
+very long texts are scored by pieces and chained by segments,
+which changes no posterior; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ PER_LANGUAGE, LANGUAGES, STRETCHES = 120, 256, 64
 BITS, PASSES, RATE, DECAY = 16, 25, 0.5, 1e-6
 STRETCH, SEQUENCE = (4, 60), 80
 UNDECIDED = "und"
-#: Bytes of text whose features are computed at once.
-PIECE = 1 << 20
+#: Bytes of text whose features are computed at once; words of a segment of a chain.
+PIECE, SEGMENT = 1 << 20, 2_048
 
 FOLD = np.zeros(256, dtype=np.uint8)
 FOLD[97:123] = np.arange(97, 123)
@@ -132,25 +133,58 @@ def posteriors(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray, move:
     return out, moves, out[at[lengths > 0]].sum(axis=0) if longest else np.zeros(e.shape[1])
 
 
+def _segments(e: np.ndarray, lengths: np.ndarray, prior: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sequences cut into segments of at most SEGMENT words, so that a long one is many short ones: first
+    words, lengths, what comes from before a segment (a share for each label of its first word), and what
+    comes from behind it (a factor for each label of its last word).  Exact: each segment's transfer
+    matrix is the product of its steps, all segments side by side, and those are chained."""
+    count = -(-lengths // SEGMENT)
+    begin = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+    of = np.repeat(np.arange(len(lengths)), count)
+    k = np.arange(len(of)) - np.repeat(np.concatenate([[0], np.cumsum(count)])[:-1], count)
+    at, size = begin[of] + k * SEGMENT, np.minimum(lengths[of] - k * SEGMENT, SEGMENT)
+    ahead, behind = np.tile(prior, (len(of), 1)), np.ones((len(of), e.shape[1]), np.float32)
+    many = np.flatnonzero(count[of] > 1)
+    if not len(many):
+        return at, size, ahead, behind
+    order = many[np.argsort(-size[many], kind="stable")]
+    live = np.searchsorted(-size[order], -np.arange(SEGMENT), side="left")
+    step = np.eye(e.shape[1], dtype=np.float32)[None] * e[at[order], None, :]
+    for t in range(1, int(size[order[0]])):
+        x = (step[:live[t]] @ m) * e[at[order[:live[t]]] + t, None, :]
+        step[:live[t]] = x / x.sum(axis=(1, 2), keepdims=True)
+    place = dict(zip(order.tolist(), range(len(order)), strict=True))
+    for s in many.tolist():  # in order of the text
+        if k[s]:
+            x = ahead[s - 1] @ step[place[s - 1]] @ m
+            ahead[s] = x / x.sum()
+    for s in many[::-1].tolist():
+        if k[s] + 1 < count[of[s]]:
+            x = m @ (step[place[s + 1]] @ behind[s + 1])
+            behind[s] = x / x.sum()
+    return at, size, ahead, behind
+
+
 def label_posteriors(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray, move: np.ndarray) -> np.ndarray:
     """Word posteriors only; the loop over places does as little as it can."""
     if not len(scores):
         return scores
     e = np.exp(scores - scores.max(axis=1, keepdims=True)).astype(np.float32)
-    begin = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+    m, forward = np.exp(move).astype(np.float32), np.empty_like(e)
+    at, lengths, ahead, behind = _segments(e, lengths[lengths > 0], np.exp(start).astype(np.float32), m)
     order = np.argsort(-lengths, kind="stable")
-    at, longest = begin[order], int(lengths[order[0]])
+    at, behind, longest = at[order], behind[order], int(lengths[order[0]])
     live = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
-    m, forward = np.exp(move).astype(np.float32), np.empty_like(e)
     mt, ones = np.ascontiguousarray(m.T), np.ones(e.shape[1], np.float32)
-    a = np.exp(start).astype(np.float32)[None, :] * e[at[:live[0]]]
+    a = ahead[order] * e[at]
     for t in range(longest):
         here = at[:live[t]] + t
         if t:
             a = (a[:live[t]] @ m) * e[here]
         a /= (a @ ones)[:, None]
         forward[here] = a
-    b = np.ones((len(at), e.shape[1]), dtype=np.float32)
+    b = behind
+    forward[at + lengths[order] - 1] *= behind
     for t in range(longest - 2, -1, -1):
         n = live[t + 1]
         here = at[:n] + t
