@@ -137,6 +137,57 @@ def test_store(spark, tmp_path):
     assert store.read(T, v[0]).count() == 0
 
 
+D = Table("d", "k bigint, day date, v string", ("k",))
+
+
+def test_store_grows_and_keeps_floors(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/tables", buckets=2, bucket_bytes=1)
+    frame = lambda ks, v: spark.createDataFrame([(k, None if k == 7 else date(2026, 1, 1 + k % 28), v) for k in ks], D.schema)
+    store.upsert(D, frame(range(60), "a"))
+    store.bucket_bytes = store._current("d")["bytes"] // 5
+    store.upsert(D, frame([1], "b"))  # two buckets are too few now
+    assert store._current("d")["n"] == 8 and len(store._current("d")["buckets"]) == 8
+    store.bucket_bytes = 1 << 40
+    before = store._current("d")["buckets"]
+    store.retain(D, "day", date(2026, 1, 15))
+    assert store._current("d")["buckets"] == before  # no data was written
+    held = {r["k"] for r in store.read(D).collect()}
+    assert held == {k for k in range(60) if k == 7 or k % 28 >= 14}
+    store.upsert(D, frame([2], "old row that comes later"))
+    assert {r["k"] for r in store.read(D).collect()} == held | {2}
+    store.retain(D, "day", date(2026, 1, 10))  # a lower floor brings nothing back
+    assert {r["k"] for r in store.read(D).collect()} == held
+    versions = store.versions("d")
+    feed = store.changes(D, versions[-3])
+    assert sorted((r["change_type"], r["k"]) for r in feed.collect()) == []
+    gone = sorted((r["change_type"], r["k"]) for r in store.changes(D, versions[-4], versions[-3]).collect())
+    assert gone == sorted(("delete", k) for k in range(60) if k not in held)
+    untouched = store._current("d")["buckets"]
+    store.delete_keys(D, spark.createDataFrame([(59,)], "k bigint"))
+    store.insert_absent(D, frame([59, 1000], "c"))
+    assert len(set(untouched.values()) - set(store._current("d")["buckets"].values())) <= 2
+    assert {r["k"]: r["v"] for r in store.read(D).where("k >= 59").collect()} == {59: "c", 1000: "c"}
+    rows = sorted(map(tuple, store.read(D).collect()), key=str)
+    assert store.vacuum(D, keep=1, hours=0) > 0 and store.vacuum(D, keep=1, hours=0) == 0
+    assert len(store.versions("d")) == 1 and sorted(map(tuple, store.read(D).collect()), key=str) == rows
+
+
+def test_a_writer_that_loses_starts_again(spark, tmp_path, monkeypatch):
+    store = Store(spark, f"file://{tmp_path}/tables", buckets=2)
+    frame = lambda d: spark.createDataFrame(list(d.items()), T.schema)
+    store.upsert(T, frame({1: "a"}))
+    other, commit, once = Store(spark, store.root, buckets=2), store._commit, []
+
+    def late(*args, **more):
+        if not once:
+            once.append(other.upsert(T, frame({2: "b"})))
+        return commit(*args, **more)
+
+    monkeypatch.setattr(store, "_commit", late)
+    store.upsert(T, frame({3: "c"}))
+    assert dict(map(tuple, store.read(T).collect())) == {1: "a", 2: "b", 3: "c"}
+
+
 def test_retention_keeps_nulls(spark):
     df = spark.createDataFrame([(1, date(2026, 1, 1)), (2, None), (3, date(2026, 2, 1))], "k int, d date")
     assert [r.k for r in merge.retained(df, "d", F.lit(date(2026, 1, 15))).orderBy("k").collect()] == [2, 3]
@@ -221,6 +272,14 @@ def test_gbm_quantiles_and_ladder():
         simulate.of_gbm(0, 150, 100.0, simulate.Settings())
 
 
+def test_every_arm_refuses_a_short_window():
+    y = np.random.default_rng(1).normal(0, 1, 30)
+    for arm in ("gbm", "markov", "news_markov"):
+        assert simulate.forecast(arm, y, np.zeros(30), 100.0, simulate.Settings(paths=10, starts=2)) is None
+        assert simulate.forecast(arm, y, np.zeros(30), 100.0, simulate.Settings(min_obs=20, paths=10, starts=2))["n_obs"] == 30
+
+
+
 def test_backtest_sees_nothing_later(spark):
     _, y, x = chain(170)
     days = [d.date() for d in pd.bdate_range("2023-01-02", periods=170)]
@@ -292,8 +351,17 @@ def test_ledger_and_telemetry(spark, tmp_path):
     log = tasks.Telemetry(store)
     log.record(task="answer", model="m", latency_ms=3.0)
     assert log.flush() == 1 and log.flush() == 0
-    with tasks.single_run(f"{tmp_path}/lock"), pytest.raises(FileExistsError), tasks.single_run(f"{tmp_path}/lock"):
+    small = tasks.Telemetry(store, most=2)
+    for k in range(5):
+        small.record(task=str(k))
+    assert [r["task"] for r in small.rows] == ["3", "4"] and small.dropped == 3
+    with tasks.single_run(store), pytest.raises(RuntimeError, match="under way"), tasks.single_run(store):
+        pass
+    with tasks.single_run(store):
         pass
+    with pytest.raises(OSError):
+        tasks.run_task("build_news", {"build_news": lambda s, c: (_ for _ in ()).throw(OSError("u?apiKey=SECRET"))}, spark, {}, store)
+    assert not store.read(TABLES["bronze.ingestion_runs"]).where("error like '%SECRET%'").count()
     with pytest.raises(ValueError):
         tasks.write_gold(store, {"gold.backtest_summary": spark.range(1)})
 
@@ -306,6 +374,98 @@ def test_search(spark):
     assert search.hybrid(docs, vectors, "chip", [1.0, 0.0], k=2).count() == 2 and search.clamp_k(99) == 20
 
 
+def test_index_gives_the_same_scores(spark, tmp_path):
+    from tidemark.plans import serving
+
+    store, recent = Store(spark, f"file://{tmp_path}/tables", buckets=4), TABLES["silver.news_recent"]
+    said = lambda rows: spark.createDataFrame([(f"a{i}", "AB"[i % 2], datetime(2026, 8, 1 + i), "t", "p", None, 0, "u", x, f"a{i}:{'AB'[i % 2]}") for i, x in rows], recent.schema)
+    plain = lambda t: {r["doc_id"]: round(r["score"], 9) for r in search.bm25(store.read(recent).where(F.col("ticker") == t).select("doc_id", F.col("embedding_text").alias("text")), ["chip", "supply"]).collect()}
+    posted = lambda t: {r["doc_id"]: round(r["score"], 9) for r in serving.indexed_scores(store, t, "Chip supply").collect()}
+    store.upsert(recent, said([(0, "chip demand"), (1, "chip chip supply"), (2, "weather"), (3, None), (4, "supply of chip")]))
+    at = datetime(2026, 8, 11)
+    assert serving.sync_index(store, at) == 5 and posted("A") == plain("A") and posted("B") == plain("B") and len(posted("A")) == 2
+    store.upsert(recent, said([(0, "nothing left"), (6, "new supply")]))
+    store.retain(recent, "published_at", datetime(2026, 8, 3))
+    assert serving.sync_index(store, at) > 0 and posted("A") == plain("A") and posted("B") == plain("B") == {}
+    assert set(posted("A")) == {"a4:A", "a6:A"} and serving.sync_index(store, at) == 0
+
+
+def test_model_calls():
+    from tidemark.sources.model import Model
+
+    answers = iter([(429, {}), OSError("down apiKey=SECRET"), (200, {"model": "m1", "choices": [{"message": {"role": "assistant", "content": [{"type": "text", "text": "hi"}], "tool_calls": [{"id": "1", "function": {"name": "f", "arguments": '{"a": 1}'}}]}, "finish_reason": "tool_calls"}], "usage": {"prompt_tokens": 3, "completion_tokens": 4}})])
+
+    def post(endpoint, payload):
+        assert endpoint == "e1" and payload["messages"] == [{"role": "user", "content": "x"}]
+        a = next(answers)
+        if isinstance(a, Exception):
+            raise a
+        return a
+
+    waits, rows = [], []
+    model = Model({"agent": "e1"}, post, lambda **r: rows.append(r), sleep=waits.append)
+    reply = model.call("agent", [{"role": "user", "content": "x"}])
+    assert (reply.content, reply.calls[0].parsed(), reply.in_tokens, waits) == ("hi", {"a": 1}, 3, [1.0, 2.0])
+    assert rows[0]["ok"] and rows[0]["model"] == "m1" and rows[0]["out_tokens"] == 4
+    refused = Model({"agent": "e1"}, lambda e, p: (403, {}), lambda **r: rows.append(r), sleep=waits.append)
+    with pytest.raises(client.Refused):
+        refused.call("agent", [{"role": "user", "content": "x"}])
+    assert rows[-1]["ok"] is False and len(waits) == 2
+    with pytest.raises(client.Unavailable):
+        Model({"agent": "e1"}, lambda e, p: (200, {}), sleep=waits.append).call("agent", [{"role": "user"}])
+    with pytest.raises(client.Unavailable, match="3 attempts"):
+        Model({"agent": "e1"}, lambda e, p: (503, {}), sleep=waits.append).call("agent", [{"role": "user"}])
+    for bad in ([], [{"content": "x"}]):
+        with pytest.raises(ValueError):
+            model.call("agent", bad)
+    with pytest.raises(KeyError):
+        model.call("other", [{"role": "user"}])
+
+
+def test_cache_lifetime():
+    now, reads = [0.0], []
+    cache = tables.Cache(600, most=2, clock=lambda: now[0])
+    read = lambda: reads.append(1) or len(reads)
+    assert [cache.get("a", read), cache.get("a", read)] == [1, 1]
+    now[0] = 599.0
+    assert cache.get("a", read) == 1
+    now[0] = 600.0
+    assert cache.get("a", read) == 2
+    with pytest.raises(ZeroDivisionError):
+        cache.get("b", lambda: 1 // 0)
+    assert cache.get("b", read) == 3 and cache.get("c", read) == 4 and cache.get("a", read) == 5  # two are held
+
+
+def test_bounded_reads_and_overrides(spark):
+    df = spark.createDataFrame([("A", 2), ("B", 9), ("A", 1)], "ticker string, day int")
+    assert tables.pandas_of(df, "ticker", "A", "day")["day"].tolist() == [1, 2]
+    with pytest.raises(ValueError, match="more than 1"):
+        tables.pandas_of(df, "ticker", "A", "day", most=1)
+    conf = {"backtest": {"n_weeks": 26, "paths": 5}}
+    assert tables.overridden(conf, "backtest", n_weeks=2, paths=None) == {"backtest": {"n_weeks": 2, "paths": 5}} and conf["backtest"]["n_weeks"] == 26
+
+
+def test_operational_source_over_jdbc(spark):
+    """An in-memory database stands for the operational one; the mark is pushed to it."""
+    url, driver = "jdbc:derby:memory:ops;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = spark.createDataFrame([(k, datetime(2026, 1, 1 + k)) for k in range(6)], "id int, changed timestamp")
+    rows.write.format("jdbc").options(url=url, dbtable="notes", driver=driver).save()
+    fresh = tables.operational(spark, url, "notes", "changed", datetime(2026, 1, 4), driver=driver)
+    assert sorted(r[0] for r in fresh.select("id").collect()) == [3, 4, 5]
+    assert "PushedFilters: [*" in fresh._jdf.queryExecution().executedPlan().toString()
+    assert tables.operational(spark, url, "notes", "changed", driver=driver).count() == 6
+    assert tables.point_read(spark, "SELECT id FROM {t} WHERE id = :k", {"t": rows}, k=2) == [{"id": 2}]
+
+
+def test_display(spark):
+    c = lambda x: F.lit(x).cast("double")
+    now, at = (F.lit(x).cast("timestamp") for x in ("2026-08-11 12:00:00", "2026-08-10 11:00:00"))
+    row = spark.range(1).select(
+        numeric.percent(c(0.1234), signed=True), numeric.percent(c(-0.5), 0, True), numeric.percent(c(None)), numeric.number(c(1234567.0)), numeric.number(c(1.25), 1), numeric.fixed(c(0.25349), 4), numeric.fixed(c(float("nan"))),
+        timeops.staleness(at, now, 2), timeops.staleness(at, now, 1), timeops.staleness(F.lit(None).cast("timestamp"), now, 1), timeops.news_fetch_start(at, F.lit(date(2026, 1, 1))).cast("string"), timeops.news_fetch_start(F.lit(None).cast("timestamp"), F.lit(date(2026, 1, 1))).cast("string")).first()
+    assert tuple(row) == ("+12.3%", "-50%", "—", "1,234,567", "1.2", "0.2535", "—", "Updated 1 day ago", "Updated 1 day ago, more than 1 days: stale", "No data yet", "2026-08-10 11:00:00", "2026-01-01 00:00:00")
+
+
 # -- registered settings ----------------------------------------------------------------
 def test_backtest_and_fits_are_registered_whole(spark, monkeypatch):
     from tidemark.plans import catalog

@@ -62,8 +62,20 @@ def known(c: Column) -> Column:
     return F.when(c.isNull() | F.isnan(c), F.lit(None)).otherwise(c)
 
 
-def percent(c: Column, digits: int = 1) -> Column:
-    return F.coalesce(F.concat(F.format_number(known(c) * 100, digits), F.lit("%")), F.lit(DASH))
+def percent(c: Column, digits: int = 1, signed: bool = False) -> Column:
+    """Of a fraction; ``signed`` puts a plus before what isn't negative."""
+    said = F.format_string(f"%{'+' if signed else ''}.{digits}f%%", known(c).cast("double") * 100)
+    return F.when(known(c).isNull(), DASH).otherwise(said)
+
+
+def number(c: Column, digits: int = 0) -> Column:
+    """With separated thousands."""
+    return F.coalesce(F.format_number(known(c.cast("double")), digits), F.lit(DASH))
+
+
+def fixed(c: Column, digits: int = 2) -> Column:
+    """A bare decimal of so many places."""
+    return F.when(known(c.cast("double")).isNull(), DASH).otherwise(F.format_string(f"%.{digits}f", c.cast("double")))
 
 
 def money(c: Column) -> Column:

@@ -39,6 +39,13 @@ def age_phrase(moment: Column, now: Column) -> Column:
     return F.when(s < 60, F.lit("just now")).when(s < 3600, said(whole(60), "minute")).when(s < 86400, said(whole(3600), "hour")).otherwise(said(whole(86400), "day"))
 
 
+def staleness(moment: Column, now: Column, days: int) -> Column:
+    """A line that says how old the newest row is, and whether that is too old."""
+    old = F.unix_timestamp(now) - F.unix_timestamp(moment) > days * 86400
+    line = F.concat(F.lit("Updated "), age_phrase(moment, now))
+    return F.when(moment.isNull(), F.lit("No data yet")).when(old, F.concat(line, F.lit(f", more than {days} days: stale"))).otherwise(line)
+
+
 def retention_floor(today: Column, days: int) -> Column:
     return F.date_sub(today, days)
 
@@ -56,3 +63,9 @@ def backfill_slice(oldest: Column, floor: Column, days: int) -> tuple[Column, Co
 def price_fetch_start(held: Column, backfill: Column, today: Column) -> Column:
     """Last session held (inclusive), or the backfill start; never after today."""
     return F.least(F.coalesce(held, backfill), today)
+
+
+def news_fetch_start(held: Column, backfill: Column) -> Column:
+    """The newest instant held (inclusive: its article comes again and the upsert makes that harmless), or
+    the start of the backfill date."""
+    return F.coalesce(held, backfill.cast("timestamp"))

@@ -73,24 +73,36 @@ def _expect(y, z, mu, sigma, beta):
     if s == 1:
         kept, smooth, joint, loglik = _expect_one(p0[0], dens[0], float(first[0]))
         return kept[None], smooth[None], joint[None], np.array([loglik]), p0
-    ahead, kept = np.empty((s, n, 2)), np.empty((s, n, 2))
-    loglik, f = np.zeros(s), np.stack([first, 1 - first], axis=1)
+    # two states are one number a start; a step in time is a handful of operations on rows of the batch
+    q0, q1, d0, d1 = (np.ascontiguousarray(v[:, :, k].T) for v in (p0, dens) for k in (0, 1))
+    slope, gain = q0 - q1, d0 - d1
+    ahead0, kept0, scale, smooth0 = (np.empty((n, s)) for _ in range(4))
+    ahead0[0] = first
     for t in range(n):
-        a0 = (p0[:, t] * f).sum(axis=1) if t else f[:, 0]
-        ahead[:, t, 0], ahead[:, t, 1] = a0, 1 - a0
-        f = ahead[:, t] * dens[:, t]
-        c = f.sum(axis=1)
-        f = f / c[:, None]
-        kept[:, t] = f
-        loglik += np.log(c)
-    smooth, joint = np.empty_like(kept), np.zeros((s, n, 2, 2))
-    g = smooth[:, -1] = kept[:, -1]
+        a = ahead0[t]
+        if t:
+            np.multiply(slope[t], kept0[t - 1], out=a)
+            a += q1[t]
+        c = np.multiply(gain[t], a, out=scale[t])
+        c += d1[t]
+        f = np.multiply(d0[t], a, out=kept0[t])
+        f /= c
+    up, down = 1 / np.maximum(ahead0, 1e-300), 1 / np.maximum(1 - ahead0, 1e-300)
+    smooth0[-1] = kept0[-1]
     for t in range(n - 1, 0, -1):
-        ratio = g / np.maximum(ahead[:, t], 1e-300)
-        joint[:, t, 0] = p0[:, t] * kept[:, t - 1] * ratio[:, :1]
-        joint[:, t, 1] = (1 - p0[:, t]) * kept[:, t - 1] * ratio[:, 1:]
-        g = smooth[:, t - 1] = joint[:, t].sum(axis=1)
-    return kept, smooth, joint, loglik, p0
+        g = smooth0[t]
+        v = (1 - g) * down[t]
+        w = g * up[t]
+        w -= v
+        w *= q0[t]
+        w += v
+        np.multiply(w, kept0[t - 1], out=smooth0[t - 1])
+    u, v = smooth0[1:] * up[1:], (1 - smooth0[1:]) * down[1:]
+    joint = np.zeros((s, n, 2, 2))
+    for i, (q, k) in enumerate(((q0[1:], kept0[:-1]), (q1[1:], 1 - kept0[:-1]))):
+        joint[:, 1:, 0, i], joint[:, 1:, 1, i] = (q * k * u).T, ((1 - q) * k * v).T
+    both = lambda x: np.stack([x.T, 1 - x.T], axis=2)
+    return both(kept0), both(smooth0), joint, np.log(scale).sum(axis=0), p0
 
 
 def _expect_one(p0: np.ndarray, dens: np.ndarray, first: float):

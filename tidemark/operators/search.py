@@ -1,4 +1,8 @@
-"""Hybrid retrieval: BM25 over terms, exact cosine over vectors, fused by reciprocal ranks."""
+"""Hybrid retrieval: BM25 over terms, exact cosine over vectors, fused by reciprocal ranks.
+
+Documents can be searched as they are (one pass that tokenises all of them), or by postings that
+were written once: a query then reads the asked terms' postings and the documents' lengths only.
+"""
 
 from __future__ import annotations
 
@@ -40,6 +44,28 @@ def bm25(docs: DataFrame, query: Sequence[str]) -> DataFrame:
     return joined.select("doc_id", score.alias("score"))
 
 
+def postings(docs: DataFrame, *own: str) -> DataFrame:
+    """term, doc_id, the ``own`` columns, tf, n: how often a document holds a term, and how many terms it has."""
+    bags = docs.select("doc_id", *own, terms(F.coalesce("text", F.lit(""))).alias("w")).withColumn("n", F.size("w").cast("long"))
+    return bags.select("doc_id", *own, "n", F.explode("w").alias("term")).groupBy("term", "doc_id", *own, "n").agg(F.count("*").alias("tf")).select("term", "doc_id", *own, "tf", "n")
+
+
+def lengths(docs: DataFrame, *own: str) -> DataFrame:
+    """doc_id, the ``own`` columns, n."""
+    return docs.select("doc_id", *own, F.size(terms(F.coalesce("text", F.lit("")))).cast("long").alias("n"))
+
+
+def bm25_of(posted: DataFrame, sizes: DataFrame, query: Sequence[str]) -> DataFrame:
+    """The same scores as ``bm25`` from postings and lengths."""
+    asked = posted.where(F.col("term").isin(list(query)))
+    stats = sizes.agg(F.count("*").alias("docs"), F.avg("n").alias("mean"))
+    df = asked.groupBy("term").agg(F.count("*").alias("df"))  # a row for each term of the query
+    tf, n = F.col("tf"), F.col("n")
+    idf = F.ln(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    each = asked.join(F.broadcast(df), "term").crossJoin(F.broadcast(stats))  # one row of statistics
+    return each.groupBy("doc_id").agg(F.sum(idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * n / F.col("mean")))).alias("score"))
+
+
 def _equals(term: str):
     return lambda x: x == term
 

@@ -78,7 +78,7 @@ def forecast(arm: str, percent: np.ndarray, news: np.ndarray, price: float, cfg:
     for model in LADDERS[arm]:
         try:
             if model == "gbm":
-                mu, sigma = gbm(percent, min(cfg.min_obs, len(percent)) if arm == "gbm" else cfg.min_obs)
+                mu, sigma = gbm(percent, cfg.min_obs)
                 out = of_gbm(mu, sigma, price, cfg) | {"converged": None, "prob_low_vol": None, "prob_high_vol": None, "sigma_low": None, "sigma_high": None, "mu_low": None, "mu_high": None}
             else:
                 exog = None

@@ -12,7 +12,7 @@ from tidemark.operators import features, merge, search
 from tidemark.plans import forecasts as fc
 from tidemark.plans.registry import query
 from tidemark.plans.standins import ARTICLES, BARS, DATES, FEATURES, FORECASTS, FROM, MODELS, NEWS, NY, PRICES, SCORE, TO, articles, bars, daily, damped, forecasts, news, operational, prices, rounded
-from tidemark.sources.tables import scan
+from tidemark.sources.tables import point_read, scan
 
 MARK = datetime(2024, 1, 15)
 FEATURE_COLUMNS = "ticker, trade_date, close, volume, news_count, " + ", ".join(f"round({c}, 8) + 0.0::DOUBLE AS {c}" for c in ("log_return", "return_5d", "momentum_5d", "realized_vol_20d", "volume_zscore_20d", "news_sentiment", "news_sentiment_3d"))
@@ -41,7 +41,8 @@ def s09(spark, sf):
 
 @query("s10_point_read", "SELECT c_custkey, c_name FROM customer WHERE c_custkey = 42")
 def s10(spark, sf):
-    return spark.sql("SELECT c_custkey, c_name FROM {c} WHERE c_custkey = :id", args={"id": 42}, c=scan(spark, sf, "customer"))
+    rows = point_read(spark, "SELECT c_custkey, c_name FROM {c} WHERE c_custkey = :id", {"c": scan(spark, sf, "customer")}, id=42)
+    return spark.createDataFrame([(r["c_custkey"], r["c_name"]) for r in rows], "c_custkey long, c_name string")
 
 
 # -- writes -----------------------------------------------------------------------------
@@ -62,9 +63,9 @@ def w01(spark, sf):
     return merge.upserted(*_old_new(spark, sf), ["event_id"])
 
 
-@query("w02_merge_query", f"WITH n AS (SELECT user_id, count(*) AS n, round(sum(value), 6) AS total FROM events WHERE user_id % 2 = 0 GROUP BY 1), o AS (SELECT c_custkey AS user_id, 0::BIGINT AS n, round(c_acctbal, 6) AS total FROM customer) SELECT * FROM n UNION ALL SELECT * FROM o WHERE user_id NOT IN (SELECT user_id FROM n WHERE user_id IS NOT NULL)")
+@query("w02_merge_query", f"WITH n AS (SELECT user_id, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1), o AS (SELECT c_custkey AS user_id, 0::BIGINT AS n, round(c_acctbal, 6) AS total FROM customer) SELECT * FROM n UNION ALL SELECT * FROM o WHERE user_id NOT IN (SELECT user_id FROM n WHERE user_id IS NOT NULL)")
 def w02(spark, sf):
-    new = operational(spark, sf).where("user_id % 2 = 0").groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))
+    new = operational(spark, sf).groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))
     old = scan(spark, sf, "customer", ["c_custkey", "c_acctbal"]).select(F.col("c_custkey").alias("user_id"), F.lit(0).cast("long").alias("n"), F.round("c_acctbal", 6).alias("total"))
     return merge.upserted(old, new, ["user_id"])
 
@@ -123,7 +124,11 @@ def w12(spark, sf):
     return merge.without_keys(*_old_new(spark, sf), ["event_id"])
 
 
-@query("w15_surrogate_id")
+_NAME = f"ticker || '|' || as_of_date || '|' || model AS name FROM ({FORECASTS}) f"
+
+
+@query("w15_surrogate_id", f"""SELECT forecast_id, d[1:8] || '-' || d[9:12] || '-5' || d[14:16] || '-' || substr('89ab', (strpos('0123456789abcdef', d[17:17]) - 1) % 4 + 1, 1) || d[18:20] || '-' || d[21:32] AS id
+  FROM (SELECT forecast_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(name)) AS d FROM (SELECT forecast_id, {_NAME}))""")
 def w15(spark, sf):
     return forecasts(spark, sf).select("forecast_id", text.surrogate_id("6ba7b811-9dad-11d1-80b4-00c04fd430c8", F.concat_ws("|", "ticker", "as_of_date", "model")).alias("id"))
 
@@ -153,9 +158,10 @@ def p05(spark, sf):
     return operational(spark, sf).select("event_id", null_if(3).eqNullSafe(null_if(2)).alias("same"))
 
 
-@query("p06_not_exists", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("p06_not_exists", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def p06(spark, sf):
-    return scan(spark, sf, "customer", ["c_custkey"]).join(scan(spark, sf, "orders", ["o_custkey"]), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    urgent = scan(spark, sf, "orders", ["o_custkey", "o_orderpriority"]).where("o_orderpriority = '1-URGENT'")
+    return scan(spark, sf, "customer", ["c_custkey"]).join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_anti")
 
 
 @query("p08_ticker_valid", "SELECT part_name, CASE WHEN regexp_matches(t, '^[A-Z][A-Z0-9.\\-]{0,9}$') THEN t END AS ticker FROM (SELECT p_name AS part_name, upper(trim(' ' || substr(p_name, 1, 1 + p_partkey % 14))) AS t FROM part)")
@@ -268,11 +274,11 @@ def j07(spark, sf):
     return exchange.next_session(spark, FROM, TO)
 
 
-@query("j08_prefix_windows", f"WITH i AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY trade_date) AS idx FROM ({PRICES}) p) SELECT o.ticker, o.trade_date AS origin, count(*) AS n, round(avg(i.close), 3) AS mean FROM i JOIN i o ON i.ticker = o.ticker AND i.idx <= o.idx WHERE o.idx % 100 = 0 GROUP BY 1, 2")
+@query("j08_prefix_windows", f"SELECT ticker, trade_date AS origin, count(*) OVER w AS n, round(sum(close) OVER w, 2) AS total FROM ({PRICES}) p WINDOW w AS (PARTITION BY ticker ORDER BY trade_date ROWS UNBOUNDED PRECEDING)")
 def j08(spark, sf):
     at = features.indexed(prices(spark, sf))
     w = Window.partitionBy("ticker").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)  # moments of all prefixes in one pass
-    return at.select("ticker", F.col("trade_date").alias("origin"), "idx", F.count("*").over(w).alias("n"), F.round(F.avg("close").over(w), 3).alias("mean")).where("(idx + 1) % 100 = 0").drop("idx")
+    return at.select("ticker", F.col("trade_date").alias("origin"), F.count("*").over(w).alias("n"), F.round(F.sum("close").over(w), 2).alias("total"))
 
 
 @query("j09_traceability", "SELECT l_orderkey, l_linenumber, o_orderdate::DATE AS as_of FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus = 'O'")

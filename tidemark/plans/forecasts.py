@@ -51,8 +51,9 @@ def backtest(features: DataFrame, arms: tuple[str, ...] = ("news_markov", "marko
     cfg = cfg or simulate.Settings()
     at = indexed(features.select("ticker", "trade_date", "close", "log_return", "news_sentiment_3d"))
     origins = weekly_origins(features, n_weeks, cfg.min_obs, cfg.horizon).select("ticker", "origin_date", "origin_idx", "realized_return")
-    # an equi-join on the ticker with a bound on the place: each ticker has at most n_weeks origins
-    windows = at.join(F.broadcast(origins) if n_weeks <= 520 else origins, "ticker").where(F.col("idx") <= F.col("origin_idx"))
+    # an equi-join on the ticker with a bound on the place: each ticker has at most n_weeks origins; whether
+    # they are few enough for a broadcast is seen from their size when they have been computed
+    windows = at.join(origins, "ticker").where(F.col("idx") <= F.col("origin_idx"))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return _frame([r | {"ticker": key[0], "origin_date": key[1], "realized_return": key[2]} for r in _rows(pdf, arms, cfg)], SCORED)

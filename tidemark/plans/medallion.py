@@ -6,7 +6,9 @@ over tickers on the driver.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+import json
+from datetime import UTC, date, datetime, timedelta
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ BAR = "v double, vw double, o double, c double, h double, l double, t bigint, n
 ARTICLE = ("id string, publisher string, title string, author string, published_utc string, article_url string, tickers array<string>, image_url string, "
            "description string, keywords array<string>, insights array<struct<ticker:string,sentiment:string,sentiment_reasoning:string>>")
 SOURCE, VERSION = "vendor", "1"
+#: Routes of the service (fixed values: its contract).
+PRICES_URL = "{base}/v2/aggs/ticker/{ticker}/range/1/day/{start}/{end}?adjusted=true&sort=asc&limit=50000"
+NEWS_URL = "{base}/v2/reference/news?ticker={ticker}&published_utc.gte={start}&order=asc&sort=published_utc&limit=1000"
 FORECASTS_NAMESPACE = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
 
 
@@ -52,6 +57,44 @@ def fetch_windows(store: Store, table: str, tickers: DataFrame, backfill: date,
     return tickers.join(held, "ticker", "left").select("ticker", timeops.price_fetch_start(F.col("held"), F.lit(backfill), F.lit(today)).alias("fetch_from"))
 
 
+def news_windows(store: Store, tickers: DataFrame, backfill: date) -> DataFrame:
+    """ticker, fetch_from (an instant, inclusive) of all tickers, by one aggregate."""
+    held = store.read(TABLES["bronze.news_raw"]).groupBy("ticker").agg(F.max("source_timestamp").alias("held"))
+    return tickers.join(held, "ticker", "left").select("ticker", timeops.news_fetch_start(F.col("held"), F.lit(backfill)).alias("fetch_from"))
+
+
+def _fetched(store: Store, urls: dict[str, str], schema: str, options: dict[str, str]) -> DataFrame:
+    """Rows of all pages of the urls (url -> ticker): the fields of ``schema``, ticker, request_id."""
+    from tidemark.sources.rest import PagedSource
+
+    spark = store.spark
+    spark.dataSource.register(PagedSource)
+    pages = spark.read.format("paged_json").options(urls=json.dumps(sorted(urls)), **options).load()
+    names = spark.createDataFrame(list(urls.items()), "url string, asked string")  # a row for each request of a day
+    row = F.from_json("row", schema)
+    return pages.join(F.broadcast(names), "url").select(row.alias("r"), F.col("asked").alias("ticker"), "request_id")
+
+
+def ingest_prices(store: Store, tickers: DataFrame, base: str, backfill: date, today: date, at: datetime, **options: str) -> int:
+    """Daily bars of all tickers from their last session on, upserted; the service allows a few
+    thousand requests a day at most, so their urls are a list of the driver's."""
+    store.create(TABLES["bronze.prices_raw"])
+    wanted = fetch_windows(store, "bronze.prices_raw", tickers, backfill, today).collect()
+    urls = {PRICES_URL.format(base=base, ticker=quote(r["ticker"]), start=r["fetch_from"], end=today): r["ticker"] for r in wanted}
+    rows = _fetched(store, urls, BAR, options).select("r.*", "ticker", "request_id")
+    return store.upsert(TABLES["bronze.prices_raw"], merge.latest_per_key(raw_prices(rows, at), ["ticker", "source_timestamp"], [F.desc("request_id")]))
+
+
+def ingest_news(store: Store, tickers: DataFrame, base: str, backfill: date, at: datetime, **options: str) -> int:
+    """Articles of all tickers from the newest instant held on, upserted; an article found for two tickers is one."""
+    store.create(TABLES["bronze.news_raw"])
+    wanted = news_windows(store, tickers, backfill).collect()
+    said = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
+    urls = {NEWS_URL.format(base=base, ticker=quote(r["ticker"]), start=said(r["fetch_from"])): r["ticker"] for r in wanted}
+    rows = _fetched(store, urls, ARTICLE, options).select("r.*", "request_id")
+    return store.upsert(TABLES["bronze.news_raw"], merge.latest_per_key(raw_news(rows, at), ["article_id", "ticker"], [F.desc("request_id")]))
+
+
 # -- silver -----------------------------------------------------------------------------
 def daily_prices(bronze: DataFrame) -> DataFrame:
     day = bronze.withColumn("trade_date", timeops.session_date(F.col("source_timestamp")))
@@ -165,3 +208,48 @@ def sync_history(store: Store, table: str, source: DataFrame, column: str, at: d
     mark = store.read(target).agg(F.max(column)).first()[0]
     fresh = merge.since(source, column, None if mark is None else F.lit(mark))
     return store.upsert(target, fresh.withColumn("captured_at", F.lit(at).cast("timestamp")).select(target.schema.fieldNames()))
+
+
+def universe(store: Store, seed: list[str]) -> DataFrame:
+    """ticker: the configured ones and those of all watchlists."""
+    table = TABLES["app.watchlist_tickers"]
+    store.create(table)
+    given = store.spark.createDataFrame([(t,) for t in seed], "ticker string")
+    return given.unionByName(store.read(table).select("ticker")).select(text.normal_ticker(F.col("ticker")).alias("ticker")).where("ticker is not null").distinct()
+
+
+def daily_tasks(store: Store, now: datetime | None = None) -> dict:
+    """What each of the daily tasks does; the configuration has the sections ``service`` (base, key_env, per_minute,
+    backfill), ``models`` (settings of the forecasts), ``news_recent`` (days, step) and the list ``tickers``."""
+    from tidemark.plans import serving
+
+    at = now or datetime.now(UTC)
+    today = at.date()
+    part = lambda conf, name: conf.get(name) or {}
+    options = lambda conf: {k: str(v) for k, v in part(conf, "service").items() if k in ("key_env", "per_minute", "partitions")}
+    since = lambda conf: date.fromisoformat(str(part(conf, "service").get("backfill", today - timedelta(days=730))))
+    window = lambda conf: (int(part(conf, "news_recent").get("days", 90)), int(part(conf, "news_recent").get("step", 30)))
+
+    def backfilled(_, conf: dict) -> int:
+        days, step = window(conf)
+        piece = next_backfill(store, today, days, step)
+        return refresh_recent(store, today, days, *piece) if piece else 0
+
+    def histories(*_) -> int:
+        pairs = (("app.watchlist_tickers", "gold.lb_watchlist_tickers_history", "added_at"), ("app.research_reports", "gold.lb_research_reports_history", "created_at"))
+        for source, *_rest in pairs:
+            store.create(TABLES[source])
+        return sum(sync_history(store, target, store.read(TABLES[source]), column, at) for source, target, column in pairs)
+
+    return {
+        "ingest_prices": lambda _, conf: ingest_prices(store, universe(store, conf.get("tickers") or []), conf["service"]["base"], since(conf), today, at, **options(conf)),
+        "ingest_news": lambda _, conf: ingest_news(store, universe(store, conf.get("tickers") or []), conf["service"]["base"], since(conf), at, **options(conf)),
+        "build_prices": lambda *_: build_prices(store),
+        "build_news": lambda *_: build_news(store),
+        "build_features": lambda *_: build_features(store),
+        "refresh_news_recent": lambda _, conf: refresh_recent(store, today, window(conf)[0]),
+        "fit_models": lambda _, conf: fit_models(store, simulate.Settings(**part(conf, "models")), at),
+        "sync_news_index": lambda *_: serving.sync_index(store, at),
+        "sync_history": histories,
+        "backfill_news_recent": backfilled,
+    }

@@ -41,6 +41,41 @@ class IndexSpec:
         return [f"{k}: index has {live.get(k)!r}, {getattr(self, k)!r} is wanted" for k in (*strict, "subtype", "sync") if low(live.get(k)) != low(getattr(self, k)) and (k in strict or low(live.get(k)))]
 
 
+def sync_index(store: Store, at: datetime) -> int:
+    """Bring the term index up to date with the change feed of its source; documents written anew or gone.
+
+    The first sync, or one whose last version has been vacuumed, builds it from all rows."""
+    source, terms, sizes, state = (TABLES[t] for t in ("silver.news_recent", "gold.news_terms", "gold.news_lengths", "gold.index_state"))
+    for t in (source, terms, sizes, state):
+        store.create(t)
+    now, known = store.versions(source.name), store.read(state).where(F.col("source") == source.name).first()
+    text = F.col("embedding_text").alias("text")
+    if known is None or known["version"] not in now:
+        fresh, gone = store.read(source, now[-1]).select("doc_id", "ticker", text).where("doc_id is not null"), None
+    else:
+        feed = store.changes(source, known["version"], now[-1]).where("doc_id is not null").persist()
+        fresh = feed.where(F.col("change_type").isin("insert", "update_post")).select("doc_id", "ticker", text)
+        gone = feed.where(F.col("change_type").isin("delete", "update_pre")).select("doc_id", "ticker", text)
+    changed = 0
+    if gone is not None and not gone.isEmpty():
+        store.delete_keys(terms, search.postings(gone).select("term", "doc_id").distinct())
+        store.delete_keys(sizes, gone.select("doc_id").distinct())
+        changed += gone.count()
+    fresh = fresh.dropDuplicates(["doc_id"])
+    store.upsert(terms, search.postings(fresh, "ticker"))
+    changed += store.upsert(sizes, search.lengths(fresh, "ticker"))
+    store.upsert(state, store.spark.createDataFrame([(source.name, now[-1], at)], state.schema))
+    return changed
+
+
+def indexed_scores(store: Store, ticker: str, query: str):
+    """doc_id, score of a ticker's documents by the term index: reads the buckets of the asked terms."""
+    asked, terms = search.query_terms(query), TABLES["gold.news_terms"]
+    keys = store.spark.createDataFrame([(t,) for t in asked], "term string")
+    posted = store.read_keys(terms, keys).where(F.col("ticker") == ticker)
+    return search.bm25_of(posted, store.read(TABLES["gold.news_lengths"]).where(F.col("ticker") == ticker), asked)
+
+
 def latest_forecasts(store: Store):
     """One row a ticker: the newest day, its richest model; regime as a struct that may be missing."""
     order = [F.desc("as_of_date"), text.preference_rank(F.col("model_used"), MODEL_ORDER), F.desc("generated_at")]
@@ -99,7 +134,9 @@ class Tools:
         """Articles of a ticker that fit a question best, with snippets."""
         recent = self.store.read(TABLES["silver.news_recent"])
         docs = recent.where(F.col("ticker") == _ticker(ticker)).withColumn("text", F.col("embedding_text"))
-        lists = [search.ranked(search.bm25(docs.select("doc_id", "text"), search.query_terms(query)), 50)]
+        indexed = self.store.exists("gold.news_terms") and search.query_terms(query)
+        scores = indexed_scores(self.store, _ticker(ticker), query) if indexed else search.bm25(docs.select("doc_id", "text"), search.query_terms(query))
+        lists = [search.ranked(scores, 50)]
         if self.vectors is not None and self.embed is not None:
             lists.append(search.ranked(search.nearest(self.vectors.join(docs.select("doc_id"), "doc_id", "left_semi"), self.embed(query), 50), 50))
         best = search.fused(lists, search.clamp_k(k))

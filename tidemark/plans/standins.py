@@ -11,7 +11,8 @@ from tidemark.functions import exchange, numeric, text, timeops
 from tidemark.operators import features, merge
 from tidemark.sources.tables import scan
 
-FROM, TO = date(1994, 12, 25), date(2001, 12, 31)
+#: The calendar: the whole span in which the test tables may have dates.
+FROM, TO = date(1990, 1, 1), date(2010, 12, 31)
 MODELS = ("news_markov", "markov", "gbm")
 DATES = ", ".join(f"(DATE '{d}')" for d in exchange.sessions(FROM, TO))
 

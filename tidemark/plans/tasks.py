@@ -1,8 +1,8 @@
-"""The daily tasks: an ordered registry, a ledger row for each run, one run at a time."""
+"""The daily tasks: an ordered registry with its dependencies, a ledger row for each run, one run at a time."""
 
 from __future__ import annotations
 
-import os
+import logging
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -13,10 +13,12 @@ from pyspark.sql import SparkSession
 
 from tidemark.operators.store import Store
 from tidemark.schema import TABLES
+from tidemark.sources.client import redact
 
 #: Tasks in order; (name, attempts, optional).
-DAILY = (("ingest_prices", 3, False), ("ingest_news", 3, False), ("build_prices", 1, False), ("build_news", 1, False), ("refresh_news_recent", 1, False), ("backfill_news_recent", 1, True), ("build_features", 1, False), ("fit_models", 1, False), ("sync_history", 1, False))
+DAILY = (("ingest_prices", 3, False), ("ingest_news", 3, False), ("build_prices", 1, False), ("build_news", 1, False), ("build_features", 1, False), ("refresh_news_recent", 1, False), ("fit_models", 1, False), ("sync_news_index", 1, False), ("sync_history", 1, False), ("backfill_news_recent", 1, True))
 ERROR_CHARS = 1000
+log = logging.getLogger(__name__)
 
 
 def cut_error(text: str) -> str:
@@ -38,7 +40,7 @@ def ledger(store: Store, task: str):
     try:
         yield run
     except Exception as e:
-        error = cut_error(f"{type(e).__name__}: {e}")
+        error = cut_error(redact(f"{type(e).__name__}: {e}"))
         raise
     finally:
         table = TABLES["bronze.ingestion_runs"]
@@ -46,18 +48,24 @@ def ledger(store: Store, task: str):
         try:
             store.upsert(table, store.spark.createDataFrame([row], table.schema))
         except Exception as e:  # the run's own outcome counts
-            print(f"ledger of {task}: {cut_error(str(e))}")
+            log.warning("ledger of %s: %s", task, cut_error(redact(str(e))))
 
 
 @contextmanager
-def single_run(path: str):
-    """A lock file: a second run is refused."""
-    fd = os.open(path, os.O_CREAT | os.O_EXCL)
+def single_run(store: Store, name: str = "daily"):
+    """A second run is refused while the first one lasts.  The lock is a file of the shared store, made by the
+    file system's own exclusive create, so that runs on other machines see it."""
+    path, fs = store._path(f"_{name}.lock"), store._fs()
     try:
+        out = fs.create(path, False)
+    except Exception as e:
+        raise RuntimeError(f"a {name} run is under way: {path} exists") from e
+    try:
+        out.write(bytearray(datetime.now(UTC).isoformat().encode()))
+        out.close()
         yield
     finally:
-        os.close(fd)
-        os.unlink(path)
+        fs.delete(path, False)
 
 
 Task = Callable[[SparkSession, dict], int]
@@ -79,7 +87,19 @@ def run_task(name: str, tasks: dict[str, Task], spark: SparkSession, conf: dict,
 
 
 def run_daily(tasks: dict[str, Task], spark: SparkSession, conf: dict, store: Store, with_optional: bool = False) -> dict[str, int]:
-    return {n: run_task(n, tasks, spark, conf, store) for n, _, optional in DAILY if with_optional or not optional}
+    """All tasks in order, under the lock; a task that fails stops those after it, an optional one doesn't."""
+    done: dict[str, int] = {}
+    with single_run(store):
+        for name, _, optional in DAILY:
+            if optional and not with_optional:
+                continue
+            try:
+                done[name] = run_task(name, tasks, spark, conf, store)
+            except Exception:
+                if not optional:
+                    raise
+                log.exception("optional task %s failed", name)
+    return done
 
 
 def write_gold(store: Store, frames: dict[str, object]) -> int:
@@ -89,13 +109,21 @@ def write_gold(store: Store, frames: dict[str, object]) -> int:
 
 
 class Telemetry:
-    """Calls held on the driver (at most ``most``), written in one batch; a failed flush keeps them."""
+    """Calls held on the driver (at most ``most``; the oldest go, counted and logged), written in one
+    batch; a failed flush keeps them."""
 
     def __init__(self, store: Store, most: int = 1000) -> None:
-        self.store, self.most, self.rows = store, most, []
+        self.store, self.most, self.rows, self.dropped = store, most, [], 0
+
+    def _hold(self, rows: list[dict]) -> None:
+        over = max(0, len(rows) - self.most)
+        if over:
+            self.dropped += over
+            log.warning("telemetry holds %d calls at most: %d dropped so far", self.most, self.dropped)
+        self.rows = rows[over:]
 
     def record(self, **call) -> None:
-        self.rows = [*self.rows, {"call_id": uuid.uuid4().hex} | call][-self.most:]
+        self._hold([*self.rows, {"call_id": uuid.uuid4().hex} | call])
 
     def flush(self) -> int:
         table, held = TABLES["gold.model_calls"], self.rows
@@ -104,5 +132,5 @@ class Telemetry:
             names = table.schema.fieldNames()
             return self.store.upsert(table, self.store.spark.createDataFrame([tuple(r.get(c) for c in names) for r in held], table.schema)) if held else 0
         except Exception:
-            self.rows = (held + self.rows)[-self.most:]
+            self._hold(held + self.rows)
             raise

@@ -14,6 +14,7 @@ class Table:
     columns: str
     keys: tuple[str, ...]
     change_feed: bool = False
+    bucket_by: tuple[str, ...] = ()
 
     @property
     def schema(self) -> StructType:
@@ -43,6 +44,9 @@ TABLES = {t.name: t for t in (
     Table("silver.daily_prices", f"ticker string, trade_date date, {_BAR}, volume bigint, vwap double", ("ticker", "trade_date")),
     Table("silver.news_articles", "article_id string, ticker string, published_at timestamp, title string, description string, publisher string, sentiment_label string, sentiment_score int, sentiment_reasoning string, embedding_text string, article_url string, doc_id string", ("article_id", "ticker"), True),
     Table("silver.news_recent", "article_id string, ticker string, published_at timestamp, title string, publisher string, sentiment_label string, sentiment_score int, article_url string, embedding_text string, doc_id string", ("article_id", "ticker"), True),
+    Table("gold.news_terms", "term string, doc_id string, ticker string, tf bigint, n bigint", ("term", "doc_id"), bucket_by=("term",)),
+    Table("gold.news_lengths", "doc_id string, ticker string, n bigint", ("doc_id",)),
+    Table("gold.index_state", "source string, version bigint, synced_at timestamp", ("source",)),
     Table("silver.daily_features", "ticker string, trade_date date, close double, volume bigint, log_return double, return_5d double, momentum_5d double, realized_vol_20d double, volume_zscore_20d double, s_t double, news_sentiment_3d double, news_count bigint", ("ticker", "trade_date")),
     Table("gold.regime_states", "ticker string, as_of_date date, prob_low_vol double, prob_high_vol double, low_vol_mean double, low_vol_sigma double, high_vol_mean double, high_vol_sigma double, current_news_signal double, model_used string, model_version string", ("ticker", "as_of_date")),
     Table("gold.forecast_runs", "forecast_id string, ticker string, generated_at timestamp, as_of_date date, horizon_days int, model_used string, current_price double, price_p10 double, price_p50 double, price_p90 double, return_p10 double, return_p50 double, return_p90 double, prob_positive double, prob_loss_gt_5pct double, prob_low_vol double, prob_high_vol double, n_paths int, seed bigint, model_version string", ("ticker", "as_of_date", "model_used")),

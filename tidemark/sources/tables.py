@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import copy
 import re
+import threading
+import time
+from collections.abc import Callable, Hashable
 from functools import lru_cache
 from pathlib import Path
 
@@ -27,9 +31,9 @@ def operational(spark: SparkSession, url: str, table: str, column: str, mark=Non
     return df if mark is None else df.where(F.col(column) >= F.lit(mark))
 
 
-def point_read(spark: SparkSession, sql: str, **args) -> list[dict]:
-    """Rows of a parameterised query (``:name`` markers) as dicts."""
-    return [r.asDict(recursive=True) for r in spark.sql(sql, args=args).collect()]
+def point_read(spark: SparkSession, sql: str, frames: dict[str, DataFrame] | None = None, **args) -> list[dict]:
+    """Rows of a parameterised query (``:name`` markers, ``{name}`` for frames) as dicts."""
+    return [r.asDict(recursive=True) for r in spark.sql(sql, args=args, **(frames or {})).collect()]
 
 
 def landed_pages(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
@@ -60,3 +64,53 @@ def section(conf: dict, name: str) -> dict:
     if not isinstance(found, dict):
         raise ValueError(f"section {name} must be a mapping")
     return found
+
+
+def overridden(conf: dict, name: str, **values) -> dict:
+    """A copy of the configuration with values of a section replaced; the one that was read stays as it is."""
+    out = copy.deepcopy(conf)
+    out[name] = section(out, name) | {k: v for k, v in values.items() if v is not None}
+    return out
+
+
+def pandas_of(df: DataFrame, column: str, value, order: str, most: int = 100_000):
+    """The rows of one key in order as pandas: a bounded read (a longer result is an error, not cut).  The
+    filter reaches the scan; whatever is to be done for all keys belongs into grouped tasks instead."""
+    rows = df.where(F.col(column) == value).orderBy(order).limit(most + 1).toPandas()
+    if len(rows) > most:
+        raise ValueError(f"{column} = {value!r} has more than {most} rows")
+    return rows
+
+
+class Cache:
+    """Results of bounded reads, each kept for ``seconds`` (10 minutes by default), ``most`` at a time.
+
+    A failed read isn't kept.  Readers of one key at the same time read once."""
+
+    def __init__(self, seconds: float = 600, most: int = 1000, clock: Callable[[], float] = time.monotonic) -> None:
+        self.seconds, self.most, self.clock = seconds, most, clock
+        self._held: dict[Hashable, tuple[float, object]] = {}
+        self._lock = threading.Lock()
+        self._busy: dict[Hashable, threading.Lock] = {}
+
+    def get(self, key: Hashable, read: Callable[[], object]):
+        with self._lock:
+            turn = self._busy.setdefault(key, threading.Lock())
+        with turn:
+            held = self._held.get(key)
+            if held is not None and self.clock() - held[0] < self.seconds:
+                return held[1]
+            value = read()
+            with self._lock:
+                self._held.pop(key, None)
+                self._held[key] = (self.clock(), value)
+                while len(self._held) > self.most:
+                    gone = next(iter(self._held))
+                    del self._held[gone]
+                    self._busy.pop(gone, None)
+            return value
+
+    def clear(self) -> None:
+        with self._lock:
+            self._held.clear()
+            self._busy.clear()
