@@ -257,6 +257,14 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_with_split_nodes(spark, monkeypatch):
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(shared, "HOT_KEYS", 2)
+    edges = [(500, i) for i in range(1, 30)] + [(501, 502), (502, 503)]
+    out = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert {out[i] for i in [500, *range(1, 30)]} == {1} and {out[i] for i in (501, 502, 503)} == {501}
+
+
 # -- lines ------------------------------------------------------------------------------
 def edit_distance(a, b):
     row = list(range(len(b) + 1))

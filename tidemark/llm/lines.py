@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import fits, join_on_hot_key, sliced, written
+from .shared import BATCH_ROWS, batches_of, fits, join_on_hot_key, sliced, written
 
 #: Edits at most, and characters of a line for each of them.
 EDITS, PER = 2, 12
@@ -332,9 +332,11 @@ def links(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     hot = met.where("b is null").select(F.col("a").alias("slot"))
     if not hot.isEmpty():
         pairs = pairs.unionByName(_hot_pairs(entries, hot, edits, block))
-    pairs = written(pairs.distinct(), "line_pairs")
+    with batches_of(docs.sparkSession, 8):  # of blocks, of half a MB each
+        pairs = written(pairs.distinct(), "line_pairs")
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = written(_texts_of(docs, lines.select("id", "doc_id", "line_no", *KEY).join(needed, "id", "left_semi")), "line_texts")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        texts = written(_texts_of(docs, lines.select("id", "doc_id", "line_no", *KEY).join(needed, "id", "left_semi")), "line_texts")
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +344,8 @@ def links(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
             keep = [within(x, y, int(allowed(min(len(x), len(y)), edits))) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return written(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "line_links")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        return written(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), "line_links")
 
 
 def judged_lines(docs: DataFrame, edits: int = EDITS, classes: bool = True) -> DataFrame:
@@ -352,7 +355,8 @@ def judged_lines(docs: DataFrame, edits: int = EDITS, classes: bool = True) -> D
     found = occurrences(docs, edits)
     lines = found.groupBy(*KEY).agg(F.min(F.struct("doc_id", "line_no")).alias("at"), *[F.first(c).alias(c) for c in ("parity", "segments", "probes")], F.count("*").alias("places"))
     # the id of a distinct line is its number in the written table; its place orders it
-    lines = written(lines.select(F.monotonically_increasing_id().alias("id"), *KEY, F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no"), "parity", "segments", "probes", "places"), "distinct_lines")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        lines = written(lines.select(F.monotonically_increasing_id().alias("id"), *KEY, F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no"), "parity", "segments", "probes", "places"), "distinct_lines")
     linked = links(docs, lines, edits)
     at = lines.select("id", F.struct("doc_id", "line_no").alias("at"))
     sides = linked.join(at.select(F.col("id").alias("a"), F.col("at").alias("at_a")), "a").join(at.select(F.col("id").alias("b"), F.col("at").alias("at_b")), "b")

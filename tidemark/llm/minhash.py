@@ -42,12 +42,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import fits, join_on_hot_key, sliced, written
+from .shared import BATCH_ROWS, batches_of, fits, join_on_hot_key, sliced, written
 
 SLOTS, MOST_ROWS, MISS = 256, 8, 1e-4
 BLOCK_ROWS, BLOCK_HASHES = 192, 400_000
-#: Members of a centre that one task confirms.
-MEMBERS = 512
+#: Members of a centre that one task confirms; block pairs, of some MB each, in one Arrow batch.
+MEMBERS, BLOCK_PAIRS = 512, 4
 #: Bytes of text whose hashes are computed at once.
 PIECE = 1 << 20
 
@@ -252,7 +252,8 @@ def _rest(grouped: DataFrame, open_: DataFrame, sets: DataFrame, percent: int) -
                 found = forest(*sets_of, batch.column(0)[k].as_py() == batch.column(1)[k].as_py(), ([r["part"] for r in xi], [r["part"] for r in xj]), percent)
                 yield pa.RecordBatch.from_pydict({"a": [xi[i]["node"] for i, _ in found], "b": [xj[j]["node"] for _, j in found]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    return written(pairs.mapInArrow(run, "a long, b long"), "rest_links")
+    with batches_of(grouped.sparkSession, BLOCK_PAIRS):
+        return written(pairs.mapInArrow(run, "a long, b long"), "rest_links")
 
 
 def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -263,8 +264,8 @@ def kept_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_repeated_id"], "left_anti")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept.  Links: 100 * intersection >= percent * union."""
+def _components_of_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, print, bands of all rows; print, component, copies of the sets that have company)."""
     drawn = written(sketches(docs, width, rows_for(percent)), "sketches")
     by_set = written(drawn.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets")
     reps = drawn.where("print is not null").join(by_set.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
@@ -293,7 +294,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         joined = joined.join(names.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
     second = components(joined)
     final = clusters.select("node").join(names, "node", "left").select("node", F.coalesce("label", "node").alias("half")).join(second.select(F.col("node").alias("half"), F.col("label").alias("top")), "half", "left").select(F.col("node").alias("rep"), F.coalesce("top", "half").alias("label")).where("rep <> label")
-    to = written(by_set.join(final, "rep", "left").where("copies > 1 or label is not null").select("print", F.coalesce("label", "rep").alias("component"), "copies"), "component_of_set")
+    return drawn, written(by_set.join(final, "rep", "left").where("copies > 1 or label is not null").select("print", F.coalesce("label", "rep").alias("component"), "copies"), "component_of_set")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept.  Links: 100 * intersection >= percent * union."""
+    with batches_of(docs.sparkSession, BATCH_ROWS):  # all that runs Python is written in here
+        drawn, to = _components_of_sets(docs, width, percent)
     out = join_on_hot_key(drawn.select("doc_id", "n_shingles", "print"), to, "print", "copies", F.col("doc_id"))
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

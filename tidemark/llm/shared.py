@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, Struc
 #: Rows and bytes that a Python worker works on at once (or one row).
 BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 #: A side of a join is broadcast only when it has been measured and has at most so many rows and bytes.
-BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 #: Keys of a join that hold more than 1 / HOT_KEYS of all rows are split.
 HOT_KEYS = 10_000
 
@@ -86,6 +86,18 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
                 yield part
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is run inside; the session's own setting comes back after it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
