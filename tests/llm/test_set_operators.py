@@ -353,10 +353,10 @@ def brute_classes(texts):
     return {p: name[x] for p, x in places.items() if often[x] > 1 or x in linked}
 
 
-@pytest.mark.parametrize(("hot", "block"), [(1024, 16_384), (3, 4)])
-def test_lines_against_brute_force(spark, join_way, monkeypatch, hot, block):
-    monkeypatch.setattr(lines, "HOT", hot)
-    monkeypatch.setattr(lines, "BLOCK", block)
+@pytest.mark.parametrize(("rows", "hot", "block"), [(100_000, 1024, 16_384), (2, 3, 4)])
+def test_lines_against_brute_force(spark, monkeypatch, rows, hot, block):
+    for module, name, value in ((shared, "BROADCAST_ROWS", rows), (lines, "HOT", hot), (lines, "BLOCK", block)):
+        monkeypatch.setattr(module, name, value)
     rng = random.Random(2)
     base = ["".join(rng.choice("abcd e") for _ in range(rng.randint(8, 60))) for _ in range(14)]
     texts = [None, "", "\n\n", "short\nshort", *["\n".join(changed(rng, rng.choice(base), 3) for _ in range(rng.randint(1, 5))) for _ in range(60)], "\n".join(base), "x" * 200_000 + "\nlast line is of its own kind"]
@@ -417,7 +417,7 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert out == sorted(want)
 
 
-@pytest.mark.parametrize("size", [1e4, 1e7, 2.0**53, 3e18])
+@pytest.mark.parametrize("size", [1e7, 3e18])
 def test_top_k_of_large_components(spark, size):
     rng = np.random.default_rng(5)
     x = np.floor(rng.normal(0, size / 4, (40, 3)))
