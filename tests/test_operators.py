@@ -22,6 +22,7 @@ from tidemark.streaming import ingest
 T = Table("t", "k bigint, v string", ("k",))
 
 
+# Dates, instants and scores below are golden values (fixed), as are the parameters of the two-regime series.
 # -- calendar and instants --------------------------------------------------------------
 @pytest.mark.parametrize(("day", "session"), [("2026-04-03", "2026-04-06"), ("2026-07-03", "2026-07-06"), ("2026-01-19", "2026-01-20"), ("2026-11-26", "2026-11-27")])
 def test_next_session_goldens(spark, day, session):

@@ -147,14 +147,14 @@ def test_daily_run_from_the_service(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in runs] == [("succeeded", len(tasks.DAILY) + 2)]
 
 
-def test_failures_of_a_daily_run(spark, monkeypatch):
+def test_failures_of_a_daily_run(spark, tmp_path, monkeypatch):
     from tidemark.plans import tasks
 
     class Ledgerless(Store):
         def upsert(self, table, source):
             return 0
 
-    with_lock, done = Ledgerless(spark, "file:///tmp/tidemark-test-lock"), []
+    with_lock, done = Ledgerless(spark, f"file://{tmp_path}"), []
     jobs = {n: (lambda _, conf, n=n: done.append(n) or 1) for n, _, _ in tasks.DAILY}
     monkeypatch.setattr(spark, "createDataFrame", lambda *a: None)
     with pytest.raises(ZeroDivisionError):

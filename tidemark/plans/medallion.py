@@ -20,6 +20,7 @@ from tidemark.operators.store import Store
 from tidemark.plans import forecasts
 from tidemark.schema import TABLES
 
+#: Fields of the service's rows (fixed values: its contract).
 BAR = "v double, vw double, o double, c double, h double, l double, t bigint, n bigint"
 ARTICLE = ("id string, publisher string, title string, author string, published_utc string, article_url string, tickers array<string>, image_url string, "
            "description string, keywords array<string>, insights array<struct<ticker:string,sentiment:string,sentiment_reasoning:string>>")
