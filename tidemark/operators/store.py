@@ -18,7 +18,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -185,7 +185,7 @@ class Store:
     def retain(self, table: Table, column: str, floor: date | datetime | int | str) -> None:
         """Rows before the floor go, nulls stay: noted in the manifest for the buckets there are.  Rows that come later aren't concerned."""
         self.require(table.name)
-        least = floor.isoformat(" ") if isinstance(floor, datetime) else floor.isoformat() if isinstance(floor, date) else floor
+        least = floor.astimezone(UTC).isoformat(timespec="microseconds") if isinstance(floor, datetime) else floor.isoformat() if isinstance(floor, date) else floor
         for attempt in range(TRIES):
             seen = self.versions(table.name)[-1]
             old = self._manifest(table.name, seen)
