@@ -423,6 +423,17 @@ def test_model_calls():
         model.call("other", [{"role": "user"}])
 
 
+def test_filters_answers_and_staged_rows(spark):
+    docs = tables.staged(spark, [(1, "A"), (2, "B"), (3, None)], "doc_id long, ticker string", "few_rows")
+    assert spark.sql("SELECT count(*) FROM few_rows").first()[0] == 3
+    ids = lambda doc: [r[0] for r in docs.where(search.filter_of(doc)).orderBy("doc_id").collect()]
+    assert [ids('{"ticker": "A"}'), ids('{"ticker": ["A", "B"], "doc_id": 2}'), ids('{"ticker": null}'), ids("{}"), ids('{"ticker": "A\' OR 1=1"}')] == [[1], [2], [3], [1, 2, 3], []]
+    with pytest.raises(ValueError):
+        search.filter_of("[1]")
+    answer = {"manifest": {"columns": [{"name": "title"}, {"name": "new"}, {"name": "url"}]}, "result": {"data_array": [["t", 1, "u"], ["short"]]}}
+    assert search.decoded(answer) == [{"title": "t", "new": 1, "url": "u"}, {"title": "short"}] and search.decoded({}) == []
+
+
 def test_cache_lifetime():
     now, reads = [0.0], []
     cache = tables.Cache(600, most=2, clock=lambda: now[0])

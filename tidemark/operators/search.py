@@ -6,6 +6,7 @@ were written once: a query then reads the asked terms' postings and the document
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +26,25 @@ def query_terms(query: str) -> list[str]:
     return sorted(set(re.findall(r"[^\W_]+", query.lower())))
 
 
+def filter_of(document: str) -> Column:
+    """The condition of a JSON filter document: each column equals its value or is one of a list; no column, no
+    condition.  Values are literals, never text of a query."""
+    given = json.loads(document or "{}")
+    if not isinstance(given, dict):
+        raise ValueError("a filter document is an object")
+    out = F.lit(True)
+    for name, value in given.items():
+        out = out & (F.col(name).isin(value) if isinstance(value, list) else F.col(name).eqNullSafe(F.lit(value)))
+    return out
+
+
+def decoded(response: dict) -> list[dict]:
+    """Rows of a service's answer by column name: names from its manifest, values in lists.  A row that is
+    shorter lacks its last columns; a column nobody expects goes with its own name."""
+    names = [c["name"] for c in (response.get("manifest") or {}).get("columns") or []]
+    return [dict(zip(names, row, strict=False)) for row in (response.get("result") or {}).get("data_array") or []]
+
+
 def clamp_k(k: int, most: int = 20) -> int:
     return max(1, min(int(k), most))
 

@@ -132,6 +132,8 @@ class Tools:
 
     def search_market_news(self, ticker: str, query: str, k: int = K) -> dict:
         """Articles of a ticker that fit a question best, with snippets."""
+        if not str(query or "").strip():
+            raise ToolError("the query is empty")
         recent = self.store.read(TABLES["silver.news_recent"])
         docs = recent.where(F.col("ticker") == _ticker(ticker)).withColumn("text", F.col("embedding_text"))
         indexed = self.store.exists("gold.news_terms") and search.query_terms(query)

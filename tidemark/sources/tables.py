@@ -36,6 +36,13 @@ def point_read(spark: SparkSession, sql: str, frames: dict[str, DataFrame] | Non
     return [r.asDict(recursive=True) for r in spark.sql(sql, args=args, **(frames or {})).collect()]
 
 
+def staged(spark: SparkSession, rows: list[tuple], schema: str, name: str) -> DataFrame:
+    """The driver's few rows as a view of the given name for SQL."""
+    df = spark.createDataFrame(rows, schema)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def landed_pages(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
     """Rows of landed response pages: the envelope's results, with its request id."""
     raw = spark.read.schema(f"request_id string, results array<struct<{_fields(row_schema)}>>").json(path, multiLine=True)
