@@ -219,11 +219,11 @@ def p15(spark, sf):
     return h.select("event_type", timeops.retention_floor(F.col("today"), 10).alias("floor"), timeops.window_start(F.col("today"), 10, F.col("oldest")).alias("start"), start.alias("slice_from"), end.alias("slice_to"))
 
 
-@query("p16_fetch_windows", "WITH m AS (SELECT c_custkey % 40 AS k, max(o_orderdate)::DATE AS held FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND c_custkey % 3 = 0 GROUP BY 1) SELECT k, least(coalesce(held, DATE '2000-01-01'), DATE '2001-06-30') AS fetch_from FROM m")
+@query("p16_fetch_windows", "WITH m AS (SELECT c_custkey % 40 AS k, max(o_orderdate) AS held FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND c_custkey % 3 = 0 GROUP BY 1) SELECT k, least(coalesce(held::DATE, DATE '2000-01-01'), DATE '2001-06-30') AS fetch_from, coalesce(held, TIMESTAMP '2000-01-01')::TIMESTAMP AS news_from FROM m")
 def p16(spark, sf):
     c, o = scan(spark, sf, "customer", ["c_custkey"]), scan(spark, sf, "orders", ["o_custkey", "o_orderdate"])
-    held = c.join(o, (F.col("o_custkey") == F.col("c_custkey")) & (F.col("c_custkey") % 3 == 0), "left").groupBy((F.col("c_custkey") % 40).alias("k")).agg(F.max("o_orderdate").cast("date").alias("held"))
-    return held.select("k", timeops.price_fetch_start(F.col("held"), F.lit(date(2000, 1, 1)), F.lit(date(2001, 6, 30))).alias("fetch_from"))
+    held = c.join(o, (F.col("o_custkey") == F.col("c_custkey")) & (F.col("c_custkey") % 3 == 0), "left").groupBy((F.col("c_custkey") % 40).alias("k")).agg(F.max("o_orderdate").cast("timestamp").alias("held"))
+    return held.select("k", timeops.price_fetch_start(F.col("held").cast("date"), F.lit(date(2000, 1, 1)), F.lit(date(2001, 6, 30))).alias("fetch_from"), timeops.news_fetch_start(F.col("held"), F.lit(date(2000, 1, 1))).cast("timestamp_ntz").alias("news_from"))
 
 
 # -- joins ------------------------------------------------------------------------------
@@ -502,9 +502,9 @@ def f_scores(spark, sf):
     return rounded(fc.scored(forecasts(spark, sf)).select("forecast_id", "brier", "abs_error", "covered_80"), 10)
 
 
-@query("f_display", f"SELECT forecast_id, printf('%.1f%%', prob_positive * 100) AS percent, CASE WHEN forecast_id % 6 = 0 THEN '—' ELSE '$' || printf('%.2f', p90) END AS money FROM ({FORECASTS}) f")
+@query("f_display", f"SELECT forecast_id, printf('%.1f%%', prob_positive * 100) AS percent, printf('%+.1f%%', p50 * 100) AS signed, format('{{:,}}', forecast_id) AS number, printf('%.3f', prob_positive) AS fixed, CASE WHEN forecast_id % 6 = 0 THEN '—' ELSE '$' || printf('%.2f', p90) END AS money FROM ({FORECASTS}) f")
 def f_display(spark, sf):
-    return forecasts(spark, sf).select("forecast_id", numeric.percent(F.col("prob_positive")).alias("percent"), numeric.money(F.when(F.col("forecast_id") % 6 != 0, F.col("p90"))).alias("money"))
+    return forecasts(spark, sf).select("forecast_id", numeric.percent(F.col("prob_positive")).alias("percent"), numeric.percent(F.col("p50"), signed=True).alias("signed"), numeric.number(F.col("forecast_id")).alias("number"), numeric.fixed(F.col("prob_positive"), 3).alias("fixed"), numeric.money(F.when(F.col("forecast_id") % 6 != 0, F.col("p90"))).alias("money"))
 
 
 @query("f_insights", "SELECT conv_id, upper(trim(t)) AS ticker, lower(trim(s)) AS sentiment FROM (SELECT conv_id, unnest([role, NULL, ' x ']) AS t, unnest([' Positive', 'negative', 'Mixed ']) AS s FROM conversations WHERE turn > 0) WHERE t IS NOT NULL")
