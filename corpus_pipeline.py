@@ -35,9 +35,11 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
-    own = F.struct(*[docs[c] for c in docs.columns]).alias("own")  # columns may have any name, so they travel as one
-    judged = langid.identify(docs.select(own, "doc_id", "text", "lang"))
-    return judged.where((F.col("lang_pred") != langid.UNDECIDED) & (F.col("score") >= LEAST_SCORE)).select("own.*")
+    # the operator's own columns replace those of their names, so these travel under others
+    free = "_" * (1 + max(map(len, docs.columns)))
+    held = docs.toDF(*[free + c if c in ("lang_pred", "score") else c for c in docs.columns])
+    judged = langid.identify(held).where((F.col("lang_pred") != langid.UNDECIDED) & (F.col("score") >= LEAST_SCORE))
+    return judged.select(*[F.col(h).alias(c) for h, c in zip(held.columns, docs.columns, strict=True)])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
