@@ -108,3 +108,10 @@ def test_query_equals_sql(spark, name):
 def test_every_operator_has_a_query():
     numbers = {int(re.match(r"op(\d+)_", n)[1]) for n in registry.QUERIES}
     assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
+
+
+def test_language_stage_keeps_columns_of_its_own_names(spark):
+    rows = [(k, f"The words of document {k} are its own and plain.", "en", f"p{k}", 7.5, "x") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double, _score string")
+    out = corpus_pipeline.language(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == rows
