@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, lines, minhash, pii, topk, toxicity, url_rules, warc
+from . import bpe, codes, decontaminate, langid, lines, merkle, minhash, mixing, pii, topk, toxicity, url_rules, warc
 from .shared import table
 
 
@@ -50,7 +50,26 @@ def op10_pii(spark, sf_dir):
     return pii.digest(pii.sanitise(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity, "op9_top_k": op9_top_k, "op10_pii": op10_pii, "op3_decontaminate": op3_decontaminate, "op4_language_id": op4_language_id, "op5_byte_bpe": op5_byte_bpe}
+def op11_vector_codes(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    # a tampered row: text in lower case where 3 divides the number's checksum
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_of(*map(F.col, merkle.COLUMNS[:-1]), F.translate("text", UPPER, UPPER.lower())))
+    proven = merkle.manifest(docs, carry={"tampered": tampered})
+    out = proven.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return out.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_mixing(spark, sf_dir):
+    out = mixing.taken(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+QUERIES = {"op1_url_filters": op1_url_filters, "op2_warc": op2_warc, "op6_minhash": op6_minhash, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity, "op9_top_k": op9_top_k, "op10_pii": op10_pii, "op3_decontaminate": op3_decontaminate, "op4_language_id": op4_language_id, "op5_byte_bpe": op5_byte_bpe, "op11_vector_codes": op11_vector_codes, "op12_merkle_manifest": op12_merkle_manifest, "op13_mixing": op13_mixing}
 #: SQL for A-Z lower-cased only.
 FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -100,4 +119,76 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op2_warc": OP2_SQL, "op6_minhash": OP6_SQL, "op9_top_k": OP9_SQL, "op3_decontaminate": OP3_SQL}
+#: One round of assignment and one of moved entries, after the codebooks of round {0}.
+_ASSIGNED = """
+a{0} AS MATERIALIZED (SELECT vec_id, label, part, v, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+  SELECT x.vec_id, x.label, x.part, x.v, b.e, list_sum(list_transform(list_zip(x.v, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT AS d
+  FROM x JOIN b{0} b ON b.part = x.part) GROUP BY vec_id, label, part, v)"""
+_MOVED = """
+m{0} AS (SELECT part, e, i, sum(v[i])::HUGEINT AS s, count(*) AS n FROM (SELECT part, e, v, unnest(range(1, len(v) + 1)) AS i FROM a{0}) GROUP BY part, e, i),
+f{0} AS (SELECT part, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM m{0} GROUP BY part, e),
+b{1} AS MATERIALIZED (SELECT b.part, b.e, coalesce(f.c, b.c) AS c FROM b{0} b LEFT JOIN f{0} f ON f.part = b.part AND f.e = b.e)"""
+
+OP11_SQL = f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT vec_id, label, part, v[part * w + 1:(part + 1) * w] AS v FROM (SELECT *, len(v) // 16 AS w, unnest(range(16)) AS part FROM k)),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k QUALIFY e < 64),
+b0 AS MATERIALIZED (SELECT part, e, v AS c FROM x JOIN s USING (vec_id)),{_ASSIGNED.format(0)},{_MOVED.format(0, 1)},{_ASSIGNED.format(1)},{_MOVED.format(1, 2)},{_ASSIGNED.format(2)},
+t AS (SELECT vec_id, label, string_agg(lower(printf('%02x', e)), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id, label),
+g AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS h FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT h FROM g) AS codebooks_sha256 FROM t
+"""
+
+#: Levels of the SQL's trees: enough for 8 ** 8 rows a language and 8 ** 3 languages.
+_LEVELS, _TOPS = 8, 3
+
+
+def _op12_sql() -> str:
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+    crc = "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_prepend(unicode(c)::BIGINT, [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+
+    def tree(name: str, levels: int) -> str:
+        up = "{n}{j} AS MATERIALIZED (SELECT g, pos // 8 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h, (any_value(n) + 7) // 8 AS n FROM {n}{i} GROUP BY g, pos // 8)"
+        return ", ".join(up.format(n=name, i=i, j=i + 1) for i in range(levels))
+
+    def climb(start: str, name: str, levels: int, out: str) -> str:
+        parts, last = [], start
+        for i in range(levels):
+            parts.append(f"""{out}{i} AS MATERIALIZED (SELECT p.rid, p.g, p.pos // 8 AS pos,
+  p.proof || coalesce(string_agg(q.h, '' ORDER BY q.pos) FILTER (q.pos <> p.pos), '') AS proof,
+  CASE WHEN any_value(q.n) = 1 THEN p.cur ELSE sha256(string_agg(CASE WHEN q.pos = p.pos THEN p.cur ELSE q.h END, '' ORDER BY q.pos)) END AS cur
+  FROM {last} p JOIN {name}{i} q ON q.g = p.g AND q.pos // 8 = p.pos // 8 GROUP BY p.rid, p.g, p.pos, p.proof, p.cur)""")
+            last = f"{out}{i}"
+        return ", ".join(parts)
+
+    return f"""
+WITH d AS (SELECT doc_id, coalesce('v' || lang, 'n') AS g, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(FOLDED)} END AS changed FROM documents),
+r AS MATERIALIZED (SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+l0 AS (SELECT g, pos, leaf AS h, n FROM r), {tree('l', _LEVELS)},
+t0 AS MATERIALIZED (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS pos, h, count(*) OVER () AS n, g AS lang FROM l{_LEVELS}), {tree('t', _TOPS)},
+c AS (SELECT rid, g, pos, '' AS proof, coalesce(changed, leaf) AS cur FROM r), {climb('c', 'l', _LEVELS, 'u')},
+e AS (SELECT u.rid, '' AS g, t0.pos, u.proof, u.cur FROM u{_LEVELS - 1} u JOIN t0 ON t0.lang = u.g), {climb('e', 't', _TOPS, 'w')}
+SELECT r.doc_id, r.leaf, t0.h AS subroot, z.h AS root, sha256(w.proof) AS proof_sha256, w.cur AS folded_root, w.cur = z.h AS verified
+FROM r JOIN w{_TOPS - 1} w USING (rid) JOIN t0 ON t0.lang = r.g JOIN t{_TOPS} z ON true
+"""
+
+
+OP12_SQL = _op12_sql()
+
+# the sources in order of their cap for a weight: those before the first that isn't above its part are held at it
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+             ('0x' || substr(sha256('mixture:' || coalesce(doc_id::VARCHAR, 'text:' || text, 'none')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS n, ([3, 1, 2])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+o AS (SELECT *, coalesce(sum(2 * n) OVER (ORDER BY n::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+             sum(w) OVER (ORDER BY n::DOUBLE / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free, sum(n) OVER () AS total FROM s),
+f AS (SELECT held, free, total FROM o WHERE 2 * n * 2 * free >= (3 * total - 2 * held) * w ORDER BY held, free DESC LIMIT 1),
+t AS (SELECT s.source, s.n, least(2.0::DOUBLE * s.n, ((3 * f.total - 2 * f.held) / 2.0::DOUBLE) * s.w / f.free::DOUBLE) AS target FROM s LEFT JOIN f ON true),
+q AS (SELECT *, CASE WHEN n > 0 THEN least(target / n, 2.0::DOUBLE) ELSE 0.0::DOUBLE END AS rate FROM t)
+SELECT doc_id, size, n AS source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+"""
+
+ORACLE: dict[str, str] = {"op2_warc": OP2_SQL, "op6_minhash": OP6_SQL, "op9_top_k": OP9_SQL, "op3_decontaminate": OP3_SQL, "op11_vector_codes": OP11_SQL, "op12_merkle_manifest": OP12_SQL, "op13_mixing": OP13_SQL}

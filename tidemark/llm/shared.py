@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
@@ -139,3 +139,24 @@ def join_on_hot_key(big: DataFrame, small: DataFrame, key: str, weight: str, sal
     joined = dealt.drop("_hash", "_parts").join(repeated.drop("_hash", "_parts"), [key, "_salt"], how)
     return joined.drop("_salt").select(*big.columns, *[c for c in small.columns if c not in (key, weight)])
 
+
+
+def placed(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``rows`` with pos, a row's place from 0 in its group by the ``order`` columns (nulls first), and n, the group's rows.
+
+    One range sort on (group, order), written with running numbers; the groups' counts in its partitions
+    give the rest, so a group may have any size.  Equal rows have no order among themselves, and are dealt
+    over partitions too.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (group, *order, "_tie")]
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the upper bits of the number are the partition's, the lower 33 bits count its rows
+    numbered = written(dealt.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), "placed")
+    part = F.shiftright("_at", 33).alias("_part")
+    parts = numbered.groupBy(part, group).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_count"))
+    of = Window.partitionBy(group)
+    before = F.coalesce(F.sum("_count").over(of.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = written(parts.select("_part", group, (before - F.col("_first")).alias("_start"), F.sum("_count").over(of).alias("n")), "starts")
+    starts = F.broadcast(starts) if fits(starts) else starts
+    out = numbered.withColumn("_part", part).join(starts, ["_part", group])
+    return out.select(*rows.columns, (F.col("_start") + F.col("_at")).alias("pos"), "n")
