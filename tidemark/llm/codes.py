@@ -117,7 +117,8 @@ def _assigned(column: pa.Array, books: list[Book], dims: int, scale: int) -> Ite
     width = dims // PARTS
     for numbers, x in integers(column, dims, scale):
         for start in range(0, len(numbers), ROWS):
-            some = x[start:start + ROWS].reshape(-1, PARTS, width)
+            some = x[start:start + ROWS]
+            some = some.reshape(len(some), PARTS, width)
             found = [nearest(some[:, p], book) for p, book in enumerate(books)]
             error = sum((e.astype(object) if e.dtype == object else e for _, e in found), np.zeros(len(some), np.int64))
             yield numbers[start:start + ROWS], some, np.stack([i for i, _ in found], axis=1), error

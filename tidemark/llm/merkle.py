@@ -35,7 +35,6 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from .shared import placed, written
 
 FANOUT, LEVELS = 8, 4
-BLOCK = FANOUT**LEVELS
 #: Characters of a digest.
 WIDTH = 64
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -69,10 +68,10 @@ def _matrix(digests: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer("".join(digests.to_pylist()).encode(), np.uint8).reshape(-1, WIDTH)
 
 
-def levels_of(nodes: np.ndarray, of: int) -> list[np.ndarray]:
+def levels_of(nodes: np.ndarray, of: int, levels: int = LEVELS) -> list[np.ndarray]:
     """The levels of a block (rows of digests) of a group of ``of`` nodes, lowest first."""
     out = [nodes]
-    while len(out) <= LEVELS if of > BLOCK else len(out[-1]) > 1:
+    while len(out) <= levels if of > FANOUT**levels else len(out[-1]) > 1:
         below = out[-1]
         whole = len(below) // FANOUT
         runs = [*below[:whole * FANOUT].reshape(whole, FANOUT * WIDTH)] + ([below[whole * FANOUT:]] if len(below) % FANOUT else [])
@@ -95,30 +94,34 @@ def _ordered(block: pa.Table) -> pa.Table:
     return block.take(pa.array(np.argsort(block.column("pos").to_numpy(), kind="stable")))
 
 
-def _top(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
-    group, of, number = (k.as_py() for k in key)
-    top = levels_of(_matrix(_ordered(block).column("digest")), of)[-1]
-    return pa.table({"g": [group], "pos": [number], "n": [-(-of // BLOCK)], "digest": [top.tobytes().decode()]})
-
-
-def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def _climb(nodes: DataFrame, levels: int) -> tuple[list[DataFrame], DataFrame]:
     """The tiers of every group's tree, lowest first, and its root (g, pos 0, n 1, digest)."""
+    def top(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
+        group, of, number = (k.as_py() for k in key)
+        digest = levels_of(_matrix(_ordered(block).column("digest")), of, levels)[-1]
+        return pa.table({"g": [group], "pos": [number], "n": [-(-of // FANOUT**levels)], "digest": [digest.tobytes().decode()]})
+
     tiers = [nodes]
     while True:
-        tops = tiers[-1].groupBy("g", "n", F.floor(F.col("pos") / BLOCK).alias("block")).applyInArrow(_top, "g string, pos long, n long, digest string")
+        tops = tiers[-1].groupBy("g", "n", _block(levels)).applyInArrow(top, "g string, pos long, n long, digest string")
         tops = written(tops, "merkle_tier")
         if not tops.where("n > 1").head(1):
             return tiers, tops
         tiers.append(tops)
 
 
-def _prove(block: pa.Table, above: pa.Table) -> pa.Table:
+def _block(levels: int) -> Column:
+    return F.floor(F.col("pos") / FANOUT**levels).alias("block")
+
+
+def _proven(block: pa.Table, above: pa.Table, levels: int) -> pa.Table:
+    """A block's rows with subroot and proof; above: the one row of the block's top."""
     block = _ordered(block)
     upper = above.column("proof").to_pylist()[0]
-    levels = levels_of(_matrix(block.column("digest")), block.column("n")[0].as_py())
+    nodes = levels_of(_matrix(block.column("digest")), block.column("n")[0].as_py(), levels)
     at = np.arange(block.num_rows)
-    steps = [siblings(nodes, at // FANOUT**k) for k, nodes in enumerate(levels[:-1])]
-    slots = np.concatenate([np.stack([s for s, _ in steps], 1) if steps else np.zeros((len(at), 0), np.int64), np.tile(np.array([u["slot"] for u in upper], np.int64), (len(at), 1))], 1)
+    steps = [siblings(level, at // FANOUT**k) for k, level in enumerate(nodes[:-1])]
+    slots = np.stack([*(s for s, _ in steps), *(np.full(len(at), u["slot"]) for u in upper)], 1) if steps or upper else np.zeros((len(at), 0), np.int64)
     tail = [u["others"].encode() for u in upper]
     others = [o for i in range(len(at)) for o in (*(s[i] for _, s in steps), *tail)]
     values = pa.StructArray.from_arrays([pa.array(slots.ravel(), pa.int32()), pa.array(others, pa.string())], ["slot", "others"])
@@ -127,27 +130,26 @@ def _prove(block: pa.Table, above: pa.Table) -> pa.Table:
     return block.drop_columns(["block"]).append_column("subroot", root).append_column("proof", proof)
 
 
-def _descend(tiers: Sequence[DataFrame], above: DataFrame) -> DataFrame:
+def _descend(tiers: Sequence[DataFrame], above: DataFrame, levels: int) -> DataFrame:
     """The lowest tier's rows with subroot and proof; above: those of the roots (g, pos, subroot, proof)."""
     for tier in reversed(tiers):
         schema = StructType([*tier.schema.fields, StructField("subroot", StringType()), StructField("proof", PROOF)])
-        blocks = tier.withColumn("block", F.floor(F.col("pos") / BLOCK))
         over = above.select("g", F.col("pos").alias("block"), "subroot", "proof")
-        above = blocks.groupBy("g", "block").cogroup(over.groupBy("g", "block")).applyInArrow(_prove, schema)
+        above = tier.withColumn("block", _block(levels)).groupBy("g", "block").cogroup(over.groupBy("g", "block")).applyInArrow(lambda b, a: _proven(b, a, levels), schema)
     return above
 
 
-def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "lang", order: str = "doc_id", carry: Mapping[str, Column] | None = None) -> DataFrame:
+def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "lang", order: str = "doc_id", carry: Mapping[str, Column] | None = None, levels: int = LEVELS) -> DataFrame:
     """The order column, the ``carry`` columns (of ``docs``), leaf, subroot, root and proof of every row."""
     carry = dict(carry or {})
     # keys of groups ascend with null first; the names of carried columns can't meet the operator's own
     key = F.coalesce(F.concat(F.lit("v"), F.col(group).cast("string")), F.lit("n"))
     rows = docs.select(key.alias("g"), F.col(order).alias("_order"), leaf_of(*[F.col(c) for c in columns]).alias("digest"), *[c.alias(f"_carry_{name}") for name, c in carry.items()])
-    tiers, subroots = _climb(placed(rows, "g", ["_order", "digest"]))
+    tiers, subroots = _climb(placed(rows, "g", ["_order", "digest"]), levels)
     tops = placed(subroots.select(F.lit("").alias("g"), F.col("g").alias("of"), "digest"), "g", ["of"])
-    over, roots = _climb(tops)
+    over, roots = _climb(tops, levels)
     found = roots.head(1)
     start = roots.select("g", "pos", F.col("digest").alias("subroot"), F.array().cast(PROOF).alias("proof"))
-    above = written(_descend(over, start).select(F.col("of").alias("g"), F.lit(0).cast("long").alias("pos"), F.col("digest").alias("subroot"), "proof"), "merkle_subroots")
-    proven = _descend(tiers, above)
+    above = written(_descend(over, start, levels).select(F.col("of").alias("g"), F.lit(0).cast("long").alias("pos"), F.col("digest").alias("subroot"), "proof"), "merkle_subroots")
+    proven = _descend(tiers, above, levels)
     return proven.select(F.col("_order").alias(order), *[F.col(f"_carry_{name}").alias(name) for name in carry], F.col("digest").alias("leaf"), "subroot", F.lit(found[0]["digest"] if found else None).cast("string").alias("root"), "proof")

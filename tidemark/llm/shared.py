@@ -158,5 +158,6 @@ def placed(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     before = F.coalesce(F.sum("_count").over(of.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = written(parts.select("_part", group, (before - F.col("_first")).alias("_start"), F.sum("_count").over(of).alias("n")), "starts")
     starts = F.broadcast(starts) if fits(starts) else starts
-    out = numbered.withColumn("_part", part).join(starts, ["_part", group])
+    starts = starts.withColumnRenamed(group, "_of")
+    out = numbered.join(starts, (F.shiftright("_at", 33) == F.col("_part")) & F.col(group).eqNullSafe(F.col("_of")))
     return out.select(*rows.columns, (F.col("_start") + F.col("_at")).alias("pos"), "n")
