@@ -167,7 +167,7 @@ def test_manifest_equals_plain(spark, join_way, monkeypatch, n):
 def test_manifest_of_many_groups_and_tiers(spark, monkeypatch):
     # blocks of 64 nodes: the hot group takes three tiers, the groups two
     whole = merkle.manifest
-    monkeypatch.setattr(merkle, "manifest", lambda docs, carry: whole(docs, carry=carry, levels=2))
+    monkeypatch.setattr(merkle, "manifest", lambda docs, claimed: whole(docs, claimed=claimed, levels=2))
     rows = some_docs(4_200, ["hot"]) + some_docs(130, [f"l{i}" for i in range(90)], 2) + some_docs(65, ["m"], 3)
     assert query12(spark, rows, monkeypatch) == plain_manifest(rows)
 
@@ -182,9 +182,11 @@ def test_manifest_edges(spark, monkeypatch):
 
 def test_proof_tells_a_changed_leaf(spark):
     rows = some_docs(200, ["en", "fr"])
-    out = merkle.manifest(spark.createDataFrame(rows, ", ".join(DOCS.split(", ")[:5])))
+    out = merkle.manifest(spark.createDataFrame(rows, ", ".join(DOCS.split(", ")[:5])), proofs=True)
     folded = out.select((merkle.folded(F.col("leaf"), F.col("proof")) == F.col("root")).alias("ok"), (merkle.folded(F.sha2("leaf", 256), F.col("proof")) == F.col("root")).alias("bad"))
     assert [tuple(r) for r in folded.distinct().collect()] == [(True, False)]
+    told = out.select((F.sha2(F.concat_ws("", F.col("proof.others")), 256) == F.col("proof_sha256")).alias("p"), (F.col("folded_root") == F.col("root")).alias("f"))
+    assert [tuple(r) for r in told.distinct().collect()] == [(True, True)]
 
 
 # -- mixtures ---------------------------------------------------------------------------

@@ -13,7 +13,8 @@ tier: index arithmetic gives the siblings of all nodes of a block, and what is a
 So no task holds more than a block, however large a group is, and each tier is written to the shared folder.
 
 A proof is an array of (slot, others), lowest level first: the node's place in its run and the run's other
-digests from left to right.  ``folded`` recomputes a root from a leaf and its proof by built-in functions.
+digests from left to right.  ``folded`` recomputes a root from a leaf and its proof by built-in functions; a proof is some KB, so digests of it
+are made in the block's task, and proofs themselves leave it only on request.
 
 Edge cases: nulls in any column are part of the leaf (an empty text is ``0:``, unlike null); rows without order
 value come first; rows with equal order values follow by leaf, so equal rows may take each other's proof;
@@ -24,7 +25,7 @@ is its own leaf; an empty table has no rows and no root (None); further columns
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -59,11 +60,6 @@ def folded(leaf: Column, proof: Column) -> Column:
     return F.aggregate(proof, leaf, up)
 
 
-def proof_digest(proof: Column) -> Column:
-    """H of a proof's siblings."""
-    return F.sha2(F.concat_ws("", proof["others"]), 256)
-
-
 def _matrix(digests: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer("".join(digests.to_pylist()).encode(), np.uint8).reshape(-1, WIDTH)
 
@@ -114,42 +110,67 @@ def _block(levels: int) -> Column:
     return F.floor(F.col("pos") / FANOUT**levels).alias("block")
 
 
-def _proven(block: pa.Table, above: pa.Table, levels: int) -> pa.Table:
-    """A block's rows with subroot and proof; above: the one row of the block's top."""
+def _proven(block: pa.Table, above: pa.Table, levels: int) -> tuple[pa.Table, list[list[tuple[int, bytes]]]]:
+    """A block's rows with their subroot, and each row's proof; above: the one row of the block's top."""
     block = _ordered(block)
-    upper = above.column("proof").to_pylist()[0]
     nodes = levels_of(_matrix(block.column("digest")), block.column("n")[0].as_py(), levels)
     at = np.arange(block.num_rows)
     steps = [siblings(level, at // FANOUT**k) for k, level in enumerate(nodes[:-1])]
-    slots = np.stack([*(s for s, _ in steps), *(np.full(len(at), u["slot"]) for u in upper)], 1) if steps or upper else np.zeros((len(at), 0), np.int64)
-    tail = [u["others"].encode() for u in upper]
-    others = [o for i in range(len(at)) for o in (*(s[i] for _, s in steps), *tail)]
-    values = pa.StructArray.from_arrays([pa.array(slots.ravel(), pa.int32()), pa.array(others, pa.string())], ["slot", "others"])
-    proof = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * slots.shape[1], pa.int32()), values)
+    tail = [(u["slot"], u["others"].encode()) for u in above.column("proof").to_pylist()[0]]
+    own = zip(*(zip(slot.tolist(), others, strict=True) for slot, others in steps), strict=True) if steps else [()] * len(at)
     root = pa.array([above.column("subroot")[0].as_py()] * len(at), pa.string())
-    return block.drop_columns(["block"]).append_column("subroot", root).append_column("proof", proof)
+    return block.drop_columns(["block"]).append_column("subroot", root), [[*some, *tail] for some in own]
+
+
+def _arrow(proofs: list[list[tuple[int, bytes]]]) -> pa.Array:
+    flat = [step for proof in proofs for step in proof]
+    values = pa.StructArray.from_arrays([pa.array([s for s, _ in flat], pa.int32()), pa.array([o for _, o in flat], pa.string())], ["slot", "others"])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, proofs)]), pa.int32()), values)
+
+
+def _told(leaf: str, proof: list[tuple[int, bytes]]) -> tuple[str, str]:
+    """H of a proof's siblings, and the root that a leaf and the proof give."""
+    digest, all_others = leaf.encode(), hashlib.sha256()
+    for slot, others in proof:
+        all_others.update(others)
+        digest = hashlib.sha256(others[:slot * WIDTH] + digest + others[slot * WIDTH:]).hexdigest().encode()
+    return all_others.hexdigest(), digest.decode()
+
+
+def _descend(tiers: Sequence[DataFrame], above: DataFrame, levels: int, claimed: str | None = None, proofs: bool = True) -> DataFrame:
+    """The lowest tier's rows with subroot and, if asked for, proof; with a ``claimed`` column also proof_sha256 and
+    folded_root, which that leaf gives.  above: the roots (g, pos, subroot, proof)."""
+    def prove(lowest: bool):
+        def run(block: pa.Table, over: pa.Table) -> pa.Table:
+            out, found = _proven(block, over, levels)
+            if lowest and claimed:
+                told = [_told(leaf, proof) for leaf, proof in zip(out.column(claimed).to_pylist(), found, strict=True)]
+                out = out.append_column("proof_sha256", pa.array([p for p, _ in told], pa.string())).append_column("folded_root", pa.array([f for _, f in told], pa.string()))
+            return out.append_column("proof", _arrow(found)) if proofs or not lowest else out
 
+        return run
 
-def _descend(tiers: Sequence[DataFrame], above: DataFrame, levels: int) -> DataFrame:
-    """The lowest tier's rows with subroot and proof; above: those of the roots (g, pos, subroot, proof)."""
+    text = lambda *names: [StructField(n, StringType()) for n in names]
     for tier in reversed(tiers):
-        schema = StructType([*tier.schema.fields, StructField("subroot", StringType()), StructField("proof", PROOF)])
+        lowest = tier is tiers[0]
+        fields = [*tier.schema.fields, *text("subroot", *(["proof_sha256", "folded_root"] if lowest and claimed else [])), *([StructField("proof", PROOF)] if proofs or not lowest else [])]
         over = above.select("g", F.col("pos").alias("block"), "subroot", "proof")
-        above = tier.withColumn("block", _block(levels)).groupBy("g", "block").cogroup(over.groupBy("g", "block")).applyInArrow(lambda b, a: _proven(b, a, levels), schema)
+        above = tier.withColumn("block", _block(levels)).groupBy("g", "block").cogroup(over.groupBy("g", "block")).applyInArrow(prove(lowest), StructType(fields))
     return above
 
 
-def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "lang", order: str = "doc_id", carry: Mapping[str, Column] | None = None, levels: int = LEVELS) -> DataFrame:
-    """The order column, the ``carry`` columns (of ``docs``), leaf, subroot, root and proof of every row."""
-    carry = dict(carry or {})
-    # keys of groups ascend with null first; the names of carried columns can't meet the operator's own
+def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "lang", order: str = "doc_id", claimed: Column | None = None, proofs: bool = False, levels: int = LEVELS) -> DataFrame:
+    """The order column, leaf, subroot, root, proof_sha256 (H of the proof's siblings) and folded_root of every row, and with
+    ``proofs`` the proof.  folded_root is what the ``claimed`` leaf (null: the row's own) gives with the proof."""
+    # keys of groups ascend with null first
     key = F.coalesce(F.concat(F.lit("v"), F.col(group).cast("string")), F.lit("n"))
-    rows = docs.select(key.alias("g"), F.col(order).alias("_order"), leaf_of(*[F.col(c) for c in columns]).alias("digest"), *[c.alias(f"_carry_{name}") for name, c in carry.items()])
+    leaf = leaf_of(*map(F.col, columns))
+    rows = docs.select(key.alias("g"), F.col(order).alias("_order"), leaf.alias("digest"), (leaf if claimed is None else F.coalesce(claimed, leaf)).alias("claimed"))
     tiers, subroots = _climb(placed(rows, "g", ["_order", "digest"]), levels)
-    tops = placed(subroots.select(F.lit("").alias("g"), F.col("g").alias("of"), "digest"), "g", ["of"])
-    over, roots = _climb(tops, levels)
+    over, roots = _climb(placed(subroots.select(F.lit("").alias("g"), F.col("g").alias("of"), "digest"), "g", ["of"]), levels)
     found = roots.head(1)
     start = roots.select("g", "pos", F.col("digest").alias("subroot"), F.array().cast(PROOF).alias("proof"))
     above = written(_descend(over, start, levels).select(F.col("of").alias("g"), F.lit(0).cast("long").alias("pos"), F.col("digest").alias("subroot"), "proof"), "merkle_subroots")
-    proven = _descend(tiers, above, levels)
-    return proven.select(F.col("_order").alias(order), *[F.col(f"_carry_{name}").alias(name) for name in carry], F.col("digest").alias("leaf"), "subroot", F.lit(found[0]["digest"] if found else None).cast("string").alias("root"), "proof")
+    proven = _descend(tiers, above, levels, "claimed", proofs)
+    root = F.lit(found[0]["digest"] if found else None).cast("string").alias("root")
+    return proven.select(F.col("_order").alias(order), F.col("digest").alias("leaf"), "subroot", root, "proof_sha256", "folded_root", *(["proof"] if proofs else []))

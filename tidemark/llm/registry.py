@@ -58,9 +58,8 @@ def op12_merkle_manifest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     # a tampered row: text in lower case where 3 divides the number's checksum
     tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_of(*map(F.col, merkle.COLUMNS[:-1]), F.translate("text", UPPER, UPPER.lower())))
-    proven = merkle.manifest(docs, carry={"tampered": tampered})
-    out = proven.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof")))
-    return out.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+    out = merkle.manifest(docs, claimed=tampered)
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
 def op13_mixing(spark, sf_dir):
