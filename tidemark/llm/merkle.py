@@ -166,7 +166,8 @@ def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "la
     key = F.coalesce(F.concat(F.lit("v"), F.col(group).cast("string")), F.lit("n"))
     leaf = leaf_of(*map(F.col, columns))
     rows = docs.select(key.alias("g"), F.col(order).alias("_order"), leaf.alias("digest"), (leaf if claimed is None else F.coalesce(claimed, leaf)).alias("claimed"))
-    tiers, subroots = _climb(placed(rows, "g", ["_order", "digest"]), levels)
+    # written first: the range sort looks at its rows twice, texts are read and hashed once
+    tiers, subroots = _climb(placed(written(rows, "merkle_leaves"), "g", ["_order", "digest"]), levels)
     over, roots = _climb(placed(subroots.select(F.lit("").alias("g"), F.col("g").alias("of"), "digest"), "g", ["of"]), levels)
     found = roots.head(1)
     start = roots.select("g", "pos", F.col("digest").alias("subroot"), F.array().cast(PROOF).alias("proof"))
