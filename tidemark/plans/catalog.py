@@ -8,11 +8,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import exchange, numeric, text, timeops
-from tidemark.operators import features, merge, search
+from tidemark.operators import features, merge, search, vectors
 from tidemark.plans import forecasts as fc
 from tidemark.plans.registry import query
 from tidemark.plans.standins import ARTICLES, BARS, DATES, FEATURES, FORECASTS, FROM, MODELS, NEWS, NY, PRICES, SCORE, TO, articles, bars, daily, damped, forecasts, news, operational, prices, rounded
-from tidemark.sources.tables import point_read, scan
+from tidemark.sources.tables import point_read, scan, working_folder
 
 MARK = datetime(2024, 1, 15)
 FEATURE_COLUMNS = "ticker, trade_date, close, volume, news_count, " + ", ".join(f"round({c}, 8) + 0.0::DOUBLE AS {c}" for c in ("log_return", "return_5d", "momentum_5d", "realized_vol_20d", "volume_zscore_20d", "news_sentiment", "news_sentiment_3d"))
@@ -612,6 +612,28 @@ def r01_hybrid(spark, sf):
     return rounded(search.hybrid(_corpus(spark, sf), _vectors(spark, sf), QUERY, _query_vector(spark, sf), 20, 50, F.col("lang") == "en"))
 
 
+_EVERY = """WITH v AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS u FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, list_inner_product(q.u, d.u) AS score FROM v q JOIN v d ON d.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)"""
+
+
+def _vector_index(spark, sf):
+    """The index of all vectors, and the queries: every vector whose id is divisible by 100."""
+    every = _vectors(spark, sf)
+    return vectors.build(every, working_folder(spark, "vector_index")), every.where("doc_id % 100 = 0")
+
+
+@query("r01_vector_index")
+def r01_vector_index(spark, sf):
+    index, asked = _vector_index(spark, sf)
+    return rounded(vectors.probed(index, asked, 5), 6)
+
+
+@query("r01_vector_exact", f"{_EVERY} SELECT query_id, rank::INTEGER AS rank, doc_id, round(score, 6) + 0.0::DOUBLE AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 5")
+def r01_vector_exact(spark, sf):
+    index, asked = _vector_index(spark, sf)
+    return rounded(vectors.exact(index, asked, 5), 6)
+
+
 @query("r04_index_sync", _NEW)
 def r04(spark, sf):
     old, new = _old_new(spark, sf)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import copy
 import re
+import tempfile
 import threading
 import time
+import uuid
 from collections.abc import Callable, Hashable
 from functools import lru_cache
 from pathlib import Path
@@ -20,6 +22,16 @@ def scan(spark: SparkSession, folder: str, name: str, columns: list[str] | None
     return df.select(columns) if columns else df
 
 
+def working_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors share; a temporary one only for a local master."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"file://{tempfile.gettempdir()}/checkpoints"
+    return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
+
+
 def require_table(spark: SparkSession, name: str) -> None:
     if not spark.catalog.tableExists(name):
         raise LookupError(f"table {name} doesn't exist; run the set-up task first")
