@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import exchange, numeric, text, timeops
-from tidemark.operators import features, merge, search, vectors
+from tidemark.operators import features, merge, search, termindex, vectors
 from tidemark.plans import forecasts as fc
 from tidemark.plans.registry import query
 from tidemark.plans.standins import ARTICLES, BARS, DATES, FEATURES, FORECASTS, FROM, MODELS, NEWS, NY, PRICES, SCORE, TO, articles, bars, daily, damped, forecasts, news, operational, prices, rounded
@@ -634,6 +634,32 @@ def r01_vector_exact(spark, sf):
     return rounded(vectors.exact(index, asked, 5), 6)
 
 
+_BEST = " SELECT doc_id, round(score, 6) AS score FROM b ORDER BY round(b.score, 10) DESC, doc_id LIMIT 20"
+
+
+@query("r01_block_max", _BM + _BEST)
+def r01_block_max(spark, sf):
+    path = working_folder(spark, "term_index")
+    termindex.build(_corpus(spark, sf).where("lang = 'en'").select("doc_id", "text"), path)
+    return rounded(termindex.search(spark, path, search.query_terms(QUERY), 20).rows, 6)
+
+
+def _revised(docs, shift):
+    """A snapshot of the documents: some are missing, some have their texts in other words."""
+    text_now = F.when(F.col("doc_id") % 7 == shift, F.concat(F.lit("the and "), F.col("text"))).otherwise(F.col("text"))
+    return docs.where(F.col("doc_id") % 5 != shift).select("doc_id", text_now.alias("text"))
+
+
+@query("r04_term_sync", _BM.replace("FROM documents WHERE lang = 'en'", "FROM (SELECT doc_id, lang, CASE WHEN doc_id % 7 = 2 THEN 'the and ' || text ELSE text END AS text FROM documents) WHERE lang = 'en' AND doc_id % 5 <> 2") + _BEST)
+def r04_term_sync(spark, sf):
+    """An index of an older snapshot, brought up to date by the change feed."""
+    docs, path = _corpus(spark, sf).where("lang = 'en'").select("doc_id", "text"), working_folder(spark, "term_index")
+    before, after = _revised(docs, 1), _revised(docs, 2)
+    termindex.build(before, path)
+    termindex.sync_changes(spark, path, merge.change_feed(before, after, ["doc_id"]))
+    return rounded(termindex.search(spark, path, search.query_terms(QUERY), 20).rows, 6)
+
+
 @query("r04_index_sync", _NEW)
 def r04(spark, sf):
     old, new = _old_new(spark, sf)
