@@ -691,3 +691,17 @@ def st_tumbling(spark, sf):
     from tidemark.streaming.ingest import tumbling_counts
     out = tumbling_counts(operational(spark, sf), "ts", "event_type", "value")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 6).alias("total"))
+
+
+@query("st_sessions", """WITH e AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 4 HOUR THEN 0 ELSE 1 END AS fresh FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, fresh DESC ROWS UNBOUNDED PRECEDING) AS k FROM e), m AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS mark FROM events)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 4 HOUR AS session_end, count(*) AS n, round(sum(value), 6) AS total, max(value) AS largest, max(ts) + INTERVAL 4 HOUR <= any_value(mark) AS closed FROM i, m GROUP BY user_id, k""")
+def st_sessions(spark, sf):
+    """The events table as a stream; sessions still open when it ends come from its state."""
+    from tidemark.streaming.sessions import Sessions
+    schema = scan(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    made = Sessions(working_folder(spark, "sessions"), ("user_id",), "ts", "value", "4 hours", "1 day")
+    made.run(stream)
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return made.all(spark).select("user_id", ntz("session_start"), ntz("session_end"), "n", F.round("total", 6).alias("total"), "largest", "closed")
