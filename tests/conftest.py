@@ -19,3 +19,35 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def service():
+    """serve(answer): the base url of a local service that says what ``answer(path)`` returns, a status and a body."""
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    servers = []
+
+    def serve(answer):
+        class Handler(BaseHTTPRequestHandler):
+            def do_GET(self):
+                status, body = answer(self.path)
+                said = json.dumps(body).encode()
+                self.send_response(status)
+                self.send_header("Content-Length", str(len(said)))
+                self.end_headers()
+                self.wfile.write(said)
+
+            def log_message(self, *_):
+                pass
+
+        server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        servers.append(server)
+        return f"http://127.0.0.1:{server.server_port}"
+
+    yield serve
+    for server in servers:
+        server.shutdown()

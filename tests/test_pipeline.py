@@ -115,7 +115,7 @@ def test_index_drift():
     assert spec.drift(good) == [] and len(spec.drift(good | {"source_table": "silver.news_articles", "subtype": "plain"})) == 2 and len(spec.drift({})) == 3
 
 
-def bars_page(url):
+def bars_page(url, base):
     """What the service says: two pages of bars for NVDA, one for MSFT; one article under both tickers."""
     day = lambda k: int(pd.Timestamp(f"2026-08-{k:02d}", tz="America/New_York").timestamp() * 1000)
     bar = lambda k, c: {"v": 1e6, "vw": c, "o": c, "c": c, "h": c, "l": c, "t": day(k), "n": 5}
@@ -125,21 +125,23 @@ def bars_page(url):
     if "page=2" in url:
         return 200, {"request_id": "r2", "results": [bar(7, 12.0)]}
     if "/NVDA/" in url:
-        return 200, {"request_id": "r1", "results": [bar(6, 11.0)], "next_url": "http://s/NVDA/x?page=2"}
+        return 200, {"request_id": "r1", "results": [bar(6, 11.0)], "next_url": f"{base}/NVDA/x?page=2"}
     return 200, {"request_id": "r3", "results": [bar(6, 20.0)]}
 
 
-def test_daily_run_from_the_service(spark, tmp_path, monkeypatch):
+def test_daily_run_from_the_service(spark, tmp_path, service):
     from tidemark.plans import tasks
 
-    url = f"file://{tmp_path}/pages.json"
-    monkeypatch.setattr(medallion, "_fetched", fetched_here)
+    asked = []
+    url = service(lambda path: asked.append(path) or bars_page(path, url))
     store = Store(spark, f"file://{tmp_path}/lake", buckets=2)
     conf = {"service": {"base": url, "backfill": "2026-08-01", "per_minute": 1e6}, "tickers": ["nvda", "MSFT", "not a ticker"], "models": {"paths": 50, "starts": 2}, "news_recent": {"days": 90, "step": 30}}
     jobs = medallion.daily_tasks(store, AT)
     assert set(jobs) == {n for n, _, _ in tasks.DAILY}
     wrote = tasks.run_daily(jobs, spark, conf, store, with_optional=True)
     assert (wrote["ingest_prices"], wrote["ingest_news"], wrote["build_prices"], wrote["build_news"], wrote["refresh_news_recent"], wrote["sync_news_index"]) == (3, 1, 3, 1, 1, 1)
+    assert sorted(asked) == ["/NVDA/x?page=2", *(f"/v2/aggs/ticker/{t}/range/1/day/2026-08-01/2026-08-11?adjusted=true&sort=asc&limit=50000" for t in ("MSFT", "NVDA")),
+                             *(f"/v2/reference/news?ticker={t}&published_utc.gte=2026-08-01T00:00:00Z&order=asc&sort=published_utc&limit=1000" for t in ("MSFT", "NVDA"))]
     assert wrote["build_features"] == 3 and wrote["fit_models"] == 0  # far too few sessions for a model
     assert tasks.run_task("ingest_prices", jobs, spark, conf, store) == 3 and store.read(TABLES["bronze.prices_raw"]).count() == 3  # the same bars again
     assert tasks.run_task("sync_news_index", jobs, spark, conf, store) == 0
@@ -162,52 +164,3 @@ def test_failures_of_a_daily_run(spark, tmp_path, monkeypatch):
     assert done == ["ingest_prices", "ingest_news", "build_prices"]
     out = tasks.run_daily(jobs | {"backfill_news_recent": lambda *_: 1 // 0}, spark, {}, with_lock, with_optional=True)
     assert set(out) == {n for n, _, optional in tasks.DAILY if not optional}  # the lock is free again; what is optional may fail
-
-
-def fetched_here(store, urls, schema, options):
-    """The data source's reader, run in this process over ``bars_page``."""
-    from pyspark.sql import functions as F
-
-    from tidemark.sources.client import Client
-
-    client = Client(bars_page, 1e9, sleep=lambda s: None)
-    rows = []
-    for u, ticker in urls.items():
-        for row in client.pages(u):
-            rows.append((ticker, row.pop("_request_id"), json.dumps(row)))
-    pages = store.spark.createDataFrame(rows, "ticker string, request_id string, row string")
-    return pages.select(F.from_json("row", schema).alias("r"), "ticker", "request_id")
-
-
-def test_fetch_goes_through_the_data_source(spark, tmp_path):
-    store = Store(spark, f"file://{tmp_path}/lake", buckets=2)
-    with ServiceOnPort() as base:
-        out = medallion._fetched(store, {f"{base}/NVDA/x": "NVDA"}, medallion.BAR, {"per_minute": "1e6"}).select("r.c", "ticker", "request_id")
-        assert sorted(map(tuple, out.collect())) == [(11.0, "NVDA", "r1"), (12.0, "NVDA", "r2")]
-
-
-class ServiceOnPort:
-    """The same service on a local port, since the reader runs in a worker process."""
-
-    def __enter__(self):
-        import threading
-        from http.server import BaseHTTPRequestHandler, HTTPServer
-
-        class Handler(BaseHTTPRequestHandler):
-            def do_GET(self):
-                status, body = bars_page(self.path)
-                if body.get("next_url"):
-                    body["next_url"] = f"http://{self.headers['Host']}/NVDA/x?page=2"
-                self.send_response(status)
-                self.end_headers()
-                self.wfile.write(json.dumps(body).encode())
-
-            def log_message(self, *args):
-                pass
-
-        self.server = HTTPServer(("127.0.0.1", 0), Handler)
-        threading.Thread(target=self.server.serve_forever, daemon=True).start()
-        return f"http://127.0.0.1:{self.server.server_port}"
-
-    def __exit__(self, *args):
-        self.server.shutdown()

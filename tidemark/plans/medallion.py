@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import json
 from datetime import UTC, date, datetime, timedelta
-from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import exchange, text, timeops
@@ -19,6 +18,7 @@ from tidemark.operators import features, merge, simulate
 from tidemark.operators.store import Store
 from tidemark.plans import forecasts
 from tidemark.schema import TABLES
+from tidemark.sources.tables import working_folder
 
 #: Fields of the service's rows (fixed values: its contract).
 BAR = "v double, vw double, o double, c double, h double, l double, t bigint, n bigint"
@@ -64,38 +64,41 @@ def news_windows(store: Store, tickers: DataFrame, backfill: date) -> DataFrame:
     return tickers.join(held, "ticker", "left").select("ticker", timeops.news_fetch_start(F.col("held"), F.lit(backfill)).alias("fetch_from"))
 
 
-def _fetched(store: Store, urls: dict[str, str], schema: str, options: dict[str, str]) -> DataFrame:
-    """Rows of all pages of the urls (url -> ticker): the fields of ``schema``, ticker, request_id."""
-    from tidemark.sources.rest import PagedSource
+def _fetched(store: Store, wanted: DataFrame, url: Column, schema: str, options: dict[str, str]) -> DataFrame:
+    """Rows of all pages that ``wanted`` (ticker, and what ``url`` is made of) asks for: the fields of ``schema``, ticker,
+    request_id.  The tasks ask the service, ``partitions`` of them sharing its budget; what they bring lands before it is
+    used, so that nothing is asked twice."""
+    from tidemark.sources.rest import fetched
 
-    spark = store.spark
-    spark.dataSource.register(PagedSource)
-    pages = spark.read.format("paged_json").options(urls=json.dumps(sorted(urls)), **options).load()
-    names = spark.createDataFrame(list(urls.items()), "url string, asked string")  # a row for each request of a day
-    row = F.from_json("row", schema)
-    return pages.join(F.broadcast(names), "url").select(row.alias("r"), F.col("asked").alias("ticker"), "request_id")
+    shares = max(1, int(options.get("partitions", 1)))
+    asked = wanted.where("ticker is not null").select("ticker", url.alias("url")).repartition(shares)
+    landed = working_folder(store.spark, "pages")
+    fetched(asked, float(options.get("per_minute", 5)) / shares, options.get("key_env")).write.parquet(landed)
+    return store.spark.read.parquet(landed).select(F.from_json("row", schema).alias("r"), "ticker", "request_id")
 
 
 def ingest_prices(store: Store, tickers: DataFrame, base: str, backfill: date, today: date, at: datetime, **options: str) -> int:
-    """Daily bars of all tickers from their last session on, upserted; the service allows a few
-    thousand requests a day at most, so their urls are a list of the driver's."""
+    """Daily bars of all tickers from their last session on, upserted."""
     store.create(TABLES["bronze.prices_raw"])
-    wanted = fetch_windows(store, "bronze.prices_raw", tickers, backfill, today).collect()
-    urls = {PRICES_URL.format(base=base, ticker=quote(r["ticker"]), start=r["fetch_from"], end=today): r["ticker"] for r in wanted}
-    rows = _fetched(store, urls, BAR, options).select("r.*", "ticker", "request_id")
+    wanted = fetch_windows(store, "bronze.prices_raw", tickers, backfill, today)
+    url = F.format_string(PRICES_URL.format(base=base.replace("%", "%%"), ticker="%s", start="%s", end=today), _quoted(F.col("ticker")), F.date_format("fetch_from", "yyyy-MM-dd"))
+    rows = _fetched(store, wanted, url, BAR, options).select("r.*", "ticker", "request_id")
     return store.upsert(TABLES["bronze.prices_raw"], merge.latest_per_key(raw_prices(rows, at), ["ticker", "source_timestamp"], [F.desc("request_id")]))
 
 
 def ingest_news(store: Store, tickers: DataFrame, base: str, backfill: date, at: datetime, **options: str) -> int:
     """Articles of all tickers from the newest instant held on, upserted; an article found for two tickers is one."""
     store.create(TABLES["bronze.news_raw"])
-    wanted = news_windows(store, tickers, backfill).collect()
-    said = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
-    urls = {NEWS_URL.format(base=base, ticker=quote(r["ticker"]), start=said(r["fetch_from"])): r["ticker"] for r in wanted}
-    rows = _fetched(store, urls, ARTICLE, options).select("r.*", "request_id")
+    wanted = news_windows(store, tickers, backfill)
+    url = F.format_string(NEWS_URL.format(base=base.replace("%", "%%"), ticker="%s", start="%s"), _quoted(F.col("ticker")), F.date_format("fetch_from", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    rows = _fetched(store, wanted, url, ARTICLE, options).select("r.*", "request_id")
     return store.upsert(TABLES["bronze.news_raw"], merge.latest_per_key(raw_news(rows, at), ["article_id", "ticker"], [F.desc("request_id")]))
 
 
+def _quoted(ticker: Column) -> Column:
+    return F.replace(F.url_encode(ticker), F.lit("+"), F.lit("%20"))
+
+
 # -- silver -----------------------------------------------------------------------------
 def daily_prices(bronze: DataFrame) -> DataFrame:
     day = bronze.withColumn("trade_date", timeops.session_date(F.col("source_timestamp")))

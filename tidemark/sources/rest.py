@@ -14,6 +14,8 @@ import urllib.error
 import urllib.request
 from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.sources.client import Client
@@ -27,6 +29,20 @@ def http_get(url: str) -> tuple[int, dict]:
         return e.code, {}
 
 
+def fetched(asked: DataFrame, per_minute: float, key_env: str | None = None) -> DataFrame:
+    """ticker, request_id, row (JSON) of all pages of the urls; asked: ticker, url.  A task asks one after the other."""
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = os.environ.get(key_env, "") if key_env else ""
+        client = Client(lambda u: http_get(f"{u}{'&' if '?' in u else '?'}apiKey={key}" if key else u), per_minute)
+        for batch in batches:
+            for one in batch.to_pylist():
+                rows = [(one["ticker"], row.pop("_request_id"), json.dumps(row)) for row in client.pages(one["url"])]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], ["ticker", "request_id", "row"])
+
+    return asked.select("ticker", "url").mapInArrow(fetch, "ticker string, request_id string, row string")
+
+
 class Share(InputPartition):
     def __init__(self, urls: list[str]) -> None:
         self.urls = urls
