@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import exchange, numeric, text, timeops
-from tidemark.operators import features, merge, search, termindex, vectors
+from tidemark.operators import asof, features, merge, search, termindex, vectors
 from tidemark.plans import forecasts as fc
 from tidemark.plans.registry import query
 from tidemark.plans.standins import ARTICLES, BARS, DATES, FEATURES, FORECASTS, FROM, MODELS, NEWS, NY, PRICES, SCORE, TO, articles, bars, daily, damped, forecasts, news, operational, prices, rounded
@@ -287,6 +287,22 @@ def j09(spark, sf):
     return scan(spark, sf, "lineitem", ["l_orderkey", "l_linenumber"]).join(o, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("l_orderkey", "l_linenumber", F.col("o_orderdate").cast("date").alias("as_of"))
 
 
+@query("j10_asof_orders", """SELECT event_id, user_id, ts, o_orderkey, o_totalprice FROM events e ASOF LEFT JOIN (
+  SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1, 2) o ON e.user_id = o.o_custkey AND e.ts >= o.o_orderdate""")
+def j10(spark, sf):
+    """Each event with the last order its user had placed by then."""
+    o = scan(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]).withColumnsRenamed({"o_custkey": "user_id", "o_orderdate": "ts"})
+    return asof.asof_join(scan(spark, sf, "events", ["event_id", "user_id", "ts"]), o, "user_id", "ts", ["o_orderkey", "o_totalprice"], "o_orderkey")
+
+
+@query("j11_asof_prices", f"""WITH b AS (SELECT ticker, ts, max(seq) AS seq, arg_max(close, seq) AS close FROM ({BARS}) x GROUP BY 1, 2), a AS ({ARTICLES})
+SELECT a.article_id, a.ticker, a.ts, b.seq, b.close FROM a ASOF LEFT JOIN b ON a.ticker = b.ticker AND a.ts >= b.ts""")
+def j11(spark, sf):
+    """Each article with its ticker's last bar; few tickers hold all rows, so their time is cut."""
+    out = asof.asof_join(articles(spark, sf).select("article_id", "ticker", "ts"), bars(spark, sf), "ticker", "ts", ["seq", "close"], "seq", rows=2_000)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 # -- aggregations -----------------------------------------------------------------------
 @query("a01_news_sessions", f"SELECT ticker, news_date, round(avg(coalesce(sentiment_score::DOUBLE, 0)), 8) AS mean, count(*) AS n FROM ({NEWS}) n GROUP BY 1, 2")
 def a01(spark, sf):
