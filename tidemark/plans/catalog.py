@@ -8,10 +8,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import exchange, numeric, text, timeops
-from tidemark.operators import asof, features, merge, search, termindex, vectors
+from tidemark.operators import asof, features, merge, paths, recursion, search, termindex, vectors
 from tidemark.plans import forecasts as fc
 from tidemark.plans.registry import query
-from tidemark.plans.standins import ARTICLES, BARS, DATES, FEATURES, FORECASTS, FROM, MODELS, NEWS, NY, PRICES, SCORE, TO, articles, bars, daily, damped, forecasts, news, operational, prices, rounded
+from tidemark.plans.standins import ARTICLES, BARS, DATES, FEATURES, FORECASTS, FROM, MODELS, NEWS, NY, PRICES, SCORE, TO, _W, articles, bars, daily, damped, forecasts, news, operational, prices, rounded
 from tidemark.sources.tables import point_read, scan, working_folder
 
 MARK = datetime(2024, 1, 15)
@@ -587,6 +587,95 @@ def m14(spark, sf):
     return fc.backtest(damped(spark, sf), cfg=Settings(min_obs=100))
 
 
+# -- recursions and paths with given parameters -------------------------------------------
+REGIMES = {"mu0": 0.05, "mu1": -0.1, "sigma0": 1.2, "sigma1": 2.6, "a0": 2.5, "b0": 0.5, "a1": -2.0, "b1": -0.4}
+HALF_LIFE, HORIZON, PATHS, SEED = 2.0, 5, 5_000, 42
+
+
+def _usable(spark, sf):
+    """Returns in percent with the news of the return before; the first return has none."""
+    used = damped(spark, sf).where("log_return is not null").select("ticker", "trade_date", "close", (100 * F.col("log_return")).alias("y"), "news_sentiment_3d")
+    return used.withColumn("x", F.lag("news_sentiment_3d").over(features.by_session()))
+
+
+_DOUBLES = {k: f"{v}::DOUBLE" for k, v in REGIMES.items()}
+_USABLE = f"""{FEATURES}, us AS (SELECT ticker, trade_date, 100 * pow(close, 0.02::DOUBLE) AS price, 100 * 0.02::DOUBLE * log_return AS y, news_sentiment_3d AS news, lag(news_sentiment_3d) OVER ({_W}) AS x FROM f WHERE log_return IS NOT NULL),
+un AS (SELECT *, row_number() OVER ({_W}) AS k FROM us WHERE x IS NOT NULL)"""
+_TO0 = [f"1 / (1 + exp(-greatest(-30::DOUBLE, least(30::DOUBLE, {_DOUBLES[f'a{i}']} + {_DOUBLES[f'b{i}']} * {{x}}))))" for i in (0, 1)]
+_DENS = [f"exp(-0.5::DOUBLE * pow((y - {_DOUBLES[f'mu{i}']}) / {_DOUBLES[f'sigma{i}']}, 2)) / ({_DOUBLES[f'sigma{i}']} * sqrt(2 * pi())) + 1e-300" for i in (0, 1)]
+_FILTER = f"""{_USABLE.replace('WITH p AS', 'WITH RECURSIVE p AS', 1)},
+z AS MATERIALIZED (SELECT *, {_TO0[0].format(x='x')} AS q0, {_TO0[1].format(x='x')} AS q1, {_DENS[0]} AS d0, {_DENS[1]} AS d1 FROM un),
+fl AS (SELECT ticker, k, trade_date, g * d0 / (g * d0 + (1 - g) * d1) AS calm, ln(g * d0 + (1 - g) * d1) AS loglik FROM (SELECT *, q1 / greatest(1 - q0 + q1, 1e-12) AS g FROM z WHERE k = 1)
+  UNION ALL SELECT ticker, k, trade_date, g * d0 / (g * d0 + (1 - g) * d1), loglik + ln(g * d0 + (1 - g) * d1) FROM (
+    SELECT z.ticker, z.k, z.trade_date, d0, d1, q0 * fl.calm + q1 * (1 - fl.calm) AS g, fl.loglik FROM fl JOIN z ON z.ticker = fl.ticker AND z.k = fl.k + 1))"""
+
+
+@query("m07_filter", f"{_FILTER} SELECT ticker, trade_date, round(calm, 8) AS prob_low_vol, round(1 - calm, 8) AS prob_high_vol FROM fl")
+def m07(spark, sf):
+    """Filtered probabilities of every day."""
+    own = recursion.series_of(_usable(spark, sf).where("x is not null"), "ticker", "trade_date", "y", "x")
+    path = recursion.filtered_path(recursion.parameters(**REGIMES), F.col("series"))
+    rows = own.select("ticker", F.explode(F.arrays_zip(F.col("days").alias("d"), path.alias("calm"))).alias("r"))
+    return rounded(rows.select("ticker", F.col("r.d").alias("trade_date"), F.col("r.calm").alias("prob_low_vol"), (1 - F.col("r.calm")).alias("prob_high_vol")), 8)
+
+
+@query("m07_current", f"{_FILTER} SELECT ticker, max(trade_date) AS as_of_date, count(*) AS n_obs, round(arg_max(calm, k), 8) AS prob_low_vol, round(1 - arg_max(calm, k), 8) AS prob_high_vol, round(arg_max(loglik, k), 5) AS loglik FROM fl GROUP BY ticker")
+def m07_current(spark, sf):
+    """The current regime of each ticker, and the likelihood of its whole series."""
+    own = recursion.series_of(_usable(spark, sf).where("x is not null"), "ticker", "trade_date", "y", "x")
+    last = own.withColumn("f", recursion.filtered_last(recursion.parameters(**REGIMES), F.col("series")))
+    out = last.select("ticker", F.array_max("days").alias("as_of_date"), F.size("days").cast("long").alias("n_obs"), F.col("f.calm").alias("prob_low_vol"), (1 - F.col("f.calm")).alias("prob_high_vol"), "f.loglik")
+    return rounded(out, 8).withColumn("loglik", F.round("loglik", 5))
+
+
+_LAST = f"{_FILTER}, la AS (SELECT ticker, arg_max(price, trade_date) AS price, arg_max(news, trade_date) AS news FROM us GROUP BY ticker)"
+_FADED = f"la.news * exp(-ln(2::DOUBLE) / {HALF_LIFE}::DOUBLE * h)"
+
+
+@query("m10_matrices", f"{_LAST} SELECT ticker, h::INTEGER AS day, round(q0, 8) AS p00, round(1 - q0, 8) AS p10, round(q1, 8) AS p01, round(1 - q1, 8) AS p11 FROM (SELECT ticker, h, {_TO0[0].format(x=_FADED)} AS q0, {_TO0[1].format(x=_FADED)} AS q1 FROM la, range(1, {HORIZON + 1}) r(h))")
+def m10(spark, sf):
+    """Transition matrices of the coming days, each checked to be left-stochastic (M8)."""
+    last = merge.latest_per_key(_usable(spark, sf), ["ticker"], [F.desc("trade_date")])
+    days = recursion.matrices(recursion.parameters(**REGIMES), F.col("news_sentiment_3d"), HORIZON, HALF_LIFE)
+    out = last.select("ticker", F.explode(days).alias("m")).select("ticker", recursion.checked(F.col("m")).alias("m")).select("ticker", "m.*")
+    return rounded(out, 8)
+
+
+def _u(use, path, day):
+    return f"(('0x' || substr(sha256('{SEED}:' || {path} || ':' || {day} || ':{use}'), 1, 13))::BIGINT + 0.5::DOUBLE) / {16**13}.0::DOUBLE"
+
+
+_DRAWN = f"""nu AS MATERIALIZED (SELECT path, h, {_u('u', 'path', 'h')} AS u, sqrt(-2 * ln({_u('r', 'path', 'h')})) * cos(2 * pi() * {_u('a', 'path', 'h')}) AS z FROM range({PATHS}) a(path), range({HORIZON + 1}) b(h))"""
+_SUMMED = "SELECT ticker, round(quantile_cont(r, 0.1), 6) AS p10, round(quantile_cont(r, 0.5), 6) AS p50, round(quantile_cont(r, 0.9), 6) AS p90, round(avg((r > 0)::INT), 6) AS prob_positive, round(avg((r < -0.05::DOUBLE)::INT), 6) AS prob_drop_5pct"
+
+
+@query("m12_gbm_paths", f"{_USABLE}, {_DRAWN}, mo AS (SELECT ticker, avg(y) AS mu, stddev_samp(y) AS sigma FROM us GROUP BY ticker) {_SUMMED} FROM (SELECT ticker, exp(sum(mu / 100 + sigma / 100 * z)) - 1 AS r FROM mo, nu WHERE h > 0 GROUP BY ticker, path) GROUP BY ticker")
+def m12(spark, sf):
+    used = _usable(spark, sf)
+    moments = used.groupBy("ticker").agg(F.avg("y").alias("mu"), F.stddev_samp("y").alias("sigma"), F.max_by("close", "trade_date").alias("price"))
+    return rounded(paths.of_gbm(moments, "ticker", SEED, PATHS, HORIZON), 6)
+
+
+def _walk() -> str:
+    steps = ["w0 AS (SELECT ticker, path, u >= calm AS wild, 0::DOUBLE AS lg FROM cu, nu WHERE h = 0)"]
+    for h in range(1, HORIZON + 1):
+        steps.append(f"""w{h} AS (SELECT ticker, path, wild, lg + CASE WHEN wild THEN {_DOUBLES['mu1']} ELSE {_DOUBLES['mu0']} END / 100 + CASE WHEN wild THEN {_DOUBLES['sigma1']} ELSE {_DOUBLES['sigma0']} END / 100 * z AS lg FROM (
+  SELECT w.ticker, w.path, lg, z, u >= CASE WHEN w.wild THEN q1 ELSE q0 END AS wild FROM w{h - 1} w JOIN nu ON nu.path = w.path AND nu.h = {h} JOIN ma ON ma.ticker = w.ticker AND ma.h = {h}))""")
+    return ", ".join(steps)
+
+
+@query("m11_regime_paths", f"""{_LAST}, {_DRAWN}, cu AS (SELECT ticker, arg_max(calm, k) AS calm FROM fl GROUP BY ticker),
+ma AS (SELECT ticker, h, {_TO0[0].format(x=_FADED)} AS q0, {_TO0[1].format(x=_FADED)} AS q1 FROM la, range(1, {HORIZON + 1}) r(h)), {_walk()} {_SUMMED} FROM (SELECT ticker, exp(lg) - 1 AS r FROM w{HORIZON}) GROUP BY ticker""")
+def m11_paths(spark, sf):
+    """Forecasts from the current regime, under the matrices of the coming days."""
+    given = recursion.parameters(**REGIMES)
+    used = _usable(spark, sf)
+    own = recursion.series_of(used.where("x is not null"), "ticker", "trade_date", "y", "x").select("ticker", recursion.filtered_last(given, F.col("series"))["calm"].alias("calm"))
+    last = merge.latest_per_key(used, ["ticker"], [F.desc("trade_date")]).select("ticker", F.col("close").alias("price"), "news_sentiment_3d")
+    days = F.transform(recursion.matrices(given, F.col("news_sentiment_3d"), HORIZON, HALF_LIFE), recursion.checked)
+    return rounded(paths.of_regimes(own.join(last, "ticker").select("ticker", "price", "calm", given.alias("p"), days.alias("days")), "ticker", SEED, PATHS), 6)
+
+
 # -- retrieval and serving --------------------------------------------------------------
 QUERY = "the tion and ing"
 
