@@ -498,3 +498,11 @@ def test_backtest_windows_are_tasks_of_their_own(spark):
     f = spark.createDataFrame(rows, "ticker string, trade_date date, close double, log_return double, news_sentiment_3d double")
     out = forecasts.backtest(f, ("gbm",), 5, simulate.Settings(min_obs=20, paths=50))
     assert out.count() == 10 and out.select(F.spark_partition_id()).distinct().count() > 4
+    assert [forecasts.parts_for(*x) for x in ((5, 26, 24), (5, 26, 1_000), (10_000, 26, 24), (0, 26, 24))] == [5, 26, 1, 24]
+
+    def bytes_of(weeks):
+        made = forecasts.windows(f, weeks, simulate.Settings(min_obs=20), 4).cache()
+        return made.count(), made.selectExpr("sum(size(rows))").first()[0], made.selectExpr("sum(size(origins))").first()[0]
+
+    # twice the origins, the same rows and days
+    assert [bytes_of(w) for w in (4, 8)] == [(4, 4 * 60, 8), (4, 4 * 60, 16)]
