@@ -233,6 +233,32 @@ def test_regimes_are_recovered():
     assert (again.mu == regime.fit(y).mu).all() and again.loglik == regime.fit(y).loglik
 
 
+def test_gradient_is_the_likelihoods(monkeypatch):
+    _, y, x = chain(200)
+    for z in (np.column_stack([np.ones(200), x]), np.column_stack([np.ones(200), np.zeros(200)])):
+        at = np.array([0.1, -0.3, np.log(0.9), np.log(2.2), 1.5, 0.4, -1.2, -0.7])
+        value = lambda t: regime.gradient(y, z, t[:2], np.exp(t[2:4]), t[4:].reshape(2, 2))
+        steps = np.eye(8) * 1e-5
+        assert value(at)[1] == pytest.approx([(value(at + h)[0] - value(at - h)[0]) / 2e-5 for h in steps], abs=2e-4)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_polish_never_lowers_the_likelihood(monkeypatch, seed):
+    _, y, x = chain(400, seed)
+    for exog in (None, x):
+        polished = regime.fit(y, exog, starts=4)
+        z = np.column_stack([np.ones(400), np.zeros(400) if exog is None else exog])
+        value, slope = regime.gradient(y, z, polished.mu, polished.sigma, polished.beta)
+        assert value == pytest.approx(polished.loglik) and np.abs(slope[np.r_[[True] * 4, np.abs(polished.beta.ravel()) < regime.LOGIT]]).max() / 400 <= 2 * regime.GRADIENT
+        with monkeypatch.context() as patch:
+            patch.setattr(regime, "polish", lambda y, z, mu, sigma, beta, floor: (mu, sigma, beta, 0.0, np.inf))
+            plain = regime.fit(y, exog, starts=4)
+        assert polished.loglik >= plain.loglik and polished.converged
+        with monkeypatch.context() as patch:  # it also ends where a rough start of few steps began
+            patch.setattr(regime, "LAST_STEPS", 2)
+            assert regime.fit(y, exog, starts=4).loglik == pytest.approx(polished.loglik, abs=1e-3)
+
+
 def test_one_start_equals_the_batch():
     _, y, x = chain(300)
     z, rng = np.column_stack([np.ones(300), x]), np.random.default_rng(1)

@@ -3,7 +3,7 @@
 y_t = mu[s_t] + sigma[s_t] e_t.  Transition matrices are left-stochastic: P[next, prev],
 columns sum to one.  With an exogenous series the probability of regime 0 next, given each
 previous regime, is logistic in [1, x_t], where row t governs the step into t.  All random
-starts are fitted side by side as one batch; the best by likelihood is kept.  Everything is
+starts are fitted side by side as one batch; the best by likelihood is kept and polished by quasi-Newton steps.  Everything is
 numpy and runs inside grouped tasks, one series a task.
 """
 
@@ -15,7 +15,12 @@ from math import log
 import numpy as np
 
 SEED, STARTS, MIN_OBS = 20_260_810, 20, 252
-FIRST_STEPS, LAST_STEPS, TOLERANCE = 12, 200, 1e-7
+#: Steps of all starts, further steps of the best one, and the relative gain at which these end.
+FIRST_STEPS, LAST_STEPS, TOLERANCE = 12, 200, 1e-5
+#: Quasi-Newton steps after them, halvings of a step, and the slope an observation at which the fit has converged.
+POLISH_STEPS, HALVINGS, GRADIENT = 60, 25, 1e-5
+#: Bound of the logits' coefficients.
+LOGIT = 12.0
 
 
 class FitError(ValueError):
@@ -143,10 +148,72 @@ def _maximise(y, z, smooth, joint, beta, floor):
         p = _p0(beta, z[1:])
         grad = np.einsum("stp,tk->spk", to0 - weight * p, z[1:]) - 1e-3 * beta
         curve = np.einsum("stp,tk,tl->spkl", weight * p * (1 - p), z[1:], z[1:]) + np.eye(2) * 1e-2
-        beta = np.clip(beta + np.clip(np.linalg.solve(curve, grad[..., None])[..., 0], -1, 1), -12, 12)
+        beta = np.clip(beta + np.clip(np.linalg.solve(curve, grad[..., None])[..., 0], -1, 1), -LOGIT, LOGIT)
     return mu, sigma, beta
 
 
+def gradient(y, z, mu, sigma, beta) -> tuple[float, np.ndarray]:
+    """Likelihood and its gradient for one start, in (mu, log sigma, beta): the expected score of the complete data
+    (Fisher's identity), by the smoothed probabilities of one pass."""
+    _, smooth, joint, loglik, p0 = _expect(y, z, mu[None], sigma[None], beta[None])
+    w, j, q = smooth[0], joint[0, 1:], p0[0]
+    e = (y[:, None] - mu) / sigma
+    to_beta = np.einsum("tp,tk->pk", j[:, 0] - j.sum(axis=1) * q[1:], z[1:])
+    # the first day's probabilities are stationary, and so depend on beta as well
+    off = 1 - q[0, 0] + q[0, 1]
+    first = q[0, 1] / off
+    slope = np.array([q[0, 1], 1 - q[0, 0]]) / off**2 * q[0] * (1 - q[0])
+    to_beta += ((w[0, 0] - first) / (first * (1 - first)) * slope)[:, None] * z[0]
+    return float(loglik[0]), np.concatenate([(w * e / sigma).sum(axis=0), (w * (e**2 - 1)).sum(axis=0), to_beta.ravel()])
+
+
+def polish(y, z, mu, sigma, beta, floor: float, steps: int = POLISH_STEPS) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, float]:
+    """Quasi-Newton steps (BFGS) from where expectation-maximisation has come to: each must raise the likelihood, so it
+    ends no lower than it began.  Returns mu, sigma, beta, the likelihood and the gradient's norm an observation."""
+    least, most = np.array([-np.inf] * 2 + [np.log(floor)] * 2 + [-LOGIT] * 4), np.array([np.inf] * 4 + [LOGIT] * 4)
+
+    def parts(t: np.ndarray):
+        return t[:2], np.exp(t[2:4]), t[4:].reshape(2, 2)
+
+    def at(t: np.ndarray):
+        value, g = gradient(y, z, *parts(t))
+        return value, np.where((t <= least) & (g < 0) | (t >= most) & (g > 0), 0.0, g)  # no slope across a bound
+
+    theta = np.clip(np.concatenate([mu, np.log(sigma), beta.ravel()]), least, most)
+    value, g = at(theta)
+    plain = np.eye(len(theta)) / len(y)
+    inverse = plain
+    for _ in range(steps):
+        if np.abs(g).max() <= GRADIENT * len(y):
+            break
+        direction = np.where(g == 0, 0.0, inverse @ g)
+        if direction @ g <= 0:  # the curvature has gone astray
+            inverse = plain
+            direction = inverse @ g
+        size = min(1.0, 1.0 / max(1e-12, np.abs(direction).max()))
+        for _ in range(HALVINGS):
+            there = np.clip(theta + size * direction, least, most)
+            new_value, new_g = at(there)
+            if np.isfinite(new_value) and new_value > value + 1e-4 * ((there - theta) @ g):
+                break
+            size /= 2
+        else:
+            if inverse is plain:
+                break
+            inverse = plain
+            continue
+        s, d = there - theta, g - new_g
+        bounds_met = ((g == 0) != (new_g == 0)).any()
+        theta, value, g = there, new_value, new_g
+        if bounds_met:
+            inverse = plain
+        elif s @ d > 1e-12:
+            r = 1 / (s @ d)
+            left = np.eye(len(theta)) - r * np.outer(s, d)
+            inverse = left @ inverse @ left.T + r * np.outer(s, s)
+    return *parts(theta), value, float(np.abs(g).max() / len(y))
+
+
 def fit(percent: np.ndarray, exog: np.ndarray | None = None, min_obs: int = MIN_OBS, starts: int = STARTS, seed: int = SEED) -> Fit:
     """``exog``: the value that governs the step into each observation, as long as the series."""
     y = usable_returns(percent, min_obs)
@@ -174,6 +241,9 @@ def fit(percent: np.ndarray, exog: np.ndarray | None = None, min_obs: int = MIN_
         mu, sigma, beta = _maximise(y, z, smooth, joint, beta, floor)
     if not np.isfinite(loglik).all():
         raise FitError("the likelihood isn't finite")
+    best_mu, best_sigma, best_beta, _, slope = polish(y, z, mu[0], sigma[0], beta[0], floor)
+    converged = converged or slope <= GRADIENT
+    mu, sigma, beta = best_mu[None], best_sigma[None], best_beta[None]
     kept, _, _, loglik, p0 = _expect(y, z, mu, sigma, beta)
     stay = p0[0].mean(axis=0)
     out = Fit(mu[0], sigma[0], beta[0], kept[0], np.stack([stay, 1 - stay]), float(loglik[0]), converged, len(y), exog is not None and bool(x.any()))
