@@ -369,6 +369,8 @@ def test_landed_pages_and_config(spark, tmp_path):
 
 
 def test_ledger_and_telemetry(spark, tmp_path):
+    from tidemark.plans.lease import Lease
+
     store = Store(spark, f"file://{tmp_path}/tables")
     assert tasks.run_task("build_prices", {"build_prices": lambda s, c: 7}, spark, {}, store) == 7
     with pytest.raises(ZeroDivisionError):
@@ -382,9 +384,9 @@ def test_ledger_and_telemetry(spark, tmp_path):
     for k in range(5):
         small.record(task=str(k))
     assert [r["task"] for r in small.rows] == ["3", "4"] and small.dropped == 3
-    with tasks.single_run(store), pytest.raises(RuntimeError, match="under way"), tasks.single_run(store):
+    with Lease(store, "daily").held(), pytest.raises(RuntimeError, match="under way"), Lease(store, "daily").held():
         pass
-    with tasks.single_run(store):
+    with Lease(store, "daily").held():
         pass
     with pytest.raises(OSError):
         tasks.run_task("build_news", {"build_news": lambda s, c: (_ for _ in ()).throw(OSError("u?apiKey=SECRET"))}, spark, {}, store)

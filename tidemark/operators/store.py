@@ -37,6 +37,7 @@ class Conflict(RuntimeError):
 class Store:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 8, bucket_bytes: int = BUCKET_BYTES) -> None:
         self.spark, self.root, self.buckets, self.bucket_bytes = spark, root.rstrip("/"), buckets, bucket_bytes
+        self.guard: Callable[[], None] | None = None  # asked before each commit
 
     # -- folders -------------------------------------------------------------------------
     def _path(self, *parts: str):
@@ -108,6 +109,8 @@ class Store:
             self._commit(table.name, -1, {})
 
     def _commit(self, name: str, seen: int, buckets: Mapping[str, str], n: int | None = None, floors: Mapping | None = None, size: int = 0) -> int:
+        if self.guard:
+            self.guard()
         fs, version = self._fs(), seen + 1
         aside, final = self._path(name, f"_{uuid.uuid4().hex}"), self._path(name, f"v{version}.json")
         out = fs.create(aside)

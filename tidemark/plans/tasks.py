@@ -12,6 +12,7 @@ from datetime import UTC, datetime
 from pyspark.sql import SparkSession
 
 from tidemark.operators.store import Store
+from tidemark.plans.lease import SECONDS, Fenced, Lease
 from tidemark.schema import TABLES
 from tidemark.sources.client import redact
 
@@ -51,23 +52,6 @@ def ledger(store: Store, task: str):
             log.warning("ledger of %s: %s", task, cut_error(redact(str(e))))
 
 
-@contextmanager
-def single_run(store: Store, name: str = "daily"):
-    """A second run is refused while the first one lasts.  The lock is a file of the shared store, made by the
-    file system's own exclusive create, so that runs on other machines see it."""
-    path, fs = store._path(f"_{name}.lock"), store._fs()
-    try:
-        out = fs.create(path, False)
-    except Exception as e:
-        raise RuntimeError(f"a {name} run is under way: {path} exists") from e
-    try:
-        out.write(bytearray(datetime.now(UTC).isoformat().encode()))
-        out.close()
-        yield
-    finally:
-        fs.delete(path, False)
-
-
 Task = Callable[[SparkSession, dict], int]
 
 
@@ -80,21 +64,25 @@ def run_task(name: str, tasks: dict[str, Task], spark: SparkSession, conf: dict,
             with ledger(store, name) as run:
                 run.rows_written = tasks[name](spark, conf)
                 return run.rows_written
+        except Fenced:
+            raise  # another run goes on
         except Exception:
             if k + 1 == attempts[name]:
                 raise
     return 0
 
 
-def run_daily(tasks: dict[str, Task], spark: SparkSession, conf: dict, store: Store, with_optional: bool = False) -> dict[str, int]:
-    """All tasks in order, under the lock; a task that fails stops those after it, an optional one doesn't."""
+def run_daily(tasks: dict[str, Task], spark: SparkSession, conf: dict, store: Store, with_optional: bool = False, seconds: float = SECONDS) -> dict[str, int]:
+    """All tasks in order, under the lease; a task that fails stops those after it, an optional one doesn't."""
     done: dict[str, int] = {}
-    with single_run(store):
+    with Lease(store, "daily", seconds).held():
         for name, _, optional in DAILY:
             if optional and not with_optional:
                 continue
             try:
                 done[name] = run_task(name, tasks, spark, conf, store)
+            except Fenced:
+                raise
             except Exception:
                 if not optional:
                     raise
