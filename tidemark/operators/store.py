@@ -176,8 +176,9 @@ class Store:
             self._fs().delete(self._path(*staged.removeprefix(self.root + "/").split("/")), True)
 
     def insert_absent(self, table: Table, source: DataFrame) -> None:
+        """Of rows of one key the first by its columns' text counts."""
         self.create(table)
-        batch = merge.latest_per_key(table.check(source), table.keys, [F.lit(1)])
+        batch = merge.latest_per_key(table.check(source), table.keys, [F.to_json(F.struct(*table.schema.fieldNames()))])
         self._replace(table, batch, lambda old: merge.with_absent(old, batch, table.keys))
 
     def delete_keys(self, table: Table, gone: DataFrame) -> None:

@@ -523,9 +523,9 @@ def f_display(spark, sf):
     return forecasts(spark, sf).select("forecast_id", numeric.percent(F.col("prob_positive")).alias("percent"), numeric.percent(F.col("p50"), signed=True).alias("signed"), numeric.number(F.col("forecast_id")).alias("number"), numeric.fixed(F.col("prob_positive"), 3).alias("fixed"), numeric.money(F.when(F.col("forecast_id") % 6 != 0, F.col("p90"))).alias("money"))
 
 
-@query("f_insights", "SELECT conv_id, upper(trim(t)) AS ticker, lower(trim(s)) AS sentiment FROM (SELECT conv_id, unnest([role, NULL, ' x ']) AS t, unnest([' Positive', 'negative', 'Mixed ']) AS s FROM conversations WHERE turn > 0) WHERE t IS NOT NULL")
+@query("f_insights", "SELECT conv_id, upper(trim(t)) AS ticker, lower(trim(s)) AS sentiment FROM (SELECT conv_id, unnest([role, NULL, ' x ']) AS t, unnest([' Positive', 'negative', 'Mixed ']) AS s FROM conversations) WHERE t IS NOT NULL")
 def f_insights(spark, sf):
-    c = scan(spark, sf, "conversations", ["conv_id", "turn", "role"]).where("turn > 0")
+    c = scan(spark, sf, "conversations", ["conv_id", "role"])
     made = F.to_json(F.struct(F.array(F.struct(F.col("role").alias("ticker"), F.lit(" Positive").alias("sentiment")), F.struct(F.lit(None).cast("string").alias("ticker"), F.lit("negative").alias("sentiment")), F.struct(F.lit(" x ").alias("ticker"), F.lit("Mixed ").alias("sentiment"))).alias("insights")))
     parsed = F.from_json(made, "insights array<struct<ticker:string,sentiment:string>>")
     rows = c.select("conv_id", F.explode(parsed["insights"]).alias("i")).where("i.ticker is not null")
@@ -793,20 +793,24 @@ def o05(spark, sf):
 
 @query("st_tumbling", "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2")
 def st_tumbling(spark, sf):
-    from tidemark.streaming.ingest import tumbling_counts
-    out = tumbling_counts(operational(spark, sf), "ts", "event_type", "value")
+    """The events table as a stream; what its last batch has counted."""
+    from tidemark.streaming.ingest import last_result, tumbling_counts
+    out = last_result(tumbling_counts(_event_stream(spark, sf), "ts", "event_type", "value"), working_folder(spark, "tumbling"))
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 6).alias("total"))
 
 
+def _event_stream(spark, sf):
+    stream = spark.readStream.schema(scan(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return stream.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+
+
 @query("st_sessions", """WITH e AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 4 HOUR THEN 0 ELSE 1 END AS fresh FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, fresh DESC ROWS UNBOUNDED PRECEDING) AS k FROM e), m AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS mark FROM events)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 4 HOUR AS session_end, count(*) AS n, round(sum(value), 6) AS total, max(value) AS largest, max(ts) + INTERVAL 4 HOUR <= any_value(mark) AS closed FROM i, m GROUP BY user_id, k""")
 def st_sessions(spark, sf):
     """The events table as a stream; sessions still open when it ends come from its state."""
     from tidemark.streaming.sessions import Sessions
-    schema = scan(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
     made = Sessions(working_folder(spark, "sessions"), ("user_id",), "ts", "value", "4 hours", "1 day")
-    made.run(stream)
+    made.run(_event_stream(spark, sf))
     ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
     return made.all(spark).select("user_id", ntz("session_start"), ntz("session_end"), "n", F.round("total", 6).alias("total"), "largest", "closed")

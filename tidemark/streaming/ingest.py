@@ -34,3 +34,16 @@ def tumbling_counts(events: DataFrame, ts: str, key: str, value: str, size: str
     """Counts and sums by event time; works on a stream and on a table."""
     marked = events.withWatermark(ts, late) if events.isStreaming else events
     return marked.groupBy(F.window(ts, size).alias("w"), key).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(F.col("w.start").alias("window_start"), key, "n", "total")
+
+
+def last_result(grouped: DataFrame, path: str) -> DataFrame:
+    """Run a grouped stream on what has arrived; the whole result after its last batch.  A batch that runs again replaces its own."""
+    spark, done = grouped.sparkSession, []
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/result/{number}")
+        done.append(number)
+
+    query = grouped.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/result/{done[-1]}") if done else spark.createDataFrame([], grouped.schema)
