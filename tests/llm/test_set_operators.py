@@ -421,12 +421,24 @@ def test_top_k_against_brute_force(spark, monkeypatch):
 def test_top_k_of_large_components(spark, size):
     rng = np.random.default_rng(5)
     x = np.floor(rng.normal(0, size / 4, (40, 3)))
-    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(99, [1e30, 0.0, 0.0])], "vec_id long, embedding array<double>")
-    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(frame, lambda c: c % 50 == 0, scale=1).collect())
-    whole = [[int(c) for c in v] for v in x]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(95, [1e17, 3.0, 0.0]), (96, [-1e17, 0.0, 0.0]), (97, [1e30, 0.0, 0.0]), (98, [1e30, 1e30, 0.0]), (99, [-1e30, 0.0, 1.0]), (100, [2e30, 0.0, -1.0]), (101, [1.7e308, 0.0, 0.0]), (102, [float("inf"), 0.0, 0.0])]
+    frame = spark.createDataFrame([*rows, rows[0]], "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(frame, lambda c: c % 50 == 0, k=12, scale=2).collect())
+    whole = {i: [int(c) * 2 for c in v] for i, v in rows if i != 102}
     fit = lambda s: max(-2**63, min(2**63 - 1, s))
-    scores = sorted((-fit(sum(a * b for a, b in zip(whole[0], v, strict=True))), i) for i, v in enumerate(whole) if i)[:5]
-    assert got == [(0, k, i, -s) for k, (s, i) in enumerate(scores, 1)]
+    want = []
+    for q in (0, 100):
+        copies = 2 if q != 0 else 1  # row 0 stands there twice
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q for _ in range(copies if i == 0 else 1))[:12]
+        want += [(q, k, i, fit(-s)) for k, (s, i) in enumerate(scores, 1)]
+    assert got == want
+
+
+def test_scores_beyond_64_bits_keep_their_order():
+    scores = [-10**90, -10**40 - 1, -10**40, -2**63 - 1, -2**63, 0, 2**63 - 1, 2**63, 10**40, 10**40 + 1, 10**90]
+    fit = lambda s: max(-2**63, min(2**63 - 1, s))
+    assert sorted(scores[::-1], key=lambda s: (fit(s), topk._beyond(s) or topk.NEAR)) == scores
 
 
 def test_top_k_few_and_empty(spark):

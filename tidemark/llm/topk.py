@@ -13,16 +13,20 @@ A stated query set goes against all rows in blocks: each task holds one index bl
 most BLOCK_ROWS vectors and streams the query blocks (QUERY_ROWS vectors each) from the
 shared folder, so that neither a join nor a broadcast of the queries is needed.
 
-Edge cases: vectors that are null or hold a null, NaN or infinity take no part; shorter
+Integers are exact at any size.  Vectors whose inner products with others like them stay within 62 bits fill blocks of their own,
+which are compared in 64 bits; the others come in small blocks of their own, and only comparisons with these
+(or with such queries) use integers of any size.  A score beyond 64 bits is returned as the nearest one that
+fits, but ranks by its true value.
+
+Edge cases: vectors that are null or hold a null, NaN or infinity take no part, every finite one does; shorter
 vectors count as padded with zeros; rows with the query's own vec_id aren't candidates;
-identical repeated query rows are one query; equal scores go to the smaller vec_id; rows
-without vec_id take no part; an empty table gives an empty result.  A vector with a component whose
-integer doesn't fit 64 bits takes no part.  Where an inner product could leave 62 bits, the same
-index works on integers of any size, and a score beyond 64 bits counts as the nearest one that fits.
+repeated query rows of the same integers are one query; equal scores go to the smaller vec_id; rows
+without vec_id take no part; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +38,8 @@ from .shared import fresh_path, written
 
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 4_096
+#: Vectors of a block of such whose products may leave 62 bits.
+LARGE_ROWS = 256
 STEP = 16
 #: Segments between two looks at the bounds, as shares of all segments.
 LOOKS = (0.35, 0.5, 0.65, 0.8, 0.9)
@@ -90,84 +96,106 @@ class Index:
         return self.ids[alive][top], exact[top]
 
 
-def integers(df: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame:
-    """vec_id, v: usable vectors as arrays of integers."""
-    v = F.col(vec_col)
-    scaled = lambda x: x.cast("double") * scale
-    usable = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(scaled(x)) < 2.0**63))
-    return df.where(F.col(id_col).isNotNull() & F.coalesce(usable, F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(scaled(x)).cast("long")).alias("v"))
+def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """vec_id, v: finite vectors as arrays of doubles."""
+    finite = F.forall(F.col(vec_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return df.where(F.col(id_col).isNotNull() & F.coalesce(finite, F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
+
 
+def integers(x: np.ndarray, scale: int, limit: int) -> np.ndarray:
+    """floor(scale * x), in 64 bits if all are below ``limit``, else of any size."""
+    if np.abs(x).max(initial=0) * scale < limit:
+        return np.floor(x * scale).astype(np.int64)
+    whole = lambda c: math.floor(c * scale) if math.isfinite(c * scale) else int(c) * scale
+    return np.array([[whole(c) for c in row] for row in x.tolist()], dtype=object).reshape(x.shape)
 
-def _packed(df: DataFrame, rows: int, dims: int) -> DataFrame:
-    """Blocks of at most ``rows`` vectors of a partition: n, ids, vecs (bytes)."""
+
+def _packed(df: DataFrame, rows: int, dims: int, least_large: float) -> DataFrame:
+    """Blocks of a partition's vectors: n, ids, vecs (bytes).  Those with a component of at least ``least_large`` lie in
+    blocks of LARGE_ROWS, the others in blocks of ``rows``."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held = {False: [], True: []}
         for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                if n + part.num_rows > rows:
-                    yield block(held)
-                    held, n = [], 0
-                held.append(part)
-                n += part.num_rows
-        if n:
-            yield block(held)
-
-    def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        ids = np.concatenate([b.column(0).to_numpy(zero_copy_only=False) for b in held]).astype("<i8")
-        x = np.zeros((len(ids), dims), dtype="<i8")
-        at = 0
-        for b in held:
-            lengths = np.diff(b.column(1).offsets.to_numpy())
-            flat = b.column(1).flatten().to_numpy(zero_copy_only=False)
-            inside = np.arange(dims)[None, :] < lengths[:, None]
-            x[at:at + len(lengths)][inside] = flat
-            at += len(lengths)
+            ids, x = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8"), np.zeros((batch.num_rows, dims), dtype="<f8")
+            inside = np.arange(dims)[None, :] < np.diff(batch.column(1).offsets.to_numpy())[:, None]
+            x[inside] = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            is_large = np.abs(x).max(axis=1, initial=0) >= least_large
+            for large, most in ((False, rows), (True, LARGE_ROWS)):
+                own = np.flatnonzero(is_large == large)
+                while len(own):
+                    some, own = own[:most - sum(len(i) for i, _ in held[large])], own[most - sum(len(i) for i, _ in held[large]):]
+                    held[large].append((ids[some], x[some]))
+                    if sum(len(i) for i, _ in held[large]) == most:
+                        yield block(held[large])
+                        held[large] = []
+        for left in held.values():
+            if left:
+                yield block(left)
+
+    def block(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        ids, x = (np.concatenate(c) for c in zip(*held, strict=True))
         return pa.RecordBatch.from_pydict({"n": [len(ids)], "ids": [ids.tobytes()], "vecs": [x.tobytes()]}, schema=pa.schema([("n", pa.int64()), ("ids", pa.binary()), ("vecs", pa.binary())]))
 
     return df.mapInArrow(pack, "n long, ids binary, vecs binary")
 
 
+def _beyond(score: int) -> str | None:
+    """A text that orders scores which count as the same 64-bit one; null for a score that fits (see ``NEAR``)."""
+    if -2**63 <= score < 2**63:
+        return None
+    digits = f"{len(str(abs(score))):05d}{abs(score)}"
+    return f"6{digits}" if score > 0 else "4" + digits.translate(str.maketrans("0123456789", "9876543210"))
+
+
+#: The order of scores that fit among those that count as the same.
+NEAR = "5"
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of every query row."""
     import pyarrow.dataset as ds
     from pyarrow import fs
 
     spark = vectors.sparkSession
-    usable = integers(vectors, scale, id_col, vec_col)
-    dims = usable.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
+    finite = usable(vectors, id_col, vec_col)
+    dims = finite.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
     if dims == 0:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    blocks = written(_packed(usable, BLOCK_ROWS, dims), "vector_blocks")
-    asked = written(usable.where(is_query(F.col("vec_id"))).distinct(), "queries")
+    limit = math.isqrt(2**62 // dims) - STEP
+    blocks = written(_packed(finite, BLOCK_ROWS, dims, limit / scale), "vector_blocks")
+    # queries are the same if their integers are
+    whole = F.transform("v", lambda x: F.when(F.abs(x * scale) < 2.0**53, F.floor(F.when(F.abs(x * scale) < 2.0**53, x * scale)).cast("double")).otherwise(x))
+    asked = written(finite.where(is_query(F.col("vec_id"))).withColumn("whole", whole).dropDuplicates(["vec_id", "whole"]).drop("whole"), "queries")
     asked_at = fresh_path(spark, "query_blocks")
-    _packed(asked.repartition(1 + asked.count() // QUERY_ROWS), QUERY_ROWS, dims).write.parquet(asked_at)
-
-    largest = usable.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x.cast("decimal(20,0)")))))).first()[0] or 0
-    kind = np.int64 if dims * (int(largest) + STEP) ** 2 < 2**62 else object
+    _packed(asked.repartition(1 + asked.count() // QUERY_ROWS), QUERY_ROWS, dims, limit / scale).write.parquet(asked_at)
 
     def integers_of(packed: bytes) -> np.ndarray:
-        return np.frombuffer(packed, "<i8").reshape(-1, dims).astype(kind)
+        return integers(np.frombuffer(packed, "<f8").reshape(-1, dims), scale, limit)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(asked_at)
         asked = ds.dataset(base, filesystem=store, format="parquet")
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
-                index = Index(np.frombuffer(row["ids"], "<i8"), integers_of(row["vecs"]))
+                ids, x, made = np.frombuffer(row["ids"], "<i8"), integers_of(row["vecs"]), {}
                 for part in asked.to_batches(batch_size=1):  # one block of queries in memory at a time
                     for held in part.to_pylist():
-                        yield answer(index, np.frombuffer(held["ids"], "<i8"), integers_of(held["vecs"]))
+                        q = integers_of(held["vecs"])
+                        kind = np.result_type(x, q)
+                        if kind not in made:
+                            made[kind] = Index(ids, x.astype(kind))
+                        yield answer(made[kind], np.frombuffer(held["ids"], "<i8"), q.astype(kind))
 
     def answer(index: Index, q_ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": [], "beyond": []}
         for i, own in enumerate(q_ids):
             ids, scores = index.best(q[i], own, k)
             out["query_id"] += [own] * len(ids)
             out["vec_id"] += ids.tolist()
             out["score"] += [max(-2**63, min(2**63 - 1, int(x))) for x in scores]
-        return pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in out]))
+            out["beyond"] += [_beyond(int(x)) for x in scores]
+        return pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, pa.int64()) for c in ("query_id", "vec_id", "score")] + [("beyond", pa.string())]))
 
-    found = blocks.select("ids", "vecs").repartition(max(1, min(20_000, blocks.count()))).mapInArrow(search, "query_id long, vec_id long, score long")
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = blocks.select("ids", "vecs").repartition(max(1, min(20_000, blocks.count()))).mapInArrow(search, "query_id long, vec_id long, score long, beyond string")
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc(F.coalesce("beyond", F.lit(NEAR))), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
