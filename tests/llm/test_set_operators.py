@@ -115,6 +115,38 @@ def test_mined_rules_against_brute_force(spark, join_way):
         assert out[i]["mined"] is None if not held else set(out[i]["mined"]) in held
 
 
+@pytest.mark.parametrize("further", [2, 9, 14])
+def test_rules_of_two_tokens_survive_any_width(spark, further):
+    """Bad if and only if two words agree, beside words that tell nothing."""
+    rng, rows = random.Random(3), []
+    for i in range(800):
+        a = rng.randrange(8)
+        b = a if i < 400 else rng.choice([x for x in range(8) if x != a])
+        rows.append((i, f"http://site{i}.org/a{a}/b{b}/" + "/".join(f"w{k}x{rng.randrange(2)}" for k in range(further)), i < 400))
+    rng.shuffle(rows)
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not bad), 0) for i, _, bad in rows], "doc_id long, quality int, toxic int")
+    out = {r["page_id"]: r for r in url_rules.judge(pages, labels, rules=(), min_rows=20, min_confidence=0.95).collect()}
+    assert sum(out[i]["verdict"] == "block" for i in range(400)) == 400
+    assert all(out[i]["verdict"] == "allow" for i in range(400, 800))
+
+
+def test_wide_urls_against_brute_force(spark):
+    rng, rows = random.Random(8), []
+    for i in range(400):
+        words = [f"k{k}v{rng.randrange(2)}" for k in range(11)]
+        bad = words[2] == "k2v1" and words[7] == "k7v0" and rng.random() < 0.97 or words[0] == "k0v1" and words[4] == "k4v1" and words[9] == "k9v1"
+        rows.append((i, "http://h.org/" + "/".join(words), bad))
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not bad), 0) for i, _, bad in rows], "doc_id long, quality int, toxic int")
+    out = {r["page_id"]: r for r in url_rules.judge(pages, labels, rules=(), min_rows=20, min_confidence=0.9).collect()}
+    rules = brute_rules([(u, bad) for _, u, bad in rows], 20, 0.9, 1.5, 3)
+    assert any(len(r) == 3 for r in rules)
+    for i, url, _ in rows:
+        held = [r for r in rules if r <= python_tokens(url)]
+        assert not held or out[i]["verdict"] == "block", url
+
+
 def test_long_and_repeated_urls_are_bounded(spark):
     """Copies of a url with forty tokens, and forty urls that each differ in one of them."""
     words = [f"word{k}" for k in range(40)]
