@@ -74,9 +74,9 @@ def brute_hits(text, items, width=10):
     return len(words), len(hit), ids
 
 
-@pytest.mark.parametrize("block_words", [decontaminate.BLOCK_WORDS, 3])
-def test_decontaminate_against_brute_force(spark, monkeypatch, block_words):
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 18])
+def test_decontaminate_against_brute_force(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
     rng = random.Random(5)
     word = lambda: rng.choice(["a", "B", "cé", "d9", "E"])
     items = [(k, " ".join(word() for _ in range(n))) for k, n in ((1, 12), (2, 3), (10, 30), (3, 1), (4, 12))] + [(5, None), (6, "..."), (2, "zz ZZ zz"), (7, "Long, unique: opening-words")]
