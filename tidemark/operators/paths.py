@@ -65,11 +65,9 @@ def of_gbm(forecasts: DataFrame, key: str, seed: int = 42, paths: int = 5_000, d
     return summarised(_spread(forecasts, drawn, paths).select(key, (price * F.exp(logs) / price - 1).alias("r")), key)
 
 
-def of_regimes(forecasts: DataFrame, key: str, seed: int = 42, paths: int = 5_000) -> DataFrame:
+def of_regimes(forecasts: DataFrame, key: str, seed: int = 42, paths: int = 5_000, days: int = 5) -> DataFrame:
     """forecasts: key, price, p (mu0, mu1, sigma0, sigma1 in percent), calm (probability of regime 0 now), days (matrices of
-    the coming days).  A day's regime is drawn by the day's matrix, its return by the regime."""
-    # the numbers' days go as far as the longest forecast's
-    days = forecasts.agg(F.max(F.size("days"))).first()[0] or 1
+    ``days`` coming days).  A day's regime is drawn by the day's matrix, its return by the regime."""
     drawn = numbers(forecasts.sparkSession, seed, paths, days)
     p = F.col("p")
     start = F.struct((F.col("first") >= F.col("calm")).alias("wild"), F.lit(0.0).alias("log"))
@@ -79,7 +77,7 @@ def of_regimes(forecasts: DataFrame, key: str, seed: int = 42, paths: int = 5_00
         wild = u >= F.when(state["wild"], day["m"]["p01"]).otherwise(day["m"]["p00"])
         return F.struct(wild.alias("wild"), (state["log"] + F.when(wild, p["mu1"]).otherwise(p["mu0"]) / 100 + F.when(wild, p["sigma1"]).otherwise(p["sigma0"]) / 100 * z).alias("log"))
 
-    both = F.zip_with("days", F.slice("steps", F.lit(1), F.size("days")), lambda m, s: F.struct(m.alias("m"), s.alias("s")))
+    both = F.zip_with("days", "steps", lambda m, s: F.struct(m.alias("m"), s.alias("s")))
     logs = F.aggregate(both, start, step, lambda state: state["log"])
     price = _guarded(F.col("price"), p["sigma0"], p["sigma1"])
     return summarised(_spread(forecasts, drawn, paths).select(key, (price * F.exp(logs) / price - 1).alias("r")), key)

@@ -78,8 +78,8 @@ def checked(m: Column) -> Column:
     return F.when(F.coalesce(good, F.lit(False)), m).otherwise(F.raise_error(F.lit("columns of a transition matrix must sum to 1")))
 
 
-def series_of(rows: DataFrame, key: str, order: str, y: str, x: str) -> DataFrame:
-    """key, days and series (array of y, x) in order; rows without y don't count."""
+def series_of(rows: DataFrame, key: str, order: str, y: str, x: str, *latest: str) -> DataFrame:
+    """key, days, series (array of y, x) in order, and the last row's ``latest`` columns; rows without y don't count."""
     held = F.array_sort(F.collect_list(F.struct(F.col(order).alias("day"), F.col(y).alias("y"), F.col(x).alias("x"))))
-    found = rows.where(F.col(y).isNotNull()).groupBy(key).agg(held.alias("rows"))
-    return found.select(key, F.col("rows.day").alias("days"), F.transform("rows", lambda r: F.struct(r["y"].alias("y"), r["x"].alias("x"))).alias("series"))
+    found = rows.where(F.col(y).isNotNull()).groupBy(key).agg(held.alias("rows"), *[F.max_by(c, order).alias(c) for c in latest])
+    return found.select(key, F.col("rows.day").alias("days"), F.transform("rows", lambda r: F.struct(r["y"].alias("y"), r["x"].alias("x"))).alias("series"), *latest)

@@ -669,11 +669,10 @@ ma AS (SELECT ticker, h, {_TO0[0].format(x=_FADED)} AS q0, {_TO0[1].format(x=_FA
 def m11_paths(spark, sf):
     """Forecasts from the current regime, under the matrices of the coming days."""
     given = recursion.parameters(**REGIMES)
-    used = _usable(spark, sf)
-    own = recursion.series_of(used.where("x is not null"), "ticker", "trade_date", "y", "x").select("ticker", recursion.filtered_last(given, F.col("series"))["calm"].alias("calm"))
-    last = merge.latest_per_key(used, ["ticker"], [F.desc("trade_date")]).select("ticker", F.col("close").alias("price"), "news_sentiment_3d")
+    own = recursion.series_of(_usable(spark, sf).where("x is not null"), "ticker", "trade_date", "y", "x", "close", "news_sentiment_3d")
     days = F.transform(recursion.matrices(given, F.col("news_sentiment_3d"), HORIZON, HALF_LIFE), recursion.checked)
-    return rounded(paths.of_regimes(own.join(last, "ticker").select("ticker", "price", "calm", given.alias("p"), days.alias("days")), "ticker", SEED, PATHS), 6)
+    ready = own.select("ticker", F.col("close").alias("price"), recursion.filtered_last(given, F.col("series"))["calm"].alias("calm"), given.alias("p"), days.alias("days"))
+    return rounded(paths.of_regimes(ready, "ticker", SEED, PATHS, HORIZON), 6)
 
 
 # -- retrieval and serving --------------------------------------------------------------
