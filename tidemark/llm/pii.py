@@ -5,22 +5,25 @@ their check (address parts, digits, Luhn) are dropped without another try.  Span
 DataFrame functions alone: a text split by a pattern and the pattern's matches give all
 places as running sums.
 
-Each distinct value found is a protected entity.  Over all distinct texts, a term t (a word
-outside the base spans of at least MIN_CHARS letters, marks or digits, lower-cased, not a number) has
-n_t documents, an entity e has n_e and both together n_te.  Their pointwise mutual information
-log2(N n_te / (n_t n_e)) is compared with what the entity itself carries, log2(N / n_e): a term
-discloses an entity if it gives at least ``disclosure`` of that.  If fewer than MIN_DOCS distinct
-texts hold both, n_te is replaced by its lower bound (the mean of which so many are met in a share
-TRUST of all cases), so that an entity of one text has terms too: the rarest ones of a corpus large
-enough (280 texts) to tell chance from context.  Copies of one text count as one document, since
-they say nothing new.  Entities met in the same texts have the same counts, so they are one class,
-and pairs are (class, term): a text's own entities are one class however many they are.
-
-A disclosing term is removed from the documents of its entity if it gives all (within 1 %; a lower
-bound never gives all).  Otherwise it is generalised: the terms that begin with a prefix are a
-concept wider than each of them, met in at least as many documents as the most frequent of them.
-The term becomes its longest prefix (PREFIX to LONGEST characters) so frequent that it can't disclose any
-entity of the text, however the two go together; a term without such a prefix is removed.
+Each distinct value found is a protected entity, and so is what it shares with others: an address's
+domain, an ip's network (three parts), a card's issuer (six digits), a phone's exchange (all but four
+digits).  So entities that one text alone holds are still met in several, as members of their pool.
+
+Co-occurrence is counted in windows: the words outside base spans within CONTEXT characters before or
+after a span (a word cut by the edge isn't in).  A term is any run of letters, marks and digits,
+lower-cased, short ones and numbers too.  Over N distinct texts, a term t is met in n_t, an entity e in
+n_e, and both in one window in n_te; n_e and n_te are the lesser of the distinct texts and the distinct
+windows, since neither copies of a text nor copies of a passage say anything new.  The pointwise mutual
+information log2(N n / (n_t n_e)) is compared with what the entity itself carries, log2(N / n_e): a term
+discloses an entity if it gives at least ``disclosure`` of that.  There n is the lower bound of n_te, the
+mean of which so many are met by chance in a share TRUST of all cases, and n_te must be 2 at least: one
+meeting is no co-occurrence, however rare the word.
+
+A disclosing term is removed wherever it stands in the texts where it is met beside its entity, if it
+gives all (within 1 %, by the counts themselves).  Otherwise it is generalised: a word that stands in
+CONTAINS of the distinct windows that hold the term, in twice as many texts at least, is a concept that contains
+it.  The term becomes the rarest such word that is too frequent to disclose any entity of the text, however
+the two go together; a term without one is removed.
 
 Patterns are written so that the engine neither recurses nor starts inside a run it has
 tried (possessive groups; a match starts where the last one ended or off such a run), which
@@ -29,13 +32,12 @@ changes no match.
 Edge cases: a null text is the empty text; very long texts are handled in time linear in their
 length (spans by running sums in two levels, replacements cut from UTF-32 bytes); rows without
 doc_id are judged too; repeated rows are judged each; a term with several entities takes the
-strictest treatment; other columns are ignored; empty tables give empty results.
+strictest treatment; equally rare concepts go by their letters; other columns are ignored; empty tables give empty results.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,12 +51,13 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-#: A term is a run of letters and digits of at least so many characters.
-MIN_CHARS, MIN_DOCS, DISCLOSURE = 3, 3, 0.6
-#: Fewer texts than MIN_DOCS count as the mean of which so many are met in this share of cases.
-TRUST = 0.1
-#: Characters of the prefixes that stand for wider concepts.
-PREFIX, LONGEST = 3, 24
+#: Share of an entity's information from which a term discloses it; characters of a window on each side.
+DISCLOSURE, CONTEXT = 0.6, 200
+#: A count stands for the mean of which so many are met in this share of cases; the normal quantile of it.
+TRUST, QUANTILE = 0.1, 1.2815515655446004
+#: A concept stands in this share of the windows that hold the term it contains.
+CONTAINS = 0.8
+WORD = r"[\p{L}\p{M}\p{N}]"
 #: Elements that one step of a running sum copies.
 CHUNK = 256
 SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
@@ -143,42 +146,37 @@ def spans_of(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", text_print(F.col("text")).alias("print"), *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
 
 
-def only(spans: DataFrame, holding: bool) -> DataFrame:
-    """The rows that hold a base span, or the others.  (A generator, unlike a filter, isn't pushed
-    below the spans, which would then be found twice.)"""
-    def asked(row: Column) -> Column:
-        n = sum((F.size(row[k]) for k in KINDS), F.lit(0))
-        return n > 0 if holding else n == 0
+def held() -> Column:
+    """Whether a row of ``spans_of`` holds a base span."""
+    return sum((F.size(k) for k in KINDS), F.lit(0)) > 0
 
-    return spans.select(F.inline(F.filter(F.array(F.struct(*spans.columns)), asked)))
 
+def entities_of(kind: str, value: Column) -> Column:
+    """The protected entities of a base value: itself (emails lower-cased, numbers by their digits) and its pool."""
+    if kind == "email":
+        plain = F.translate(value, UPPER, LOWER)
+        pool = F.concat(F.lit("@"), F.substring_index(plain, "@", -1))
+    elif kind == "ip":
+        plain, pool = value, F.concat(F.substring_index(value, ".", 3), F.lit(".*"))
+    else:
+        plain = digits(value)
+        pool = F.concat(F.substr(plain, F.lit(1), F.lit(6) if kind == "card" else F.length(plain) - 4), F.lit("*"))
+    return F.transform(F.array(plain, pool), lambda x: F.concat(F.lit(f"{kind}:"), x))
 
-def values_of(kinds: tuple[str, ...] = KINDS) -> Column:
-    """Protected entities: kind and value; emails lower-cased, numbers by their digits."""
-    def one(kind: str) -> Column:
-        plain = (lambda v: F.translate(v, UPPER, LOWER)) if kind == "email" else (lambda v: v) if kind == "ip" else digits
-        return F.transform(F.col(kind), lambda m: F.concat(F.lit(f"{kind}:"), plain(m["value"])))
 
-    return F.array_distinct(F.concat(*[one(k) for k in kinds]))
-
-
-def is_term(word: Column) -> Column:
-    """Long enough and not a number.  (Only words up to ":" can begin with a digit.)"""
-    return (F.length(word) >= MIN_CHARS) & ((word >= ":") | ~word.rlike("^[0-9]+$"))
+def words_of(text: Column) -> Column:
+    """Distinct terms of a text."""
+    return F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+")), "")
 
 
-def words_of(text: Column) -> Column:
-    """Distinct lower-cased words of a text, of which ``is_term`` keeps the terms."""
-    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"))
+def piece(raw: Column, start: Column, size: Column) -> Column:
+    """A part of a text in UTF-32 bytes, whose places need no counting."""
+    return F.decode(F.substr(raw, (start * 4 + 1).cast("int"), (size * 4).cast("int")), "UTF-32")
 
 
 def rebuilt(text: Column, cuts: Column, put) -> Column:
     """The text with ``put(cut, covered)`` in place of what each cut (start, end, ...) takes away, where
-    ``covered`` is the largest end of the cuts before it.  Pieces are cut from UTF-32 bytes, whose
-    places need no counting."""
-    def piece(raw: Column, start: Column, size: Column) -> Column:
-        return F.decode(F.substr(raw, (start * 4 + 1).cast("int"), (size * 4).cast("int")), "UTF-32")
-
+    ``covered`` is the largest end of the cuts before it."""
     def built(raw: Column, ordered: Column, covered: Column) -> Column:
         parts = F.zip_with(ordered, covered, lambda m, b: F.concat(F.when(m["start"] > b, piece(raw, b, m["start"] - b)).otherwise(F.lit("")), put(m, b)))
         last = F.array_max(F.transform(ordered, lambda m: m["end"]))
@@ -198,37 +196,45 @@ def outside(text: Column, spans: Column) -> Column:
 
 def terms_at(text: Column) -> Column:
     """Array of (start, end, value) of a text's terms, as they stand."""
-    return F.filter(places(text, r"[\p{L}\p{M}\p{N}]+"), lambda m: is_term(m["value"]))
+    return places(text, WORD + "+")
 
 
-def text_print(text: Column) -> Column:
-    return F.unhex(F.sha2(text, 256))
+def windows_of(blank: Column) -> Column:
+    """Array of (entities, near) of every base span, where ``blank`` is the text outside the spans and ``near``
+    its part around the span, without words that an edge cuts."""
+    n = F.length(blank).cast("long")
 
+    def near(raw: Column, m: Column) -> Column:
+        first, last = F.greatest(m["start"] - CONTEXT, F.lit(0)), F.least(m["end"] + CONTEXT, n)
+        before, after = piece(raw, first, m["start"] - first), piece(raw, m["end"], last - m["end"])
+        before = F.when(first > 0, F.regexp_replace(before, f"\\A{WORD}+", "")).otherwise(before)
+        after = F.when(last < n, F.regexp_replace(after, f"(?<!{WORD}){WORD}++\\z", "")).otherwise(after)
+        return F.lower(F.concat(before, F.lit(" "), after))
 
-def least_mean(n: int) -> float:
-    """The mean of a Poisson count below which n or more are met in less than one of ten cases."""
-    low, high = 0.0, float(n)
-    for _ in range(60):
-        mean = (low + high) / 2
-        less = math.exp(-mean) * sum(mean ** k / math.factorial(k) for k in range(n))
-        low, high = (low, mean) if 1 - less >= TRUST else (mean, high)
-    return low
+    def of_kind(raw: Column, kind: str) -> Column:
+        return F.transform(kind, lambda m: F.struct(entities_of(kind, m["value"]).alias("entities"), near(raw, m).alias("near")))
 
+    return let(F.encode(blank, "UTF-32"), lambda raw: F.concat(*[of_kind(raw, k) for k in KINDS]))
 
-def sure(n_te: Column, min_docs: int) -> Column:
-    """The count of texts that PMI is taken from: from ``min_docs`` on the count, below it its lower bound."""
-    return F.element_at(F.array(*[F.lit(least_mean(n)) for n in range(1, max(min_docs, 2))]), F.least(n_te, F.lit(max(min_docs - 1, 1))).cast("int")) if min_docs > 1 else n_te.cast("double")
+
+def text_print(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def sure(n: Column) -> Column:
+    """The mean of which n or more are met by chance in a share TRUST of all cases (Poisson, by the cube-root formula)."""
+    return n * F.pow(1 - 1 / (9 * n) - QUANTILE / (3 * F.sqrt(n)), F.lit(3.0))
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    """holders: print, text, kinds, tokens (places of the terms outside base spans) of every distinct text
-    that holds an entity.  classes: entity, class (n_e and a print of the set of its texts).  told: print,
-    class, term, whole, most (the largest n_e among the text's entities).  counts: term, n_t.  total: distinct texts."""
+    """windows: print, near, seen (its hash), entity, terms: a row for each base span and entity that several hold.
+    told: entity, term, n_te, n_e, n_t, whole: the pairs that disclose.  counts: term, n_t of terms met twice with an
+    entity.  total: distinct texts."""
 
-    holders: DataFrame
+    windows: DataFrame
     copies: DataFrame
-    classes: DataFrame
+    entities: DataFrame
     told: DataFrame
     counts: DataFrame
     total: int
@@ -239,86 +245,93 @@ class Disclosure:
         return n_t <= (float(self.total) ** (1 - self.disclosure)) * F.pow(n_e.cast("double"), F.lit(self.disclosure)) * (1 + 1e-9)
 
 
-def disclosing(docs: DataFrame, spans: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> Disclosure:
-    """Which terms disclose which entities of which texts.
-
-    A row counts 1 / (copies of its text), so that a text counts once, however many rows hold it, and
-    terms of all texts are summed up where they are read.  Only terms rare enough to disclose anything
-    are paired with classes."""
-    lower = lambda m: F.lower(m["value"])
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    prints = written(docs.groupBy(text_print(text).alias("print")).agg(F.count("*").alias("copies")), "texts")
-    total = prints.count()
-    copies = prints.where("copies > 1").withColumn("rows", F.col("copies"))
-    held = only(spans, True).drop("doc_id").dropDuplicates(["print"])
-    holders = written(held.withColumn("tokens", F.explode(F.array(outside(F.col("text"), F.concat(*KINDS))))).withColumn("tokens", terms_at(F.col("tokens"))), "holders")
-
-    entities = holders.select("print", F.explode(values_of()).alias("entity"))
-    same = [F.bit_xor(F.xxhash64("print", F.lit(k))).alias(f"texts{k}") for k in (1, 2)]
-    classes = written(entities.groupBy("entity").agg(F.count("*").alias("n_e"), *same).select("entity", F.struct("n_e", "texts1", "texts2").alias("class")), "entity_classes")
-    most = classes.agg(F.max("class.n_e")).first()[0] or 0
-    of_text = join_on_hot_key(entities, classes.withColumn("rows", F.col("class.n_e")), "entity", "rows", F.col("print"))
-    of_text = written(of_text.groupBy("print").agg(F.collect_set("class").alias("classes")), "classes_of_texts")
-
-    # a holder's terms inside its base spans alone don't count
-    inside = holders.select(F.explode(F.array_except(words_of(F.col("text")), F.transform("tokens", lower))).alias("term"), F.lit(-1.0).alias("share"))
-    bags = join_on_hot_key(docs.select(text_print(text).alias("print"), words_of(text).alias("terms")), copies, "print", "rows", F.monotonically_increasing_id())
+def disclosing(spans: DataFrame, disclosure: float = DISCLOSURE) -> Disclosure:
+    """Which terms disclose which entities, of the (written) rows of ``spans_of``.
+
+    Windows are few beside the texts, so pairs are counted in them first; of the texts' words only those that
+    are met twice with an entity are then counted.  A row counts 1 / (copies of its text), so that a text
+    counts once, however many rows hold it."""
+    prints = written(spans.groupBy("print").agg(F.count(F.lit(1)).alias("rows")), "texts")
+    total, copies = prints.count(), prints.where("rows > 1")
+
+    met = F.least(F.count_distinct("print"), F.count_distinct("seen"))
+    texts = spans.where(held()).dropDuplicates(["print"])
+    blank = texts.select("print", *KINDS, F.explode(F.array(outside(F.col("text"), F.concat(*KINDS)))).alias("blank"))
+    around = blank.select("print", F.inline(windows_of(F.col("blank")))).select("print", F.xxhash64("near").alias("seen"), words_of(F.col("near")).alias("terms"), F.explode("entities").alias("entity"))
+    around = written(around, "windows")
+    entities = written(around.groupBy("entity").agg(met.alias("n_e"), F.count(F.lit(1)).alias("rows")), "entities")
+    windows = written(join_on_hot_key(around, entities.where("n_e > 1"), "entity", "rows", F.col("print"), "inner"), "pooled_windows")
+
+    pairs = windows.select("entity", "n_e", "print", "seen", F.explode("terms").alias("term"))
+    pairs = written(pairs.groupBy("entity", "term").agg(met.alias("n_te"), F.first("n_e").alias("n_e"), F.count(F.lit(1)).alias("rows")).where("n_te > 1"), "pairs")
+    asked = written(pairs.select("term").distinct(), "asked_terms")
+    plain = F.when(held(), outside(F.col("text"), F.concat(*KINDS))).otherwise(F.col("text"))
+    bags = join_on_hot_key(spans.select("print", words_of(plain).alias("terms")), copies.withColumn("copies", F.col("rows")), "print", "rows", F.monotonically_increasing_id())
     said = bags.select(F.explode("terms").alias("term"), (1.0 / F.coalesce("copies", F.lit(1))).alias("share"))
-    counts = written(said.unionByName(inside).where(is_term(F.col("term"))).groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t")).where("n_t > 0"), "term_counts")
-    out = Disclosure(holders, copies, classes, None, counts, total, disclosure)
-
-    def judged(pairs: DataFrame) -> DataFrame:
-        n_t, n_e, n_te = F.col("n_t"), F.col("class.n_e"), F.col("n_te")
-        n_te = F.when(n_te >= min_docs, n_te.cast("double")).otherwise(sure(n_te, min_docs))
-        carried, given = F.log2(F.lit(float(total)) / n_e), F.log2(F.lit(float(total)) * n_te / (n_t * n_e))
-        return pairs.withColumn("whole", given >= 0.99 * carried).where((carried > 0) & (given >= disclosure * carried))
-
-    own = holders.select("print", F.explode(F.array_distinct(F.transform("tokens", lower))).alias("term"))
-    rare = join_on_hot_key(own, counts.withColumn("rows", F.col("n_t")), "term", "rows", F.col("print"), "inner").where(out.may(F.col("n_t"), F.lit(most)))
-    largest = F.array_max(F.transform("classes", lambda c: c["n_e"]))
-    pairs = rare.join(of_text, "print").select("print", "term", "n_t", largest.alias("most"), F.explode("classes").alias("class"))
-    pairs = written(pairs.where(out.may(F.col("n_t"), F.col("class.n_e"))), "class_terms")
-    alone = judged(pairs.where("class.n_e = 1").withColumn("n_te", F.lit(1).cast("long"))).select("print", "class", "term", "whole", "most")
-    several = pairs.where("class.n_e > 1").withColumn("key", F.struct("class", "term"))
-    shared = written(judged(several.groupBy("key", "class", "n_t").agg(F.count("*").alias("n_te"))).select("key", "whole", "n_te"), "shared_terms")
-    met = join_on_hot_key(several, shared, "key", "n_te", F.col("print"), "inner").select("print", "class", "term", "whole", "most")
-    return replace(out, told=written(alone.unionByName(met), "told_terms"))
+    summed = lambda words: words.groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t"))
+    counts = summed(said.join(F.broadcast(asked), "term", "left_semi")) if fits(asked) else summed(said).join(asked, "term", "left_semi")
+    counts = written(counts, "term_counts")
+
+    n_t, n_e, n_te, whole = F.col("n_t"), F.col("n_e"), F.col("n_te"), float(max(total, 1))
+    weights = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
+    known = join_on_hot_key(pairs, counts.join(weights, "term"), "term", "_n", F.col("entity"), "inner")
+    carried, given = F.log2(whole / n_e), lambda n: F.log2(whole * n / (n_t * n_e))
+    told = known.where((carried > 0) & (given(sure(n_te)) >= disclosure * carried)).withColumn("whole", given(n_te) >= 0.99 * carried)
+    return Disclosure(windows, copies, entities, written(told, "told"), counts, total, disclosure)
+
+
+def contained(found: Disclosure, terms: DataFrame) -> DataFrame:
+    """term, most, to: the rarest word that contains the term and discloses no entity of ``most`` texts (of those ``terms`` that have one)."""
+    seen = found.windows.groupBy("seen").agg(F.first("terms").alias("terms"))
+    asked = terms.groupBy("term").agg(F.first("n_t").alias("n_t"))
+    held_by = seen.select("terms", F.explode("terms").alias("term"))
+    # a told term is in few texts (``may``), its windows are no more than their spans
+    near = join_on_hot_key(held_by, asked.withColumn("_n", F.col("n_t")), "term", "_n", F.hash("terms"), "inner")
+    both = near.select("term", "n_t", F.explode("terms").alias("to")).groupBy("term", "n_t", "to").agg(F.count(F.lit(1)).alias("n"))
+    alone = both.where("term = to").select("term", F.col("n").alias("n_w"))
+    wider = both.where("term != to").join(alone, "term").where((F.col("n_w") > 1) & (F.col("n") >= CONTAINS * F.col("n_w")))
+    sizes = found.counts.select(F.col("term").alias("to"), F.col("n_t").alias("n_to"), F.col("n_t").alias("_n"))
+    wider = join_on_hot_key(wider.select("term", "n_t", "to"), sizes, "to", "_n", F.col("term"), "inner").where("n_to >= 2 * n_t")
+    fit = terms.select("term", "most").distinct().join(wider, "term").where(~found.may(F.col("n_to"), F.col("most")))
+    return fit.groupBy("term", "most").agg(F.min(F.struct("n_to", "to"))["to"].alias("to"))
 
 
 def treated(found: Disclosure) -> DataFrame:
-    """print, term, to: what becomes of each disclosing term of a text, a prefix and * or nothing."""
-    told = found.told.groupBy("print", "term").agg(F.max("whole").alias("whole"), F.max("most").alias("most"))
-    starts = lambda longest: F.explode(F.transform(F.sequence(F.lit(PREFIX), longest), lambda n: F.substr("term", F.lit(1), n)))
-    longest = lambda less: F.least(F.length("term") - less, F.lit(LONGEST))
-    common = found.counts.where(~found.may(F.col("n_t"), F.lit(1))).where(F.length("term") >= PREFIX)
-    wide = common.select("n_t", starts(longest(0)).alias("start")).groupBy("start").agg(F.max("n_t").alias("n_p"))
-    asked = told.where(~F.col("whole") & (F.length("term") > PREFIX)).select("term", "most").distinct()
-    fit = asked.select("term", "most", starts(longest(1)).alias("start")).join(wide, "start").where(~found.may(F.col("n_p"), F.col("most")))
-    wider = fit.groupBy("term", "most").agg(F.max_by("start", F.length("start")).alias("start"))
-    return told.join(wider, ["term", "most"], "left").select("print", "term", F.when(F.col("whole") | F.col("start").isNull(), "").otherwise(F.concat("start", F.lit("*"))).alias("to"))
-
-
-def coverage(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
-    """kind, n_entities, n_with_terms (entities that a term discloses)."""
-    found = disclosing(docs, spans_of(docs), disclosure, min_docs)
-    told = found.told.select("class").distinct().withColumn("told", F.lit(1).cast("long"))
-    each = found.classes.join(told, "class", "left").select(F.substring_index("entity", ":", 1).alias("kind"), F.coalesce("told", F.lit(0).cast("long")).alias("told"))
+    """print, term, to: what becomes of each disclosing term of a text, a wider word or nothing."""
+    key = F.struct("entity", "term").alias("key")
+    at = found.windows.select("print", "entity", "n_e", F.explode("terms").alias("term")).select("print", "term", key)
+    told = found.told.select(key, "n_t", "whole", "rows")
+    met = join_on_hot_key(at, told, "key", "rows", F.col("print"), "inner")
+    largest = written(found.windows.groupBy("print").agg(F.max("n_e").alias("most")), "largest_entities")
+    met = written(met.groupBy("print", "term").agg(F.max("whole").alias("whole"), F.first("n_t").alias("n_t")).join(largest, "print"), "met_terms")
+    wider = contained(found, met.where(~F.col("whole")))
+    return met.join(wider, ["term", "most"], "left").select("print", "term", F.when(F.col("whole"), "").otherwise(F.coalesce("to", F.lit(""))).alias("to"))
+
+
+def coverage(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
+    """kind, n_entities, n_with_terms (entities, pools included, that a term discloses)."""
+    found = disclosing(written(spans_of(docs), "spans"), disclosure)
+    told = found.told.select("entity").distinct().withColumn("told", F.lit(1).cast("long"))
+    each = found.entities.join(told, "entity", "left").select(F.substring_index("entity", ":", 1).alias("kind"), F.coalesce("told", F.lit(0).cast("long")).alias("told"))
     return each.groupBy("kind").agg(F.count("*").alias("n_entities"), F.sum("told").alias("n_with_terms"))
 
 
-def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, min_docs: int = MIN_DOCS) -> DataFrame:
+def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, text, the kinds' spans, and the spans of disclosing terms with what becomes of them (to)."""
-    spans = spans_of(docs)
-    found = disclosing(docs, spans, disclosure, min_docs)
-    at = found.holders.select("print", F.explode("tokens").alias("m")).withColumn("term", F.lower("m.value"))
-    per_text = at.join(treated(found), ["print", "term"]).groupBy("print").agg(F.array_sort(F.collect_list(F.struct("m.start", "m.end", "m.value", "to"))).alias(TERM))
-    weighed = written(per_text.join(found.copies.select("print", "rows"), "print", "left").withColumn("rows", F.coalesce("rows", F.lit(1))), "terms_of_texts")
+    spans = written(spans_of(docs), "spans")
+    found = disclosing(spans, disclosure)
+    terms = written(treated(found), "treated")
+    texts = spans.where(held()).join(terms.select("print").distinct(), "print", "left_semi").dropDuplicates(["print"])
+    tokens = texts.select("print", F.explode(F.array(outside(F.col("text"), F.concat(*KINDS)))).alias("blank")).select("print", F.explode(terms_at(F.col("blank"))).alias("m"))
+    at = tokens.withColumn("term", F.lower("m.value")).join(terms, ["print", "term"])
+    per_text = at.groupBy("print").agg(F.array_sort(F.collect_list(F.struct("m.start", "m.end", "m.value", "to"))).alias(TERM))
+    weighed = written(per_text.join(found.copies, "print", "left").withColumn("rows", F.coalesce("rows", F.lit(1))), "terms_of_texts")
     none = F.array().cast("array<struct<start:bigint,end:bigint,value:string,to:string>>")
     if fits(weighed):
         every = spans.join(F.broadcast(weighed), "print", "left")
     else:  # texts without entities needn't move
-        marked = join_on_hot_key(only(spans, True), weighed, "print", "rows", F.monotonically_increasing_id())
-        every = marked.unionByName(only(spans, False).withColumn(TERM, none))
+        marked = join_on_hot_key(spans.where(held()), weighed, "print", "rows", F.monotonically_increasing_id())
+        every = marked.unionByName(spans.where(~held()).withColumn(TERM, none))
     return every.select("doc_id", "text", *KINDS, F.coalesce(TERM, none).alias(TERM))
 
 
