@@ -37,7 +37,7 @@ strictest treatment; equally rare concepts go by their letters; other columns ar
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -228,9 +228,9 @@ def sure(n: Column) -> Column:
 
 @dataclass(frozen=True)
 class Disclosure:
-    """windows: print, near, seen (its hash), entity, terms: a row for each base span and entity that several hold.
-    told: entity, term, n_te, n_e, n_t, whole: the pairs that disclose.  counts: term, n_t of terms met twice with an
-    entity.  total: distinct texts."""
+    """windows: print (64 bits of the text's), seen (a hash of the window), entity, n_e, terms: a row for each
+    distinct window and entity that several hold.  entities: entity, n_e.  told: entity, term, n_te, n_e, n_t,
+    whole: the pairs that disclose.  counts: term, n_t of terms met twice with an entity.  total: distinct texts."""
 
     windows: DataFrame
     copies: DataFrame
@@ -255,16 +255,17 @@ def disclosing(spans: DataFrame, disclosure: float = DISCLOSURE) -> Disclosure:
     total, copies = prints.count(), prints.where("rows > 1")
 
     met = F.least(F.count_distinct("print"), F.count_distinct("seen"))
-    texts = spans.where(held()).dropDuplicates(["print"])
-    blank = texts.select("print", *KINDS, F.explode(F.array(outside(F.col("text"), F.concat(*KINDS)))).alias("blank"))
-    around = blank.select("print", F.inline(windows_of(F.col("blank")))).select("print", F.xxhash64("near").alias("seen"), words_of(F.col("near")).alias("terms"), F.explode("entities").alias("entity"))
+    blank = spans.where(held()).select(F.xxhash64("print").alias("print"), *KINDS, F.explode(F.array(outside(F.col("text"), F.concat(*KINDS)))).alias("blank"))
+    near = blank.select("print", F.inline(windows_of(F.col("blank")))).distinct()
+    around = near.select("print", F.xxhash64("near").alias("seen"), words_of(F.col("near")).alias("terms"), F.explode("entities").alias("entity"))
     around = written(around, "windows")
     entities = written(around.groupBy("entity").agg(met.alias("n_e"), F.count(F.lit(1)).alias("rows")), "entities")
     windows = written(join_on_hot_key(around, entities.where("n_e > 1"), "entity", "rows", F.col("print"), "inner"), "pooled_windows")
 
     pairs = windows.select("entity", "n_e", "print", "seen", F.explode("terms").alias("term"))
-    pairs = written(pairs.groupBy("entity", "term").agg(met.alias("n_te"), F.first("n_e").alias("n_e"), F.count(F.lit(1)).alias("rows")).where("n_te > 1"), "pairs")
-    asked = written(pairs.select("term").distinct(), "asked_terms")
+    twice = pairs.groupBy("entity", "n_e", "term").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    twice = written(twice, "pairs")
+    asked = written(twice.select("term").distinct(), "asked_terms")
     plain = F.when(held(), outside(F.col("text"), F.concat(*KINDS))).otherwise(F.col("text"))
     bags = join_on_hot_key(spans.select("print", words_of(plain).alias("terms")), copies.withColumn("copies", F.col("rows")), "print", "rows", F.monotonically_increasing_id())
     said = bags.select(F.explode("terms").alias("term"), (1.0 / F.coalesce("copies", F.lit(1))).alias("share"))
@@ -273,11 +274,16 @@ def disclosing(spans: DataFrame, disclosure: float = DISCLOSURE) -> Disclosure:
     counts = written(counts, "term_counts")
 
     n_t, n_e, n_te, whole = F.col("n_t"), F.col("n_e"), F.col("n_te"), float(max(total, 1))
-    weights = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
-    known = join_on_hot_key(pairs, counts.join(weights, "term"), "term", "_n", F.col("entity"), "inner")
+    weights = twice.groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
+    known = join_on_hot_key(twice, counts.join(weights, "term"), "term", "_n", F.col("entity"), "inner")
+    out = Disclosure(windows, copies, entities, None, counts, total, disclosure)
+    known = written(known.where(out.may(n_t, n_e)).select(F.struct("entity", "term").alias("key"), "n_t", "rows"), "rare_pairs")
+    # what each pair is met in, of pairs rare enough to disclose
+    met_in = join_on_hot_key(pairs.withColumn("key", F.struct("entity", "term")), known, "key", "rows", F.col("print"), "inner")
+    known = met_in.groupBy("entity", "n_e", "term", "n_t").agg(met.alias("n_te"), F.count(F.lit(1)).alias("rows")).where("n_te > 1")
     carried, given = F.log2(whole / n_e), lambda n: F.log2(whole * n / (n_t * n_e))
     told = known.where((carried > 0) & (given(sure(n_te)) >= disclosure * carried)).withColumn("whole", given(n_te) >= 0.99 * carried)
-    return Disclosure(windows, copies, entities, written(told, "told"), counts, total, disclosure)
+    return replace(out, told=written(told, "told"))
 
 
 def contained(found: Disclosure, terms: DataFrame) -> DataFrame:
@@ -321,10 +327,12 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     spans = written(spans_of(docs), "spans")
     found = disclosing(spans, disclosure)
     terms = written(treated(found), "treated")
-    texts = spans.where(held()).join(terms.select("print").distinct(), "print", "left_semi").dropDuplicates(["print"])
-    tokens = texts.select("print", F.explode(F.array(outside(F.col("text"), F.concat(*KINDS)))).alias("blank")).select("print", F.explode(terms_at(F.col("blank"))).alias("m"))
+    told = terms.select("print").distinct()
+    printed = spans.where(held()).withColumn("full", F.col("print")).withColumn("print", F.xxhash64("full"))
+    texts = printed.join(told, "print", "left_semi").dropDuplicates(["full"])
+    tokens = texts.select("print", "full", F.explode(F.array(outside(F.col("text"), F.concat(*KINDS)))).alias("blank")).select("print", "full", F.explode(terms_at(F.col("blank"))).alias("m"))
     at = tokens.withColumn("term", F.lower("m.value")).join(terms, ["print", "term"])
-    per_text = at.groupBy("print").agg(F.array_sort(F.collect_list(F.struct("m.start", "m.end", "m.value", "to"))).alias(TERM))
+    per_text = at.groupBy(F.col("full").alias("print")).agg(F.array_sort(F.collect_list(F.struct("m.start", "m.end", "m.value", "to"))).alias(TERM))
     weighed = written(per_text.join(found.copies, "print", "left").withColumn("rows", F.coalesce("rows", F.lit(1))), "terms_of_texts")
     none = F.array().cast("array<struct<start:bigint,end:bigint,value:string,to:string>>")
     if fits(weighed):
