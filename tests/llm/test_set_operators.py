@@ -1,11 +1,13 @@
 """URL rules, WARC, MinHash, lines, top-k, personal data: against brute force."""
 
+import base64
 import gzip
 import hashlib
 import io
 import random
 import re
 import zipfile
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -217,10 +219,84 @@ def test_package_range_reads(monkeypatch):
     for i, p in enumerate(payloads):
         package.add(i, "u", p, hashlib.sha256(p).hexdigest(), None)
     package.close()
-    assert [x[2] for x in warc.read_package(out, len(out.getvalue()))] == payloads
-    raw = gzip.compress(b"not a record\r\n\r\n")
+    assert [warc.parts_of(*x[1:])[1] for x in warc.read_package(out, len(out.getvalue()))] == payloads
     with pytest.raises(ValueError, match="WARC"):
-        warc.parse_record(gzip.decompress(raw))
+        list(warc.records_of(iter([b"not a record\r\n\r\n"])))
+
+
+def foreign(kind, block, **headers):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", *[f"{k.replace('_', '-')}: {v}" for k, v in headers.items()], f"Content-Length: {len(block)}", "", ""]
+    return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
+
+
+def foreign_records(payload):
+    """A warcinfo record, responses with digests in base 32, by another algorithm and none, a bare revisit."""
+    http = "application/http; msgtype=response"
+    b32 = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    return [
+        foreign("warcinfo", b"software: x\r\n\r\nmore"), foreign("response", warc.HTTP + payload, Content_Type=http, WARC_Payload_Digest=f"sha1:{b32}"),
+        foreign("response", warc.HTTP + payload, Content_Type=http, WARC_Payload_Digest=f"md5:{hashlib.md5(payload).hexdigest()}"), foreign("response", warc.HTTP + payload, Content_Type=http, WARC_Payload_Digest="own:x"),
+        foreign("resource", payload), foreign("revisit", warc.HTTP, Content_Type=http, WARC_Payload_Digest=f"sha1:{b32}", WARC_Refers_To="<urn:uuid:1>"), foreign("response", warc.HTTP + payload[:3], Content_Type=http, WARC_Payload_Digest=f"sha1:{b32}", WARC_Truncated="length"),
+    ]
+
+
+def zipped(members, method=zipfile.ZIP_STORED):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, raw in members.items():
+            z.writestr(name, raw, method if "index" in name else zipfile.ZIP_STORED)
+    return out, len(out.getvalue())
+
+
+@pytest.mark.parametrize("step", [1, 7, 1 << 20])
+@pytest.mark.parametrize("packed", ["plain", "a_member_each", "one_member", "two_a_member"])
+def test_archives_without_index(monkeypatch, step, packed):
+    monkeypatch.setattr(warc, "STEP", step)
+    records = foreign_records(b"a\r\n\r\nb" * 30)
+    raw = {"plain": b"".join(records), "a_member_each": b"".join(map(gzip.compress, records)), "one_member": gzip.compress(b"".join(records)), "two_a_member": b"".join(gzip.compress(b"".join(records[k:k + 2])) for k in range(0, len(records), 2))}[packed]
+    name = "archive/x.warc" + ("" if packed == "plain" else ".gz")
+    got = [(h["warc-type"], block) for _, h, block in warc.read_package(*zipped({name: raw, "other.txt": b"x"}))]
+    assert got == [(r.split(b"\r\n")[1].split()[1].decode(), r.partition(b"\r\n\r\n")[2][:-4]) for r in records]
+    for cut in {len(raw) - 5, len(raw) // 2, len(raw) // 3, 12} - {0}:
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.read_package(*zipped({name: raw[:cut]})))
+    assert list(warc.read_package(*zipped({name: b""}))) == []
+
+
+@pytest.mark.parametrize("named", [[], [0], [2, 4], [6], [0, 1, 2, 3, 4, 5, 6], [1, 1, 3]])
+@pytest.mark.parametrize("index", ["index.cdxj", "index.cdx.gz", "deflated.index.cdxj"])
+def test_what_no_index_names_is_read(named, index):
+    records = list(map(gzip.compress, foreign_records(b"abc" * 50)))
+    offsets = [sum(map(len, records[:k])) for k in range(len(records))]
+    lines = "\n".join(f'- 1 {{"filename": "x.warc.gz", "offset": "{offsets[k]}", "length": "{len(records[k])}"}}' for k in named).encode()
+    out, size = zipped({"a/x.warc.gz": b"".join(records), "b/y.warc.gz": records[0], index: gzip.compress(lines) if index.endswith(".gz") else lines}, zipfile.ZIP_DEFLATED if "deflated" in index else zipfile.ZIP_STORED)
+    got = list(warc.read_package(out, size))
+    assert [h["warc-type"] for _, h, _ in got] == ["warcinfo", "response", "response", "response", "resource", "revisit", "response", "warcinfo"]
+    assert [k for k, (e, _, _) in enumerate(got) if e] == sorted(set(named))
+
+
+@pytest.mark.parametrize("line", ['{"filename": "z.warc.gz", "offset": 0, "length": 5}', '{"filename": "x.warc.gz", "offset": 0, "length": 99999}', '{"filename": "x.warc.gz", "offset": 3, "length": 9}', '{"offset": 0, "length": 5}'])
+def test_indexes_that_are_wrong(line):
+    raw = b"".join(map(gzip.compress, foreign_records(b"abc")))
+    with pytest.raises((ValueError, zlib.error)):
+        list(warc.read_package(*zipped({"a/x.warc.gz": raw, "b/y.warc.gz": raw, "index.cdxj": b"- 1 " + line.encode()})))
+
+
+def test_foreign_records_as_rows(spark, tmp_path):
+    payload = b"q" * 120
+    out, size = zipped({"archive/x.warc.gz": b"".join(map(gzip.compress, foreign_records(payload)))})
+    (tmp_path / "x.wacz").write_bytes(out.getvalue())
+    manifest = lambda n: spark.createDataFrame([(f"file://{tmp_path}/{n}", size, 7)], "path string, bytes long, records long")
+    rows = warc.read(manifest("x.wacz")).collect()
+    sha = hashlib.sha256(payload).hexdigest()
+    info = b"software: x\r\n\r\nmore"
+    assert [(r["record_type"], r["payload_bytes"]) for r in rows] == [("warcinfo", len(info)), ("response", 120), ("response", 120), ("response", 120), ("resource", 120), ("revisit", None), ("response", 3)]
+    assert [r["payload_digest"] for r in rows][1:5] == [sha] * 4 and rows[5]["payload_digest"].startswith("sha1:") and not any(r["page_id"] or r["refers_to"] for r in rows)
+    wrong = foreign("response", warc.HTTP + b"r" * 120, Content_Type="application/http", WARC_Payload_Digest=f"sha256:{sha}")
+    out, size = zipped({"archive/x.warc": wrong})
+    (tmp_path / "bad.wacz").write_bytes(out.getvalue())
+    with pytest.raises(Exception, match="doesn't fit its digest"):
+        warc.read(manifest("bad.wacz")).collect()
 
 
 # -- near-duplicates --------------------------------------------------------------------

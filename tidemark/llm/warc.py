@@ -7,9 +7,15 @@ a lost or repeated task leaves at most a file that nobody reads.
 
 Reading: the end-of-central-directory record, the ZIP64 locator and record where there are
 any, and the central directory give the stored members, archives and indexes by their endings;
-an index (CDXJ) gives each record's archive, offset and length, and neighbouring records are
-fetched by one range read of at most RANGE_BYTES (or one record).  An archive that no index names
-is read record by record, STEP bytes at a time.
+an index (CDXJ, plain, in gzip or deflated) gives each record's archive, offset and length, and neighbouring
+records are fetched by one range read of at most RANGE_BYTES (or one record).  What no index names, whole
+archives or parts between records, is read record by record, STEP bytes at a time.  Archives are plain or in
+gzip members of one or more records.  An archive that ends inside a record or member, an index that names an
+archive or a range that isn't there, and a payload that fails its digest are errors: no record is lost in silence.
+
+Records of other writers are read too: of any type, without a digest or with one in base 32 or by another
+algorithm (checked where hashlib has it and the payload is whole and not in transfer coding).  Their page_id is
+null, their payload is the block unless that is HTTP, and what a revisit doesn't say is null.
 
 Of records with equal payloads of at least ``least`` bytes, the one with the smallest
 page_id is a response and the others revisit it.
@@ -23,8 +29,10 @@ a time; of tied page_ids see above; other columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
+import io
 import json
 import re
 import struct
@@ -32,7 +40,7 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote, unquote
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,7 +53,7 @@ ROLL_RECORDS, ROLL_BYTES = 4096, 256 << 20
 RANGE_BYTES = 4 << 20
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Endings of the members that are archives and indexes.
-ARCHIVES, INDEXES = (".warc.gz", ".warc"), (".cdxj", ".cdx")
+ARCHIVES, INDEXES = (".warc.gz", ".warc"), (".cdxj", ".cdx", ".cdxj.gz", ".cdx.gz")
 #: Bytes of a member that are read at once where there is no index.
 STEP = 1 << 20
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -69,14 +77,29 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     return "\r\n".join(head).encode("ascii") + body + b"\r\n\r\n"
 
 
-def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (lower-case names) and payload of one uncompressed record."""
-    head, _, rest = raw.partition(b"\r\n\r\n")
+def parsed(head: bytes) -> dict[str, str]:
+    """Headers (lower-case names) of a record's head."""
     lines = head.decode("utf-8").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
-    headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    return headers, rest[:int(headers["content-length"])].partition(b"\r\n\r\n")[2]
+    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+
+
+def parts_of(headers: dict[str, str], block: bytes) -> tuple[bytes, bytes]:
+    """The HTTP head and the payload of a record's block."""
+    if not headers.get("content-type", "").lower().startswith("application/http"):
+        return b"", block
+    head, _, payload = block.partition(b"\r\n\r\n")
+    return head, payload
+
+
+def digest_fails(headers: dict[str, str], head: bytes, payload: bytes) -> bool:
+    """Whether a whole payload contradicts its digest, in hexadecimal or base 32."""
+    name, _, value = headers.get("warc-payload-digest", "").partition(":")
+    if name.lower() not in hashlib.algorithms_guaranteed or name.lower().startswith("shake") or "warc-truncated" in headers or b"\ntransfer-encoding:" in head.lower():
+        return False
+    digest = hashlib.new(name.lower(), payload).digest()
+    return value.lower() != digest.hex() and value.upper().rstrip("=") != base64.b32encode(digest).decode().rstrip("=")
 
 
 class Package:
@@ -161,59 +184,120 @@ def _entries(text: str) -> Iterator[dict]:
             yield e | {"offset": int(e["offset"]), "length": int(e["length"])}
 
 
-def _page(headers: dict[str, str]) -> int | None:
+def _page(record_id: str | None) -> int | None:
     """The page a record was written for; null for records of other writers."""
-    named = re.fullmatch(r"<urn:page:(-?\d+)>", headers.get("warc-record-id", ""))
+    named = re.fullmatch(r"<urn:page:(-?\d+)>", record_id or "")
     return int(named[1]) if named else None
 
 
-def _plain(raw: bytes) -> bytes:
-    return gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
-
-
-def _unindexed(f, base: int, size: int) -> Iterator[bytes]:
-    """The uncompressed records of an archive of one gzip member each, in order."""
-    at, step, held = 0, zlib.decompressobj(31), []
+def uncompressed(f, base: int, size: int) -> Iterator[bytes]:
+    """The bytes of an archive or a part of it, plain or in gzip members, STEP of them at a time."""
+    f.seek(base)
+    at, step, zipped = 0, None, size > 1 and f.read(2) == b"\x1f\x8b"
     while at < size:
         f.seek(base + at)
         raw = f.read(min(STEP, size - at))
+        if not raw:
+            raise ValueError("the archive is cut off")
         at += len(raw)
+        if not zipped:
+            yield raw
+            continue
         while raw:
-            held.append(step.decompress(raw))
-            raw = step.unused_data
-            if step.eof:
-                yield b"".join(held)
-                step, held = zlib.decompressobj(31), []
+            step = step or zlib.decompressobj(31)
+            yield step.decompress(raw, STEP)
+            raw = step.unused_data if step.eof else step.unconsumed_tail
+            step = None if step.eof else step
+    while step is not None:  # what the last bytes still hold
+        more = step.decompress(b"", STEP)
+        if step.eof:
+            step = None
+        elif not more:
+            raise ValueError("the archive is cut off in a gzip member")
+        yield more
+
+
+def records_of(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and block of each record of a stream of bytes, one held at a time."""
+    held, done = bytearray(), False
+
+    def more() -> bool:
+        nonlocal done
+        chunk = next(chunks, None)
+        done = chunk is None
+        held.extend(chunk or b"")
+        return not done
+
+    while True:
+        while not held or held[0] in b"\r\n":
+            if held:
+                del held[:1]
+            elif not more():
+                return
+        looked = 0
+        while (end := held.find(b"\r\n\r\n", looked)) < 0:
+            looked = max(0, len(held) - 3)
+            if not bytes(held[:5]).startswith(b"WARC/"[:len(held)]):
+                raise ValueError("not a WARC record")
+            if not more():
+                raise ValueError("the archive is cut off in a record's head")
+        headers = parsed(bytes(held[:end]))
+        upto = end + 4 + int(headers["content-length"])
+        while len(held) < upto:
+            if not more():
+                raise ValueError("the archive is cut off in a record's block")
+        yield headers, bytes(held[end + 4:upto])
+        del held[:upto]
+
+
+def index_text(f, member: tuple[int, int, int]) -> str:
+    method, local, length = member
+    at, n = stored_at(f, (0, local, length))
+    f.seek(at)
+    raw = f.read(n)
+    if method == 8:
+        raw = zlib.decompress(raw, -15)
+    elif method != 0:
+        raise ValueError("an index is packed in another way")
+    return (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("utf-8")
+
+
+def archive_named(file: str, archives: dict[str, tuple[int, int]]) -> str:
+    """The member that an index means by a path, a bare name or, if there is one archive only, nothing."""
+    fit = [a for a in archives if a == file] or [a for a in archives if not file or a.rpartition("/")[2] == file.rpartition("/")[2]]
+    if len(fit) != 1:
+        raise ValueError(f"an index names the archive {file!r}, of which there are {len(fit)}")
+    return fit[0]
 
 
 def read_package(f, size: int) -> Iterator[tuple[dict, dict[str, str], bytes]]:
-    """(index entry, headers, payload) of every record, by range reads.  Members are found by the directory alone."""
+    """(index entry, headers, block) of every record, by range reads.  Members are found by the directory alone."""
     members = directory(f, size)
     archives = {name: stored_at(f, m) for name, m in members.items() if name.endswith(ARCHIVES)}
-    by_file = {name.rpartition("/")[2]: name for name in archives}
-    listed: dict[str, list[dict]] = {}
+    listed: dict[str, dict[int, dict]] = {name: {} for name in archives}
     for name in (n for n in members if n.endswith(INDEXES)):
-        at, n = stored_at(f, members[name])
-        f.seek(at)
-        for e in _entries(f.read(n).decode("utf-8")):
-            file = e.get("filename", "").rpartition("/")[2]
-            listed.setdefault(by_file.get(file) or next(iter(archives), ""), []).append(e)
+        for e in _entries(index_text(f, members[name])):
+            listed[archive_named(e.get("filename", ""), archives)].setdefault(e["offset"], e)
     for name, (base, length) in archives.items():
-        if name not in listed:
-            for raw in _unindexed(f, base, length):
-                yield {}, *parse_record(raw)
-            continue
-        entries, k = sorted(listed[name], key=lambda e: e["offset"]), 0
+        entries, k, at = [listed[name][o] for o in sorted(listed[name])], 0, 0
         while k < len(entries):
             first, end, upto = entries[k]["offset"], entries[k]["offset"] + entries[k]["length"], k + 1
             while upto < len(entries) and entries[upto]["offset"] == end and end + entries[upto]["length"] - first <= RANGE_BYTES:
                 end += entries[upto]["length"]
                 upto += 1
+            if first < at or end > length:
+                raise ValueError("an index names a range that isn't a record's")
+            for record in records_of(uncompressed(f, base + at, first - at)):
+                yield {}, *record
             f.seek(base + first)
             raw = f.read(end - first)
             for e in entries[k:upto]:
-                yield e, *parse_record(_plain(raw[e["offset"] - first:e["offset"] - first + e["length"]]))
-            k = upto
+                part = raw[e["offset"] - first:e["offset"] - first + e["length"]]
+                for record in records_of(uncompressed(io.BytesIO(part), 0, len(part))):
+                    yield e, *record
+            k, at = upto, end
+        for record in records_of(uncompressed(f, base + at, length - at)):
+            yield {}, *record
 
 
 def write(pages: DataFrame, least: int = 100) -> DataFrame:
@@ -263,15 +347,17 @@ def read(manifest: DataFrame) -> DataFrame:
                 store, path = fs.FileSystem.from_uri(row["path"])
                 out: dict[str, list] = {x.split()[0]: [] for x in RECORD.split(", ")}
                 with store.open_input_file(path) as f:
-                    for _, headers, payload in read_package(f, row["bytes"]):
-                        digest, to = headers["warc-payload-digest"].partition(":")[2], headers.get("warc-refers-to")
-                        if to is None and hashlib.sha256(payload).hexdigest() != digest:
+                    for _, headers, block in read_package(f, row["bytes"]):
+                        head, payload = parts_of(headers, block)
+                        revisit = headers.get("warc-type") == "revisit"
+                        if not revisit and digest_fails(headers, head, payload):
                             raise ValueError(f"{row['path']}: a payload doesn't fit its digest")
-                        out["page_id"].append(_page(headers))
-                        out["payload_bytes"].append(len(payload) if to is None else int(headers["x-payload-length"]))
-                        out["payload_digest"].append(digest)
-                        out["record_type"].append(headers["warc-type"])
-                        out["refers_to"].append(None if to is None else int(unquote(to).rpartition(":")[2].rstrip(">")))
+                        said, length = headers.get("warc-payload-digest", ""), headers.get("x-payload-length")
+                        out["page_id"].append(_page(headers.get("warc-record-id")))
+                        out["payload_bytes"].append(len(payload) if not revisit else int(length) if length else None)
+                        out["payload_digest"].append(hashlib.sha256(payload).hexdigest() if not revisit else said.removeprefix("sha256:") or None)
+                        out["record_type"].append(headers.get("warc-type"))
+                        out["refers_to"].append(_page(headers.get("warc-refers-to")) if revisit else None)
                 yield pa.RecordBatch.from_pydict(out, schema=ARROW)
 
     parts = max(1, manifest.count())
