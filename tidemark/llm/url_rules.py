@@ -14,11 +14,13 @@ What bounds the mining:
 * Items that are rules by themselves are found by counting and take no part in combinations, nor
   do items of all urls.
 * Spark's FP-growth runs over the bad urls alone, whose frequent itemsets hold every antecedent with
-  enough support.  A url enters with its WIDTH items that deviate most from the base rate, so that it
-  has at most 2 ** WIDTH itemsets; antecedents have up to LONGEST items.  Where a url has more items than that, the pairs of
-  all items of all bad urls are counted besides, so no pair is ever lost; antecedents of three and four items are
-  complete among a url's WIDTH items.
-* Support and confidence of the antecedents are then counted on whole urls, by the inverted index.
+  enough support; a rule's antecedent has up to LONGEST items.  A url enters with its WIDTH items that deviate most from
+  the base rate, so that it has at most 2 ** WIDTH itemsets.
+* Where a bad url has more items than that, the sets of all items of all urls are counted besides, a length at a time
+  (``sets_of_any_width``), so every antecedent of up to LONGEST items is met at any width.  A set goes on
+  only if it has enough support, fewer urls than each of its parts and a good url, since no rule that
+  grows from another set is kept.
+* Support and confidence of FP-growth's antecedents are then counted on whole urls, by the inverted index.
 
 Each kept rule is posted in an inverted index under its rarest token, so that a url meets only rules
 that share one token with it; the remaining tokens are compared as sets.  All of it is DataFrame code.
@@ -106,10 +108,25 @@ def subsets(items: Column) -> Column:
     return F.filter(all_of, lambda s: (F.size(s) > 0) & (F.size(s) < F.size(items)))
 
 
-def pairs_of(bags: DataFrame) -> DataFrame:
-    """of: each pair of a sorted array's items (column ``all``), one item after the other."""
-    each = bags.select("all", F.posexplode("all").alias("at", "first"))
-    return each.select("first", F.explode(F.slice("all", F.col("at") + 2, F.size("all"))).alias("second")).select(F.array("first", "second").alias("of"))
+def sets_of_any_width(urls: DataFrame, single: DataFrame, min_rows: int) -> DataFrame:
+    """of, n, n_bad: how many urls hold each set of 2 to LONGEST items, for all sets that may be kept as rules.
+    ``urls``: u, bad, item; ``single``: item, n of the items."""
+    held, sets, found = urls.select("u", "bad", F.array("item").alias("of")), single.select(F.array("item").alias("of"), "n"), None
+    for size in range(2, LONGEST + 1):
+        # two sets of a url that differ in their last items
+        one = held.select("u", "bad", "of", F.slice("of", 1, size - 2).alias("start"))
+        other = held.select("u", F.slice("of", 1, size - 2).alias("start"), F.element_at("of", -1).alias("further"))
+        grown = one.join(other, ["u", "start"]).where(F.element_at("of", -1) < F.col("further")).select("u", "bad", F.array_append("of", F.col("further")).alias("of"))
+        grown = written(grown, "url_sets")
+        counted = grown.groupBy("of").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("n_bad")).where(F.col("n_bad") >= min_rows)
+        parts = counted.select("of", "n", "n_bad", F.explode(F.transform("of", lambda x: F.array_remove("of", x))).alias("part"))
+        least = parts.join(sets.select(F.col("of").alias("part"), F.col("n").alias("theirs")), "part").groupBy("of", "n", "n_bad").agg(F.count("*").alias("parts"), F.min("theirs").alias("least"))
+        counted = written(least.where((F.col("parts") == size) & (F.col("least") > F.col("n"))).select("of", "n", "n_bad"), "url_set_counts")
+        found = counted if found is None else found.unionByName(counted)
+        sets = counted.where("n > n_bad").select("of", "n")
+        if size < LONGEST:
+            held = written(join_on_hot_key(grown, sets.withColumn("weight", F.col("n")).drop("n"), "of", "weight", F.col("u"), "inner"), "url_held_sets")
+    return found
 
 
 def mine(labelled: DataFrame, min_rows: int, min_confidence: float, min_lift: float) -> DataFrame:
@@ -138,12 +155,17 @@ def mine(labelled: DataFrame, min_rows: int, min_confidence: float, min_lift: fl
     rules = classes.where("alone").select(F.array("item").alias("of"), "tokens", "n", "n_bad")
     if m >= min_rows:
         sets = FPGrowth(itemsCol="items", minSupport=(min_rows - 0.5) / m).fit(bad_bags).freqItemsets.where((F.size("items") >= 2) & (F.size("items") <= LONGEST)).select(F.array_sort("items").alias("of"))
-        if widest > WIDTH:
-            sets = sets.unionByName(pairs_of(every.select(F.array_sort("all").alias("all"))).groupBy("of").agg(F.count("*").alias("rows")).where(F.col("rows") >= min_rows).select("of")).distinct()
         parts = sets.select("of", F.explode("of").alias("item")).join(classes.select("item", "tokens", "n"), "item")
         asked = parts.groupBy("of").agg(F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens"), F.min_by(F.col("tokens")[0], "n").alias("token"), F.min("n").alias("freq"))
         counted = fitting(bags.select(F.struct("u", "bad").alias("own"), "items"), "own", written(asked, "url_antecedents"))
         rules = rules.unionByName(counted.groupBy("of", "tokens").agg(F.count("*").alias("n"), F.sum(F.col("own.bad").cast("long")).alias("n_bad")).where(good_enough))
+    if widest > WIDTH:
+        whole = join_on_hot_key(bags.select("u", "bad", F.explode("items").alias("token")), open_, "token", "rows", F.col("u"), "inner")
+        single = open_.select("item").distinct().join(classes.select("item", "n"), "item")
+        wide = written(sets_of_any_width(written(whole.select("u", "bad", "item").distinct(), "url_open_items"), single, min_rows).where(good_enough), "url_wide_rules")
+        parts = wide.select("of", F.explode("of").alias("item")).join(classes.select("item", "tokens"), "item")
+        tokens = parts.groupBy("of").agg(F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens"))
+        rules = rules.unionByName(wide.join(tokens, "of").select("of", "tokens", "n", "n_bad")).dropDuplicates(["of"])
     rules = written(rules.select("of", "tokens", (F.col("n_bad") / F.col("n")).alias("confidence"), F.col("n_bad").alias("support"), "n"), "url_rules")
     part = rules.select(F.col("of").alias("part"), F.col("confidence").alias("theirs"))
     covered = rules.select("of", "confidence", F.explode(subsets(F.col("of"))).alias("part")).join(part, "part").where("theirs >= confidence").select("of").distinct()
