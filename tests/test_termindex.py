@@ -85,6 +85,26 @@ def test_changes_keep_the_index(spark, tmp_path, small_windows):
         same(found(spark, to, query, k)[0], want)
 
 
+def test_tasks_follow_the_texts(spark, tmp_path, monkeypatch):
+    """A document's terms are counted in its row, and no task takes more than its share, however few partitions a session has."""
+    monkeypatch.setattr(termindex, "TEXT", 4_000)
+    monkeypatch.setattr(termindex, "ENTRIES", 500)
+    rows, path = corpus(400), f"file://{tmp_path}/index"
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        termindex.build(frame(spark, rows), path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before["spark.sql.shuffle.partitions"])
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before["spark.sql.files.maxPartitionBytes"]
+    held = spark.read.parquet(f"{path}/blocks").groupBy(F.input_file_name()).agg(F.sum(F.size("entries")).alias("n"))
+    files, largest = held.agg(F.count("*"), F.max("n")).first()
+    assert files > 4 and largest < 1_500
+    got = {(r["term"], r["doc_id"]): (r["tf"], r["n"]) for r in spark.read.parquet(f"{path}/blocks").select("term", F.inline("entries")).collect()}
+    want = {(r["term"], r["doc_id"]): (r["tf"], r["n"]) for r in search.postings(frame(spark, rows).where("doc_id is not null")).collect()}
+    assert got == want
+
+
 def test_index_of_nothing(spark, tmp_path):
     path = f"file://{tmp_path}/index"
     termindex.build(frame(spark, [(None, "a")]), path)

@@ -15,24 +15,29 @@ gone from the segments before, and signed counts (documents of a term, documents
 statistics follow.  A segment counts once its totals, written last, are there; ``compacted`` writes one segment of all.
 
 Blocks lie sorted by (term, window): the filter on terms reaches the scan and skips row groups.  No term or length,
-however frequent, makes a task larger than a window.  Rows without id take no part; null and empty texts count as
+however frequent, makes a task larger than a window.  A load's texts are dealt by id to tasks of about TEXT bytes, which count a
+document's terms within its row and write them (``bags``); what reads these takes at most BAGS bytes of files a task, and
+a task that makes blocks has about ENTRIES entries.  So tasks follow the input, whatever the session's number of partitions.  Rows without id take no part; null and empty texts count as
 documents of no terms; an id that comes again in one load counts once, by its first text in order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.search import K1, B, lengths, postings
+from tidemark.operators.search import K1, B, terms
 
 #: Documents of a window, about; windows that are scored first; windows that a filter names.
 WINDOW, FIRST, NAMED = 256, 16, 1_000
 #: Sums by another order of additions differ by less.
 SLACK = 1e-9
+#: Bytes of text, bytes of written bags and entries of blocks that a task has, about.
+TEXT, BAGS, ENTRIES = 16 << 20, 8 << 20, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -44,9 +49,40 @@ class Found:
     read: int
 
 
-def _usable(docs: DataFrame) -> DataFrame:
-    one = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    return one
+def _once(value: Column, f) -> Column:
+    """f(value) with the value computed once a row."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _counted(words: Column) -> Column:
+    """(term, tf) of a document's words, by the runs of the sorted words."""
+    def runs(w: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == F.size(w)) | (F.get(w, i) != F.get(w, i - 1)))
+        return _once(ends, lambda e: F.transform(e, lambda end, k: F.struct(F.get(w, end - 1).alias("term"), (end - F.coalesce(F.get(e, k - 1), F.lit(0))).cast("long").alias("tf"))))
+
+    return F.when(F.size(words) > 0, _once(F.sort_array(words), runs)).otherwise(F.array().cast("array<struct<term:string,tf:bigint>>"))
+
+
+@contextmanager
+def _splits_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Scans of at most ``size`` bytes a task for what is run inside; the session's own setting comes back after it."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _bags(docs: DataFrame, at: str) -> DataFrame:
+    """doc_id, gone, n, held (term, tf), written; docs: doc_id, text, gone."""
+    told = docs.where("doc_id is not null")
+    size = told.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    one = told.repartition(1 + size // TEXT, "doc_id").groupBy("doc_id", "gone").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    words = one.select("doc_id", "gone", terms(F.col("text")).alias("w"))
+    words.select("doc_id", "gone", F.size("w").cast("long").alias("n"), _counted(F.col("w")).alias("held")).write.mode("overwrite").parquet(at)
+    return docs.sparkSession.read.parquet(at)
 
 
 def _bucket(n: Column) -> Column:
@@ -55,42 +91,53 @@ def _bucket(n: Column) -> Column:
 
 def build(docs: DataFrame, path: str) -> None:
     """A new index below ``path``; docs: doc_id, text."""
-    spark, own = docs.sparkSession, _usable(docs)
-    sizes = lengths(own).groupBy(_bucket(F.col("n")).alias("bucket")).agg(F.ceil(F.count("*") / WINDOW).cast("int").alias("parts"))
+    spark = docs.sparkSession
+    bags = _bags(docs.select("doc_id", "text", F.lit(False).alias("gone")), f"{path}/bags/seg=0")
+    sizes = bags.groupBy(_bucket(F.col("n")).alias("bucket")).agg(F.ceil(F.count("*") / WINDOW).cast("int").alias("parts"))
     sizes.coalesce(1).write.parquet(f"{path}/layout")  # a row a bucket, some hundreds
-    _segment(spark, path, 0, own, None)
+    _segment(spark, path, 0, bags)
 
 
 def sync(spark: SparkSession, path: str, gone: DataFrame, fresh: DataFrame) -> int:
     """A further segment: documents (doc_id, text) as they were that are gone, and as they are that are new; an update is both."""
-    number = 1 + spark.read.parquet(f"{path}/totals").agg(F.max("seg")).first()[0]
-    _segment(spark, path, number, _usable(fresh), _usable(gone))
-    return number
+    told = lambda docs, left: docs.select("doc_id", "text", F.lit(left).alias("gone"))
+    return _synced(spark, path, told(gone, True).unionByName(told(fresh, False)))
 
 
 def sync_changes(spark: SparkSession, path: str, feed: DataFrame) -> int:
     """``sync`` by a change feed of documents (``merge.change_feed``)."""
-    told = lambda *kinds: feed.where(F.col("change_type").isin(*kinds)).select("doc_id", "text")
-    return sync(spark, path, told("delete", "update_pre"), told("insert", "update_post"))
+    return _synced(spark, path, feed.select("doc_id", "text", F.col("change_type").isin("delete", "update_pre").alias("gone")))
 
 
-def _segment(spark: SparkSession, path: str, number: int, fresh: DataFrame, gone: DataFrame | None) -> None:
-    at = lambda part: f"{path}/{part}/seg={number}"
-    layout = F.broadcast(spark.read.parquet(f"{path}/layout"))
-    posted = postings(fresh).withColumn("bucket", _bucket(F.col("n"))).join(layout, "bucket", "left")
-    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1)))
+def _synced(spark: SparkSession, path: str, docs: DataFrame) -> int:
+    number = 1 + spark.read.parquet(f"{path}/totals").agg(F.max("seg")).first()[0]
+    _segment(spark, path, number, _bags(docs, f"{path}/bags/seg={number}"))
+    return number
+
+
+def _blocks(entries: DataFrame, n: int) -> DataFrame:
+    """Sorted blocks of ``n`` entries (term, window, doc_id, tf, n): one range shuffle, so blocks are made where they lie."""
     entry = F.struct("doc_id", F.col("tf").cast("int").alias("tf"), F.col("n").cast("int").alias("n"))
-    blocks = posted.groupBy("term", (F.col("bucket").cast("long") * (1 << 32) + part).alias("window")).agg(F.max("tf").alias("most_tf"), F.min("n").alias("least_n"), F.collect_list(entry).alias("entries"))
-    blocks.repartitionByRange("term", "window").sortWithinPartitions("term", "window").write.mode("overwrite").parquet(at("blocks"))
+    dealt = entries.repartitionByRange(1 + n // ENTRIES, "term", "window").groupBy("term", "window")
+    return dealt.agg(F.max("tf").cast("long").alias("most_tf"), F.min("n").cast("long").alias("least_n"), F.collect_list(entry).alias("entries")).sortWithinPartitions("term", "window")
 
-    signed = lambda docs, sign: postings(docs).groupBy("term").agg((sign * F.count("*")).alias("docs"))
-    total = lambda docs, sign: lengths(docs).agg((sign * F.count("*")).alias("docs"), (sign * F.coalesce(F.sum("n"), F.lit(0))).alias("terms"))
-    counts, totals = signed(fresh, 1), total(fresh, 1)
-    if gone is not None:
-        counts, totals = counts.unionByName(signed(gone, -1)), totals.unionByName(total(gone, -1))
-        gone.select("doc_id").write.mode("overwrite").parquet(at("gone"))
-    counts.groupBy("term").agg(F.sum("docs").alias("docs")).where("docs <> 0").repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(at("counts"))
-    totals.agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).write.mode("overwrite").parquet(at("totals"))
+
+def _segment(spark: SparkSession, path: str, number: int, bags: DataFrame) -> None:
+    at = lambda part: f"{path}/{part}/seg={number}"
+    with _splits_of(spark, BAGS):
+        layout = F.broadcast(spark.read.parquet(f"{path}/layout"))
+        fresh = bags.where("not gone").withColumn("bucket", _bucket(F.col("n"))).join(layout, "bucket", "left")
+        part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1)))
+        posted = fresh.select("doc_id", "n", (F.col("bucket").cast("long") * (1 << 32) + part).alias("window"), F.inline("held"))
+        entries = bags.where("not gone").agg(F.sum(F.size("held"))).first()[0] or 0
+        _blocks(posted, entries).write.mode("overwrite").parquet(at("blocks"))
+
+        sign = F.when(F.col("gone"), -1).otherwise(1).cast("long")
+        if number:
+            bags.where("gone").select("doc_id").write.mode("overwrite").parquet(at("gone"))
+        counts = bags.select(sign.alias("sign"), F.explode("held.term").alias("term")).groupBy("term").agg(F.sum("sign").alias("docs"))
+        counts.where("docs <> 0").repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(at("counts"))
+        bags.agg(F.coalesce(F.sum(sign), F.lit(0).cast("long")).alias("docs"), F.coalesce(F.sum(sign * F.col("n")), F.lit(0).cast("long")).alias("terms")).write.mode("overwrite").parquet(at("totals"))
 
 
 def _read(spark: SparkSession, path: str, part: str, segments: Sequence[int]) -> DataFrame:
@@ -145,9 +192,10 @@ def compacted(spark: SparkSession, path: str, to: str) -> None:
     """The same index as one segment below ``to``, without what is gone."""
     segments = sorted(r["seg"] for r in spark.read.parquet(f"{path}/totals").select("seg").distinct().collect())
     spark.read.parquet(f"{path}/layout").write.parquet(f"{to}/layout")
-    entries = _read(spark, path, "blocks", segments).select("seg", "term", "window", F.explode("entries").alias("e")).select("seg", "term", "window", "e.*")
-    entry = F.struct("doc_id", "tf", "n")
-    blocks = _live(spark, path, entries, segments).groupBy("term", "window").agg(F.max("tf").cast("long").alias("most_tf"), F.min("n").cast("long").alias("least_n"), F.collect_list(entry).alias("entries"))
-    blocks.repartitionByRange("term", "window").sortWithinPartitions("term", "window").write.parquet(f"{to}/blocks/seg=0")
+    blocks = _read(spark, path, "blocks", segments)
+    n = blocks.agg(F.sum(F.size("entries"))).first()[0] or 0
+    with _splits_of(spark, BAGS):
+        entries = blocks.select("seg", "term", "window", F.explode("entries").alias("e")).select("seg", "term", "window", "e.*")
+        _blocks(_live(spark, path, entries, segments).select("term", "window", "doc_id", "tf", "n"), n).write.parquet(f"{to}/blocks/seg=0")
     _read(spark, path, "counts", segments).groupBy("term").agg(F.sum("docs").alias("docs")).where("docs <> 0").repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{to}/counts/seg=0")
     _read(spark, path, "totals", segments).agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).write.parquet(f"{to}/totals/seg=0")
