@@ -50,6 +50,18 @@ def test_probes_reach_the_recall_that_was_asked_for(spark, clustered):
     assert "PushedFilters: [In(list" in plan
 
 
+def test_exact_needs_no_calibration_and_lengths_are_added_up_once(spark, clustered, tmp_path):
+    rows, df, _, _ = clustered
+    plan = df.select(vectors.unit(F.col("embedding")))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "aggregate(" in plan and "/ sqrt(" not in plan  # the length isn't part of what is done for each component
+    index = vectors.build(df, f"file://{tmp_path}/plain", lists=12, recall_target=None)
+    asked = df.where("doc_id % 100 = 0")
+    want = brute(rows, [i for i, _ in rows if i % 100 == 0], 5)
+    found = sorted((r["query_id"], r["rank"], r["doc_id"]) for r in vectors.exact(index, asked).collect())
+    assert found == sorted((q, k + 1, i) for q, ids in want.items() for k, i in enumerate(ids))
+    assert index.probes == len(index.centres)
+
+
 def test_few_vectors_and_none(spark, tmp_path):
     empty = spark.createDataFrame([(1, None)], "doc_id long, embedding array<float>")
     index = vectors.build(empty, f"file://{tmp_path}/none")

@@ -48,7 +48,8 @@ def unit(vector: Column) -> Column:
     v = vector.cast("array<double>")
     length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
     usable = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x)) & (length > 0) & (length < float("inf"))
-    return F.when(usable, F.transform(v, lambda x: x / length))
+    # the length is bound once a row: inside the inner function it would be added up again for each component
+    return F.when(usable, F.get(F.transform(F.array(length), lambda one: F.transform(v, lambda x: x / one)), F.lit(0)))
 
 
 def _units(vectors: DataFrame) -> DataFrame:
@@ -75,10 +76,12 @@ def lists_for(rows: int) -> int:
     return max(1, min(LISTS, round(math.sqrt(rows))))
 
 
-def build(vectors: DataFrame, path: str, lists: int | None = None, recall_target: float = RECALL) -> VectorIndex:
-    """Train, post, choose the probes and write below ``path``; vectors: doc_id, embedding."""
+def build(vectors: DataFrame, path: str, lists: int | None = None, recall_target: float | None = RECALL) -> VectorIndex:
+    """Train, post, choose the probes and write below ``path``; vectors: doc_id, embedding.  Without a target nothing
+    is calibrated and probes are all lists: for exact searches, whose results don't depend on that number."""
     spark = vectors.sparkSession
-    units = _units(vectors)
+    _units(vectors).write.parquet(f"{path}/units")
+    units = spark.read.parquet(f"{path}/units")
     rows = units.count()
     if not rows:
         schema = "list int, block long, doc_id {}, u array<double>, far double".format(dict(vectors.dtypes)["doc_id"])
@@ -100,6 +103,9 @@ def build(vectors: DataFrame, path: str, lists: int | None = None, recall_target
     keys = ["list", "far", "doc_id"]
     placed = held.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id())
     placed.withColumn("block", F.expr(f"at div {BLOCK}")).drop("at").write.parquet(f"{path}/posted")
+    if recall_target is None:
+        spark.createDataFrame([(len(centres),)], "probes int").coalesce(1).write.parquet(f"{path}/probes")
+        return load(spark, path)
     made = _opened(spark, path, 0)
     few = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, CALIBRATION / rows))
     chosen = probes_for(made, vectors.where(few), recall_target)
