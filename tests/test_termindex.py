@@ -105,6 +105,21 @@ def test_tasks_follow_the_texts(spark, tmp_path, monkeypatch):
     assert got == want
 
 
+def test_tasks_of_a_sync_follow_the_texts(spark, tmp_path, monkeypatch):
+    """A feed's documents, gone and new, are dealt by their texts, and a segment's blocks by its entries."""
+    monkeypatch.setattr(termindex, "TEXT", 4_000)
+    monkeypatch.setattr(termindex, "ENTRIES", 500)
+    rows, path = corpus(300), f"file://{tmp_path}/index"
+    was, now = frame(spark, rows[:200]), frame(spark, [(i, f"{t} new") for i, t in rows[150:] if i is not None])
+    termindex.build(was, path)
+    termindex.sync_changes(spark, path, merge.change_feed(was, now, ["doc_id"]))
+    held = spark.read.parquet(f"{path}/blocks/seg=1").groupBy(F.input_file_name()).agg(F.sum(F.size("entries")).alias("n"))
+    files, largest = held.agg(F.count("*"), F.max("n")).first()
+    assert files > 4 and largest < 1_500
+    assert spark.read.parquet(f"{path}/bags/seg=1").select(F.input_file_name()).distinct().count() > 4
+    same(found(spark, path, ["new", "rare", "the"], 9)[0], brute(now, ["new", "rare", "the"], 9))
+
+
 def test_index_of_nothing(spark, tmp_path):
     path = f"file://{tmp_path}/index"
     termindex.build(frame(spark, [(None, "a")]), path)
