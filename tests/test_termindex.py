@@ -120,6 +120,35 @@ def test_tasks_of_a_sync_follow_the_texts(spark, tmp_path, monkeypatch):
     same(found(spark, path, ["new", "rare", "the"], 9)[0], brute(now, ["new", "rare", "the"], 9))
 
 
+def test_snapshots_and_counts_follow_the_texts(spark, tmp_path, monkeypatch):
+    """With two partitions in the session, snapshots are compared and counts added up in as many tasks as texts and entries ask for."""
+    monkeypatch.setattr(termindex, "TEXT", 4_000)
+    monkeypatch.setattr(termindex, "ENTRIES", 500)
+    rows, path = corpus(300), f"file://{tmp_path}/index"
+    rows += [(20_000 + i, " ".join(f"t{i}x{j}" for j in range(10))) for i in range(100)]
+    was, now = frame(spark, rows[:250]), frame(spark, [(i, f"{t} new") for i, t in rows[200:]])
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        feed = termindex.change_feed(was, now)
+        parts = [r["n"] for r in feed.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("text")).alias("n")).collect()]
+        termindex.build(was, path)
+        termindex.sync_changes(spark, path, feed)
+        termindex.compacted(spark, path, f"{path}_compact")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == held["spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    finally:
+        for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"):
+            spark.conf.set(k, held[k])
+    assert len(parts) > 8 and max(parts) < 16_000
+    assert sorted(feed.collect()) == sorted(merge.change_feed(was.where("doc_id is not null"), now.where("doc_id is not null"), ["doc_id"]).collect())
+    for at in (f"{path}/counts/seg=1", f"{path}_compact/counts/seg=0"):
+        assert spark.read.parquet(at).select(F.input_file_name()).distinct().count() > 4
+    for to in (path, f"{path}_compact"):
+        same(found(spark, to, ["new", "rare", "the", "t7x3"], 9)[0], brute(now, ["new", "rare", "the", "t7x3"], 9))
+
+
 def test_index_of_nothing(spark, tmp_path):
     path = f"file://{tmp_path}/index"
     termindex.build(frame(spark, [(None, "a")]), path)

@@ -54,10 +54,11 @@ def changed(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> Dat
     return source.join(t, same, "left_anti")
 
 
-def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """insert, delete, update_pre and update_post rows between two snapshots."""
+def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """insert, delete, update_pre and update_post rows between two snapshots, compared in ``parts`` tasks (the session's number, if None)."""
     rest = [c for c in before.columns if c not in keys]
-    side = lambda df, s: df.select(*keys, F.struct(*rest, F.lit(True).alias("_here")).alias(s))
+    dealt = lambda df: df if parts is None else df.repartition(parts, *keys)
+    side = lambda df, s: dealt(df).select(*keys, F.struct(*rest, F.lit(True).alias("_here")).alias(s))
     both = side(before, "a").join(side(after, "b"), list(keys), "full_outer")
     old, new = F.col("a._here").isNotNull(), F.col("b._here").isNotNull()
     differ = ~reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in rest], F.lit(True))

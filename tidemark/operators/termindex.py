@@ -17,7 +17,8 @@ statistics follow.  A segment counts once its totals, written last, are there; `
 Blocks lie sorted by (term, window): the filter on terms reaches the scan and skips row groups.  No term or length,
 however frequent, makes a task larger than a window.  A load's texts are dealt by id to tasks of about TEXT bytes, which count a
 document's terms within its row and write them (``bags``); what reads these takes at most BAGS bytes of files a task, and
-a task that makes blocks has about ENTRIES entries.  So tasks follow the input, whatever the session's number of partitions.  Rows without id take no part; null and empty texts count as
+a task that makes blocks or adds up counts has about ENTRIES entries at most.  ``change_feed`` compares snapshots in tasks of about TEXT bytes.
+So tasks follow the input, whatever the session's number of partitions.  Rows without id take no part; null and empty texts count as
 documents of no terms; an id that comes again in one load counts once, by its first text in order.
 """
 
@@ -30,6 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import merge
 from tidemark.operators.search import K1, B, terms
 
 #: Documents of a window, about; windows that are scored first; windows that a filter names.
@@ -64,22 +66,34 @@ def _counted(words: Column) -> Column:
 
 
 @contextmanager
-def _splits_of(spark: SparkSession, size: int) -> Iterator[None]:
-    """Scans of at most ``size`` bytes a task for what is run inside; the session's own setting comes back after it."""
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(size))
+def _dealt(spark: SparkSession, entries: int) -> Iterator[None]:
+    """Scans and joined partitions of at most BAGS bytes a task and shuffles into a partition for ENTRIES of ``entries`` at least, for
+    what is run inside; the session's own settings come back after it."""
+    size, joined, parts = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    before = {key: spark.conf.get(key) for key in (size, joined, parts)}
+    spark.conf.set(size, str(BAGS))
+    spark.conf.set(joined, str(BAGS))
+    spark.conf.set(parts, str(max(int(before[parts]), _tasks(entries))))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _tasks(entries: int) -> int:
+    return 1 + entries // ENTRIES
+
+
+def _texts(docs: DataFrame) -> int:
+    """Number of tasks for the documents' texts."""
+    return 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // TEXT
 
 
 def _bags(docs: DataFrame, at: str) -> DataFrame:
     """doc_id, gone, n, held (term, tf), written; docs: doc_id, text, gone."""
     told = docs.where("doc_id is not null")
-    size = told.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    one = told.repartition(1 + size // TEXT, "doc_id").groupBy("doc_id", "gone").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    one = told.repartition(_texts(told), "doc_id").groupBy("doc_id", "gone").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     words = one.select("doc_id", "gone", terms(F.col("text")).alias("w"))
     words.select("doc_id", "gone", F.size("w").cast("long").alias("n"), _counted(F.col("w")).alias("held")).write.mode("overwrite").parquet(at)
     return docs.sparkSession.read.parquet(at)
@@ -104,8 +118,14 @@ def sync(spark: SparkSession, path: str, gone: DataFrame, fresh: DataFrame) -> i
     return _synced(spark, path, told(gone, True).unionByName(told(fresh, False)))
 
 
+def change_feed(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``merge.change_feed`` between two snapshots of documents (doc_id, text); its tasks follow the texts of both."""
+    was, now = (df.where("doc_id is not null").select("doc_id", "text") for df in (before, after))
+    return merge.change_feed(was, now, ["doc_id"], _texts(was.unionByName(now)))
+
+
 def sync_changes(spark: SparkSession, path: str, feed: DataFrame) -> int:
-    """``sync`` by a change feed of documents (``merge.change_feed``)."""
+    """``sync`` by a change feed of documents (``change_feed``)."""
     return _synced(spark, path, feed.select("doc_id", "text", F.col("change_type").isin("delete", "update_pre").alias("gone")))
 
 
@@ -118,19 +138,19 @@ def _synced(spark: SparkSession, path: str, docs: DataFrame) -> int:
 def _blocks(entries: DataFrame, n: int) -> DataFrame:
     """Sorted blocks of ``n`` entries (term, window, doc_id, tf, n): one range shuffle, so blocks are made where they lie."""
     entry = F.struct("doc_id", F.col("tf").cast("int").alias("tf"), F.col("n").cast("int").alias("n"))
-    dealt = entries.repartitionByRange(1 + n // ENTRIES, "term", "window").groupBy("term", "window")
+    dealt = entries.repartitionByRange(_tasks(n), "term", "window").groupBy("term", "window")
     return dealt.agg(F.max("tf").cast("long").alias("most_tf"), F.min("n").cast("long").alias("least_n"), F.collect_list(entry).alias("entries")).sortWithinPartitions("term", "window")
 
 
 def _segment(spark: SparkSession, path: str, number: int, bags: DataFrame) -> None:
     at = lambda part: f"{path}/{part}/seg={number}"
-    with _splits_of(spark, BAGS):
+    entries, every = bags.agg(F.sum(F.when(F.col("gone"), 0).otherwise(F.size("held"))), F.sum(F.size("held"))).first()
+    with _dealt(spark, every or 0):
         layout = F.broadcast(spark.read.parquet(f"{path}/layout"))
         fresh = bags.where("not gone").withColumn("bucket", _bucket(F.col("n"))).join(layout, "bucket", "left")
         part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1)))
         posted = fresh.select("doc_id", "n", (F.col("bucket").cast("long") * (1 << 32) + part).alias("window"), F.inline("held"))
-        entries = bags.where("not gone").agg(F.sum(F.size("held"))).first()[0] or 0
-        _blocks(posted, entries).write.mode("overwrite").parquet(at("blocks"))
+        _blocks(posted, entries or 0).write.mode("overwrite").parquet(at("blocks"))
 
         sign = F.when(F.col("gone"), -1).otherwise(1).cast("long")
         if number:
@@ -194,8 +214,8 @@ def compacted(spark: SparkSession, path: str, to: str) -> None:
     spark.read.parquet(f"{path}/layout").write.parquet(f"{to}/layout")
     blocks = _read(spark, path, "blocks", segments)
     n = blocks.agg(F.sum(F.size("entries"))).first()[0] or 0
-    with _splits_of(spark, BAGS):
+    with _dealt(spark, n):
         entries = blocks.select("seg", "term", "window", F.explode("entries").alias("e")).select("seg", "term", "window", "e.*")
         _blocks(_live(spark, path, entries, segments).select("term", "window", "doc_id", "tf", "n"), n).write.parquet(f"{to}/blocks/seg=0")
-    _read(spark, path, "counts", segments).groupBy("term").agg(F.sum("docs").alias("docs")).where("docs <> 0").repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{to}/counts/seg=0")
+        _read(spark, path, "counts", segments).groupBy("term").agg(F.sum("docs").alias("docs")).where("docs <> 0").repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{to}/counts/seg=0")
     _read(spark, path, "totals", segments).agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).write.parquet(f"{to}/totals/seg=0")
